@@ -1,0 +1,125 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tiersmith import ColumnError
+from tiersmith.operators import columns
+
+
+@pytest.fixture
+def frame(spark):
+    return spark.createDataFrame([("1", "2", "3")], "A string, B string, C string")
+
+
+def test_rename(frame):
+    assert columns.replace_column_names(frame, [("A", "D"), ("B", "E")]).columns == ["D", "E", "C"]
+
+
+def test_rename_swaps(frame):
+    swapped = columns.replace_column_names(frame, [("A", "B"), ("B", "A")])
+    assert swapped.first().asDict() == {"B": "1", "A": "2", "C": "3"}
+
+
+def test_rename_of_missing_column(frame):
+    with pytest.raises(ColumnError, match="Column G not in DataFrame"):
+        columns.replace_column_names(frame, [("G", "D"), ("B", "E")])
+
+
+def test_rename_onto_existing_column(frame):
+    with pytest.raises(ColumnError, match="duplicate"):
+        columns.replace_column_names(frame, [("A", "B")])
+
+
+def test_clean_names(spark):
+    df = spark.createDataFrame([(1, 2, 3)], T.StructType(
+        [T.StructField(n, T.IntegerType()) for n in ("A*.,@D", "B!'#^", "C+=")]
+    ))
+    assert columns.clean_column_names(df).columns == ["a_d", "b", "c"]
+
+
+@pytest.mark.parametrize("names", [("A b", "a_b"), ("A", "+-")])
+def test_clean_names_that_clash_or_vanish(spark, names):
+    df = spark.createDataFrame([(1, 2)], T.StructType([T.StructField(n, T.IntegerType()) for n in names]))
+    with pytest.raises(ColumnError):
+        columns.clean_column_names(df)
+
+
+def test_prefix(frame):
+    assert columns.apply_prefix(frame, "pre").columns == ["pre_A", "pre_B", "pre_C"]
+
+
+def test_regex_replace(spark):
+    df = spark.createDataFrame([("_1", "2"), ("_4_", "5")], "A string, B string")
+    assert [r.A for r in columns.regex_replace_column(df, "A", ("_", "")).collect()] == ["1", "4"]
+
+
+def test_regex_replace_of_missing_column(frame):
+    with pytest.raises(AnalysisException) as error:
+        columns.regex_replace_column(frame, "E", ("_", ""))
+    assert error.value.getCondition().startswith("UNRESOLVED_COLUMN")
+
+
+def test_drop_ignores_absent_and_takes_all_copies(spark, frame):
+    assert columns.drop_columns(frame, "B", "Z").columns == ["A", "C"]
+    twice = frame.join(frame.withColumnRenamed("A", "D"), F.col("A") == F.col("D"))
+    assert twice.columns.count("B") == 2
+    assert "B" not in columns.drop_columns(twice, "B").columns
+
+
+CASTS = [
+    ("7.9", 7, 8),
+    ("51.77", 51, 52),
+    ("-0.5", 0, -1),
+    (" 5 ", 5, 5),
+    ("+4", 4, 4),
+    ("5.", 5, 5),
+    (".5", 0, 1),
+    ("\t12.3\n", 12, 12),
+    ("0.99999999999999999999999", 0, 1),
+    ("x", None, None),
+    ("", None, None),
+    (None, None, None),
+    ("1e3", None, 1000),
+    ("1.2.3", None, None),
+    ("- 5", None, None),
+    ("99999999999", None, None),
+    ("2147483648.5", None, 2147483649),
+]
+
+
+def test_cast_table(spark):
+    df = spark.createDataFrame([(t, t, "no") for t, _, _ in CASTS], "i string, d string, extra string")
+    schema = T.StructType(
+        [T.StructField("d", T.DecimalType(10, 0)), T.StructField("i", T.IntegerType())]
+    )
+    cast = columns.cast_table(df, schema)
+    assert cast.schema == schema
+    got = [(t, r.i, None if r.d is None else int(r.d)) for (t, _, _), r in zip(CASTS, cast.collect())]
+    assert got == CASTS
+
+
+def test_cast_table_needs_declared_columns(frame):
+    with pytest.raises(ColumnError, match="Column id not in"):
+        columns.cast_table(frame, T.StructType([T.StructField("id", T.IntegerType())]))
+
+
+def test_cast_of_dates_and_timestamps(spark):
+    df = spark.createDataFrame([("2024-02-29", "2024-02-29 12:00:00"), ("x", "")], "d string, t string")
+    cast = columns.cast_table(
+        df, T.StructType([T.StructField("d", T.DateType()), T.StructField("t", T.TimestampType())])
+    ).collect()
+    assert str(cast[0].d) == "2024-02-29" and str(cast[0].t) == "2024-02-29 12:00:00"
+    assert cast[1].d is None and cast[1].t is None
+
+
+def test_default_for_null_is_not_for_bad_values(spark):
+    df = spark.createDataFrame([(None,), ("bad",), ("51.77",)], "lat string")
+    filled = columns.default_for_null(df, ["lat"], 0, T.DecimalType(10, 0)).collect()
+    assert [None if r.lat is None else int(r.lat) for r in filled] == [0, None, 52]
+
+
+def test_names_with_dots_and_backticks(spark):
+    df = spark.createDataFrame([("1", "x_y")], "`a.b` string, `c``d` string")
+    assert columns.regex_replace_column(df, "c`d", ("_", "-")).first()[1] == "x-y"
+    assert columns.where_all_present(df, "a.b", "c`d").count() == 1

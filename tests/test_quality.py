@@ -1,0 +1,119 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tiersmith import DataQualityError
+from tiersmith.operators import quality
+from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
+
+
+def failed(df, spec):
+    return {
+        (r.column_name, r.check_name): r.failed_rows
+        for r in quality.validate_table(df, spec).collect()
+        if r.failed_rows
+    }
+
+
+LETTERS = TableSpec(
+    "letters",
+    (
+        ColumnSpec("id", T.IntegerType(), nullable=True, checks=(Check("ge", {"bound": 0}),)),
+        ColumnSpec("letter", T.StringType(), checks=(Check("isin", {"values": ["A", "B"]}),)),
+    ),
+)
+
+
+@pytest.mark.parametrize("last, expected", [("A", {}), ("C", {("letter", "isin(values=['A', 'B'])"): 1})])
+def test_isin(spark, last, expected):
+    df = spark.createDataFrame([(0, "A"), (1, "B"), (2, last)], "id int, letter string")
+    assert failed(df, LETTERS) == expected
+
+
+def test_null_is_no_violation_but_may_be_missing(spark):
+    df = spark.createDataFrame([(None, None), (-1, "A")], "id int, letter string")
+    assert failed(df, LETTERS) == {("letter", "not_null"): 1, ("id", "ge(bound=0)"): 1}
+    assert not quality.has_violations(df.where("id IS NULL"), F.col("id") >= 0)
+    assert quality.has_violations(df, F.col("id") >= 0)
+
+
+def test_schema_checks(spark):
+    df = spark.createDataFrame([(1,)], "id bigint").limit(0)
+    assert failed(df, LETTERS) == {("id", "dtype(int)"): 1, ("letter", "present"): 1}
+
+
+def test_unique_counts_the_rows_that_share_a_value(spark):
+    spec = TableSpec("t", (ColumnSpec("id", T.IntegerType(), nullable=True, unique=True),))
+    df = spark.createDataFrame([(1,), (2,), (2,), (2,), (None,), (None,)], "id int")
+    assert failed(df, spec) == {("id", "unique"): 5}
+    assert failed(df.where("id = 1"), spec) == {}
+
+
+def test_not_in_future(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 1),), (datetime(9000, 1, 1),)], "d timestamp")
+    spec = TableSpec("t", (ColumnSpec("d", T.TimestampType(), checks=(Check("not_in_future"),)),))
+    assert failed(df, spec) == {("d", "not_in_future()"): 1}
+
+
+def test_within_years_clamps_month_ends(spark):
+    days = [datetime(2024, 2, 29), datetime(2019, 2, 28), datetime(2019, 2, 27)]
+    df = spark.createDataFrame([(d, d) for d in days], "date timestamp, c timestamp")
+    spec = TableSpec("t", (ColumnSpec("c", T.TimestampType(), checks=(Check("within_years"),)),))
+    assert failed(df, spec) == {("c", "within_years()"): 1}
+
+
+@pytest.mark.parametrize(
+    "values, maxima, broken",
+    [
+        ([1, 2, 3, 4, 5, 1, 2, 3, 4, 5], [5], []),
+        ([1, 2, 4, 5, 1, 2, 3, 4, 5], [5], [(2, 4)]),
+        ([50, 51, 52, 1, 2], None, []),
+        ([47, 48, 1], None, [(48, 1)]),
+        ([3, 3, 4], [5], [(3, 3)]),
+        ([7], [5], []),
+        ([], [5], []),
+    ],
+)
+def test_continuity(spark, values, maxima, broken):
+    df = spark.createDataFrame(list(enumerate(values)), "o int, week int")
+    options = {} if maxima is None else {"max_values": maxima}
+    found = quality.continuity_breaks(df, "week", order_by=["o"], **options)
+    assert [(r.week, r.next_value) for r in found.collect()] == broken
+
+
+def test_table_check_in_a_spec(spark):
+    check = Check("continuous", {"order_by": ["o"]})
+    spec = TableSpec("weeks", (ColumnSpec("week", T.IntegerType(), checks=(check,)),))
+    df = spark.createDataFrame([(1, 1), (2, 2), (3, 9)], "o int, week int")
+    assert failed(df, spec) == {("week", "continuous(order_by=['o'])"): 1}
+
+
+def test_own_check(spark):
+    @quality.register_check("even")
+    def even(df, name):
+        return F.col(name) % 2 == 0
+
+    spec = TableSpec("t", (ColumnSpec("n", T.IntegerType(), checks=(Check("even"),)),))
+    assert failed(spark.createDataFrame([(1,), (2,), (3,)], "n int"), spec) == {("n", "even()"): 2}
+
+
+def test_unknown_check(spark):
+    spec = TableSpec("t", (ColumnSpec("n", T.IntegerType(), checks=(Check("odd_one"),)),))
+    with pytest.raises(LookupError, match="unknown check 'odd_one'; known: .*ge"):
+        quality.validate_table(spark.createDataFrame([(1,)], "n int"), spec)
+
+
+def test_gate_checks_all_tables_before_it_fails(spark):
+    bad = spark.createDataFrame([(-1, "A"), (2, "Z")], "id int, letter string")
+    good = spark.createDataFrame([(1, "A")], "id int, letter string")
+    second = TableSpec("second", LETTERS.columns)
+    with pytest.raises(DataQualityError) as error:
+        quality.quality_gate([(bad, LETTERS), (good, LETTERS), (bad, second)])
+    assert {(r["table_name"], r["column_name"]) for r in error.value.report} == {
+        ("letters", "id"), ("letters", "letter"), ("second", "id"), ("second", "letter")
+    }
+    assert "letters.id: ge(bound=0) failed on 1 row(s)" in str(error.value)
+    assert len(quality.quality_gate([(bad, LETTERS)], strict=False)) == 2
+    assert quality.quality_gate([(good, LETTERS)]) == []

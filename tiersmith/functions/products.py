@@ -37,26 +37,30 @@ def clean_price(*parts: Column) -> Column:
     return F.btrim(amount, F.lit(_TRIMMED)).try_cast(PRICE_TYPE)
 
 
-def parse_quantity(name: Column) -> Column:
-    """``struct(multiplier, quantity, unit)`` of the first pack size in a name.
+def pack_size(name: Column) -> Column:
+    """The first number with a unit in a name, empty without one."""
+    return F.regexp_extract(name, _PACK_SIZE, 0)
+
+
+def read_pack_size(found: Column) -> Column:
+    """``struct(multiplier, quantity, unit)`` of a ``pack_size``.
 
-    Names without one are a single piece. Litres and centilitres become
+    Without one it is a single piece. Litres and centilitres become
     millilitres, pack words become pieces, other units stay as they are. The
     multiplier is always 1: ``3x40ml`` reads as 40 ml.
     """
-    found = F.regexp_extract(name, _PACK_SIZE, 0)
     number = F.regexp_extract(found, f"^{_NUMBER}", 0)
-    unit = F.regexp_replace(F.lower(F.substring(found, F.length(number) + 1, F.length(found))),
-                            f"^{_WHITESPACE}", "")
+    unit = F.lower(F.regexp_replace(found, f"^{_NUMBER}{_WHITESPACE}?", ""))
     amount = number.try_cast(SIZE_TYPE)
     quantity = amount
     base_unit = F.when(unit.isin(*PIECE_UNITS), "ea")
-    for name_, (factor, base) in CONVERTED_UNITS.items():
-        quantity = F.when(unit == name_, (amount * factor).try_cast(SIZE_TYPE)).otherwise(quantity)
-        base_unit = base_unit.when(unit == name_, base)
+    for long_unit, (factor, base) in CONVERTED_UNITS.items():
+        scaled = (amount * factor).try_cast(SIZE_TYPE)
+        quantity = F.when(unit == long_unit, scaled).otherwise(quantity)
+        base_unit = base_unit.when(unit == long_unit, base)
     missing = found == ""
     return F.when(
-        name.isNotNull(),
+        found.isNotNull(),
         F.struct(
             F.lit(1).alias("multiplier"),
             F.when(missing, F.lit(1).cast(SIZE_TYPE)).otherwise(quantity).alias("quantity"),
@@ -65,6 +69,11 @@ def parse_quantity(name: Column) -> Column:
     )
 
 
+def parse_quantity(name: Column) -> Column:
+    """``read_pack_size`` of the ``pack_size`` of a product name."""
+    return read_pack_size(pack_size(name))
+
+
 def price_per(price: Column, quantity: Column) -> Column:
     """``struct(price, unit)``: the price of 100 g, 100 ml or one piece.
 

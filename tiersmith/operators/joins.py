@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiersmith.errors import ColumnError
 from tiersmith.operators.columns import column, reject_duplicates
@@ -53,7 +54,8 @@ def join_table(
     cannot do that for a full outer join, nor for a hot key on the side an
     outer join may not split: ``salt=True`` spreads hot and NULL keys there,
     with the same rows as result, at the price of one pass over the keys of
-    each side. By default only full outer joins are salted.
+    each side when the join is built. By default only full outer joins are
+    salted.
     """
     kind = JOIN_TYPES.get(how.lower().replace("_", ""))
     if kind is None:
@@ -97,24 +99,35 @@ def _pruned(df: DataFrame, key: str, alias: str, dropped: set[str]) -> DataFrame
     )
 
 
+def _comparable(left: T.DataType, right: T.DataType) -> bool:
+    """Whether key values read from the two sides are equal exactly when Spark says so."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if isinstance(left, whole) and isinstance(right, whole):
+        return True
+    return left == right and (
+        left == T.StringType() or isinstance(left, (T.DateType, T.DecimalType))
+    )
+
+
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that may hold more than ``share`` of the rows; at most 100 of them.
 
     A frequent-items sketch finds them in one pass without a shuffle. The list
     only steers how rows are spread, never which rows are joined.
     """
-    found = df.select(
-        F.expr(f"approx_top_k(`{key}`, {_HOT_CANDIDATES}, {_SKETCH_ITEMS})").alias("top"),
-        F.count(F.col(key)).alias("rows"),
-    ).select(F.expr(f"transform(filter(top, x -> x.count > rows * {share}), x -> x.item)").alias("hot"))
-    return [value for value in (found.first()["hot"] or []) if value is not None]
+    top = F.expr(f"approx_top_k(`{key}`, {_HOT_CANDIDATES}, {_SKETCH_ITEMS})")
+    hot = F.transform(
+        F.filter("top", lambda entry: entry["count"] > F.col("n_rows") * share),
+        lambda entry: entry["item"],
+    )
+    counted = df.select(top.alias("top"), F.count(F.col(key)).alias("n_rows"))
+    return [value for value in counted.select(hot.alias("hot")).first()["hot"] or [] if value is not None]
 
 
 def _present(df: DataFrame, key: str, values: list) -> set:
-    if not values:
-        return set()
-    rows = df.where(F.col(key).isin(values)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return {row[key] for row in rows.collect()}
+    """Which of the (few) values occur."""
+    found = df.where(F.col(key).isin(values)).select(key).distinct()
+    return {row[key] for row in found.collect()}
 
 
 def _salted_join(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
@@ -127,25 +140,35 @@ def _salted_join(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
     """
     spark = left.sparkSession
     salts = max(2, min(64, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2))
-    hot_left = hot_keys(left, _LEFT)
-    hot_right = [] if kind in ("semi", "anti") else hot_keys(right, _RIGHT)
+    hot_left = hot_right = []
+    if _comparable(left.schema[_LEFT].dataType, right.schema[_RIGHT].dataType):
+        hot_left = hot_keys(left, _LEFT)
+        if kind not in ("semi", "anti"):
+            hot_right = hot_keys(right, _RIGHT)
     hot = list(dict.fromkeys([*hot_left, *hot_right]))
-    shared = _present(left, _LEFT, hot) & _present(right, _RIGHT, hot)
+    shared = _present(left, _LEFT, hot) & _present(right, _RIGHT, hot) if hot else set()
 
     def spread(df: DataFrame, key: str, own: list, other: list, own_salt: str, other_salt: str):
-        columns = [column(name) for name in df.columns]
+        hashable = [
+            column(field.name)
+            for field in df.schema
+            if not any(part in field.dataType.simpleString() for part in ("map<", "variant"))
+        ]
         # Copies of one row differ in the partition they come from, and a
         # repeated task sees the same partition: the salt is stable.
-        salt = F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+        salt = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(salts)).cast("int")
         spread_here = F.col(key).isNull()
         if own:
             spread_here = spread_here | F.col(key).isin(own)
         salted = df.withColumn(own_salt, F.when(spread_here, salt).otherwise(0))
         repeated = [value for value in other if value in shared]
+        # Always 0, but computed: as a literal it would be folded into a filter
+        # on the other side, and the salts would not take part in the shuffle.
+        zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
         if not repeated:
-            return salted.withColumn(other_salt, F.lit(0))
+            return salted.withColumn(other_salt, zero)
         copies = F.when(F.col(key).isin(repeated), F.sequence(F.lit(0), F.lit(salts - 1)))
-        return salted.withColumn(other_salt, F.explode(copies.otherwise(F.array(F.lit(0)))))
+        return salted.withColumn(other_salt, F.explode(copies.otherwise(F.array(zero))))
 
     spread_left = spread(left, _LEFT, hot_left, hot_right, "__l_own", "__l_other")
     spread_right = spread(right, _RIGHT, hot_right, hot_left, "__r_own", "__r_other")

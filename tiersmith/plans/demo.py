@@ -68,6 +68,7 @@ SILVER_CONFIG = {
 GOLD_CONFIG = {
     "person_airport_location": {
         "src_table": "person",
+        "transformation": "star_join",
         "join_tables": [
             {"table": "airport", "column_pairs": ["person_airport_code", "airport_code"]},
             {"table": "country", "column_pairs": ["airport_country_code", "country_country_code"]},

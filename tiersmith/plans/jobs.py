@@ -194,8 +194,22 @@ class SilverJob(LayerJob):
         ]
 
 
+gold_transforms = Transforms()
+
+
+@gold_transforms.register("star_join")
+def build_star(read: Callable[[str], DataFrame], entry: dict) -> DataFrame:
+    """A source table with others joined on, one after another."""
+    joins = [(read(step["table"]), tuple(step["column_pairs"])) for step in entry["join_tables"]]
+    return star_join(read(entry["src_table"]), joins)
+
+
 class GoldJob(LayerJob):
-    """Wide tables: a source table with others joined on, one after another."""
+    """Wide tables, each built from silver tables by the transform it names.
+
+    Such a transform gets a function that reads a silver table, and the
+    table's configuration.
+    """
 
     def __init__(
         self,
@@ -204,20 +218,20 @@ class GoldJob(LayerJob):
         src_database: str,
         dst_database: str,
         config: dict[str, dict],
+        transforms: Transforms = gold_transforms,
         **options,
     ) -> None:
         super().__init__(spark, location, **options)
         self.src_database = src_database
         self.dst_database = dst_database
         self.config = config
+        self.transforms = transforms
 
     def transform(self) -> list[Output]:
-        outputs = []
-        for table, entry in self.config.items():
-            joins = [
-                (read_table(self.spark, self.src_database, step["table"]), tuple(step["column_pairs"]))
-                for step in entry["join_tables"]
-            ]
-            base = read_table(self.spark, self.src_database, entry["src_table"])
-            outputs.append(Output(f"{self.dst_database}.{table}", star_join(base, joins)))
-        return outputs
+        def read(table: str) -> DataFrame:
+            return read_table(self.spark, self.src_database, table)
+
+        return [
+            Output(f"{self.dst_database}.{table}", self.transforms[entry["transformation"]](read, entry))
+            for table, entry in self.config.items()
+        ]

@@ -7,8 +7,15 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiersmith.functions.products import clean_name, clean_price, parse_quantity, price_per
+from tiersmith.functions.products import (
+    clean_name,
+    clean_price,
+    pack_size,
+    price_per,
+    read_pack_size,
+)
 from tiersmith.operators.joins import join_table
+from tiersmith.session import stage
 from tiersmith.sources.brands import brand_bridge
 from tiersmith.sources.landing import write_csv
 from tiersmith.sources.pages import absolute_url, product_cards
@@ -35,7 +42,9 @@ def unit_price(
         F.col(url).alias("url"),
         price.alias("product_price_now"),
     )
-    sized = read.withColumn("__size", parse_quantity(F.col("product_name")))
+    # A column of its own, so the name is searched once, not once per use.
+    found = read.withColumn("__found", pack_size(F.col("product_name")))
+    sized = found.withColumn("__size", read_pack_size(F.col("__found")))
     priced = sized.withColumn("__per", price_per(F.col("product_price_now"), F.col("__size")))
     return priced.select(
         *read.columns,
@@ -60,7 +69,9 @@ def capture_prices(
     and competitor brands are one list of addresses, so the pages are read
     once; a competitor of two own brands gives its products twice.
     """
-    bridge = brand_bridge(brand_maps, json_column, base_url)
+    # Stored, the bridge has a known size: Spark broadcasts it if it is small,
+    # and only otherwise shuffles the pages.
+    bridge = stage(brand_bridge(brand_maps, json_column, base_url), "brands")
     shop_pages = pages.select(
         F.col("url").alias("page_url"),
         F.regexp_extract("url", r"^[^?#]*", 0).alias("shop_url"),
