@@ -1,0 +1,115 @@
+import pytest
+from pyspark.sql import types as T
+
+from tiersmith import DataQualityError, TransformError
+from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
+from tiersmith.plans import demo, jobs
+from tiersmith.sources.landing import Output
+from tiersmith.sources.tables import drop_databases, read_table
+
+
+class Doubling(jobs.LayerJob):
+    def __init__(self, *args, fail=False, **options):
+        super().__init__(*args, **options)
+        self.fail = fail
+
+    def transform(self):
+        kept = self.cache(self.spark.range(5))
+        self.kept = kept
+        if self.fail:
+            raise RuntimeError("no luck")
+        return [Output(f"{self.name}.one", kept), Output(f"{self.name}.two", kept.union(kept))]
+
+
+def test_job_saves_all_and_releases(spark, database):
+    name, location = database
+    job = Doubling(spark, location)
+    job.name = name
+    job.run()
+    assert read_table(spark, name, "one").count() == 5
+    assert read_table(spark, name, "two").count() == 10
+    assert not job.kept.is_cached
+
+
+def test_job_releases_after_a_failure(spark, database):
+    name, location = database
+    job = Doubling(spark, location, fail=True)
+    with pytest.raises(RuntimeError, match="no luck"):
+        job.run()
+    assert not job.kept.is_cached
+
+
+def test_unknown_transform():
+    registry = jobs.Transforms()
+    registry.register("known")(lambda df: df)
+    with pytest.raises(TransformError, match="unknown transform 'other'; known: known"):
+        registry["other"]
+
+
+LANDING = {
+    "person_data.csv": (
+        "ID,First Name,Last Name,email,gender,Airport Code\n"
+        "1,Ann,,a@x,F,LHR\n2,Bob,B,b@x,,JFK\n3,Cid,C,c@x,M,???\n4,Dee,D,d@x,F,WDH\nx,Eve,E,e@x,F,LHR\n"
+    ),
+    "airport_data.csv": (
+        "id,airport_code,airport_latitude,airport_longitude,airport_name,airport_country_code\n"
+        "10,LHR,51.77,-0.46,Heathrow,GB\n11,JFK,,bad,Kennedy,US\n12,WDH,-22.5,17.4,Windhoek,NA\n"
+    ),
+    "country_data.csv": "id,name,code\n7,Namibia,NA\n8,United Kingdom,GB\n9,Namibia,NA\n5,France,FR\n",
+}
+
+
+@pytest.fixture
+def demo_run(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    for name, text in LANDING.items():
+        (tmp_path / "landing" / name).write_text(text)
+    run_hash = tmp_path.name.lower().replace("-", "_")
+
+    def run(**options):
+        return demo.run_demo(spark, f"{tmp_path}/landing", str(tmp_path), run_hash, **options)
+
+    run.hash = run_hash
+    yield run
+    drop_databases(spark, *[f"{layer}_{run_hash}" for layer in ("bronze", "silver", "gold")])
+
+
+def test_demo(spark, demo_run):
+    located = demo_run().drop("processing_ts").orderBy("person_id").collect()
+    assert [tuple(r) for r in located] == [
+        (1, "Ann", None, "a@x", "F", 10, 52, 0, "Heathrow", 3, "United Kingdom"),
+        (4, "Dee", "D", "d@x", "F", 12, -23, 17, "Windhoek", 2, "Namibia"),
+    ]
+    gold = read_table(spark, f"gold_{demo_run.hash}", "person_airport_location")
+    assert gold.count() == 5
+    assert gold.columns == [
+        "person_id", "person_first_name", "person_last_name", "person_email", "person_gender",
+        "airport_id", "airport_latitude", "airport_longitude", "airport_name",
+        "country_id", "country_country", "processing_ts",
+    ]
+    kennedy = read_table(spark, f"silver_{demo_run.hash}", "airport").where("airport_code = 'JFK'").first()
+    assert (kennedy.airport_latitude, kennedy.airport_longitude) == (0, None)
+
+
+def test_demo_can_run_again(demo_run):
+    assert demo_run().count() == demo_run(validate="off").count() == 2
+
+
+def test_strict_demo_saves_no_silver_table(spark, demo_run):
+    with pytest.raises(DataQualityError) as error:
+        demo_run(validate="strict")
+    failed = {(r["table_name"], r["column_name"], r["check_name"]) for r in error.value.report}
+    assert ("person", "person_id", "not_null") in failed
+    assert ("airport", "airport_latitude", "ge(bound=0)") in failed
+    assert not spark.catalog.databaseExists(f"silver_{demo_run.hash}")
+
+
+def test_silver_job_names_what_it_does_not_know(spark, demo_run, tmp_path):
+    demo_run(validate="off")
+    spec = TableSpec("t", (ColumnSpec("id", T.IntegerType(), checks=(Check("ge", {"bound": 0}),)),))
+    job = jobs.SilverJob(
+        spark, str(tmp_path), f"bronze_{demo_run.hash}", f"silver_{demo_run.hash}",
+        {"t": {"src_name": "country", "transformation": "nope"}}, {"t": spec}, demo.transforms,
+    )
+    with pytest.raises(TransformError, match="known: airport, country, person"):
+        job.run()

@@ -96,7 +96,8 @@ def read_zip_lines(spark: SparkSession, folder: str, member_suffix: str = ".csv"
                         for info in packed.infolist()
                         if not info.is_dir() and info.filename.endswith(member_suffix)
                     ]
-                yield pd.DataFrame({"archive": [uri] * len(names), "member": names})
+                if names:
+                    yield pd.DataFrame({"archive": [uri] * len(names), "member": names})
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -67,6 +67,8 @@ def ingest_new_files(
         .start()
     )
     query.awaitTermination()
+    # The batches ran in a session of their own; this one may have listed files.
+    spark.catalog.refreshTable(name)
 
 
 def without_load_columns(df: DataFrame) -> DataFrame:
