@@ -6,10 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
-# An optional sign, digits, a point and digits, padded by control characters.
-_POINT_NUMBER = r"^[\x00-\x20\x7F]*([+-]?)([0-9]*)\.[0-9]*[\x00-\x20\x7F]*$"
+# Digits with an optional sign and a fraction, padded by control characters.
+_PADDING = r"[\x00-\x20\x7F]*"
+_WHOLE_PART = rf"^{_PADDING}([+-]?[0-9]+)(?:\.[0-9]*)?{_PADDING}$"
+_FRACTION_ONLY = rf"^{_PADDING}[+-]?\.[0-9]*{_PADDING}$"
 
 
 def lenient_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
@@ -20,8 +22,13 @@ def lenient_cast(value: Column, source: T.DataType, target: T.DataType) -> Colum
     """
     if source == target:
         return value
-    if isinstance(source, T.StringType) and isinstance(target, _INTEGRAL):
-        # Only strings the plain cast rejects reach the regular expression.
-        whole_part = F.regexp_replace(value, _POINT_NUMBER, "$10$2")
-        return F.coalesce(value.try_cast(target), whole_part.try_cast(target))
+    if isinstance(source, T.StringType) and type(target) in _BITS:
+        # The cast itself pays an exception for each string it rejects: it only
+        # gets to see digits, and numbers too large are sorted out as decimals.
+        digits = F.nullif(F.regexp_extract(value, _WHOLE_PART, 1), F.lit(""))
+        number = digits.try_cast(T.DecimalType(38, 0))
+        limit = 1 << (_BITS[type(target)] - 1)
+        fits = F.when(number.between(-limit, limit - 1), number.cast(target))
+        fraction = F.when(F.regexp_like(value, F.lit(_FRACTION_ONLY)), F.lit(0).cast(target))
+        return F.coalesce(fits, F.when(digits.isNull(), fraction))
     return value.try_cast(target)

@@ -42,36 +42,43 @@ def pack_size(name: Column) -> Column:
     return F.regexp_extract(name, _PACK_SIZE, 0)
 
 
-def read_pack_size(found: Column) -> Column:
-    """``struct(multiplier, quantity, unit)`` of a ``pack_size``.
+def size_number(found: Column) -> Column:
+    """The number of a ``pack_size``, empty without one."""
+    return F.regexp_extract(found, f"^{_NUMBER}", 0)
 
-    Without one it is a single piece. Litres and centilitres become
+
+def size_unit(found: Column) -> Column:
+    """The unit of a ``pack_size`` in lower case, empty without one."""
+    return F.lower(F.regexp_replace(found, f"^{_NUMBER}{_WHITESPACE}?", ""))
+
+
+def base_quantity(number: Column, unit: Column) -> Column:
+    """``struct(multiplier, quantity, unit)`` of a size number and its unit.
+
+    Without a number it is a single piece. Litres and centilitres become
     millilitres, pack words become pieces, other units stay as they are. The
     multiplier is always 1: ``3x40ml`` reads as 40 ml.
     """
-    number = F.regexp_extract(found, f"^{_NUMBER}", 0)
-    unit = F.lower(F.regexp_replace(found, f"^{_NUMBER}{_WHITESPACE}?", ""))
     amount = number.try_cast(SIZE_TYPE)
-    quantity = amount
-    base_unit = F.when(unit.isin(*PIECE_UNITS), "ea")
+    quantity = F.when(number == "", F.lit(1).cast(SIZE_TYPE))
+    base_unit = F.when((number == "") | unit.isin(*PIECE_UNITS), "ea")
     for long_unit, (factor, base) in CONVERTED_UNITS.items():
-        scaled = (amount * factor).try_cast(SIZE_TYPE)
-        quantity = F.when(unit == long_unit, scaled).otherwise(quantity)
+        quantity = quantity.when(unit == long_unit, (amount * factor).try_cast(SIZE_TYPE))
         base_unit = base_unit.when(unit == long_unit, base)
-    missing = found == ""
     return F.when(
-        found.isNotNull(),
+        number.isNotNull(),
         F.struct(
             F.lit(1).alias("multiplier"),
-            F.when(missing, F.lit(1).cast(SIZE_TYPE)).otherwise(quantity).alias("quantity"),
-            F.when(missing, "ea").otherwise(base_unit.otherwise(unit)).alias("unit"),
+            quantity.otherwise(amount).alias("quantity"),
+            base_unit.otherwise(unit).alias("unit"),
         ),
     )
 
 
 def parse_quantity(name: Column) -> Column:
-    """``read_pack_size`` of the ``pack_size`` of a product name."""
-    return read_pack_size(pack_size(name))
+    """The ``base_quantity`` of the first pack size in a product name."""
+    found = pack_size(name)
+    return base_quantity(size_number(found), size_unit(found))
 
 
 def price_per(price: Column, quantity: Column) -> Column:
@@ -87,7 +94,7 @@ def price_per(price: Column, quantity: Column) -> Column:
         label = F.when(unit == base, text).otherwise(label)
     total = quantity["quantity"] * quantity["multiplier"]
     return F.struct(
-        F.try_divide(price * factor.cast("decimal(3,0)"), total).alias("price"),
+        F.when(total != 0, price * factor.cast("decimal(3,0)") / total).alias("price"),
         label.alias("unit"),
     )
 

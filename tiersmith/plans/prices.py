@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiersmith.functions.products import (
+    base_quantity,
     clean_name,
     clean_price,
     pack_size,
     price_per,
-    read_pack_size,
+    size_number,
+    size_unit,
 )
 from tiersmith.operators.joins import join_table
 from tiersmith.session import stage
@@ -27,11 +29,13 @@ def unit_price(
     brand: str = "brand",
     url: str = "url",
     price: Column | None = None,
+    keep: tuple[str, ...] = (),
     run_ts: datetime | None = None,
 ) -> DataFrame:
     """Product rows with cleaned names, parsed pack sizes and unit prices.
 
-    ``price`` is a decimal amount, by default read from ``price_text``.
+    ``price`` is a decimal amount, by default read from ``price_text``. The
+    columns ``keep`` are passed on behind the others.
     """
     price = clean_price(F.col("price_text")) if price is None else price
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
@@ -41,18 +45,25 @@ def unit_price(
         F.col(brand).alias("brand_name"),
         F.col(url).alias("url"),
         price.alias("product_price_now"),
+        *keep,
     )
-    # A column of its own, so the name is searched once, not once per use.
+    # Columns of their own, so a name is searched once and not once per use.
     found = read.withColumn("__found", pack_size(F.col("product_name")))
-    sized = found.withColumn("__size", read_pack_size(F.col("__found")))
+    split = found.select(
+        "*",
+        size_number(F.col("__found")).alias("__number"),
+        size_unit(F.col("__found")).alias("__unit"),
+    )
+    sized = split.withColumn("__size", base_quantity(F.col("__number"), F.col("__unit")))
     priced = sized.withColumn("__per", price_per(F.col("product_price_now"), F.col("__size")))
     return priced.select(
-        *read.columns,
+        *[c for c in read.columns if c not in keep],
         F.col("__size.multiplier").alias("product_quantity"),
         F.col("__size.quantity").alias("product_size"),
         F.col("__size.unit").alias("product_size_unit"),
         F.col("__per.price").alias("product_price_per"),
         F.col("__per.unit").alias("product_price_per_unit"),
+        *keep,
     )
 
 
@@ -69,25 +80,28 @@ def capture_prices(
     and competitor brands are one list of addresses, so the pages are read
     once; a competitor of two own brands gives its products twice.
     """
-    # Stored, the bridge has a known size: Spark broadcasts it if it is small,
-    # and only otherwise shuffles the pages.
-    bridge = stage(brand_bridge(brand_maps, json_column, base_url), "brands")
+    bridge = brand_bridge(brand_maps, json_column, base_url)
+    # Stored, the addresses have a known size: Spark broadcasts them if they are
+    # small, and only otherwise shuffles the pages. Each page is parsed once,
+    # however many brands list its address.
+    addresses = stage(bridge.groupBy("brand", "url").agg(F.count("*").alias("listed")), "brands")
     shop_pages = pages.select(
         F.col("url").alias("page_url"),
         F.regexp_extract("url", r"^[^?#]*", 0).alias("shop_url"),
         "html",
     )
-    branded = join_table(
-        shop_pages, bridge.select("brand", "url"), ("shop_url", "url"), "inner"
-    )
-    cards = product_cards(branded, "page_url", "brand")
+    branded = join_table(shop_pages, addresses, ("shop_url", "url"), "inner")
+    cards = product_cards(branded, "page_url", "brand", "listed")
     products = cards.select(
         "name",
         "brand",
         absolute_url(F.col("page_url"), F.col("link")).alias("url"),
         F.concat("pounds", "rest").alias("price_text"),
+        "listed",
     )
-    return unit_price(products, run_ts=run_ts)
+    priced = unit_price(products, keep=("listed",), run_ts=run_ts)
+    copies = F.explode(F.sequence(F.lit(1), F.col("listed")))
+    return priced.withColumn("listed", copies).drop("listed")
 
 
 def export_products(products: DataFrame, path: str) -> None:

@@ -9,15 +9,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings the jobs rely on or are faster with.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    # Long projections of text functions make generated methods too large for
+    # the JVM to compile; beyond this size Spark uses smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.ui.enabled": "false",
+}
+
+
 def get_session(app_name: str = "tiersmith") -> SparkSession:
-    """The running session, or a new one with the settings the jobs rely on."""
-    return (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .getOrCreate()
-    )
+    """The running session, or a new one with these settings."""
+    return SparkSession.builder.appName(app_name).config(map=SETTINGS).getOrCreate()
 
 
 @functools.cache

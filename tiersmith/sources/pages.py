@@ -45,24 +45,24 @@ _FLAGS = "(?is)"
 
 def inner_html(html: Column, selector: Selector) -> Column:
     """The inner text of the first such element, NULL without one."""
-    found = F.regexp_extract_all(html, F.lit(_FLAGS + selector.inner), F.lit(1))
-    return F.get(found, 0)
+    return F.get(F.regexp_extract_all(html, F.lit(_FLAGS + selector.inner), F.lit(1)), 0)
+
+
+def _attribute_of(tag: Column, name: str) -> Column:
+    value = rf"{_FLAGS}\s{re.escape(name)}\s*=\s*([\"'])(.*?)\1"
+    return F.get(F.regexp_extract_all(tag, F.lit(value), F.lit(2)), 0)
 
 
 def attribute(html: Column, selector: Selector, name: str) -> Column:
     """An attribute of the first such element, NULL without one."""
-    tag = F.regexp_extract(html, _FLAGS + selector.opening, 0)
-    value = rf"{_FLAGS}\s{re.escape(name)}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
-    found = F.concat(F.regexp_extract(tag, value, 1), F.regexp_extract(tag, value, 2))
-    return F.when(F.regexp_like(tag, F.lit(value)), found)
+    return _attribute_of(F.regexp_extract(html, _FLAGS + selector.opening, 0), name)
 
 
 def attributes(html: Column, selector: Selector, name: str) -> Column:
     """An attribute of every such element, as an array in page order."""
     tags = F.regexp_extract_all(html, F.lit(_FLAGS + selector.opening), F.lit(0))
     return F.filter(
-        F.transform(tags, lambda tag: attribute(tag, selector, name)),
-        lambda value: value.isNotNull(),
+        F.transform(tags, lambda tag: _attribute_of(tag, name)), lambda value: value.isNotNull()
     )
 
 
