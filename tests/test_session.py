@@ -1,0 +1,34 @@
+import pytest
+
+from tiersmith import session
+
+
+def test_staged_rows_have_no_lineage(spark, capsys):
+    staged = session.stage(spark.range(10).selectExpr("id", "id * 2 AS twice"), "numbers")
+    staged.explain()
+    plan = capsys.readouterr().out
+    assert "Range" not in plan and session.shared_dir(spark) in plan
+    assert staged.count() == 10 and staged.columns == ["id", "twice"]
+
+
+def test_shared_dir_is_the_configured_one(spark):
+    assert session.shared_dir(spark)
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        spark.conf.set("spark.checkpoint.dir", "/shared/place/")
+        assert session.shared_dir(spark) == "/shared/place"
+        assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+    except Exception as error:
+        if "CANNOT_MODIFY_CONFIG" not in str(error):
+            raise
+        pytest.skip("the setting is fixed for this session")
+    finally:
+        if spark.conf.get("spark.checkpoint.dir", None) != before:
+            spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_paths_and_uris():
+    for uri in ("/a/b c.txt", "file:/a/b c.txt", "file:///a/b c.txt"):
+        filesystem, path = session.open_uri(uri)
+        assert (filesystem.type_name, path) == ("local", "/a/b c.txt")
+    assert session.open_uri("/a/x:/y")[1] == "/a/x:/y"

@@ -2,6 +2,7 @@ from datetime import datetime, timezone
 
 import pytest
 
+from tiersmith.plans.jobs import IncrementalBronzeJob
 from tiersmith.sources.tables import read_table
 from tiersmith.streaming import incremental
 
@@ -55,3 +56,38 @@ def test_a_repeated_batch_replaces_itself(spark, run, database, tmp_path):
     for marker in (tmp_path / "checkpoint" / "commits").glob("*1*"):
         marker.unlink()
     assert run() == [("1",), ("2",)]
+
+
+def test_a_file_with_other_columns_is_an_error(run, tmp_path):
+    landing = tmp_path / "landing"
+    (landing / "a.csv").write_text("id,name\n1,x\n")
+    run()
+    (landing / "b.csv").write_text("name,id\ny,2\n")
+    with pytest.raises(Exception, match="header"):
+        run()
+
+
+def test_nothing_left_in_landing(run, tmp_path):
+    (tmp_path / "landing" / "a.csv").write_text("Id,First Name\n1,x\n")
+    run()
+    (tmp_path / "landing" / "a.csv").unlink()
+    assert run() == [("1", "x")]
+
+
+def test_job_loads_the_files_of_each_table(spark, database, tmp_path):
+    name, location = database
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    job = IncrementalBronzeJob(
+        spark, str(landing), location, name,
+        {"one": {"file_name": "one_data"}, "two": {"file_name": "two_data"}},
+        missing="skip", checkpoint=f"{location}/checkpoint", archive=f"{location}/archive",
+    )
+    (landing / "one_data.csv").write_text("Id\n1\n")
+    job.run()
+    (landing / "one_data_2.csv").write_text("Id\n2\n")
+    (landing / "two_data.csv").write_text("Key\n5\n")
+    job.run()
+    job.run()
+    assert sorted(r.id for r in read_table(spark, name, "one").collect()) == ["1", "2"]
+    assert [r.key for r in read_table(spark, name, "two").collect()] == ["5"]

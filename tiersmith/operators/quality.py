@@ -123,9 +123,14 @@ def duplicate_keys(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy(column(name).alias(name)).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
+def violations(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows that fail; a condition that is NULL does not fail."""
+    return df.where(~condition)
+
+
 def has_violations(df: DataFrame, condition: Column) -> bool:
-    """Whether any row fails; a condition that is NULL does not fail."""
-    return not df.where(~condition).isEmpty()
+    """Whether any row fails; the search ends with the first."""
+    return not violations(df, condition).isEmpty()
 
 
 def validate_table(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -7,6 +7,7 @@ from abc import ABC, abstractmethod
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tiersmith.errors import TransformError
@@ -123,9 +124,10 @@ class BronzeJob(LayerJob):
 
 
 class IncrementalBronzeJob(BronzeJob):
-    """The same tables, from files that no earlier run has loaded.
+    """The same tables, from the files that no earlier run has loaded.
 
-    Loaded files go to ``archive``, from where they can be packed away.
+    A table's files are those whose names start with its ``file_name``. Loaded
+    files go to ``archive``, from where they can be packed away.
     """
 
     def __init__(self, *args, checkpoint: str, archive: str | None = None, **options) -> None:
@@ -135,17 +137,22 @@ class IncrementalBronzeJob(BronzeJob):
 
     def run(self) -> None:
         for table, entry in self.config.items():
-            ingest_new_files(
-                self.spark,
-                f"{self.landing.rstrip('/')}/{entry['file_name']}.csv",
-                self.location,
-                self.database,
-                table,
-                f"{self.checkpoint}/{table}",
-                self.archive,
-                sep=self.sep,
-                run_ts=self.run_ts,
-            )
+            try:
+                ingest_new_files(
+                    self.spark,
+                    f"{self.landing.rstrip('/')}/{entry['file_name']}*.csv",
+                    self.location,
+                    self.database,
+                    table,
+                    f"{self.checkpoint}/{table}",
+                    self.archive,
+                    sep=self.sep,
+                    run_ts=self.run_ts,
+                )
+            except AnalysisException as error:
+                if self.missing == "error" or error.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                log.warning("no file yet for table %s", table)
 
 
 class SilverJob(LayerJob):

@@ -184,12 +184,18 @@ ORACLE["dq_recent_years"] = _date_lines(
     "within_years",
     "l_shipdate >= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 5 YEAR",
 )
-ORACLE["dq_week_continuity"] = """
-    SELECT l_suppkey, year, week, next_value FROM (
-        SELECT *, lead(week) OVER (PARTITION BY l_suppkey ORDER BY year, week) AS next_value
-        FROM (SELECT DISTINCT l_suppkey, CAST(isoyear(l_shipdate) AS BIGINT) AS year,
-                     CAST(week(l_shipdate) AS BIGINT) AS week
-              FROM lineitem))
+ORACLE["violations"] = f"SELECT * FROM ({_BUYERS}) WHERE NOT o_buyer >= 100"
+ORACLE["duplicate_keys"] = f"""
+    SELECT o_buyer, count(*) AS n_rows FROM ({_BUYERS}) GROUP BY o_buyer HAVING count(*) > 1
+"""
+ORACLE["adjacent_rows"] = """
+    SELECT *, lead(week) OVER (PARTITION BY l_suppkey ORDER BY year, week) AS next_value
+    FROM (SELECT DISTINCT l_suppkey, CAST(isoyear(l_shipdate) AS BIGINT) AS year,
+                 CAST(week(l_shipdate) AS BIGINT) AS week
+          FROM lineitem)
+"""
+ORACLE["dq_week_continuity"] = f"""
+    SELECT l_suppkey, year, week, next_value FROM ({ORACLE["adjacent_rows"]})
     WHERE NOT (next_value - week = 1 OR (next_value = 1 AND week IN (49, 50, 51, 52, 53, 54)))
 """
 
@@ -209,7 +215,7 @@ ORACLE["save_append_overwrite"] = """
     SELECT *, '2024-01-01 00:00:00' AS processing_ts FROM customer
     UNION ALL SELECT *, '2024-02-01 00:00:00' AS processing_ts FROM customer
 """
-ORACLE["compact_partitions"] = "SELECT * FROM orders UNION ALL SELECT * FROM orders"
+ORACLE["compact_table"] = "SELECT * FROM orders UNION ALL SELECT * FROM orders"
 ORACLE["incremental_ingest"] = """
     SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
            o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS o_totalprice,
@@ -218,7 +224,7 @@ ORACLE["incremental_ingest"] = """
 """
 
 _QUOTED = "replace(url_encode(brand), '%2F', '/')"
-ORACLE["brand_addresses"] = f"""
+ORACLE["brand_bridge"] = f"""
     SELECT own_brand, role, brand, 'https://shop.example/b/' || {_QUOTED} AS url FROM (
         SELECT p_brand || '+' AS own_brand, 'own' AS role, p_brand || '+' AS brand FROM part
         UNION ALL SELECT p_brand || '+', 'competitor', p_type || ' & ' || p_name FROM part
@@ -289,7 +295,7 @@ def _comparable(products: str) -> str:
 ORACLE["clean_name_price"] = f"""
     SELECT p_partkey, product_name, CAST(price AS DOUBLE) AS product_price_now FROM ({_PRODUCTS})
 """
-ORACLE["unit_prices"] = _comparable(_PRODUCTS)
+ORACLE["unit_price"] = _comparable(_PRODUCTS)
 ORACLE["product_csv_export"] = f"""
     SELECT product_name, brand_name, url, CAST(price AS VARCHAR) AS product_price_now,
            CAST(product_quantity AS VARCHAR) AS product_quantity,
@@ -297,6 +303,14 @@ ORACLE["product_csv_export"] = f"""
            CAST(per AS VARCHAR) AS product_price_per, per_unit AS product_price_per_unit
     FROM ({_unit_prices(_PRODUCTS)})
 """
+_AMOUNT = f"split_part({_PRICE}, '.', 1)"
+ORACLE["shop_cards"] = f"""
+    SELECT p_partkey AS page_id, p_name || ' ' || p_size || pack AS name,
+           '/p/' || p_partkey || '-' || p_size || pack AS link, '?page=' || (p_partkey + 1) AS next_link,
+           '£' || {_AMOUNT} || CASE pack WHEN 'pk' THEN '0' ELSE '' END AS pounds,
+           '.' || split_part({_PRICE}, '.', 2) AS rest
+    FROM (SELECT *, unnest(['ml', 'pk']) AS pack FROM part)
+"""
 _NUMBERED = """
     SELECT p_brand, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS n
     FROM (SELECT DISTINCT p_brand FROM part)

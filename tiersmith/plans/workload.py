@@ -24,7 +24,7 @@ from tiersmith.session import scratch_path
 from tiersmith.sources.archives import read_zip_csv, zip_files
 from tiersmith.sources.brands import brand_bridge, brand_url
 from tiersmith.sources.landing import read_csv, write_csv
-from tiersmith.sources.pages import link_items
+from tiersmith.sources.pages import link_items, product_cards
 from tiersmith.sources.tables import AUDIT_COLUMN, compact_table, read_table, save_table
 from tiersmith.streaming.incremental import without_load_columns
 
@@ -35,7 +35,8 @@ SHOP = "https://shop.example"
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    """Register a query under its name, which may end in ``_`` beside an import."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -292,6 +293,17 @@ def dq_report(spark, sf_dir):
     return quality.validate_table(orders_with_buyer(spark, sf_dir), ORDERS_SPEC)
 
 
+@query
+def violations(spark, sf_dir):
+    """Orders without a buyer do not fail the condition on it."""
+    return quality.violations(orders_with_buyer(spark, sf_dir), F.col("o_buyer") >= 100)
+
+
+@query
+def duplicate_keys(spark, sf_dir):
+    return quality.duplicate_keys(orders_with_buyer(spark, sf_dir), "o_buyer")
+
+
 @query
 def dq_not_future(spark, sf_dir):
     as_of = datetime(1999, 12, 31, tzinfo=timezone.utc)
@@ -319,14 +331,24 @@ def dq_recent_years(spark, sf_dir):
     )
 
 
-@query
-def dq_week_continuity(spark, sf_dir):
-    weeks = table(spark, sf_dir, "lineitem").select(
+def supplier_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
         F.extract(F.lit("YEAROFWEEK"), F.col("l_shipdate")).cast("bigint").alias("year"),
         F.weekofyear("l_shipdate").cast("bigint").alias("week"),
     )
-    return quality.continuity_breaks(weeks, "week", order_by=["year"], series=["l_suppkey"])
+
+
+@query
+def adjacent_rows(spark, sf_dir):
+    return keys.with_next(supplier_weeks(spark, sf_dir), "week", ["year"], ["l_suppkey"])
+
+
+@query
+def dq_week_continuity(spark, sf_dir):
+    return quality.continuity_breaks(
+        supplier_weeks(spark, sf_dir), "week", order_by=["year"], series=["l_suppkey"]
+    )
 
 
 # --- landing files and tables --------------------------------------------
@@ -388,7 +410,7 @@ def save_append_overwrite(spark, sf_dir):
 
 
 @query
-def compact_partitions(spark, sf_dir):
+def compact_table_(spark, sf_dir):
     location, database = fresh_database(spark, "compacted")
     for overwrite in (True, False):
         save_table(
@@ -435,7 +457,7 @@ def incremental_ingest(spark, sf_dir):
 
 
 @query
-def brand_addresses(spark, sf_dir):
+def brand_bridge_(spark, sf_dir):
     maps = table(spark, sf_dir, "part").select(
         F.to_json(
             F.create_map(
@@ -508,7 +530,7 @@ def clean_name_price(spark, sf_dir):
 
 
 @query
-def unit_prices(spark, sf_dir):
+def unit_price_(spark, sf_dir):
     return comparable(unit_price(priced_parts(spark, sf_dir), run_ts=RUN_TS))
 
 
@@ -569,6 +591,11 @@ def brand_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brands.select(F.to_json(F.create_map("p_brand", competitors)).alias("brands"))
 
 
+@query
+def shop_cards(spark, sf_dir):
+    return product_cards(shop_pages(spark, sf_dir), "page_id")
+
+
 @query
 def price_capture(spark, sf_dir):
     found = capture_prices(

@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from urllib.parse import quote
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,10 +46,28 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
+def open_uri(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a local path or a path as Spark prints it, and the path within."""
+    if uri.startswith(("/", "file:")):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    scheme, _, place = uri.partition(":/")
+    return fs.FileSystem.from_uri(f"{scheme}:/{quote(place, safe='/@:')}")
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tiersmith/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other call has been given."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/tiersmith/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged; its DataFrames over it end with it."""
+    filesystem, path = open_uri(_application_folder(spark))
+    if filesystem.get_file_info(path).type == fs.FileType.Directory:
+        filesystem.delete_dir(path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

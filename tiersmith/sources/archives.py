@@ -13,11 +13,10 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiersmith.session import stage
+from tiersmith.session import open_uri, stage
 from tiersmith.sources.landing import list_files
 
 _CHUNK_BYTES = 4 << 20
@@ -25,14 +24,6 @@ _LINES_PER_BATCH = 8_192
 _CHARS_PER_BATCH = 16 << 20
 
 
-def _open_uri(uri: str) -> tuple[fs.FileSystem, str]:
-    if uri.startswith("/"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri.removeprefix("file:")
-    return fs.FileSystem.from_uri(uri)
-
-
 def _spread(files: DataFrame, *keys: str) -> DataFrame:
     """One task per few rows: each row stands for a file to work through."""
     # An explicit number: by their size alone Spark would put the rows together.
@@ -61,8 +52,8 @@ def zip_files(
             done = []
             for row in batch.itertuples(index=False):
                 archive = f"{target}/{row.name}.zip"
-                source, source_path = _open_uri(row.path)
-                sink, sink_path = _open_uri(archive)
+                source, source_path = open_uri(row.path)
+                sink, sink_path = open_uri(archive)
                 sink.create_dir(sink_path.rsplit("/", 1)[0], recursive=True)
                 partial = f"{sink_path}.{uuid.uuid4().hex}.tmp"
                 with (
@@ -89,7 +80,7 @@ def read_zip_lines(spark: SparkSession, folder: str, member_suffix: str = ".csv"
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for uri in batch["path"]:
-                filesystem, path = _open_uri(uri)
+                filesystem, path = open_uri(uri)
                 with filesystem.open_input_file(path) as file, zipfile.ZipFile(file) as packed:
                     names = [
                         info.filename
@@ -102,7 +93,7 @@ def read_zip_lines(spark: SparkSession, folder: str, member_suffix: str = ".csv"
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                filesystem, path = _open_uri(row.archive)
+                filesystem, path = open_uri(row.archive)
                 with (
                     filesystem.open_input_file(path) as file,
                     zipfile.ZipFile(file) as packed,

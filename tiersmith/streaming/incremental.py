@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +16,22 @@ from tiersmith.sources.tables import AUDIT_COLUMN, audit_stamp, create_database
 LOAD_COLUMN = "load_id"
 
 
-def header_schema(spark: SparkSession, landing: str, sep: str = ",") -> T.StructType:
-    """The all-string schema that the header of the landing files declares."""
-    return read_csv(spark, landing, sep).schema
+def landing_schema(spark: SparkSession, landing: str, table: str, sep: str = ",") -> T.StructType:
+    """All strings, named by the header of the landing files.
+
+    Without any file, as when all are archived, the loaded table has the names.
+    """
+    try:
+        schema = read_csv(spark, landing, sep).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        schema, missing = None, error
+    if schema:
+        return schema
+    if not spark.catalog.tableExists(table):
+        raise missing
+    return without_load_columns(spark.table(table)).schema
 
 
 def ingest_new_files(
@@ -34,17 +48,19 @@ def ingest_new_files(
 ) -> None:
     """Append the landing files no earlier call has loaded to ``database.table``.
 
-    The checkpoint remembers what was loaded. A batch that is repeated after a
+    ``landing`` is a folder or a glob; its files must have the same header. The checkpoint remembers what was loaded. A batch that is repeated after a
     failure replaces its own partition (``load_id``) and so adds no row twice.
     With ``archive``, a folder beside the landing folder, loaded files are
     moved there once a later batch has run.
     """
-    schema = schema or header_schema(spark, landing, sep)
+    name = f"`{database}`.`{table}`"
+    schema = schema or landing_schema(spark, landing, name, sep)
     reader = spark.readStream.schema(schema).option("header", True).option("sep", sep)
+    # A file with other columns is an error, not rows with shifted values.
+    reader = reader.option("enforceSchema", False)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     create_database(spark, database, location)
-    name = f"`{database}`.`{table}`"
 
     def save_batch(batch: DataFrame, batch_id: int) -> None:
         loaded = batch.select(
