@@ -1,4 +1,8 @@
+import re
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,3 +127,20 @@ def test_names_with_dots_and_backticks(spark):
     df = spark.createDataFrame([("1", "x_y")], "`a.b` string, `c``d` string")
     assert columns.regex_replace_column(df, "c`d", ("_", "-")).first()[1] == "x-y"
     assert columns.where_all_present(df, "a.b", "c`d").count() == 1
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789+-. e\t", max_size=12), min_size=60, max_size=60))
+def test_integer_casts_follow_the_rule(spark, texts):
+    """Optional sign, digits and perhaps a fraction, which is dropped."""
+
+    def rule(text):
+        match = re.fullmatch(r"\s*([+-]?)([0-9]*)(\.[0-9]*)?\s*", text)
+        if not match or not (match[2] or match[3]):
+            return None
+        value = int(match[1] + (match[2] or "0"))
+        return value if -(2**31) <= value < 2**31 else None
+
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    cast = columns.cast_table(df, T.StructType([T.StructField("v", T.IntegerType())]))
+    assert [r.v for r in cast.collect()] == [rule(t) for t in texts]

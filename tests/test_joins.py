@@ -110,6 +110,19 @@ def test_every_join_type_against_nested_loops(spark, kind, salt, types):
     assert got == brute_force(left_rows, right_rows, kind)
 
 
+@pytest.mark.parametrize(
+    "key", ["CAST(k AS decimal(10,2))", "date_add(DATE'2024-01-01', k)", "CAST(k AS double)", "array(k)"]
+)
+def test_salting_with_keys_of_other_types(spark, key):
+    left = spark.createDataFrame(LEFT, "k int, x int").selectExpr(f"{key} AS a", "k", "x")
+    right = spark.createDataFrame(RIGHT, "k int, y int").selectExpr(f"{key} AS b", "k AS j", "y")
+    if key == "array(k)":
+        left, right = (df.where(f"{c} IS NOT NULL") for df, c in ((left, "k"), (right, "j")))
+    joined = joins.join_table(left, right, ("a", "b"), "full").select("k", "x", "j", "y")
+    rows = [[r for r in side if key != "array(k)" or r[0] is not None] for side in (LEFT, RIGHT)]
+    assert Counter(tuple(r) for r in joined.collect()) == brute_force(*rows, "full")
+
+
 def test_hot_keys_are_found(spark):
     df = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id + 100) AS k")
     assert joins.hot_keys(df, "k") == [7]

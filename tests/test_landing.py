@@ -1,10 +1,12 @@
 import zipfile
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.errors import AnalysisException
 
 from tiersmith.plans.jobs import BronzeJob
 from tiersmith.sources import archives, landing
+from tiersmith.sources.tables import read_table
 
 
 @pytest.fixture
@@ -72,6 +74,26 @@ def test_zip_members_in_folders_and_many_batches(spark, tmp_path):
     assert first.line == "id,text"
 
 
+def test_header_of_zipped_csv(spark, folder):
+    archives.zip_files(spark, str(folder), str(folder / "archive"), "r", "a.csv")
+    rows = archives.read_zip_csv(spark, str(folder / "archive" / "r"), sep=";")
+    assert rows.columns == ["Id", "Full Name"] and rows.count() == 3
+
+
+def test_bronze_job_archives_only_what_it_loaded(spark, folder, database):
+    name, location = database
+    config = {"t": {"file_name": "a"}}
+    job = BronzeJob(
+        spark, str(folder), location, name, config, sep=";", archive=str(folder / "archive"),
+        run_ts=datetime(2024, 1, 1, tzinfo=timezone.utc),
+    )
+    job.run()
+    assert read_table(spark, name, "t").count() == 3
+    assert not (folder / "a.csv").exists() and (folder / "b.csv").exists()
+    with zipfile.ZipFile(folder / "archive" / "20240101T000000" / "a.csv.zip") as file:
+        assert file.namelist() == ["a.csv"]
+
+
 def test_exclusion_from_packing(spark, folder):
     packed = archives.zip_files(spark, str(folder), str(folder / "archive"), "r", exclude=("a.csv",))
     assert [r.path.rsplit("/", 1)[1] for r in packed.collect()] == ["b.csv"]

@@ -29,8 +29,9 @@ JOIN_TYPES = {
 }
 
 _LEFT, _RIGHT = "__left_key", "__right_key"
-# A key is hot when it alone would outweigh this share of a side's rows.
-HOT_SHARE = 0.02
+# A key is hot when it alone holds more than this share of a side's rows, so a
+# side has at most 100 of them.
+HOT_SHARE = 0.01
 _HOT_CANDIDATES = 100
 _SKETCH_ITEMS = 10_000
 
@@ -145,8 +146,12 @@ def _salted_join(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
         hot_left = hot_keys(left, _LEFT)
         if kind not in ("semi", "anti"):
             hot_right = hot_keys(right, _RIGHT)
-    hot = list(dict.fromkeys([*hot_left, *hot_right]))
-    shared = _present(left, _LEFT, hot) & _present(right, _RIGHT, hot) if hot else set()
+    outer = kind in ("left", "right", "full")
+    shared = set(hot_left) & set(hot_right)
+    for values, table, key in ((hot_left, right, _RIGHT), (hot_right, left, _LEFT)):
+        unsure = [value for value in values if value not in shared]
+        # A key that the other side lacks makes no difference to inner joins.
+        shared |= _present(table, key, unsure) if outer and unsure else set(unsure)
 
     def spread(df: DataFrame, key: str, own: list, other: list, own_salt: str, other_salt: str):
         hashable = [
@@ -179,7 +184,7 @@ def _salted_join(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
         & (F.col("__l_other") == F.col("__r_own")),
         kind,
     )
-    if kind in ("left", "right", "full") and shared:
+    if outer and shared:
         # Both sides hold these keys, so a row of theirs without a partner is a
         # repeated copy whose salt met nobody; its other copies did.
         keys = list(shared)

@@ -201,16 +201,17 @@ def quality_gate(tables: Sequence[tuple[DataFrame, TableSpec]], strict: bool = T
 
     A report has one row per check, so collecting it is bounded by the specs.
     """
-    failures: list[dict] = []
-    for df, spec in tables:
-        failed = [
-            row.asDict() for row in validate_table(df, spec).collect() if row["failed_rows"] > 0
-        ]
-        for row in failed:
-            log.error("%s.%s: %s failed on %d row(s)", *row.values())
-        if not failed:
-            log.info("%s passed its checks", spec.name)
-        failures.extend(failed)
+    if not tables:
+        return []
+    # One query for all tables, so their scans run side by side.
+    reports = functools.reduce(
+        DataFrame.unionByName, [validate_table(df, spec) for df, spec in tables]
+    )
+    failures = [row.asDict() for row in reports.where("failed_rows > 0").collect()]
+    for row in failures:
+        log.error("%s.%s: %s failed on %d row(s)", *row.values())
+    for name in {spec.name for _, spec in tables} - {row["table_name"] for row in failures}:
+        log.info("%s passed its checks", name)
     if failures and strict:
         raise DataQualityError(failures)
     return failures

@@ -5,8 +5,11 @@ from __future__ import annotations
 import logging
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,12 +17,16 @@ from tiersmith.errors import TransformError
 from tiersmith.operators.columns import apply_prefix, cast_table, clean_column_names
 from tiersmith.operators.joins import star_join
 from tiersmith.operators.quality import TableSpec, quality_gate
+from tiersmith.sources.archives import archive_files
 from tiersmith.sources.landing import Output, read_csv_tables
 from tiersmith.sources.tables import read_table, save_table
 from tiersmith.streaming.incremental import ingest_new_files
 
 log = logging.getLogger(__name__)
 
+# Tables of one job do not depend on each other; small ones leave room.
+SAVES_AT_A_TIME = 4
+
 
 class Transforms:
     """Named DataFrame functions that a configuration may refer to."""
@@ -71,22 +78,34 @@ class LayerJob(ABC):
 
     def run(
         self, partition_by: Sequence[str] | str | None = None, optimize_table: bool = False
-    ) -> None:
+    ) -> list[Output]:
+        """Save all outputs, several at a time, and return them.
+
+        If any cannot be saved the job fails, after the others were tried.
+        """
+
+        def save(output: Output) -> None:
+            database, table = output.table.split(".", 1)
+            save_table(
+                self.spark,
+                output.df,
+                self.location,
+                database,
+                table,
+                self.file_format,
+                self.overwrite,
+                optimize_table,
+                partition_by,
+                self.run_ts,
+            )
+
         try:
-            for output in self.transform():
-                database, table = output.table.split(".", 1)
-                save_table(
-                    self.spark,
-                    output.df,
-                    self.location,
-                    database,
-                    table,
-                    self.file_format,
-                    self.overwrite,
-                    optimize_table,
-                    partition_by,
-                    self.run_ts,
-                )
+            outputs = self.transform()
+            with ThreadPoolExecutor(SAVES_AT_A_TIME) as pool:
+                target = inheritable_thread_target(self.spark)(save)
+                for done in [pool.submit(target, output) for output in outputs]:
+                    done.result()
+            return outputs
         except Exception:
             log.exception("%s failed", type(self).__name__)
             raise
@@ -96,7 +115,11 @@ class LayerJob(ABC):
 
 
 class BronzeJob(LayerJob):
-    """Landing CSV files as tables with clean column names."""
+    """Landing CSV files as tables with clean column names.
+
+    With ``archive`` the files that were loaded, and no others that may have
+    arrived since, are packed into that folder and removed from landing.
+    """
 
     def __init__(
         self,
@@ -107,10 +130,12 @@ class BronzeJob(LayerJob):
         config: dict[str, dict],
         sep: str = ",",
         missing: str = "error",
+        archive: str | None = None,
         **options,
     ) -> None:
         super().__init__(spark, location, **options)
-        self.landing = landing
+        self.archive = archive
+        self.landing = landing.rstrip("/")
         self.database = database
         self.config = config
         self.sep = sep
@@ -122,25 +147,35 @@ class BronzeJob(LayerJob):
         )
         return [Output(output.table, clean_column_names(output.df)) for output in loaded]
 
+    def run(self, *args, **options) -> list[Output]:
+        outputs = super().run(*args, **options)
+        if self.archive is not None and outputs:
+            stamp = (self.run_ts or datetime.now()).strftime("%Y%m%dT%H%M%S")
+            # The listing that the saved DataFrames were planned with.
+            paths = {unquote(path) for output in outputs for path in output.df.inputFiles()}
+            names = [(path, path.rsplit(f"{self.landing}/", 1)[-1]) for path in sorted(paths)]
+            files = self.spark.createDataFrame(names, "path string, name string")
+            archive_files(files, f"{self.archive.rstrip('/')}/{stamp}")
+        return outputs
+
 
 class IncrementalBronzeJob(BronzeJob):
     """The same tables, from the files that no earlier run has loaded.
 
-    A table's files are those whose names start with its ``file_name``. Loaded
-    files go to ``archive``, from where they can be packed away.
+    A table's files are those whose names start with its ``file_name``. With
+    ``archive`` they are moved to that folder once a later run has loaded more.
     """
 
-    def __init__(self, *args, checkpoint: str, archive: str | None = None, **options) -> None:
+    def __init__(self, *args, checkpoint: str, **options) -> None:
         super().__init__(*args, **options)
         self.checkpoint = checkpoint.rstrip("/")
-        self.archive = archive
 
     def run(self) -> None:
         for table, entry in self.config.items():
             try:
                 ingest_new_files(
                     self.spark,
-                    f"{self.landing.rstrip('/')}/{entry['file_name']}*.csv",
+                    f"{self.landing}/{entry['file_name']}*.csv",
                     self.location,
                     self.database,
                     table,

@@ -211,6 +211,7 @@ ORACLE["zip_ingest"] = """
            CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS total
     FROM orders
 """
+ORACLE["archive_ingest"] = ORACLE["zip_ingest"]
 ORACLE["save_append_overwrite"] = """
     SELECT *, '2024-01-01 00:00:00' AS processing_ts FROM customer
     UNION ALL SELECT *, '2024-02-01 00:00:00' AS processing_ts FROM customer

@@ -389,6 +389,20 @@ def zip_ingest(spark, sf_dir):
     )
 
 
+@query
+def archive_ingest(spark, sf_dir):
+    """What a bronze job loaded, read back from where it archived the files."""
+    location, database = fresh_database(spark, "archive_ingest")
+    write_csv(order_texts(spark, sf_dir), f"{location}/landing/orders_data.csv")
+    config = {"orders": {"file_name": "orders_data"}}
+    archive = f"{location}/archive"
+    BronzeJob(
+        spark, f"{location}/landing", location, database, config, archive=archive, run_ts=RUN_TS
+    ).run()
+    archived = read_zip_csv(spark, f"{archive}/20240101T000000/orders_data.csv")
+    return columns.clean_column_names(archived)
+
+
 @query
 def save_append_overwrite(spark, sf_dir):
     location, database = fresh_database(spark, "saved")

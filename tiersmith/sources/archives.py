@@ -7,12 +7,14 @@ stream cannot be entered in the middle.
 
 from __future__ import annotations
 
+import csv
 import io
 import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,27 +27,22 @@ _CHARS_PER_BATCH = 16 << 20
 
 
 def _spread(files: DataFrame, *keys: str) -> DataFrame:
-    """One task per few rows: each row stands for a file to work through."""
+    """Each row stands for a file to work through: a few rows for each task."""
+    spark = files.sparkSession
     # An explicit number: by their size alone Spark would put the rows together.
-    parallel = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.repartition(parallel, *[F.col(key) for key in keys])
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(most, 4 * spark.sparkContext.defaultParallelism))
+    return files.repartition(tasks, *[F.col(key) for key in keys])
 
 
-def zip_files(
-    spark: SparkSession,
-    folder: str,
-    archive_dir: str,
-    run_name: str,
-    include: str = "*",
-    exclude: tuple[str, ...] = (),
-) -> DataFrame:
-    """Pack each file of a folder into ``<archive_dir>/<run_name>/<file>.zip``.
+def pack_files(files: DataFrame, target: str) -> DataFrame:
+    """Pack each ``(path, name)`` file into ``<target>/<name>.zip``, at once.
 
-    Returns ``(path, archive, length)`` of the packed files. An archive is
-    written beside its place and then moved there, and its name follows from
-    the file's: a repeated task replaces it by the same content.
+    Returns ``(path, archive)``. An archive is written beside its place and
+    then moved there, and its name follows from the file's: a repeated task
+    replaces it by the same content.
     """
-    target = f"{archive_dir.rstrip('/')}/{run_name}"
+    target = target.rstrip("/")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -60,20 +57,50 @@ def zip_files(
                     source.open_input_stream(source_path) as data,
                     sink.open_output_stream(partial) as out,
                     zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=6) as packed,
-                    packed.open(row.name, "w", force_zip64=True) as member,
+                    packed.open(row.name.rsplit("/", 1)[-1], "w", force_zip64=True) as member,
                 ):
                     while block := data.read(_CHUNK_BYTES):
                         member.write(block)
                 sink.move(partial, sink_path)
-                done.append((row.path, archive, row.length))
-            yield pd.DataFrame(done, columns=["path", "archive", "length"])
+                done.append((row.path, archive))
+            yield pd.DataFrame(done, columns=["path", "archive"])
 
-    files = list_files(spark, folder, include, exclude)
-    packed = _spread(files, "path").mapInPandas(pack, "path string, archive string, length bigint")
+    packed = _spread(files.select("path", "name"), "path").mapInPandas(
+        pack, "path string, archive string"
+    )
     # Staging runs the packing now, and keeps a later read from repeating it.
     return stage(packed, "packed")
 
 
+def zip_files(
+    spark: SparkSession,
+    folder: str,
+    archive_dir: str,
+    run_name: str,
+    include: str = "*",
+    exclude: tuple[str, ...] = (),
+) -> DataFrame:
+    """Pack each file of a folder into ``<archive_dir>/<run_name>/<file>.zip``."""
+    files = list_files(spark, folder, include, exclude)
+    return pack_files(files, f"{archive_dir.rstrip('/')}/{run_name}")
+
+
+def archive_files(files: DataFrame, target: str) -> DataFrame:
+    """``pack_files``, and once all of them are packed delete the originals."""
+    packed = pack_files(files, target)
+
+    def delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri in batch["path"]:
+                filesystem, path = open_uri(uri)
+                # A repeated task finds some of its files gone.
+                if filesystem.get_file_info(path).type != fs.FileType.NotFound:
+                    filesystem.delete_file(path)
+            yield batch
+
+    return stage(_spread(packed, "path").mapInPandas(delete, packed.schema), "archived")
+
+
 def read_zip_lines(spark: SparkSession, folder: str, member_suffix: str = ".csv") -> DataFrame:
     """``(archive, member, line_no, line)`` of all members of a folder's zip files."""
 
@@ -131,18 +158,19 @@ def _line_batches(archive: str, member: str, text) -> Iterator[pd.DataFrame]:
 def read_zip_csv(
     spark: SparkSession,
     folder: str,
-    columns: list[str],
+    columns: list[str] | None = None,
     member_suffix: str = ".csv",
     sep: str = ",",
 ) -> DataFrame:
     """The CSV members of a folder's zip files, all columns strings.
 
-    Each member starts with a header line; ``columns`` names the fields in
-    their order. Blank lines are skipped, as in any CSV read.
+    Each member starts with the same header line; ``columns`` replaces its
+    names. Blank lines are skipped, as in any CSV read.
     """
-    schema = ", ".join(f"`{name}` string" for name in columns)
-    records = read_zip_lines(spark, folder, member_suffix).where(
-        (F.col("line_no") > 0) & (F.length(F.trim("line")) > 0)
-    )
-    parsed = records.select(F.from_csv("line", schema, {"sep": sep}).alias("row"))
-    return parsed.select(*[F.col("row")[name].alias(name) for name in columns])
+    lines = read_zip_lines(spark, folder, member_suffix)
+    if columns is None:
+        header = lines.where(F.col("line_no") == 0).select("line").first()
+        columns = next(csv.reader([header["line"]], delimiter=sep)) if header else []
+    schema = ", ".join("`" + name.replace("`", "``") + "` string" for name in columns)
+    records = lines.where((F.col("line_no") > 0) & (F.length(F.trim("line")) > 0))
+    return records.select(F.from_csv("line", schema, {"sep": sep}).alias("row")).select("row.*")
