@@ -91,6 +91,18 @@ def test_demo(spark, demo_run):
     assert (kennedy.airport_latitude, kennedy.airport_longitude) == (0, None)
 
 
+def test_checked_tables_may_be_cached(spark, demo_run, tmp_path):
+    demo_run(validate="off")
+    layers = [f"{layer}_{demo_run.hash}" for layer in ("bronze", "silver")]
+    job = jobs.SilverJob(
+        spark, str(tmp_path), *layers, demo.SILVER_CONFIG, demo.SPECS, demo.transforms,
+        cache_checked=True, overwrite=True,
+    )
+    outputs = job.run()
+    assert [o.table.split(".")[1] for o in outputs] == ["airport", "person", "country"]
+    assert not any(o.df.is_cached for o in outputs)
+
+
 def test_demo_can_run_again(demo_run):
     assert demo_run().count() == demo_run(validate="off").count() == 2
 

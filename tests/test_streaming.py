@@ -91,3 +91,11 @@ def test_job_loads_the_files_of_each_table(spark, database, tmp_path):
     job.run()
     assert sorted(r.id for r in read_table(spark, name, "one").collect()) == ["1", "2"]
     assert [r.key for r in read_table(spark, name, "two").collect()] == ["5"]
+
+
+def test_a_backlog_in_several_batches(spark, run, database, tmp_path):
+    for i in range(5):
+        (tmp_path / "landing" / f"{i}.csv").write_text(f"id\n{i}\n")
+    assert run(files_per_batch=2) == [(str(i),) for i in range(5)]
+    loads = read_table(spark, database[0], "t").select("load_id").distinct().collect()
+    assert sorted(r.load_id for r in loads) == [0, 1, 2]

@@ -195,6 +195,10 @@ class SilverJob(LayerJob):
 
     ``validate`` is ``"off"``, ``"report"`` (log what failed) or ``"strict"``
     (fail the run before anything is saved, after all tables were checked).
+
+    Checks read only their own columns, so by default the transforms run again
+    for them; ``cache_checked`` keeps the results for the save instead, which
+    pays for costly transforms whose results fit the executors.
     """
 
     def __init__(
@@ -207,6 +211,7 @@ class SilverJob(LayerJob):
         specs: dict[str, TableSpec],
         transforms: Transforms,
         validate: str = "report",
+        cache_checked: bool = False,
         **options,
     ) -> None:
         if validate not in ("off", "report", "strict"):
@@ -218,6 +223,7 @@ class SilverJob(LayerJob):
         self.specs = specs
         self.transforms = transforms
         self.validate = validate
+        self.cache_checked = cache_checked
 
     def transform(self) -> list[Output]:
         tables: list[tuple[DataFrame, TableSpec]] = []
@@ -227,8 +233,9 @@ class SilverJob(LayerJob):
             if "prefix" in entry:
                 df = apply_prefix(df, entry["prefix"])
             df = cast_table(df, self.specs[table].schema)
-            # Checked and saved: two reads of the same result.
-            tables.append((df if self.validate == "off" else self.cache(df), self.specs[table]))
+            if self.cache_checked:
+                df = self.cache(df)
+            tables.append((df, self.specs[table]))
         if self.validate != "off":
             quality_gate(tables, strict=self.validate == "strict")
         return [

@@ -45,12 +45,14 @@ def ingest_new_files(
     schema: T.StructType | None = None,
     sep: str = ",",
     run_ts: datetime | None = None,
+    files_per_batch: int | None = None,
 ) -> None:
     """Append the landing files no earlier call has loaded to ``database.table``.
 
     ``landing`` is a folder or a glob; its files must have the same header. The checkpoint remembers what was loaded. A batch that is repeated after a
     failure replaces its own partition (``load_id``) and so adds no row twice.
-    With ``archive``, a folder beside the landing folder, loaded files are
+    ``files_per_batch`` cuts a large backlog into several batches. With
+    ``archive``, a folder beside the landing folder, loaded files are
     moved there once a later batch has run.
     """
     name = f"`{database}`.`{table}`"
@@ -58,6 +60,8 @@ def ingest_new_files(
     reader = spark.readStream.schema(schema).option("header", True).option("sep", sep)
     # A file with other columns is an error, not rows with shifted values.
     reader = reader.option("enforceSchema", False)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     create_database(spark, database, location)
