@@ -76,6 +76,21 @@ def test_absolute_url(spark):
     ]
 
 
+def test_long_pages_are_read_whole(spark):
+    """Hundreds of thousands of tags and long texts without a stack overflow."""
+    cards = "".join(
+        f'<li class="item__gutter"><b>{"x" * 50}</b><a class="item__productName" href="/{i}">n{i} 5g</a>'
+        f'<span class="item__price"><span class="item__price--theme-large">£1</span>.0{i % 10}</span></li>'
+        for i in range(20_000)
+    )
+    html = "<p>" + "<i>a</i>" * 200_000 + '<div class="plp">' + "y" * 1_000_000 + cards + "</div>"
+    df = spark.createDataFrame([(1, html)], "page_id int, html string")
+    found = product_cards(df, "page_id")
+    assert found.selectExpr("count(*)", "count(DISTINCT link)", "min(pounds)", "max(rest)").first() == (
+        20_000, 20_000, "£1", ".09",
+    )
+
+
 BRANDS = '{"Care+": ["E45", "Full Marks"], "Oilatum": ["E45"], "Alone": []}'
 
 

@@ -17,20 +17,35 @@ class Selector:
     css_class: str = ""
 
     @property
-    def opening(self) -> str:
-        """A pattern for the opening tag."""
-        tag = rf"<{re.escape(self.tag)}(?=[\s>])"
+    def head(self) -> str:
+        """A pattern for what tells the opening tag, behind its bracket."""
+        tag = rf"{re.escape(self.tag)}(?=[\s>])"
         if not self.css_class:
-            return rf"{tag}[^>]*>"
+            return tag
         name = re.escape(self.css_class)
-        listed = rf"\sclass\s*=\s*(?:\"(?:[^\">]*\s)?{name}(?:\s[^\">]*)?\"|'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?')"
-        return rf"{tag}(?=[^>]*{listed})[^>]*>"
+        double = rf"\"(?:[^\">]*\s)?{name}(?:\s[^\">]*)?\""
+        single = rf"'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?'"
+        return rf"{tag}(?=[^>]*\sclass\s*=\s*(?:{double}|{single}))"
+
+    @property
+    def opening(self) -> str:
+        """A pattern for the opening tag."""
+        return rf"<{self.head}[^>]*>"
 
     @property
     def inner(self) -> str:
-        """A pattern whose group 1 is the text up to the closing tag."""
+        """A pattern for the element; its group 1 is the text up to the closing tag."""
         return rf"{self.opening}(.*?)</{re.escape(self.tag)}\s*>"
 
+    @property
+    def block(self) -> str:
+        """A pattern for the opening tag and all text up to the next such tag.
+
+        Possessive, so the matcher runs through text in a loop and looks closer
+        only at tags; a block of any length needs no recursion.
+        """
+        return rf"{self.opening}[^<]*+(?:<(?!{self.head})[^<]*+)*+"
+
 
 # Where a shop page keeps its products.
 SHELF = Selector("div", "plp")
@@ -45,7 +60,8 @@ _FLAGS = "(?is)"
 
 def inner_html(html: Column, selector: Selector) -> Column:
     """The inner text of the first such element, NULL without one."""
-    return F.get(F.regexp_extract_all(html, F.lit(_FLAGS + selector.inner), F.lit(1)), 0)
+    # Taking the rest of the page into the match ends the search.
+    return F.get(F.regexp_extract_all(html, F.lit(f"{_FLAGS}{selector.inner}.*"), F.lit(1)), 0)
 
 
 def _attribute_of(tag: Column, name: str) -> Column:
@@ -75,8 +91,12 @@ def link_items(pages: DataFrame, selector: Selector = Selector("a"), name: str =
 
 def blocks(html: Column, selector: Selector) -> Column:
     """The text from each such opening tag up to the next one, as an array."""
-    pieces = F.split(html, f"{_FLAGS}(?={selector.opening})")
-    return F.filter(pieces, lambda piece: F.regexp_like(piece, F.lit(f"{_FLAGS}^{selector.opening}")))
+    return F.regexp_extract_all(html, F.lit(_FLAGS + selector.block), F.lit(0))
+
+
+def rest_from(html: Column, selector: Selector) -> Column:
+    """The page from the first such element on, empty without one."""
+    return F.regexp_extract(html, f"{_FLAGS}{selector.opening}.*", 0)
 
 
 def absolute_url(page_url: Column, link: Column) -> Column:
@@ -101,21 +121,22 @@ def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
     ``next_link``, and the price text in two parts: the element that holds the
     pounds, and what the price element holds besides.
     """
-    shelves = pages.select(
-        *keep,
-        F.regexp_extract("html", f"{_FLAGS}{SHELF.opening}.*", 0).alias("shelf"),
-    ).select(
-        *keep,
-        attribute(F.col("shelf"), NEXT_LINK, "href").alias("next_link"),
-        F.explode(blocks(F.col("shelf"), CARD)).alias("card"),
+    # Each step is a column of its own, so no text is searched twice for it.
+    cards = (
+        pages.select(*keep, rest_from(F.col("html"), SHELF).alias("shelf"))
+        .select(
+            *keep,
+            attribute(F.col("shelf"), NEXT_LINK, "href").alias("next_link"),
+            F.explode(blocks(F.col("shelf"), CARD)).alias("card"),
+        )
+        .withColumn("price", rest_from(F.col("card"), CARD_PRICE))
     )
-    card = F.col("card")
-    without_pounds = F.regexp_replace(card, _FLAGS + CARD_POUNDS.inner, "")
-    return shelves.select(
+    without_pounds = F.regexp_replace("price", _FLAGS + CARD_POUNDS.inner, "")
+    return cards.select(
         *keep,
-        inner_html(card, CARD_NAME).alias("name"),
-        attribute(card, CARD_NAME, "href").alias("link"),
+        inner_html(F.col("card"), CARD_NAME).alias("name"),
+        attribute(F.col("card"), CARD_NAME, "href").alias("link"),
         "next_link",
-        inner_html(card, CARD_POUNDS).alias("pounds"),
+        inner_html(F.col("price"), CARD_POUNDS).alias("pounds"),
         inner_html(without_pounds, CARD_PRICE).alias("rest"),
     )
