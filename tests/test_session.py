@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 
 from tiersmith import session
@@ -11,20 +13,34 @@ def test_staged_rows_have_no_lineage(spark, capsys):
     assert staged.count() == 10 and staged.columns == ["id", "twice"]
 
 
-def test_shared_dir_is_the_configured_one(spark):
-    assert session.shared_dir(spark)
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "/shared/place/")
-        assert session.shared_dir(spark) == "/shared/place"
-        assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
-    except Exception as error:
-        if "CANNOT_MODIFY_CONFIG" not in str(error):
-            raise
-        pytest.skip("the setting is fixed for this session")
-    finally:
-        if spark.conf.get("spark.checkpoint.dir", None) != before:
-            spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+def stub(setting, master):
+    conf = SimpleNamespace(get=lambda key, default: setting if key == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app"))
+
+
+def test_shared_dir_is_the_configured_one():
+    cluster = stub("hdfs://name/place/", "yarn")
+    assert session.shared_dir(cluster) == "hdfs://name/place"
+    paths = {session.scratch_path(cluster, "x") for _ in range(10)}
+    assert len(paths) == 10
+    assert all(path.startswith("hdfs://name/place/tiersmith/app/x-") for path in paths)
+
+
+def test_only_a_local_session_may_choose_its_own():
+    assert session.shared_dir(stub(None, "local[4]")) == session.shared_dir(stub(None, "local"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(stub(None, "spark://host:7077"))
+
+
+def test_clear_scratch(tmp_path):
+    local = stub(str(tmp_path), "local")
+    session.clear_scratch(local)
+    staged = tmp_path / "tiersmith" / "app" / "x"
+    staged.mkdir(parents=True)
+    other = tmp_path / "tiersmith" / "other"
+    other.mkdir()
+    session.clear_scratch(local)
+    assert not staged.exists() and other.exists()
 
 
 def test_paths_and_uris():

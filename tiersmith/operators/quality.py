@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiersmith.errors import DataQualityError
-from tiersmith.operators.columns import column, require_columns
+from tiersmith.operators.columns import column
 from tiersmith.operators.keys import with_next
 
 log = logging.getLogger(__name__)

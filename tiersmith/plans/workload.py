@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiersmith.functions.products import clean_name, clean_price, quote_path
+from tiersmith.functions.products import clean_name, clean_price
 from tiersmith.operators import columns, joins, keys, quality
 from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
 from tiersmith.plans.demo import run_demo

@@ -49,11 +49,12 @@ def ingest_new_files(
 ) -> None:
     """Append the landing files no earlier call has loaded to ``database.table``.
 
-    ``landing`` is a folder or a glob; its files must have the same header. The checkpoint remembers what was loaded. A batch that is repeated after a
+    ``landing`` is a folder or a glob; its files must have the same header. The
+    checkpoint remembers what was loaded. A batch that is repeated after a
     failure replaces its own partition (``load_id``) and so adds no row twice.
     ``files_per_batch`` cuts a large backlog into several batches. With
-    ``archive``, a folder beside the landing folder, loaded files are
-    moved there once a later batch has run.
+    ``archive``, a folder beside the landing folder, loaded files are moved
+    there once a later batch has run.
     """
     name = f"`{database}`.`{table}`"
     schema = schema or landing_schema(spark, landing, name, sep)
@@ -64,24 +65,28 @@ def ingest_new_files(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    arrived = clean_column_names(reader.csv(landing))
     create_database(spark, database, location)
+    # The table is there before the first batch, so all batches are alike.
+    texts = ", ".join(f"`{column}` STRING" for column in arrived.columns)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} "
+        f"({texts}, {AUDIT_COLUMN} TIMESTAMP, {LOAD_COLUMN} BIGINT) "
+        f"USING parquet PARTITIONED BY ({LOAD_COLUMN})"
+    )
 
     def save_batch(batch: DataFrame, batch_id: int) -> None:
         loaded = batch.select(
             "*", audit_stamp(run_ts), F.lit(batch_id).cast("bigint").alias(LOAD_COLUMN)
         )
+        # Only the partition of this batch is replaced. The setting stays in
+        # the session that the stream has of its own.
         session = batch.sparkSession
-        if session.catalog.tableExists(name):
-            # Only the partitions that the batch itself holds are replaced. The
-            # setting stays in the session that the stream has of its own.
-            session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            loaded.write.mode("overwrite").insertInto(name)
-        else:
-            loaded.write.partitionBy(LOAD_COLUMN).saveAsTable(name)
+        session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        loaded.write.mode("overwrite").insertInto(name)
 
     query = (
-        clean_column_names(reader.csv(landing))
-        .writeStream.option("checkpointLocation", checkpoint)
+        arrived.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(save_batch)
         .start()
