@@ -90,10 +90,12 @@ RIGHT = (
 )
 
 
-@pytest.mark.parametrize("salt", [False, True])
+@pytest.mark.parametrize("salt", [False, True, None])
 @pytest.mark.parametrize("kind", ["inner", "left", "right", "full", "semi", "anti"])
 @pytest.mark.parametrize("types", [("int", "int"), ("int", "bigint"), ("string", "string"), ("string", "int")])
-def test_every_join_type_against_nested_loops(spark, kind, salt, types):
+def test_every_join_type_against_nested_loops(spark, monkeypatch, kind, salt, types):
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+
     def build(rows, dtype, key, value):
         text = dtype == "string"
         rows = [(None if k is None else str(k) if text else k, v) for k, v in rows]
@@ -118,27 +120,60 @@ def test_salting_with_keys_of_other_types(spark, key):
     right = spark.createDataFrame(RIGHT, "k int, y int").selectExpr(f"{key} AS b", "k AS j", "y")
     if key == "array(k)":
         left, right = (df.where(f"{c} IS NOT NULL") for df, c in ((left, "k"), (right, "j")))
-    joined = joins.join_table(left, right, ("a", "b"), "full").select("k", "x", "j", "y")
+    joined = joins.join_table(left, right, ("a", "b"), "full", salt=True).select("k", "x", "j", "y")
     rows = [[r for r in side if key != "array(k)" or r[0] is not None] for side in (LEFT, RIGHT)]
     assert Counter(tuple(r) for r in joined.collect()) == brute_force(*rows, "full")
 
 
-def test_hot_keys_are_found(spark):
-    df = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id + 100) AS k")
-    assert joins.hot_keys(df, "k") == [7]
+def test_skew_of_keys(spark):
+    df = spark.range(9000).selectExpr("CASE id % 3 WHEN 0 THEN 7 WHEN 1 THEN id + 100 END AS k")
+    assert joins.key_skew(df, "k") == joins.KeySkew((7,), True)
+    assert joins.key_skew(df, "k", least=3000) == joins.KeySkew()
+    assert joins.key_skew(df, "k", sketch=False) == joins.KeySkew((), True)
+    assert joins.key_skew(spark.range(9000), "id") == joins.KeySkew()
+    assert joins.key_skew(spark.range(0), "id") == joins.KeySkew()
 
 
-def test_salts_take_part_in_the_shuffle(spark, capsys):
-    """NULL keys of a full join must not meet in one task."""
+def exchanges(df, capsys):
+    df.explain()
+    return [line for line in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in line]
+
+
+@pytest.fixture
+def no_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        left = spark.range(1000).selectExpr("if(id % 2 = 0, NULL, id) AS a", "id AS x")
-        right = spark.range(10).selectExpr("id AS b", "id AS y")
-        joined = joins.join_table(left, right, ("a", "b"), "full", drop_joined_column=False)
-        joined.explain()
-        plan = capsys.readouterr().out
-        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-        assert len(exchanges) == 2 and all("__l_own" in e or "__r_own" in e for e in exchanges)
-        assert joined.count() == 500 + 500 + 5
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize(
+    "how, hot_side, salted",
+    [
+        ("left", "right", True), ("left", "left", False), ("left", None, False),
+        ("right", "left", True), ("right", "right", False),
+        ("full", "left", True), ("full", "right", True), ("full", None, False),
+        ("inner", "left", False), ("semi", "left", False),
+    ],
+)
+def test_salts_only_where_spark_cannot_split(spark, capsys, no_broadcast, how, hot_side, salted):
+    def build(side, key, value):
+        chosen = "if(id % 3 = 0, 7, id)" if side == hot_side else "id"
+        return spark.range(3000).selectExpr(f"{chosen} AS {key}", f"id AS {value}")
+
+    left, right = build("left", "a", "x"), build("right", "b", "y")
+    joined = joins.join_table(left, right, ("a", "b"), how, drop_joined_column=False)
+    found = exchanges(joined, capsys)
+    assert len(found) == 2 and all(("__l_" in e or "__r_" in e) == salted for e in found)
+    plain = joins.join_table(left, right, ("a", "b"), how, drop_joined_column=False, salt=False)
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+
+
+def test_salts_take_part_in_the_shuffle(spark, capsys, no_broadcast):
+    """NULL keys of a full join must not meet in one task."""
+    left = spark.range(1000).selectExpr("if(id % 2 = 0, NULL, id) AS a", "id AS x")
+    right = spark.range(10).selectExpr("id AS b", "id AS y")
+    joined = joins.join_table(left, right, ("a", "b"), "full", drop_joined_column=False)
+    found = exchanges(joined, capsys)
+    assert len(found) == 2 and all("__l_own" in e or "__r_other" in e for e in found)
+    assert joined.count() == 500 + 500 + 5

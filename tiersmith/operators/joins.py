@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ _LEFT, _RIGHT = "__left_key", "__right_key"
 # A key is hot when it alone holds more than this share of a side's rows, so a
 # side has at most 100 of them.
 HOT_SHARE = 0.01
+# Fewer rows than this are no burden for one task.
+HOT_ROWS = 100_000
 _HOT_CANDIDATES = 100
 _SKETCH_ITEMS = 10_000
 
@@ -51,12 +54,12 @@ def join_table(
     keys unless ``drop_joined_column`` is false, and without
     ``other_drop_columns``, which are pruned on both sides before the join.
 
-    Spark picks the algorithm and, at run time, splits skewed partitions. It
-    cannot do that for a full outer join, nor for a hot key on the side an
-    outer join may not split: ``salt=True`` spreads hot and NULL keys there,
-    with the same rows as result, at the price of one pass over the keys of
-    each side when the join is built. By default only full outer joins are
-    salted.
+    Spark picks the algorithm and, at run time, splits skewed partitions. In
+    outer joins it can only split the side whose rows are all kept, and neither
+    side of a full one. So by default the keys of the other side are looked
+    over when the join is built, and hot and NULL keys, if there are any, are
+    spread by salts; the rows of the result are the same. ``salt=False`` skips
+    that, ``salt=True`` salts in any case and both sides.
     """
     kind = JOIN_TYPES.get(how.lower().replace("_", ""))
     if kind is None:
@@ -82,9 +85,8 @@ def join_table(
         # Copies of a key cannot change the answer; partial aggregation removes
         # them before the shuffle, which the join then reuses.
         right = right.select(_RIGHT).distinct()
-    if salt or (salt is None and kind == "full"):
-        joined = _salted_join(left, right, kind)
-    else:
+    joined = _salted_join(left, right, kind, salt) if salt is not False else None
+    if joined is None:
         # Names are unique only within each side until the projection below.
         joined = left.join(right, F.col(_LEFT) == F.col(_RIGHT), kind)
     return joined.select(*[column(name).alias(names.get(name, name)) for name in kept])
@@ -110,19 +112,28 @@ def _comparable(left: T.DataType, right: T.DataType) -> bool:
     )
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that may hold more than ``share`` of the rows; at most 100 of them.
+@dataclass(frozen=True)
+class KeySkew:
+    """The keys that may each be hot on a side, and whether NULL is."""
 
-    A frequent-items sketch finds them in one pass without a shuffle. The list
-    only steers how rows are spread, never which rows are joined.
+    hot: tuple = ()
+    nulls: bool = False
+
+
+def key_skew(df: DataFrame, key: str, least: int = 0, sketch: bool = True) -> KeySkew:
+    """Look over the keys of ``df``: one pass over one column, no shuffle of rows.
+
+    A frequent-items sketch finds the hot keys. They only steer how rows are
+    spread, never which rows are joined.
     """
-    top = F.expr(f"approx_top_k(`{key}`, {_HOT_CANDIDATES}, {_SKETCH_ITEMS})")
-    hot = F.transform(
-        F.filter("top", lambda entry: entry["count"] > F.col("n_rows") * share),
-        lambda entry: entry["item"],
-    )
-    counted = df.select(top.alias("top"), F.count(F.col(key)).alias("n_rows"))
-    return [value for value in counted.select(hot.alias("hot")).first()["hot"] or [] if value is not None]
+    counted = df.select(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(key).isNull()).alias("n_nulls"),
+        F.expr(f"approx_top_k(`{key}`, {_HOT_CANDIDATES}, {_SKETCH_ITEMS})" if sketch else "NULL").alias("top"),
+    ).first()
+    enough = max(counted["n_rows"] * HOT_SHARE, least)
+    hot = [e["item"] for e in counted["top"] or [] if e["item"] is not None and e["count"] > enough]
+    return KeySkew(tuple(hot), counted["n_nulls"] > enough)
 
 
 def _present(df: DataFrame, key: str, values: list) -> set:
@@ -131,21 +142,35 @@ def _present(df: DataFrame, key: str, values: list) -> set:
     return {row[key] for row in found.collect()}
 
 
-def _salted_join(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
-    """Join on (key, left salt, right salt).
+def _salted_join(left: DataFrame, right: DataFrame, kind: str, salt: bool | None) -> DataFrame | None:
+    """Join on (key, left salt, right salt); None if nothing calls for it.
 
     A row with a hot key takes one salt of its own side and is repeated for
     every salt of the other side, so each pair still meets exactly once. Keys
     that cannot match (NULL, or absent from the other side) take a salt and
     are not repeated.
     """
-    spark = left.sparkSession
-    salts = max(2, min(64, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2))
-    hot_left = hot_right = []
-    if _comparable(left.schema[_LEFT].dataType, right.schema[_RIGHT].dataType):
-        hot_left = hot_keys(left, _LEFT)
-        if kind not in ("semi", "anti"):
-            hot_right = hot_keys(right, _RIGHT)
+    sides = {"left": (left, _LEFT), "right": (right, _RIGHT)}
+    # The sides whose partitions Spark cannot split.
+    rigid = {"left": ["right"], "right": ["left"], "full": ["left", "right"]}.get(kind, [])
+    if not rigid and not salt:
+        return None
+    typed = _comparable(left.schema[_LEFT].dataType, right.schema[_RIGHT].dataType)
+    look = functools.partial(key_skew, least=0 if salt else HOT_ROWS, sketch=typed)
+    skews: dict[str, KeySkew] = {}
+    for side in ["left", "right"] if salt else rigid:
+        if side == "right" and kind in ("semi", "anti"):
+            continue
+        skews[side] = look(*sides[side])
+    if not salt:
+        # NULL keys take part in the shuffle only if their rows are kept.
+        if not any(skew.hot or (skew.nulls and kind == "full") for skew in skews.values()):
+            return None
+        for side in sides.keys() - skews.keys():
+            skews[side] = look(*sides[side])
+    hot_left, hot_right = (list(skews.get(side, KeySkew()).hot) for side in ("left", "right"))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = max(2, min(64, partitions // 2))
     outer = kind in ("left", "right", "full")
     shared = set(hot_left) & set(hot_right)
     for values, table, key in ((hot_left, right, _RIGHT), (hot_right, left, _LEFT)):
@@ -201,10 +226,16 @@ def star_join(
     joins: Sequence[tuple[DataFrame, tuple[str, str]]],
     how: str = "left",
     drop: Sequence[str] = ("processing_ts",),
+    salt: bool | None = False,
 ) -> DataFrame:
-    """Fold tables onto ``base`` in order; a later key may come from an earlier table."""
-    return functools.reduce(
-        lambda joined, step: join_table(joined, step[0], step[1], how, other_drop_columns=drop),
-        joins,
-        base,
-    )
+    """Fold tables onto ``base`` in order; a later key may come from an earlier table.
+
+    The tables joined on are taken to have few rows for each key, as
+    dimensions do; where that may not be so, ``salt=None`` looks for hot keys.
+    """
+
+    def fold(joined: DataFrame, step: tuple[DataFrame, tuple[str, str]]) -> DataFrame:
+        table, pair = step
+        return join_table(joined, table, pair, how, other_drop_columns=drop, salt=salt)
+
+    return functools.reduce(fold, joins, base)
