@@ -1,5 +1,8 @@
+import subprocess
+import sys
 import zipfile
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -74,6 +77,21 @@ def test_zip_members_in_folders_and_many_batches(spark, tmp_path):
     assert first.line == "id,text"
 
 
+def test_tasks_do_not_need_the_package(tmp_path):
+    """A session started elsewhere: its Python workers cannot import tiersmith."""
+    root = Path(__file__).resolve().parent.parent
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry_points
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print(entry_points.queries()["archive_ingest"](spark, "/root/testdata/sf0.001").count())
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.strip().splitlines()[-1:] == ["1500"], done.stderr[-2000:]
+
+
 def test_header_of_zipped_csv(spark, folder):
     archives.zip_files(spark, str(folder), str(folder / "archive"), "r", "a.csv")
     rows = archives.read_zip_csv(spark, str(folder / "archive" / "r"), sep=";")

@@ -3,6 +3,7 @@ from types import SimpleNamespace
 import pytest
 
 from tiersmith import session
+from tiersmith.files import beside, open_uri
 
 
 def test_staged_rows_have_no_lineage(spark, capsys):
@@ -45,6 +46,13 @@ def test_clear_scratch(tmp_path):
 
 def test_paths_and_uris():
     for uri in ("/a/b c.txt", "file:/a/b c.txt", "file:///a/b c.txt"):
-        filesystem, path = session.open_uri(uri)
+        filesystem, path = open_uri(uri)
         assert (filesystem.type_name, path) == ("local", "/a/b c.txt")
-    assert session.open_uri("/a/x:/y")[1] == "/a/x:/y"
+    assert open_uri("/a/x:/y")[1] == "/a/x:/y"
+
+
+def test_paths_beside_a_file():
+    assert beside("hdfs://name:8020/in/a.csv", "/out/a.zip") == "hdfs://name:8020/out/a.zip"
+    assert beside("hdfs://name:8020/in/a.csv", "s3://bucket/a.zip") == "s3://bucket/a.zip"
+    for local in ("/in/a.csv", "file:/in/a.csv", "file:///in/a.csv"):
+        assert beside(local, "/out/a.zip") == "/out/a.zip"

@@ -5,11 +5,12 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from urllib.parse import quote
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
+from tiersmith.files import open_uri
+
 
 # Settings the jobs rely on or are faster with.
 SETTINGS = {
@@ -46,14 +47,6 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
-def open_uri(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a local path or a path as Spark prints it, and the path within."""
-    if uri.startswith(("/", "file:")):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    scheme, _, place = uri.partition(":/")
-    return fs.FileSystem.from_uri(f"{scheme}:/{quote(place, safe='/@:')}")
-
-
 def _application_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/tiersmith/{spark.sparkContext.applicationId}"
 

@@ -9,18 +9,27 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiersmith.session import open_uri, stage
+from tiersmith import files as uri_files
+from tiersmith.files import beside, open_uri
+from tiersmith.session import stage
 from tiersmith.sources.landing import list_files
 
+# Tasks get the code of their functions, not a reference to this package, which
+# executors need not have.
+for _module in (sys.modules[__name__], uri_files):
+    cloudpickle.register_pickle_by_value(_module)
+
 _CHUNK_BYTES = 4 << 20
 _LINES_PER_BATCH = 8_192
 _CHARS_PER_BATCH = 16 << 20
@@ -48,7 +57,7 @@ def pack_files(files: DataFrame, target: str) -> DataFrame:
         for batch in batches:
             done = []
             for row in batch.itertuples(index=False):
-                archive = f"{target}/{row.name}.zip"
+                archive = beside(row.path, f"{target}/{row.name}.zip")
                 source, source_path = open_uri(row.path)
                 sink, sink_path = open_uri(archive)
                 sink.create_dir(sink_path.rsplit("/", 1)[0], recursive=True)
