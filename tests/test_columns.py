@@ -103,6 +103,19 @@ def test_cast_table(spark):
     assert got == CASTS
 
 
+@pytest.mark.parametrize(
+    "dtype, bits", [(T.ByteType(), 8), (T.ShortType(), 16), (T.IntegerType(), 32), (T.LongType(), 64)]
+)
+def test_integer_casts_at_their_limits(spark, dtype, bits):
+    low, high = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
+    values = [low - 1, low, low + 1, 0, high - 1, high, high + 1]
+    texts = [(str(v),) for v in values] + [("0" * 50 + "7",), ("9" * 50,)]
+    cast = columns.cast_table(
+        spark.createDataFrame(texts, "v string"), T.StructType([T.StructField("v", dtype)])
+    )
+    assert [r.v for r in cast.collect()] == [None, *values[1:-1], None, 7, None]
+
+
 def test_cast_table_needs_declared_columns(frame):
     with pytest.raises(ColumnError, match="Column id not in"):
         columns.cast_table(frame, T.StructType([T.StructField("id", T.IntegerType())]))

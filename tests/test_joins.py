@@ -177,3 +177,16 @@ def test_salts_take_part_in_the_shuffle(spark, capsys, no_broadcast):
     found = exchanges(joined, capsys)
     assert len(found) == 2 and all("__l_own" in e or "__r_other" in e for e in found)
     assert joined.count() == 500 + 500 + 5
+
+
+def test_stream_joined_to_a_table(spark, tmp_path):
+    spark.range(5).selectExpr("id AS a", "id * 10 AS x").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("a bigint, x bigint").parquet(f"{tmp_path}/in")
+    joined = joins.join_table(stream, spark.range(3).selectExpr("id AS b", "'n' AS y"), ("a", "b"), "left")
+    query = (
+        joined.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True).start(f"{tmp_path}/out")
+    )
+    query.awaitTermination()
+    rows = sorted((r.x, r.y) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert rows == [(0, "n"), (10, "n"), (20, "n"), (30, None), (40, None)]

@@ -1,3 +1,4 @@
+import csv
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -121,3 +122,15 @@ def test_capture_and_export(spark, tmp_path):
     assert {r.url for r in rows} == {"https://shop.example/p/1"}
     export_products(found, f"{tmp_path}/out")
     assert read_csv(spark, f"{tmp_path}/out").columns == found.columns
+
+
+def test_export_is_plain_csv(spark, tmp_path):
+    names = ['6" pan, "large"', " padded ", "two\nlines", "", None, "back\\slash"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, product_name string").coalesce(1)
+    export_products(df, f"{tmp_path}/out")
+    (file,) = tmp_path.glob("out/*.csv")
+    with open(file, newline="", encoding="utf-8") as text:
+        rows = list(csv.reader(text))
+    assert rows == [["id", "product_name"], *[[str(i), n or ""] for i, n in enumerate(names)]]
+    again = read_csv(spark, f"{tmp_path}/out", escape='"', multiline=True)
+    assert [r.product_name or "" for r in again.collect()] == [n or "" for n in names]

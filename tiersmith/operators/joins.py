@@ -85,7 +85,9 @@ def join_table(
         # Copies of a key cannot change the answer; partial aggregation removes
         # them before the shuffle, which the join then reuses.
         right = right.select(_RIGHT).distinct()
-    joined = _salted_join(left, right, kind, salt) if salt is not False else None
+    # The keys of a stream cannot be looked over beforehand.
+    lasting = not (left.isStreaming or right.isStreaming)
+    joined = _salted_join(left, right, kind, salt) if lasting and salt is not False else None
     if joined is None:
         # Names are unique only within each side until the projection below.
         joined = left.join(right, F.col(_LEFT) == F.col(_RIGHT), kind)

@@ -105,5 +105,5 @@ def capture_prices(
 
 
 def export_products(products: DataFrame, path: str) -> None:
-    """The products as CSV files with a header."""
-    write_csv(products, path)
+    """The products as CSV files with a header; quotes in a field are doubled."""
+    write_csv(products, path, escape='"')

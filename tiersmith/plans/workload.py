@@ -552,7 +552,7 @@ def unit_price_(spark, sf_dir):
 def product_csv_export(spark, sf_dir):
     path = scratch_path(spark, "products")
     export_products(unit_price(priced_parts(spark, sf_dir), run_ts=RUN_TS), path)
-    return read_csv(spark, path).drop("timestamp")
+    return read_csv(spark, path, escape='"').drop("timestamp")
 
 
 def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

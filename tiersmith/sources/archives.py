@@ -170,6 +170,7 @@ def read_zip_csv(
     columns: list[str] | None = None,
     member_suffix: str = ".csv",
     sep: str = ",",
+    escape: str = "\\",
 ) -> DataFrame:
     """The CSV members of a folder's zip files, all columns strings.
 
@@ -182,4 +183,4 @@ def read_zip_csv(
         columns = next(csv.reader([header["line"]], delimiter=sep)) if header else []
     schema = ", ".join("`" + name.replace("`", "``") + "` string" for name in columns)
     records = lines.where((F.col("line_no") > 0) & (F.length(F.trim("line")) > 0))
-    return records.select(F.from_csv("line", schema, {"sep": sep}).alias("row")).select("row.*")
+    return records.select(F.from_csv("line", schema, {"sep": sep, "escape": escape}).alias("row")).select("row.*")

@@ -33,9 +33,16 @@ def list_files(
     return files.where(~F.col("name").isin(list(exclude))) if exclude else files
 
 
-def read_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """A CSV file, or a folder of them, with a header and all columns strings."""
-    return spark.read.option("header", True).option("sep", sep).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, sep: str = ",", escape: str = "\\", multiline: bool = False
+) -> DataFrame:
+    """A CSV file, or a folder of them, with a header and all columns strings.
+
+    Lines are records, so large files are read in parts; ``multiline`` allows
+    line breaks in quoted fields, and takes each file as a whole.
+    """
+    reader = spark.read.option("header", True).option("sep", sep).option("escape", escape)
+    return reader.option("multiLine", multiline).csv(path)
 
 
 def read_csv_tables(
@@ -64,6 +71,7 @@ def read_csv_tables(
     return outputs
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV files with a header each."""
-    df.write.option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, escape: str = "\\") -> None:
+    """A folder of CSV files with a header each; blanks around values are kept."""
+    writer = df.write.option("header", True).option("escape", escape)
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
