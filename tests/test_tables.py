@@ -61,6 +61,13 @@ def test_partitions_move_to_the_end_and_are_pruned(spark, database, capsys):
     assert "PartitionFilters: [isnotnull(part" in capsys.readouterr().out
 
 
+def test_partition_column_with_a_dot(spark, database):
+    name, location = database
+    df = spark.createDataFrame([("x", 1), ("y", 2)], "`a.b` string, id int")
+    tables.save_table(spark, df, location, name, "t", partition_by="a.b", optimize_table=True)
+    assert sorted(r[0] for r in tables.read_table(spark, name, "t").select("`a.b`").collect()) == ["x", "y"]
+
+
 def test_append_of_other_columns_fails(spark, database):
     name, location = database
     df = spark.createDataFrame([(1, "a")], "id int, part string")

@@ -10,6 +10,8 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiersmith.operators.columns import column
+
 log = logging.getLogger(__name__)
 
 AUDIT_COLUMN = "processing_ts"
@@ -74,7 +76,7 @@ def save_table(
     partitions = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
     stamped = df.withColumn(AUDIT_COLUMN, audit_stamp(run_ts))
     if partitions:
-        stamped = stamped.hint("rebalance", *partitions)
+        stamped = stamped.hint("rebalance", *map(column, partitions))
     writer = stamped.write.format(file_format).mode("overwrite" if overwrite else "append")
     if partitions:
         writer = writer.partitionBy(*partitions)
@@ -131,7 +133,7 @@ def compact_table(spark: SparkSession, database: str, table: str) -> None:
 
     partitions = [c.name for c in spark.catalog.listColumns(live) if c.isPartition]
     # Rebalancing joins small partitions and splits large ones by size.
-    copy = spark.table(live).hint("rebalance", *partitions)
+    copy = spark.table(live).hint("rebalance", *map(column, partitions))
     writer = copy.write.format(_detail(spark, live, "Provider"))
     if partitions:
         writer = writer.partitionBy(*partitions)
