@@ -1,3 +1,4 @@
+import shutil
 import subprocess
 import sys
 import zipfile
@@ -98,8 +99,11 @@ def test_header_of_zipped_csv(spark, folder):
     assert rows.columns == ["Id", "Full Name"] and rows.count() == 3
 
 
-def test_bronze_job_archives_only_what_it_loaded(spark, folder, database):
+@pytest.mark.parametrize("place", ["plain", "odd %20 näme"])
+def test_bronze_job_archives_only_what_it_loaded(spark, folder, database, place):
     name, location = database
+    shutil.copytree(folder, folder / place)
+    folder = folder / place
     config = {"t": {"file_name": "a"}}
     job = BronzeJob(
         spark, str(folder), location, name, config, sep=";", archive=str(folder / "archive"),

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pytest
 
 from tiersmith import session
-from tiersmith.files import beside, open_uri
+from tiersmith.files import beside, open_uri, path_of
 
 
 def test_staged_rows_have_no_lineage(spark, capsys):
@@ -56,3 +56,8 @@ def test_paths_beside_a_file():
     assert beside("hdfs://name:8020/in/a.csv", "s3://bucket/a.zip") == "s3://bucket/a.zip"
     for local in ("/in/a.csv", "file:/in/a.csv", "file:///in/a.csv"):
         assert beside(local, "/out/a.zip") == "/out/a.zip"
+
+
+def test_path_of():
+    for uri in ("/a/b c", "file:/a/b c", "file:///a/b c", "hdfs://name:8020/a/b c", "s3a://bucket/a/b c"):
+        assert path_of(uri) == "/a/b c"

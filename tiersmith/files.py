@@ -20,3 +20,8 @@ def beside(uri: str, path: str) -> str:
     """``path`` as a URI: without a scheme of its own it is on the file system of ``uri``."""
     place = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://[^/]+(?=/)", uri)
     return place[0] + path if place and path.startswith("/") else path
+
+
+def path_of(uri: str) -> str:
+    """A URI or path without scheme and host."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "", uri)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from tiersmith.operators.columns import (
 from tiersmith.operators.keys import surrogate_key
 from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
 from tiersmith.plans.jobs import BronzeJob, GoldJob, SilverJob, Transforms
+from tiersmith.session import get_session
 from tiersmith.sources.tables import AUDIT_COLUMN, layer_name, read_table
 
 _NON_NEGATIVE = (Check("ge", {"bound": 0}),)
@@ -118,3 +120,17 @@ def run_demo(
     return where_all_present(
         read_table(spark, gold, "person_airport_location"), "person_id", "airport_id", "country_id"
     )
+
+
+def main() -> None:
+    parser = argparse.ArgumentParser(description="Landing to gold; shows located persons.")
+    parser.add_argument("landing", help="folder of the CSV files")
+    parser.add_argument("location", help="folder for the databases")
+    parser.add_argument("--run-hash", help="suffix of the database names")
+    parser.add_argument("--validate", choices=("off", "report", "strict"), default="report")
+    args = parser.parse_args()
+    run_demo(get_session("demo"), args.landing, args.location, args.run_hash, args.validate).show()
+
+
+if __name__ == "__main__":
+    main()

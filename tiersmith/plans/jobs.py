@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tiersmith.errors import TransformError
+from tiersmith.files import path_of
 from tiersmith.operators.columns import apply_prefix, cast_table, clean_column_names
 from tiersmith.operators.joins import star_join
 from tiersmith.operators.quality import TableSpec, quality_gate
@@ -153,7 +154,8 @@ class BronzeJob(LayerJob):
             stamp = (self.run_ts or datetime.now()).strftime("%Y%m%dT%H%M%S")
             # The listing that the saved DataFrames were planned with.
             paths = {unquote(path) for output in outputs for path in output.df.inputFiles()}
-            names = [(path, path.rsplit(f"{self.landing}/", 1)[-1]) for path in sorted(paths)]
+            inside = len(path_of(self.landing)) + 1
+            names = [(path, path_of(path)[inside:]) for path in sorted(paths)]
             files = self.spark.createDataFrame(names, "path string, name string")
             archive_files(files, f"{self.archive.rstrip('/')}/{stamp}")
         return outputs
