@@ -6,7 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+# Type -> its bits, and how many digits always fit.
+_INTEGRAL = {
+    T.ByteType: (8, 2),
+    T.ShortType: (16, 4),
+    T.IntegerType: (32, 9),
+    T.LongType: (64, 18),
+}
 
 # Digits with an optional sign and a fraction, padded by control characters.
 _PADDING = r"[\x00-\x20\x7F]*"
@@ -22,13 +28,18 @@ def lenient_cast(value: Column, source: T.DataType, target: T.DataType) -> Colum
     """
     if source == target:
         return value
-    if isinstance(source, T.StringType) and type(target) in _BITS:
-        # The cast itself pays an exception for each string it rejects: it only
-        # gets to see digits, and numbers too large are sorted out as decimals.
+    if isinstance(source, T.StringType) and type(target) in _INTEGRAL:
+        # The cast itself is fast but pays an exception for each string it
+        # rejects: it only gets to see short plain numbers. The others are
+        # taken apart, and those too large are sorted out as decimals.
+        bits, safe = _INTEGRAL[type(target)]
+        plain = F.regexp_like(value, F.lit(rf"^[+-]?[0-9]{{1,{safe}}}$"))
         digits = F.nullif(F.regexp_extract(value, _WHOLE_PART, 1), F.lit(""))
         number = digits.try_cast(T.DecimalType(38, 0))
-        limit = 1 << (_BITS[type(target)] - 1)
+        limit = 1 << (bits - 1)
         fits = F.when(number.between(-limit, limit - 1), number.cast(target))
         fraction = F.when(F.regexp_like(value, F.lit(_FRACTION_ONLY)), F.lit(0).cast(target))
-        return F.coalesce(fits, F.when(digits.isNull(), fraction))
+        return F.when(plain, value.try_cast(target)).otherwise(
+            F.coalesce(fits, F.when(digits.isNull(), fraction))
+        )
     return value.try_cast(target)
