@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tiersmith.llm.lm_scores import score_documents
 from tiersmith.llm.odd_sketch import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +28,15 @@ def op8_odd_sketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents by three-word shingles, 85 % of the union."""
     found = near_duplicates(_documents(spark, sf_dir, "doc_id", "text"), words=3, percent=85)
     return found.selectExpr("doc_id", "n_shingles", "component_id", "doc_id = component_id AS kept")
+
+
+def _crc_remainder(modulus: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1)) % modulus
+
+
+@_query
+def op10_deleted_interpolation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents, learned from nine tenths of them."""
+    remainder = _crc_remainder(10)
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    return score_documents(docs, train=remainder != 0, tune=remainder == 1)
