@@ -8,8 +8,11 @@ slices of some megabytes; a longer text is a slice of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +122,20 @@ def slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Itera
         done += n
 
 
+def kept_by_worker(kind: str, name: str, make: Callable[[], Any]) -> Any:
+    """The one object of a kind that a Python worker keeps, made anew under another name.
+
+    Task code comes by value, so its module variables end with the task; this
+    hangs the object on a module of its own.
+    """
+    home = sys.modules.setdefault("tiersmith_worker", types.ModuleType("tiersmith_worker"))
+    held = getattr(home, kind, None)
+    if held is None or held[0] != name:
+        held = (name, make())
+        setattr(home, kind, held)
+    return held[1]
+
+
 def text_of_batch(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiersmith.llm.byte_bpe import read_ranks, round_trip
+from tiersmith.llm.hash_index import exact_duplicates
 from tiersmith.llm.lm_scores import score_documents
 from tiersmith.llm.odd_sketch import near_duplicates
 
@@ -40,3 +43,25 @@ def op10_deleted_interpolation_scores(spark: SparkSession, sf_dir: str) -> DataF
     remainder = _crc_remainder(10)
     docs = _documents(spark, sf_dir, "doc_id", "text")
     return score_documents(docs, train=remainder != 0, tune=remainder == 1)
+
+
+@_query
+def op5_extendible_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents; the largest doc_id of equal texts stays."""
+    found = exact_duplicates(_documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLE["op5_extendible_hash_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@_query
+def op6_byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all whole texts, and the bytes they decode to."""
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    ranks = read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return round_trip(docs, ranks, public_tokenizers.PATTERN)
