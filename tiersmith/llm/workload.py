@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiersmith.llm import subword_quality, toxic_segments
 from tiersmith.llm.byte_bpe import read_ranks, round_trip
 from tiersmith.llm.hash_index import exact_duplicates
 from tiersmith.llm.lm_scores import score_documents
 from tiersmith.llm.odd_sketch import near_duplicates
+from tiersmith.llm.subword_quality import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +67,26 @@ def op6_byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text")
     ranks = read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return round_trip(docs, ranks, public_tokenizers.PATTERN)
+
+
+def _training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col(label).alias("label"))
+    return labels.where(~held_out())
+
+
+@_query
+def op1_subword_embedding_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, learned from labels of four fifths of them."""
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    model = subword_quality.learn(docs, _training_labels(spark, sf_dir, "quality"))
+    scored = subword_quality.score_documents(docs, model, threshold=0.3)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@_query
+def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of all documents, learned from labels of four fifths of them."""
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    scorer = toxic_segments.learn(docs, _training_labels(spark, sf_dir, "toxic"))
+    scored = toxic_segments.score_documents(docs, scorer)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "n_passages")
