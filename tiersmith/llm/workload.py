@@ -14,6 +14,7 @@ from tiersmith.llm.hash_index import exact_duplicates
 from tiersmith.llm.lm_scores import score_documents
 from tiersmith.llm.odd_sketch import near_duplicates
 from tiersmith.llm.subword_quality import held_out
+from tiersmith.llm.weak_rules import judge_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,3 +91,11 @@ def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     scorer = toxic_segments.learn(docs, _training_labels(spark, sf_dir, "toxic"))
     scored = toxic_segments.score_documents(docs, scorer)
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "n_passages")
+
+
+@_query
+def op3_weak_supervision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents, and whether rules weighed without labels keep them."""
+    judged = judge_documents(_documents(spark, sf_dir, "doc_id", "text"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", "posterior")
