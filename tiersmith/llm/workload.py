@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from tiersmith.llm import subword_quality, toxic_segments
 from tiersmith.llm.byte_bpe import read_ranks, round_trip
 from tiersmith.llm.hash_index import exact_duplicates
+from tiersmith.llm.licence_scan import licence_paragraphs
 from tiersmith.llm.lm_scores import score_documents
 from tiersmith.llm.odd_sketch import near_duplicates
+from tiersmith.llm.shard_table import SLOTS, filled_slots, with_shard
+from tiersmith.llm.source_mix import mix
 from tiersmith.llm.subword_quality import held_out
 from tiersmith.llm.weak_rules import judge_documents
 
@@ -99,3 +102,68 @@ def op3_weak_supervision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_documents(_documents(spark, sf_dir, "doc_id", "text"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", "kept", "posterior")
+
+
+@_query
+def op2_systematic_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix of all sources takes."""
+    taken = mix(_documents(spark, sf_dir, "doc_id", "source", "text"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op2_systematic_source_mix"] = r"""
+WITH sized AS (
+    SELECT doc_id, source,
+           CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3 * CAST(sum(size) AS BIGINT) AS cap,
+           (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM sized GROUP BY source
+), placed AS (
+    SELECT *, row_number() OVER by_cap AS place, CAST(sum(source_size) OVER () AS DOUBLE) AS total,
+           CAST(coalesce(sum(cap) OVER (by_cap ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS capped,
+           CAST(sum(weight) OVER (by_cap ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS onward
+    FROM sources WINDOW by_cap AS (ORDER BY CAST(cap AS DOUBLE) / CAST(weight AS DOUBLE), source ASC NULLS LAST)
+), leveled AS (
+    SELECT *, (total - capped) / onward AS level FROM placed
+), targets AS (
+    SELECT source, source_size,
+           least(CAST(cap AS DOUBLE),
+                 weight * (SELECT level FROM leveled WHERE level * weight <= cap ORDER BY place LIMIT 1)) AS target
+    FROM leveled
+), rates AS (
+    SELECT *, least(CAST(floor(target * CAST(16777216 AS DOUBLE) / nullif(source_size, 0)) AS BIGINT), 3 * 16777216) AS rate,
+           CAST('0x' || substr(md5('mix' || coalesce('=' || source, '')), 1, 6) AS BIGINT) AS shift
+    FROM targets
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, doc_id) AS n FROM sized
+)
+SELECT r.doc_id, r.size, t.source_size, t.target,
+       r.size * ((t.shift + coalesce(t.rate, 0) * r.n) // 16777216 - (t.shift + coalesce(t.rate, 0) * (r.n - 1)) // 16777216) AS taken
+FROM ranked r JOIN rates t ON r.source IS NOT DISTINCT FROM t.source
+"""
+
+SHARDS = [f"shard-{n:02d}" for n in range(64)]
+
+
+@_query
+def op7_permutation_table_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of each document."""
+    return with_shard(_documents(spark, sf_dir, "doc_id"), SHARDS)
+
+
+ORACLE["op7_permutation_table_shards"] = f"""
+WITH keyed AS (
+    SELECT doc_id,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) % {SLOTS} AS slot
+    FROM documents
+)
+SELECT doc_id, slot, printf('shard-%02d', ([{",".join(map(str, filled_slots(SHARDS)))}])[slot + 1]) AS shard FROM keyed
+"""
+
+
+@_query
+def op9_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All paragraphs of all documents that hold a licence word, and their licence."""
+    return licence_paragraphs(_documents(spark, sf_dir, "doc_id", "text"))
