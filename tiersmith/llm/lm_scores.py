@@ -31,7 +31,7 @@ from tiersmith.llm.textcodes import code, follow, slices, sorted_distinct
 from tiersmith.session import stage
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 14_000_000
 #: Added to each count by the unigram estimate.
 ADDED = 0.1
 #: Bins per doubling of the ratio of the two estimates, for the mixture weights.
@@ -41,7 +41,9 @@ ROUNDS = 60
 _START = np.array([0x53544152543A3A31], np.uint64)  # before a text; never a word's code but by chance
 _END = np.array([0x454E443A3A3A3A32], np.uint64)
 _WORDS, _PAIRS = 0, 1
-_WIDTH = {_WORDS: 8, _PAIRS: 6}  # bytes of a code sent; the range stands for more
+#: Bits of the codes of words and of pairs.
+_BITS = {_WORDS: 64, _PAIRS: 54}
+_PIECE = 500_000  # tokens handled at a time where a step needs several arrays
 
 
 def _pack(counts: np.ndarray) -> bytes:
@@ -117,10 +119,11 @@ class _Block:
         self.lengths = np.concatenate(lengths)
         self.ends = np.cumsum(self.lengths)
         self.begins = self.ends - self.lengths
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[self.begins] = _START[0]
-        self.pairs = follow(before, self.tokens)
+        self.pairs = np.empty_like(self.tokens)
+        self.pairs[1:] = self.tokens[:-1]
+        self.pairs[self.begins] = _START[0]
+        for some in self.pieces():
+            self.pairs[some] = follow(self.pairs[some], self.tokens[some]) >> np.uint64(64 - _BITS[_PAIRS])
         # 0: not learned from, 1: counted, 2: counted and used for the weights.
         self.role = np.where(tune, 2, np.where(train, 1, 0)).astype(np.uint8)
         self.asked = {
@@ -128,17 +131,27 @@ class _Block:
             _PAIRS: sorted_distinct(self.pairs),
         }
 
+    def pieces(self) -> Iterator[slice]:
+        return (slice(at, at + _PIECE) for at in range(0, len(self.tokens), _PIECE))
+
+    def codes(self, kind: int) -> np.ndarray:
+        return self.tokens if kind == _WORDS else self.pairs
+
     def counts(self, kind: int, role: int) -> np.ndarray:
         asked = self.asked[kind]
-        codes = (self.tokens if kind == _WORDS else self.pairs)[np.repeat(self.role == role, self.lengths)]
-        counts = np.bincount(np.searchsorted(asked, np.sort(codes)), minlength=len(asked))
+        counts = np.zeros(len(asked), np.int64)
+        mine = np.repeat(self.role == role, self.lengths)
+        for some in self.pieces():
+            place = np.searchsorted(asked, np.sort(self.codes(kind)[some][mine[some]]))
+            cuts = np.flatnonzero(np.diff(place, prepend=-1))
+            counts[place[cuts]] += np.diff(np.append(cuts, len(place)))
         if kind == _WORDS:
             counts[np.searchsorted(asked, _START)[0]] = np.count_nonzero(self.role == role)
         return counts
 
     def cuts(self, kind: int, ranges: int) -> np.ndarray:
         """Where each range begins in the codes asked for, and the end."""
-        owner = ((self.asked[kind] >> np.uint64(40)) * np.uint64(ranges)) >> np.uint64(24)
+        owner = ((self.asked[kind] >> np.uint64(_BITS[kind] - 24)) * np.uint64(ranges)) >> np.uint64(24)
         return np.searchsorted(owner, np.arange(ranges + 1, dtype=np.uint64))
 
 
@@ -151,7 +164,6 @@ def _requests(ranges: int):
                     counted, tuned = block.counts(kind, 1), block.counts(kind, 2)
                     cuts = block.cuts(kind, ranges)
                     full = np.flatnonzero(np.diff(cuts))
-                    raw = codes.view(np.uint8).reshape(-1, 8)[:, : _WIDTH[kind]]
                     for some in np.array_split(full, max(1, len(full) // 64)):
                         spans = [slice(cuts[r], cuts[r + 1]) for r in some]
                         yield pa.RecordBatch.from_arrays(
@@ -159,12 +171,17 @@ def _requests(ranges: int):
                                 pa.array(some, pa.int32()),
                                 pa.array([kind] * len(some), pa.int32()),
                                 pa.array([number] * len(some), pa.int64()),
-                                pa.array([raw[s].tobytes() for s in spans], pa.binary()),
+                                pa.array([s.stop - s.start for s in spans], pa.int32()),
+                                # In order, codes are sent as the gaps between them.
+                                pa.array([_pack(np.diff(codes[s], prepend=np.uint64(0))) for s in spans], pa.binary()),
                                 pa.array([_pack(counted[s]) for s in spans], pa.binary()),
                                 pa.array([_pack(tuned[s]) for s in spans], pa.binary()),
                             ],
-                            names=["range", "kind", "block", "codes", "counted", "tuned"],
+                            names=["range", "kind", "block", "n", "gaps", "counted", "tuned"],
                         )
+                del block
+                # Arrow would keep what it has freed, beside numpy's arrays.
+                pa.default_memory_pool().release_unused()
 
     return run
 
@@ -173,12 +190,9 @@ def _answers(table: pa.Table) -> pa.Table:
     """The totals over all blocks of the codes of one range, for each block that asked."""
     table = table.combine_chunks()
     kind, owner = table.column("kind")[0].as_py(), table.column("range")[0].as_py()
-    width = _WIDTH[kind]
-    sent = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, width) for x in table.column("codes")]
-    sizes = [len(x) for x in sent]
-    raw = np.zeros((sum(sizes), 8), np.uint8)
-    raw[:, :width] = np.concatenate(sent)
-    codes = raw.reshape(-1).view(np.uint64)
+    sizes = table.column("n").to_pylist()
+    gaps = table.column("gaps")
+    codes = np.concatenate([np.cumsum(_unpack(x.as_py(), n), dtype=np.uint64) for x, n in zip(gaps, sizes, strict=True)])
     order = np.argsort(codes)
     ranked = codes[order]
     fresh = np.ones(len(codes), bool)
@@ -231,16 +245,18 @@ def _found(answers: pa.Table, blocks: pa.Table) -> pa.Table:
     kinds, ranges = np.asarray(answers.column("kind")), np.asarray(answers.column("range"))
     columns: dict[str, bytes] = {}
     tune = np.repeat(block.role == 2, block.lengths)
-    for kind, name, codes in ((_WORDS, "word", block.tokens), (_PAIRS, "pair", block.pairs)):
+    for kind, name in ((_WORDS, "word"), (_PAIRS, "pair")):
         rows = np.flatnonzero(kinds == kind)
         rows = rows[np.argsort(ranges[rows])]
         sizes = np.asarray(answers.column("n"))[rows]
         asked = block.asked[kind]
         if sizes.sum() != len(asked):
             raise RuntimeError(f"{len(asked)} codes were asked for and {sizes.sum()} answered")
-        by = np.argsort(codes)
-        place = np.empty(len(codes), np.int64)
-        place[by] = np.searchsorted(asked, codes[by])
+        codes = block.codes(kind)
+        place = np.empty(len(codes), np.int32)
+        for some in block.pieces():
+            by = np.argsort(codes[some])
+            place[some][by] = np.searchsorted(asked, codes[some][by])
         for column in ("counted", "tuned"):
             cells = answers.column(column).combine_chunks()
             totals = np.concatenate([_unpack(cells[int(r)].as_py(), int(n)) for r, n in zip(rows, sizes, strict=True)])
@@ -312,6 +328,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[_Counts]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield _Counts(batch.slice(i, 1).to_pylist()[0])
+            pa.default_memory_pool().release_unused()
 
 
 def _ratios(train_tokens: int, tuned_tokens: int, vocabulary: int):
@@ -413,7 +430,7 @@ def score_documents(docs: DataFrame, train: Column, tune: Column, block_bytes: i
     answers = (
         packed.mapInArrow(
             _requests(ranges),
-            "range int, kind int, block long, codes binary, counted binary, tuned binary",
+            "range int, kind int, block long, n int, gaps binary, counted binary, tuned binary",
         )
         .groupBy("range", "kind")
         .applyInArrow(_answers, "block long, kind int, range int, n int, counted binary, tuned binary")
