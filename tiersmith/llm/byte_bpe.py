@@ -16,11 +16,12 @@ import codecs
 import hashlib
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from tiersmith.llm.textcodes import kept_by_worker, text_of_batch
@@ -173,6 +174,12 @@ def _groups(texts: pa.Array, limit: int = 1_000_000) -> Iterator[list[str]]:
         yield held
 
 
+def _lists(encoded: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(x) // 4 for x in encoded)])
+    ids = np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+
+
 def encode_documents(docs: DataFrame, rank_file: bytes, pattern: str) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every whole text; NULL is empty, without ids."""
     shared = docs.sparkSession.sparkContext.broadcast(rank_file)
@@ -182,14 +189,8 @@ def encode_documents(docs: DataFrame, rank_file: bytes, pattern: str) -> DataFra
         for batch in batches:
             at = 0
             for texts in _groups(text_of_batch(batch)):
-                encoded = codec.encode(texts)
-                ends = np.cumsum([0, *(len(x) // 4 for x in encoded)])
-                ids = np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(at, len(texts)),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                    ],
+                    [batch.column("doc_id").slice(at, len(texts)), _lists(codec.encode(texts))],
                     names=["doc_id", "ids"],
                 )
                 at += len(texts)
@@ -237,14 +238,21 @@ def decode_documents(encoded: DataFrame, rank_file: bytes, pattern: str) -> Data
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, rank_file: bytes, pattern: str) -> DataFrame:
+def round_trip(
+    docs: DataFrame, rank_file: bytes, pattern: str, keep: Sequence[str] = ("doc_id",), with_ids: bool = False
+) -> DataFrame:
     """Digests of every text's ids and of the bytes they decode to.
 
-    Returns per row ``doc_id``, ``n_tokens``, ``ids_sha256`` (of the ids as
-    little-endian unsigned 32-bit integers) and ``decoded_sha256``. NULL and
-    empty texts have no tokens. Other columns are ignored.
+    Returns per row ``keep``, ``n_tokens``, ``ids_sha256`` (of the ids as
+    little-endian unsigned 32-bit integers), ``decoded_sha256`` and, if asked
+    for, the ``ids``. NULL and empty texts have no tokens. Other columns are
+    ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(rank_file)
+    names = [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
+    out = docs.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    if with_ids:
+        out = out.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, pattern)
@@ -252,17 +260,15 @@ def round_trip(docs: DataFrame, rank_file: bytes, pattern: str) -> DataFrame:
             at = 0
             for texts in _groups(text_of_batch(batch)):
                 encoded = codec.encode(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(at, len(texts)),
-                        pa.array([len(x) // 4 for x in encoded], pa.int64()),
-                        pa.array([hashlib.sha256(x).hexdigest() for x in encoded]),
-                        pa.array([hashlib.sha256(codec.decode_bytes(x)).hexdigest() for x in encoded]),
-                    ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                columns = [batch.column(c).slice(at, len(texts)) for c in keep]
+                columns += [
+                    pa.array([len(x) // 4 for x in encoded], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in encoded], pa.string()),
+                    pa.array([hashlib.sha256(codec.decode_bytes(x)).hexdigest() for x in encoded], pa.string()),
+                ]
+                if with_ids:
+                    columns.append(_lists(encoded))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 at += len(texts)
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, out)

@@ -378,3 +378,16 @@ def near_duplicates(
             F.coalesce(order.eqNullSafe(F.col("least")), F.lit(True)).alias("kept"),
         )
     )
+
+
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of near duplicates, with all columns of ``docs``.
+
+    The row with the least ``doc_id`` stays. Rows equal in ``doc_id`` and text
+    stay together; exact dedup comes before.
+    """
+    dropped = near_duplicates(docs, **options).where(~F.col("kept")).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
+    return docs.join(dropped.distinct(), same, "left_anti")

@@ -167,3 +167,13 @@ SELECT doc_id, slot, printf('shard-%02d', ([{",".join(map(str, filled_slots(SHAR
 def op9_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All paragraphs of all documents that hold a licence word, and their licence."""
     return licence_paragraphs(_documents(spark, sf_dir, "doc_id", "text"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
