@@ -24,8 +24,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts, learned from ``labels`` of the given tables."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
     model = subword_quality.learn(docs, labels.where(~subword_quality.held_out()))
-    scored = subword_quality.score_documents(docs, model, QUALITY, keep=tuple(docs.columns))
-    return scored.where("predicted = 1").select(*docs.columns)
+    # The row travels as one column, so none of its names can clash with the score's.
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    scored = subword_quality.score_documents(rows, model, QUALITY, keep=("row",))
+    return scored.where("predicted = 1").select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

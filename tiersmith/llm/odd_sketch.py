@@ -375,7 +375,7 @@ def near_duplicates(
             "text_key",
             "n_shingles",
             F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-            F.coalesce(order.eqNullSafe(F.col("least")), F.lit(True)).alias("kept"),
+            (F.col("group").isNull() | order.eqNullSafe(F.col("least"))).alias("kept"),
         )
     )
 
