@@ -1,6 +1,7 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from tiersmith import session
 from tiersmith.files import beside, open_uri, path_of
@@ -15,7 +16,8 @@ def test_staged_rows_have_no_lineage(spark, capsys):
 
 
 def stub(setting, master):
-    conf = SimpleNamespace(get=lambda key, default: setting if key == "spark.checkpoint.dir" else default)
+    known = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "file:/place/warehouse"}
+    conf = SimpleNamespace(get=lambda key, default=None: known[key])
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="app"))
 
 
@@ -28,9 +30,20 @@ def test_shared_dir_is_the_configured_one():
 
 
 def test_only_a_local_session_may_choose_its_own():
-    assert session.shared_dir(stub(None, "local[4]")) == session.shared_dir(stub(None, "local"))
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(stub(None, "spark://host:7077"))
+    for master in ("local", "local[4]"):
+        assert session.shared_dir(stub(None, master)) == "file:/place/warehouse/_staged"
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(stub(None, master))
+
+
+def test_staging_leaves_no_shuffle_files_and_the_setting_as_it_was(spark):
+    before = spark.conf.get(session._CLEANUP)
+    wide = spark.range(1000).repartition(8).groupBy((F.col("id") % 7).alias("k")).count()
+    assert session.stage(wide, "counts").agg(F.sum("count")).first()[0] == 1000
+    assert spark.conf.get(session._CLEANUP) == before
+    # The DataFrame itself still runs.
+    assert wide.count() == 7
 
 
 def test_clear_scratch(tmp_path):

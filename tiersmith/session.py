@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import atexit
+import contextlib
 import uuid
 
 from pyarrow import fs
@@ -23,27 +23,26 @@ SETTINGS = {
 }
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_to_clear: set[str] = set()
+
+
 def get_session(app_name: str = "tiersmith") -> SparkSession:
     """The running session, or a new one with these settings."""
     return SparkSession.builder.appName(app_name).config(map=SETTINGS).getOrCreate()
 
 
-@functools.cache
-def _local_fallback() -> str:
-    return tempfile.mkdtemp(prefix="tiersmith-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local master may run without the setting: there the one machine's
-    temporary folder is shared by definition.
+    Only a local master may run without the setting; it then stages beside its
+    tables, in the warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_fallback()
+    if spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
 
 
@@ -53,24 +52,47 @@ def _application_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other call has been given."""
-    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    folder = _application_folder(spark)
+    if folder not in _to_clear:
+        _to_clear.add(folder)
+        # What was staged is of no use beyond the session that staged it.
+        atexit.register(_delete_if_reached, folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this application staged; its DataFrames over it end with it."""
-    filesystem, path = open_uri(_application_folder(spark))
+def _delete(folder: str) -> None:
+    filesystem, path = open_uri(folder)
     if filesystem.get_file_info(path).type == fs.FileType.Directory:
         filesystem.delete_dir(path)
 
 
+def _delete_if_reached(folder: str) -> None:
+    with contextlib.suppress(OSError):
+        _delete(folder)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged; its DataFrames over it end with it.
+
+    It happens by itself when the driver's Python ends.
+    """
+    _delete(_application_folder(spark))
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The result has no lineage, so values that depend on how rows were
     partitioned stay what they were when an executor is lost. Parquet, unlike
-    a checkpointed RDD, lets later steps read only the columns they need.
+    a checkpointed RDD, lets later steps read only the columns they need. The
+    shuffle files of the write go with it: nothing reads them again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
