@@ -1,0 +1,113 @@
+import math
+import random
+import re
+from collections import Counter
+
+from tiersmith.llm import weak_rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = list(zip(words, words[1:], words[2:]))
+    often = Counter(windows)
+    covered = {p for i, w in enumerate(windows) if often[w] > 1 for p in (i, i + 1, i + 2)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_lines": len(lines),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+        "n_windows": len(often),
+        "n_echoes": sum(a == b for a, b in zip(words, words[1:])),
+        "n_marks": text.count("!!") if "!!!" not in text else None,
+    }
+
+
+def test_counts_equal_brute_force(make, odd_rows):
+    draw = random.Random(4)
+    texts = ["".join(draw.choice(["a ", "b ", "cd ", "\n", " \t", "é#", "!! ", "$|"]) for _ in range(draw.randrange(120))) for _ in range(300)]
+    texts += ["a a a a", "a b a b a", "x y z x y z", "a b", "\n\n", "q\nq\nq \n q"]
+    rows = list(enumerate(texts)) + [(1000 + i, r[1]) for i, r in enumerate(odd_rows)]
+    got = {r.doc_id: r for r in weak_rules.text_counts(make(rows)).collect()}
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        for name, value in counts(text).items():
+            assert value is None or got[doc_id][name] == value, (name, text[:80])
+
+
+def by_hand(patterns, rules):
+    """The same estimation with dictionaries."""
+    share, right = weak_rules.PRIOR, weak_rules.RIGHT
+    abstains, wrong = weak_rules.ABSTAINS, weak_rules.WRONG
+    given = {(r, 0): {-1: right, 0: abstains, 1: wrong} for r in range(rules)}
+    given |= {(r, 1): {-1: wrong, 0: abstains, 1: right} for r in range(rules)}
+
+    def posterior(votes):
+        good = share * math.prod(given[r, 1][v] for r, v in enumerate(votes))
+        junk = (1 - share) * math.prod(given[r, 0][v] for r, v in enumerate(votes))
+        return good / (good + junk)
+
+    for _ in range(weak_rules.ROUNDS):
+        weights = {v: posterior(v) for v in patterns}
+        total = sum(patterns.values())
+        side = {1: sum(n * weights[v] for v, n in patterns.items())}
+        side[0] = total - side[1]
+        new = {}
+        for r in range(rules):
+            for good in (0, 1):
+                new[r, good] = {
+                    vote: (sum(n * (weights[v] if good else 1 - weights[v]) for v, n in patterns.items() if v[r] == vote) + 0.01)
+                    / (side[good] + 0.03)
+                    for vote in (-1, 0, 1)
+                }
+        share, given = (side[1] + 1) / (total + 2), new
+    return {v: posterior(v) for v in patterns}
+
+
+def test_posteriors_equal_estimation_by_hand(spark):
+    draw = random.Random(8)
+    patterns = Counter()
+    for _ in range(3000):
+        junk = draw.random() < 0.2
+        patterns[tuple(-1 if draw.random() < (0.7 if junk else 0.05) else (1 if draw.random() < 0.2 and not junk else 0) for _ in range(4))] += 1
+    frame = spark.createDataFrame([(list(v), n) for v, n in patterns.items()], "votes array<int>, n long")
+    got = {tuple(r.votes): r.posterior for r in weak_rules.posteriors(frame, 4).collect()}
+    want = by_hand(dict(patterns), 4)
+    assert got.keys() == want.keys()
+    assert all(abs(got[v] - want[v]) < 1e-6 for v in want)
+
+
+def test_rules_that_disagree_are_weighed(spark):
+    # Two reliable rules and one that fires at random: its lone vote is not enough.
+    rows = [([0, 0, 0], 700), ([0, 0, -1], 200), ([-1, -1, 0], 70), ([-1, -1, -1], 30)]
+    got = {tuple(r.votes): r.posterior for r in weak_rules.posteriors(spark.createDataFrame(rows, "votes array<int>, n long"), 3).collect()}
+    assert got[0, 0, -1] > 0.5 and got[-1, -1, 0] < 0.5
+
+
+def test_judgement(make, odd_rows):
+    draw = random.Random(6)
+    prose = lambda: " ".join(draw.choice("alder birch cedar dogwood elm fir ginkgo hazel iris juniper".split()) + str(draw.randrange(500)) for _ in range(90))
+    rows = [(i, prose()) for i in range(80)]
+    rows += [(100 + i, " ".join(w + "***$$$" for w in prose().split())) for i in range(10)]
+    rows += [(200 + i, prose().upper().replace(" ", "!! ")) for i in range(10)]
+    rows += [(300 + i, "word " * 200) for i in range(5)] + [(400, "short text")]
+    got = {r.doc_id: r for r in weak_rules.judge_documents(make(rows)).collect()}
+    assert all(got[i].kept and not got[i].base_failed for i in range(80))
+    assert not any(got[i].kept or got[i].base_failed for i in [*range(100, 110), *range(200, 210)])
+    assert all(got[i].base_failed and not got[i].kept for i in [*range(300, 305), 400])
+    odd = weak_rules.judge_documents(make(odd_rows)).collect()
+    assert len(odd) == len(odd_rows) and all(r.base_failed for r in odd if r.doc_id in (3, 4, 5, 6, 7))
+
+
+def test_no_python_runs_in_tasks(make):
+    plan = weak_rules.judge_documents(make([(1, "a b c")]))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_empty_table(make):
+    assert weak_rules.judge_documents(make([])).count() == 0

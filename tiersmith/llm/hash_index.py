@@ -130,4 +130,4 @@ def without_duplicates(docs: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataF
     """The rows of ``docs`` that stay, with all their columns."""
     rows = with_row_name(docs)
     dropped = exact_duplicates(rows, capacity).where(~F.col("kept")).select(ROW)
-    return rows.join(dropped, ROW, "left_anti").select(*[rows[c] for c in docs.columns])
+    return rows.join(stage(dropped, "dropped"), ROW, "left_anti").select(*[rows[c] for c in docs.columns])

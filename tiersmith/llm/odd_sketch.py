@@ -390,4 +390,4 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
     )
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
-    return docs.join(dropped.distinct(), same, "left_anti")
+    return docs.join(stage(dropped.distinct(), "dropped"), same, "left_anti")

@@ -137,7 +137,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     rows = with_row_name(docs)
     taken = mix(rows, keep=(ROW,), **options).where("copies > 0").select(ROW, "copies")
     return (
-        rows.join(taken, ROW)
+        rows.join(stage(taken, "taken"), ROW)
         .withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
         .select(*[rows[c] for c in docs.columns])
     )

@@ -47,6 +47,7 @@ ROUNDS = 30
 #: At the start: the share of good documents, and how often a rule votes for the
 #: right side, abstains, and votes for the wrong side.
 PRIOR, RIGHT, ABSTAINS, WRONG = 0.85, 0.3, 0.68, 0.02
+SMOOTHING = 0.01
 
 
 def text_counts(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -140,7 +141,7 @@ def posteriors(patterns: DataFrame, rules: int, rounds: int = ROUNDS) -> DataFra
     The parameters are one array: the share of good documents, then for each
     rule the logarithms of the probabilities of -1, 0 and 1 in junk, and of the
     same in good documents. A round replaces it by the estimate under the
-    posteriors it gives; one of each vote is added so none is impossible.
+    posteriors it gives; a hundredth of each vote is added so none is impossible.
     """
     start = [PRIOR, *[math.log(x) for x in (RIGHT, ABSTAINS, WRONG, WRONG, ABSTAINS, RIGHT)] * rules]
     initial = f"array({', '.join(f'{x!r}D' for x in start)})"
@@ -159,7 +160,7 @@ def posteriors(patterns: DataFrame, rules: int, rounds: int = ROUNDS) -> DataFra
     everything = "aggregate(e, 0D, (a, y) -> a + y.n * y.w)"
     update = (
         f"concat(array(({everything} + 1) / ({total} + 2)), "
-        f"transform(sequence(0, {6 * rules - 1}), k -> ln(({given} + 1) / ({mass} + 3))))"
+        f"transform(sequence(0, {6 * rules - 1}), k -> ln(({given} + {SMOOTHING}) / ({mass} + 3 * {SMOOTHING}))))"
     )
     # A one-element array binds what a round computes once to a name.
     step = f"transform(array({weighed}), e -> {update})[0]"
