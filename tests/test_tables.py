@@ -109,3 +109,73 @@ def test_save_with_compaction(spark, database):
     tables.save_table(spark, df, location, name, "t", optimize_table=True)
     assert tables.read_table(spark, name, "t").count() == 1000
     assert len(files(location, name, "t")) < 10
+
+
+@pytest.mark.parametrize("name_of_column", ["Location", "Provider", "Type"])
+def test_compaction_of_columns_named_like_table_facts(spark, database, name_of_column):
+    name, location = database
+    df = spark.createDataFrame([(f"v{i}", i % 3) for i in range(9)], f"{name_of_column} string, p int").repartition(5)
+    for _ in range(2):
+        tables.save_table(spark, df, location, name, "t", partition_by="p")
+    count = len(files(location, name, "t"))
+    tables.compact_table(spark, name, "t")
+    saved = tables.read_table(spark, name, "t")
+    assert sorted(r[0] for r in saved.collect()) == sorted(f"v{i % 9}" for i in range(18))
+    assert len(files(location, name, "t")) < count
+
+
+@pytest.mark.parametrize("partition_by", [None, "part"])
+@pytest.mark.parametrize("cut", ["after the copy", "while a partition is replaced", "before the copy is dropped"])
+@pytest.mark.parametrize("then", ["compact", "append"])
+def test_no_rows_are_lost_to_a_crash(spark, database, monkeypatch, partition_by, cut, then):
+    name, location = database
+    df = spark.createDataFrame([(i, f"p{i % 3}") for i in range(60)], "id int, part string").repartition(6)
+    for _ in range(2):
+        tables.save_table(spark, df, location, name, "t", partition_by=partition_by, run_ts=NOON)
+    replace, finish = tables._replace_partitions, tables.finish_compaction
+
+    class Cut(RuntimeError):
+        pass
+
+    def broken_replace(spark, rows, table, facts):
+        if cut == "before the copy is dropped":
+            return replace(spark, rows, table, facts)
+        if cut == "while a partition is replaced":
+            # What an overwrite that died leaves: some files gone, none new.
+            for path in files(location, name, "t")[::2]:
+                path.unlink()
+                (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+        raise Cut
+
+    calls = []
+
+    def broken_finish(*args):
+        calls.append(args)
+        if len(calls) > 1:
+            raise Cut
+        return finish(*args)
+
+    with monkeypatch.context() as patched, pytest.raises(Cut):
+        patched.setattr(tables, "_replace_partitions", broken_replace)
+        patched.setattr(tables, "finish_compaction", broken_finish)
+        tables.compact_table(spark, name, "t")
+    if then == "compact":
+        tables.compact_table(spark, name, "t")
+    else:
+        tables.save_table(spark, df, location, name, "t", partition_by=partition_by, run_ts=NOON)
+    saved = tables.read_table(spark, name, "t")
+    copies = 2 if then == "compact" else 3
+    assert sorted(r[0] for r in saved.select("id").collect()) == sorted(list(range(60)) * copies)
+    assert [t.name for t in spark.catalog.listTables(name)] == ["t"]
+
+
+def test_partitions_in_few_files_are_left_alone(spark, database):
+    name, location = database
+    tables.save_table(spark, spark.range(10).selectExpr("id", "'one' AS part").coalesce(1), location, name, "t", partition_by="part")
+    for _ in range(3):
+        tables.save_table(spark, spark.range(5).selectExpr("id", "'many' AS part"), location, name, "t", partition_by="part")
+    one = [p for p in files(location, name, "t") if "part=one" in str(p)]
+    tables.compact_table(spark, name, "t")
+    after = files(location, name, "t")
+    assert [p for p in after if "part=one" in str(p)] == one
+    assert len(after) == 2 and tables.read_table(spark, name, "t").count() == 25

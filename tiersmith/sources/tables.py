@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import functools
+import json
 import logging
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
-from urllib.parse import unquote
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiersmith.operators.columns import column
 
 log = logging.getLogger(__name__)
 
 AUDIT_COLUMN = "processing_ts"
+#: Bytes a compacted file should have.
+FILE_BYTES = 128 << 20
 
 
 def database_exists(spark: SparkSession, name: str) -> bool:
@@ -73,6 +80,7 @@ def save_table(
     few files, and to several when it holds much of the data.
     """
     create_database(spark, database, location)
+    finish_compaction(spark, database, table)
     partitions = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
     stamped = df.withColumn(AUDIT_COLUMN, audit_stamp(run_ts))
     if partitions:
@@ -86,60 +94,122 @@ def save_table(
         compact_table(spark, database, table)
 
 
-def _detail(spark: SparkSession, table: str, label: str, partition: str = "") -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}")
-    return described.where(F.col("col_name") == label).first()["data_type"]
+@dataclass(frozen=True)
+class _Facts:
+    """What the catalog says of a table, whatever its columns are called."""
 
+    provider: str
+    location: str
+    partitions: list[T.StructField]
 
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    @classmethod
+    def of(cls, spark: SparkSession, name: str) -> _Facts:
+        described = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {name} AS JSON").first()[0])
+        fields = {field.name: field for field in spark.table(name).schema}
+        partitions = [fields[column] for column in described.get("partition_columns") or []]
+        return cls(described["provider"], described["location"].rstrip("/"), partitions)
 
 
-def _rename_table(spark: SparkSession, old: str, new: str) -> None:
-    """Rename a table, and its partitions' places with it.
+def _scattered(spark: SparkSession, facts: _Facts, file_bytes: int) -> DataFrame:
+    """The partition values of folders with more files than their bytes call for."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "[!_.]*")
+        .load(facts.location)
+    )
+    folders = files.groupBy(F.regexp_extract("path", "^(.*/)[^/]*$", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes")
+    )
+    crowded = folders.where(F.col("n_files") > F.greatest(F.ceil(F.col("n_bytes") / file_bytes), F.lit(1)))
+
+    def value(field: T.StructField) -> Column:
+        # Folder names escape like addresses do, but keep a plus sign.
+        name = re.escape(quote(field.name, safe=""))
+        raw = F.regexp_extract("folder", f"/(?:{re.escape(field.name)}|{name})=([^/]*)/", 1)
+        text = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", text).cast(field.dataType).alias(field.name)
+
+    return crowded.select(*[value(field) for field in facts.partitions]) if facts.partitions else crowded
+
+
+def _replace_partitions(spark: SparkSession, rows: DataFrame, name: str, facts: _Facts) -> None:
+    """Overwrite those partitions of a table that ``rows`` has, or all of an unpartitioned one."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        keys = [column(field.name) for field in facts.partitions]
+        rows.hint("rebalance", *keys).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+
 
-    Not every catalog moves the partitions' recorded places when it moves the
-    table's folder; dropping such a table would remove files of another one.
+def finish_compaction(spark: SparkSession, database: str, table: str) -> None:
+    """Put right what a compaction that was cut short has left, if there was one.
+
+    Its copy, complete or not there at all, stays until every partition of the
+    table has as many rows again. ``save_table`` and ``compact_table`` call
+    this first, so nothing is added to a table in between.
     """
-    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
-    if not any(c.isPartition for c in spark.catalog.listColumns(new)):
+    live, copy, before = (f"`{database}`.`{table}{suffix}`" for suffix in ("", "__compacting", "__before"))
+    if spark.catalog.tableExists(before) and not spark.catalog.tableExists(live):
+        # Left between two renames by an earlier way of compaction.
+        spark.sql(f"ALTER TABLE {before} RENAME TO {live}")
+        if _Facts.of(spark, live).partitions:
+            spark.sql(f"MSCK REPAIR TABLE {live} SYNC PARTITIONS")
+    if not spark.catalog.tableExists(copy):
         return
-    place = _detail(spark, new, "Location").rstrip("/")
-    for row in spark.sql(f"SHOW PARTITIONS {new}").toLocalIterator():
-        pairs = [part.split("=", 1) for part in row["partition"].split("/")]
-        spec = ", ".join(f"`{unquote(name)}` = {_literal(unquote(value))}" for name, value in pairs)
-        moved = f"{place}/{row['partition']}"
-        if _detail(spark, new, "Location", f"PARTITION ({spec})").rstrip("/") == moved:
-            return
-        spark.sql(f"ALTER TABLE {new} PARTITION ({spec}) SET LOCATION {_literal(moved)}")
-
-
-def compact_table(spark: SparkSession, database: str, table: str) -> None:
-    """Rewrite a table into fewer, evenly sized files; its rows stay the same.
-
-    The new copy is complete before it takes the table's name. The exchange is
-    two renames, not one transaction: if the job dies between them, the rows
-    are in ``<table>__before``, and the next call puts them back first.
-    """
-    live, staged, before = (
-        f"`{database}`.`{table}{suffix}`" for suffix in ("", "__staged", "__before")
+    spark.catalog.refreshTable(live)
+    facts = _Facts.of(spark, live)
+    keys = [column(field.name) for field in facts.partitions]
+    kept = spark.table(copy).groupBy(*keys).agg(F.count(F.lit(1)).alias("__kept"))
+    left = spark.table(live).groupBy(*keys).agg(F.count(F.lit(1)).alias("__left"))
+    same = [F.col(f"k.`{f.name}`").eqNullSafe(F.col(f"l.`{f.name}`")) for f in facts.partitions] or [F.lit(True)]
+    short = (
+        kept.alias("k")
+        .join(left.alias("l"), functools.reduce(Column.__and__, same), "left")
+        .where("__kept > coalesce(__left, 0)")
+        .select("k.*")
+        .drop("__kept")
     )
-    if spark.catalog.tableExists(before):
-        if spark.catalog.tableExists(live):
-            spark.sql(f"DROP TABLE {before}")
-        else:
-            _rename_table(spark, before, live)
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-
-    partitions = [c.name for c in spark.catalog.listColumns(live) if c.isPartition]
-    # Rebalancing joins small partitions and splits large ones by size.
-    copy = spark.table(live).hint("rebalance", *map(column, partitions))
-    writer = copy.write.format(_detail(spark, live, "Provider"))
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.saveAsTable(staged)
-
-    _rename_table(spark, live, before)
-    _rename_table(spark, staged, live)
-    spark.sql(f"DROP TABLE {before}")
+    if not short.isEmpty():
+        rows = spark.table(copy)
+        if facts.partitions:
+            match = [F.col(f"c.`{f.name}`").eqNullSafe(F.col(f"s.`{f.name}`")) for f in facts.partitions]
+            rows = rows.alias("c").join(short.alias("s"), functools.reduce(Column.__and__, match), "left_semi")
+        _replace_partitions(spark, rows, live, facts)
+        spark.catalog.refreshTable(live)
+        log.warning("restored %s.%s from its copy", database, table)
+    spark.sql(f"DROP TABLE {copy}")
+
+
+def compact_table(spark: SparkSession, database: str, table: str, file_bytes: int = FILE_BYTES) -> None:
+    """Rewrite partitions of many small files into fewer, evenly sized ones; the rows stay the same.
+
+    Partitions whose files are as few as their bytes call for are neither read
+    nor written. The rows of the others are first copied to a table of their
+    own, which exists only when complete, and overwrite the partitions from
+    there. If the job dies in between, the copy has the rows, and the next call
+    for the table, or the next save to it, puts them back.
+    """
+    live, copy = f"`{database}`.`{table}`", f"`{database}`.`{table}__compacting`"
+    finish_compaction(spark, database, table)
+    facts = _Facts.of(spark, live)
+    names = [field.name for field in facts.partitions]
+    scattered = _scattered(spark, facts, file_bytes)
+    if scattered.isEmpty():
+        return
+    rows = spark.table(live)
+    if names:
+        # A subquery over partition columns alone: other partitions are pruned.
+        chosen = scattered.agg(F.collect_set(F.struct(*map(column, names)))).scalar()
+        rows = rows.where(F.array_contains(chosen, F.struct(*map(column, names))))
+    writer = rows.hint("rebalance", *map(column, names)).write.format(facts.provider)
+    if names:
+        writer = writer.partitionBy(*names)
+    writer.saveAsTable(copy)
+    _replace_partitions(spark, spark.table(copy), live, facts)
+    spark.catalog.refreshTable(live)
+    finish_compaction(spark, database, table)
     log.info("compacted %s.%s", database, table)
