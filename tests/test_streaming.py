@@ -2,6 +2,7 @@ from datetime import datetime, timezone
 
 import pytest
 
+from tiersmith.errors import ColumnError
 from tiersmith.plans.jobs import IncrementalBronzeJob
 from tiersmith.sources.tables import read_table
 from tiersmith.streaming import incremental
@@ -99,3 +100,53 @@ def test_a_backlog_in_several_batches(spark, run, database, tmp_path):
     assert run(files_per_batch=2) == [(str(i),) for i in range(5)]
     loads = read_table(spark, database[0], "t").select("load_id").distinct().collect()
     assert sorted(r.load_id for r in loads) == [0, 1, 2]
+
+
+def test_two_streams_into_one_table(spark, database, tmp_path):
+    name, location = database
+    for folder, text in (("a", "id,name\n1,x\n2,y\n"), ("b", "name,id\nz,3\n")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "f.csv").write_text(text)
+        incremental.ingest_new_files(spark, f"{location}/{folder}", location, name, "t", f"{location}/checkpoint_{folder}")
+    saved = read_table(spark, name, "t")
+    assert sorted((r.id, r.name) for r in saved.collect()) == [("1", "x"), ("2", "y"), ("3", "z")]
+    assert saved.select("load_stream").distinct().count() == 2
+
+
+def test_columns_are_matched_by_name_once_old_files_are_gone(run, tmp_path):
+    landing = tmp_path / "landing"
+    (landing / "a.csv").write_text("a,b\n1,2\n")
+    run()
+    (landing / "a.csv").unlink()
+    (landing / "b.csv").write_text("b,a\n20,10\n")
+    assert run() == [("1", "2"), ("10", "20")]
+    (landing / "b.csv").unlink()
+    (landing / "c.csv").write_text("a,c\n5,6\n")
+    with pytest.raises(ColumnError, match="columns"):
+        run()
+
+
+def test_names_that_begin_alike_are_other_tables(spark, database, tmp_path):
+    name, location = database
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for file, text in (("person.csv", "id\n1\n"), ("person_2024-01-02.csv", "id\n2\n"), ("person_address_1.csv", "id\n9\n"), ("persons.csv", "id\n8\n")):
+        (landing / file).write_text(text)
+    job = IncrementalBronzeJob(
+        spark, str(landing), location, name, {"person": {"file_name": "person"}}, checkpoint=f"{location}/checkpoint"
+    )
+    (output,) = job.run(partition_by="id", optimize_table=True)
+    assert output.table == f"{name}.person" and sorted(r.id for r in output.df.collect()) == ["1", "2"]
+    assert [c.name for c in spark.catalog.listColumns(f"{name}.person") if c.isPartition] == ["load_stream", "load_id", "id"]
+
+
+def test_the_jobs_options_are_honoured(spark, database, tmp_path):
+    name, location = database
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "t.csv").write_text("id\n1\n")
+    options = {"checkpoint": f"{location}/checkpoint"}
+    args = (spark, f"{location}/landing", location, name, {"t": {"file_name": "t"}})
+    with pytest.raises(ValueError, match="overwrite"):
+        IncrementalBronzeJob(*args, overwrite=True, **options)
+    IncrementalBronzeJob(*args, file_format="orc", **options).run()
+    assert list((tmp_path / name / "_db" / "t").rglob("*.orc"))

@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiersmith.errors import TransformError
 from tiersmith.files import path_of
 from tiersmith.operators.columns import apply_prefix, cast_table, clean_column_names
 from tiersmith.operators.joins import star_join
 from tiersmith.operators.quality import TableSpec, quality_gate
+from tiersmith.session import stage
 from tiersmith.sources.archives import archive_files
 from tiersmith.sources.landing import Output, read_csv_tables
-from tiersmith.sources.tables import read_table, save_table
-from tiersmith.streaming.incremental import ingest_new_files
+from tiersmith.sources.tables import compact_table, read_table, save_table
+from tiersmith.streaming.incremental import ingest_new_files, without_load_columns
 
 log = logging.getLogger(__name__)
 
@@ -152,32 +154,44 @@ class BronzeJob(LayerJob):
         outputs = super().run(*args, **options)
         if self.archive is not None and outputs:
             stamp = (self.run_ts or datetime.now()).strftime("%Y%m%dT%H%M%S")
-            # The listing that the saved DataFrames were planned with.
-            paths = {unquote(path) for output in outputs for path in output.df.inputFiles()}
-            inside = len(path_of(self.landing)) + 1
-            names = [(path, path_of(path)[inside:]) for path in sorted(paths)]
-            files = self.spark.createDataFrame(names, "path string, name string")
-            archive_files(files, f"{self.archive.rstrip('/')}/{stamp}")
+            # The files the saved DataFrames were planned with, listed on the cluster.
+            found = [
+                output.df.select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"))
+                for output in outputs
+            ]
+            paths = functools.reduce(DataFrame.unionByName, found).distinct()
+            place = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
+            files = paths.select("path", F.substr(place, F.lit(len(path_of(self.landing)) + 2)).alias("name"))
+            archive_files(stage(files, "loaded"), f"{self.archive.rstrip('/')}/{stamp}")
         return outputs
 
 
 class IncrementalBronzeJob(BronzeJob):
     """The same tables, from the files that no earlier run has loaded.
 
-    A table's files are those whose names start with its ``file_name``. With
+    A table's files are ``<file_name>.csv`` and, as more arrive, the same name
+    with a point, hyphen or underscore and a number or date behind it. With
     ``archive`` they are moved to that folder once a later run has loaded more.
+    Earlier loads stay, so ``overwrite`` is an error.
     """
 
     def __init__(self, *args, checkpoint: str, **options) -> None:
         super().__init__(*args, **options)
+        if self.overwrite:
+            raise ValueError("an incremental load does not overwrite; use BronzeJob")
         self.checkpoint = checkpoint.rstrip("/")
 
-    def run(self) -> None:
+    def run(
+        self, partition_by: Sequence[str] | str | None = None, optimize_table: bool = False
+    ) -> list[Output]:
+        """Load what is new and return the tables, each with all its loads."""
+        keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
+        outputs = []
         for table, entry in self.config.items():
             try:
                 ingest_new_files(
                     self.spark,
-                    f"{self.landing}/{entry['file_name']}*.csv",
+                    f"{self.landing}/{entry['file_name']}{{,[-_.][0-9]*}}.csv",
                     self.location,
                     self.database,
                     table,
@@ -185,11 +199,19 @@ class IncrementalBronzeJob(BronzeJob):
                     self.archive,
                     sep=self.sep,
                     run_ts=self.run_ts,
+                    file_format=self.file_format,
+                    partition_by=keys,
                 )
             except AnalysisException as error:
                 if self.missing == "error" or error.getCondition() != "PATH_NOT_FOUND":
                     raise
                 log.warning("no file yet for table %s", table)
+                continue
+            if optimize_table:
+                compact_table(self.spark, self.database, table)
+            loaded = without_load_columns(read_table(self.spark, self.database, table))
+            outputs.append(Output(f"{self.database}.{table}", loaded))
+        return outputs
 
 
 class SilverJob(LayerJob):

@@ -443,27 +443,29 @@ def compact_table_(spark, sf_dir):
 
 @query
 def incremental_ingest(spark, sf_dir):
+    """Two landing folders into one table; the second has its columns in another order."""
     location, database = fresh_database(spark, "incremental")
     orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
     orders = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
-    pending = F.col("o_orderstatus") == "P"
-    job = IncrementalBronzeJob(
-        spark,
-        f"{location}/landing",
-        location,
-        database,
-        {"orders": {"file_name": "orders_data"}},
-        run_ts=RUN_TS,
-        checkpoint=f"{location}/checkpoint",
-        archive=f"{location}/archive",
-    )
-    # The third run finds nothing new.
-    for arrived in (orders.where(~pending), orders.where(pending), None):
-        if arrived is not None:
-            arrived.write.mode("append").option("header", True).csv(
-                f"{location}/landing/orders_data.csv"
-            )
-        job.run()
+    pending, urgent = F.col("o_orderstatus") == "P", F.col("o_orderpriority") == "1-URGENT"
+    for folder, rows in (("a", orders.where(~urgent)), ("b", orders.where(urgent).select(*reversed(orders.columns)))):
+        landing = f"{location}/landing_{folder}"
+        job = IncrementalBronzeJob(
+            spark,
+            landing,
+            location,
+            database,
+            {"orders": {"file_name": "orders_data"}},
+            run_ts=RUN_TS,
+            checkpoint=f"{location}/checkpoint_{folder}",
+            archive=f"{location}/archive_{folder}",
+        )
+        # The name of another table begins alike; the third run finds nothing new.
+        rows.limit(5).write.option("header", True).csv(f"{landing}/orders_data_old.csv")
+        for arrived in (rows.where(~pending), rows.where(pending), None):
+            if arrived is not None:
+                arrived.write.mode("append").option("header", True).csv(f"{landing}/orders_data.csv")
+            job.run(optimize_table=arrived is None)
     return without_load_columns(read_table(spark, database, "orders"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -9,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiersmith.operators.columns import clean_column_names
+from tiersmith.errors import ColumnError
+from tiersmith.operators.columns import clean_column_names, column, require_columns
 from tiersmith.sources.landing import read_csv
-from tiersmith.sources.tables import AUDIT_COLUMN, audit_stamp, create_database
+from tiersmith.sources.tables import AUDIT_COLUMN, audit_stamp, create_database, finish_compaction
 
-LOAD_COLUMN = "load_id"
+#: Which stream loaded a row, and in which of its batches.
+STREAM_COLUMN, LOAD_COLUMN = "load_stream", "load_id"
 
 
 def landing_schema(spark: SparkSession, landing: str, table: str, sep: str = ",") -> T.StructType:
@@ -46,12 +49,16 @@ def ingest_new_files(
     sep: str = ",",
     run_ts: datetime | None = None,
     files_per_batch: int | None = None,
+    file_format: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Append the landing files no earlier call has loaded to ``database.table``.
 
-    ``landing`` is a folder or a glob; its files must have the same header. The
-    checkpoint remembers what was loaded. A batch that is repeated after a
-    failure replaces its own partition (``load_id``) and so adds no row twice.
+    ``landing`` is a folder or a glob; its new files must have the same header,
+    and the same columns as the table, in any order. The checkpoint remembers
+    what was loaded and gives the stream its id. A batch that is repeated after
+    a failure replaces its own partition (``load_stream``, ``load_id``) and so
+    adds no row twice, and takes none from other streams into the table.
     ``files_per_batch`` cuts a large backlog into several batches. With
     ``archive``, a folder beside the landing folder, loaded files are moved
     there once a later batch has run.
@@ -66,24 +73,36 @@ def ingest_new_files(
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     arrived = clean_column_names(reader.csv(landing))
+    require_columns(arrived, partition_by)
     create_database(spark, database, location)
     # The table is there before the first batch, so all batches are alike.
     texts = ", ".join(f"`{column}` STRING" for column in arrived.columns)
+    keys = ", ".join(f"`{column}`" for column in (STREAM_COLUMN, LOAD_COLUMN, *partition_by))
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} "
-        f"({texts}, {AUDIT_COLUMN} TIMESTAMP, {LOAD_COLUMN} BIGINT) "
-        f"USING parquet PARTITIONED BY ({LOAD_COLUMN})"
+        f"({texts}, {AUDIT_COLUMN} TIMESTAMP, {STREAM_COLUMN} STRING, {LOAD_COLUMN} BIGINT) "
+        f"USING {file_format} PARTITIONED BY ({keys})"
     )
+    finish_compaction(spark, database, table)
+    columns = spark.table(name).columns
+    known = set(columns) - {AUDIT_COLUMN, STREAM_COLUMN, LOAD_COLUMN}
+    if known != set(arrived.columns):
+        raise ColumnError(f"{table} has columns {sorted(known)}, its new files {sorted(arrived.columns)}")
 
     def save_batch(batch: DataFrame, batch_id: int) -> None:
-        loaded = batch.select(
-            "*", audit_stamp(run_ts), F.lit(batch_id).cast("bigint").alias(LOAD_COLUMN)
+        session = batch.sparkSession
+        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        loaded = batch.withColumns(
+            {
+                AUDIT_COLUMN: audit_stamp(run_ts),
+                STREAM_COLUMN: F.lit(stream),
+                LOAD_COLUMN: F.lit(batch_id).cast("bigint"),
+            }
         )
         # Only the partition of this batch is replaced. The setting stays in
-        # the session that the stream has of its own.
-        session = batch.sparkSession
+        # the session that the stream has of its own. Inserts go by position.
         session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        loaded.write.mode("overwrite").insertInto(name)
+        loaded.select(*map(column, columns)).write.mode("overwrite").insertInto(name)
 
     query = (
         arrived.writeStream.option("checkpointLocation", checkpoint)
@@ -98,4 +117,4 @@ def ingest_new_files(
 
 def without_load_columns(df: DataFrame) -> DataFrame:
     """The data columns of an incrementally loaded table."""
-    return df.drop(AUDIT_COLUMN, LOAD_COLUMN)
+    return df.drop(AUDIT_COLUMN, STREAM_COLUMN, LOAD_COLUMN)
