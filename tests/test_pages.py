@@ -44,6 +44,27 @@ def test_product_cards(spark):
     assert {c.next_link for c in cards} == {"?page=2"}
 
 
+def test_a_shelf_ends_with_its_element(spark):
+    card = '<li class="item__gutter"><a class="item__productName" href="/{0}">{0}</a></li>'
+    inside = '<div class="row"><DIV>' + card.format("a") + "</DIV ></div>" + card.format("b")
+    behind = card.format("c") + '<a class="icon-angle-right" href="/no">x</a>'
+    htmls = [
+        f'<div class="plp">{inside}</div>{behind}',
+        f'<div class="plp">{inside}</div><div class="plp">{behind}</div>',
+        f'<div class="plp">{inside}{behind}',
+        f'<p><div class="plp"></div>{behind}</p>',
+    ]
+    df = spark.createDataFrame(list(enumerate(htmls)), "page_id int, html string")
+    found = {}
+    for row in product_cards(df, "page_id").collect():
+        found.setdefault(row.page_id, []).append((row.name, row.next_link))
+    assert found == {
+        0: [("a", None), ("b", None)],
+        1: [("a", None), ("b", None)],
+        2: [("a", "/no"), ("b", "/no"), ("c", "/no")],
+    }
+
+
 def test_page_without_shelf(spark):
     df = spark.createDataFrame([(1, "u", "<p>empty</p>"), (2, "u", None)], "page_id int, url string, html string")
     assert product_cards(df, "page_id").count() == 0

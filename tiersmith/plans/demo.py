@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tiersmith.operators.columns import (
@@ -122,6 +123,11 @@ def run_demo(
     )
 
 
+def preview(df: DataFrame, order_by: Sequence[str | Column], rows: int = 20) -> DataFrame:
+    """The first rows of an order; each task keeps no more than these."""
+    return df.orderBy(*order_by).limit(rows)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description="Landing to gold; shows located persons.")
     parser.add_argument("landing", help="folder of the CSV files")

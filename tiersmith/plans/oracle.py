@@ -110,6 +110,7 @@ ORACLE["surrogate_key_scaled"] = """
     SELECT row_number() OVER (ORDER BY o_custkey, o_orderpriority) AS id, o_custkey, o_orderpriority
     FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders)
 """
+ORACLE["sparse_id"] = "SELECT p_partkey, true AS unique_id FROM part"
 ORACLE["column_pair_map"] = """
     SELECT c_custkey AS "left", c_name AS "right" FROM customer
     WHERE c_custkey IS NOT NULL AND c_name IS NOT NULL
@@ -185,6 +186,10 @@ ORACLE["dq_recent_years"] = _date_lines(
     "l_shipdate >= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 5 YEAR",
 )
 ORACLE["violations"] = f"SELECT * FROM ({_BUYERS}) WHERE NOT o_buyer >= 100"
+ORACLE["any_violations"] = """
+    SELECT bool_or(NOT o_totalprice >= 2000) AS any_cheap, bool_or(o_orderkey IS NULL) AS any_without_key
+    FROM orders
+"""
 ORACLE["duplicate_keys"] = f"""
     SELECT o_buyer, count(*) AS n_rows FROM ({_BUYERS}) GROUP BY o_buyer HAVING count(*) > 1
 """
@@ -297,13 +302,19 @@ ORACLE["clean_name_price"] = f"""
     SELECT p_partkey, product_name, CAST(price AS DOUBLE) AS product_price_now FROM ({_PRODUCTS})
 """
 ORACLE["unit_price"] = _comparable(_PRODUCTS)
-ORACLE["product_csv_export"] = f"""
+
+
+def _exported(products: str) -> str:
+    return f"""
     SELECT product_name, brand_name, url, CAST(price AS VARCHAR) AS product_price_now,
            CAST(product_quantity AS VARCHAR) AS product_quantity,
            CAST(size AS VARCHAR) AS product_size, unit AS product_size_unit,
            CAST(per AS VARCHAR) AS product_price_per, per_unit AS product_price_per_unit
-    FROM ({_unit_prices(_PRODUCTS)})
-"""
+    FROM ({_unit_prices(products)})
+    """
+
+
+ORACLE["product_csv_export"] = _exported(_PRODUCTS)
 _AMOUNT = f"split_part({_PRICE}, '.', 1)"
 ORACLE["shop_cards"] = f"""
     SELECT p_partkey AS page_id, p_name || ' ' || p_size || pack AS name,
@@ -328,6 +339,17 @@ _CARDS = f"""
       ON brand = p_brand
 """
 ORACLE["price_capture"] = _comparable(_CARDS)
+ORACLE["price_job"] = _exported(_CARDS)
+
+ORACLE["silver_cached"] = """
+    SELECT c_custkey AS customer_id, c_name AS customer_c_name,
+           CAST(round(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(15,2))) AS BIGINT) AS customer_c_acctbal
+    FROM customer
+"""
+ORACLE["preview_rows"] = f"""
+    SELECT person_c_custkey, person_c_acctbal, country_r_name FROM ({ORACLE["gold_star_join"]})
+    ORDER BY person_c_acctbal DESC, person_c_custkey LIMIT 20
+"""
 
 ORACLE["medallion_end_to_end"] = """
     SELECT CAST(c_custkey AS INTEGER) AS person_id, c_mktsegment AS person_first_name,

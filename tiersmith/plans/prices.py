@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,18 +81,17 @@ def capture_prices(
     once; a competitor of two own brands gives its products twice.
     """
     bridge = brand_bridge(brand_maps, json_column, base_url)
-    # Stored, the addresses have a known size: Spark broadcasts them if they are
-    # small, and only otherwise shuffles the pages. Each page is parsed once,
-    # however many brands list its address.
     addresses = stage(bridge.groupBy("brand", "url").agg(F.count("*").alias("listed")), "brands")
+    # Each page becomes its few small cards before anything is joined or moved,
+    # however many brands list its address.
     shop_pages = pages.select(
         F.col("url").alias("page_url"),
         F.regexp_extract("url", r"^[^?#]*", 0).alias("shop_url"),
         "html",
     )
-    branded = join_table(shop_pages, addresses, ("shop_url", "url"), "inner")
-    cards = product_cards(branded, "page_url", "brand", "listed")
-    products = cards.select(
+    cards = product_cards(shop_pages, "page_url", "shop_url").drop("next_link")
+    branded = join_table(cards, addresses, ("shop_url", "url"), "inner")
+    products = branded.select(
         "name",
         "brand",
         absolute_url(F.col("page_url"), F.col("link")).alias("url"),
@@ -107,3 +106,37 @@ def capture_prices(
 def export_products(products: DataFrame, path: str) -> None:
     """The products as CSV files with a header; quotes in a field are doubled."""
     write_csv(products, path, escape='"')
+
+
+class PriceJob:
+    """From shop pages and brand maps to a landed product file.
+
+    ``run`` captures the prices of all listed brands and lands them as a folder
+    of CSV files, ``<landing>/<file_name>_<time of the run>.csv``, which the
+    incremental bronze job loads under ``file_name``. It returns that path.
+    """
+
+    def __init__(
+        self,
+        pages: DataFrame,
+        brand_maps: DataFrame,
+        json_column: str,
+        base_url: str,
+        landing: str,
+        file_name: str = "products",
+        run_ts: datetime | None = None,
+    ) -> None:
+        self.pages = pages
+        self.brand_maps = brand_maps
+        self.json_column = json_column
+        self.base_url = base_url
+        self.landing = landing.rstrip("/")
+        self.file_name = file_name
+        self.run_ts = run_ts
+
+    def run(self) -> str:
+        run_ts = self.run_ts or datetime.now(timezone.utc)
+        products = capture_prices(self.pages, self.brand_maps, self.json_column, self.base_url, run_ts)
+        path = f"{self.landing}/{self.file_name}_{run_ts:%Y%m%dT%H%M%S}.csv"
+        export_products(products, path)
+        return path

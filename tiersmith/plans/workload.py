@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 from tiersmith.functions.products import clean_name, clean_price
 from tiersmith.operators import columns, joins, keys, quality
 from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
-from tiersmith.plans.demo import run_demo
-from tiersmith.plans.jobs import BronzeJob, IncrementalBronzeJob
-from tiersmith.plans.prices import capture_prices, export_products, unit_price
-from tiersmith.session import scratch_path
+from tiersmith.plans.demo import preview, run_demo
+from tiersmith.plans.jobs import BronzeJob, IncrementalBronzeJob, SilverJob, Transforms
+from tiersmith.plans.prices import PriceJob, capture_prices, export_products, unit_price
+from tiersmith.session import scratch_path, stage
 from tiersmith.sources.archives import read_zip_csv, zip_files
 from tiersmith.sources.brands import brand_bridge, brand_url
 from tiersmith.sources.landing import read_csv, write_csv
@@ -257,7 +257,10 @@ def surrogate_key_scaled(spark, sf_dir):
 
 @query
 def sparse_id(spark, sf_dir):
-    return keys.sparse_id(table(spark, sf_dir, "part"))
+    """The ids are arbitrary; whether each is the only one of its kind is not."""
+    numbered = stage(keys.sparse_id(table(spark, sf_dir, "part")).select("p_partkey", "id"), "sparse")
+    counted = numbered.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    return numbered.join(counted, "id", "left").select("p_partkey", (F.col("n") == 1).alias("unique_id"))
 
 
 @query
@@ -299,6 +302,16 @@ def violations(spark, sf_dir):
     return quality.violations(orders_with_buyer(spark, sf_dir), F.col("o_buyer") >= 100)
 
 
+@query
+def any_violations(spark, sf_dir):
+    """Whether a condition fails anywhere, for one that does and one that does not."""
+    orders = orders_with_buyer(spark, sf_dir)
+    return spark.range(1).select(
+        F.lit(quality.has_violations(orders, F.col("o_totalprice") >= 2000)).alias("any_cheap"),
+        F.lit(quality.has_violations(orders, F.col("o_orderkey").isNotNull())).alias("any_without_key"),
+    )
+
+
 @query
 def duplicate_keys(spark, sf_dir):
     return quality.duplicate_keys(orders_with_buyer(spark, sf_dir), "o_buyer")
@@ -586,7 +599,10 @@ def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         card(F.concat(size, F.lit("pk")), F.concat(amount[0], F.lit("0")), amount[1]),
         F.lit('</ul><a class="icon icon-angle-right" href="?page='),
         (F.col("p_partkey") + 1).cast("string"),
-        F.lit('">next</a></div></body></html>'),
+        # What comes behind the shelf is none of it.
+        F.lit('">next</a><div class="note"><div>End</div></div></div><div class="recommended"><ul>'),
+        card(F.lit("9999ml"), F.lit("1"), F.lit("99")),
+        F.lit('</ul></div><a class="icon-angle-right" href="/elsewhere">more</a></body></html>'),
     )
     url = F.concat(
         brand_url(SHOP, F.col("p_brand")), F.lit("?page="), F.col("p_partkey").cast("string")
@@ -620,9 +636,53 @@ def price_capture(spark, sf_dir):
     return comparable(found)
 
 
+@query
+def price_job(spark, sf_dir):
+    """The file that the price job lands, read back."""
+    landing = scratch_path(spark, "price_job")
+    job = PriceJob(shop_pages(spark, sf_dir), brand_maps(spark, sf_dir), "brands", SHOP, landing, run_ts=RUN_TS)
+    return read_csv(spark, job.run(), escape='"').drop("timestamp")
+
+
 # --- end to end ----------------------------------------------------------
 
 
+@query
+def silver_cached(spark, sf_dir):
+    """A silver table whose checked rows are kept for the save."""
+    location, database = fresh_database(spark, "silver_cached")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), "c_name", F.col("c_acctbal").cast("string").alias("c_acctbal")
+    )
+    save_table(spark, customers, location, f"{database}_bronze", "customer", run_ts=RUN_TS)
+    spec = TableSpec(
+        "customer",
+        (
+            ColumnSpec("customer_id", T.LongType(), unique=True),
+            ColumnSpec("customer_c_name", T.StringType(), unique=True),
+            ColumnSpec("customer_c_acctbal", T.DecimalType(10, 0)),
+        ),
+    )
+    transforms = Transforms()
+    transforms.register("plain")(lambda df: columns.drop_columns(df, AUDIT_COLUMN))
+    config = {"customer": {"src_name": "customer", "prefix": "customer", "transformation": "plain"}}
+    SilverJob(
+        spark, location, f"{database}_bronze", database, config, {"customer": spec}, transforms,
+        validate="strict", cache_checked=True, run_ts=RUN_TS,
+    ).run()
+    saved = columns.drop_columns(read_table(spark, database, "customer"), AUDIT_COLUMN)
+    return saved.withColumn("customer_c_acctbal", F.col("customer_c_acctbal").cast("bigint"))
+
+
+@query
+def preview_rows(spark, sf_dir):
+    """The first located customers by balance."""
+    located = gold_star_join(spark, sf_dir).select("person_c_custkey", "person_c_acctbal", "country_r_name")
+    return preview(located, [F.desc("person_c_acctbal"), "person_c_custkey"])
+
+
+
+
 @query
 def medallion_end_to_end(spark, sf_dir):
     location, run_hash = fresh_database(spark, "demo")

@@ -99,6 +99,28 @@ def rest_from(html: Column, selector: Selector) -> Column:
     return F.regexp_extract(html, f"{_FLAGS}{selector.opening}.*", 0)
 
 
+def first_element(html: Column, selector: Selector) -> Column:
+    """The first such element with all it holds, NULL or empty without one.
+
+    It ends where as many of its tags are closed as were opened; a page that
+    never closes it gives its rest. Only the tags of that name are counted,
+    between the closing ones by which the text is cut.
+    """
+    tag = re.escape(selector.tag)
+    pieces = F.split(rest_from(html, selector), f"{_FLAGS}</{tag}\\s*>")
+    opened = F.transform(pieces, lambda piece: F.regexp_count(piece, F.lit(rf"{_FLAGS}<{tag}(?=[\s/>])")))
+    # Piece k is followed by closing tag k + 1.
+    start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("closed"), F.lit(0).alias("end"))
+
+    def count(state: Column, more: Column) -> Column:
+        opened, closed = state["opened"] + more, state["closed"] + 1
+        end = F.when((state["end"] == 0) & (opened <= closed), closed).otherwise(state["end"])
+        return F.struct(opened.alias("opened"), closed.alias("closed"), end.alias("end"))
+
+    end = F.aggregate(opened, start, count, lambda state: state["end"])
+    return F.array_join(F.when(end > 0, F.slice(pieces, 1, end)).otherwise(pieces), f"</{selector.tag}>")
+
+
 def absolute_url(page_url: Column, link: Column) -> Column:
     """A link as the page at ``page_url`` means it."""
     origin = F.regexp_extract(page_url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
@@ -115,7 +137,7 @@ def absolute_url(page_url: Column, link: Column) -> Column:
 
 
 def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
-    """One row per product card of a page's first shelf.
+    """One row per product card of a page's first shelf, which ends with its element.
 
     Gives the columns ``keep``, the card's ``name`` and ``link``, the page's
     ``next_link``, and the price text in two parts: the element that holds the
@@ -123,7 +145,7 @@ def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
     """
     # Each step is a column of its own, so no text is searched twice for it.
     cards = (
-        pages.select(*keep, rest_from(F.col("html"), SHELF).alias("shelf"))
+        pages.select(*keep, first_element(F.col("html"), SHELF).alias("shelf"))
         .select(
             *keep,
             attribute(F.col("shelf"), NEXT_LINK, "href").alias("next_link"),
