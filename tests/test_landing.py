@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.errors import AnalysisException
 
+from tiersmith.errors import ColumnError
 from tiersmith.plans.jobs import BronzeJob
 from tiersmith.sources import archives, landing
 from tiersmith.sources.tables import read_table
@@ -69,8 +70,9 @@ def test_zip_members_in_folders_and_many_batches(spark, tmp_path):
         file.mkdir("empty")
     (tmp_path / "other.txt").write_text("no zip")
     read = archives.read_zip_lines(spark, str(tmp_path))
-    assert {r.member for r in read.select("member").distinct().collect()} == {"deep/one.csv", "two.csv"}
-    rows = archives.read_zip_csv(spark, str(tmp_path), ["id", "text"])
+    # All members are there unless a glob leaves some out.
+    assert {r.member for r in read.select("member").distinct().collect()} == {"deep/one.csv", "two.csv", "notes.txt"}
+    rows = archives.read_zip_csv(spark, str(tmp_path), ["id", "text"], members="*.csv")
     assert rows.count() == 30_001
     wanted = {tuple(line.split(",")) for line in lines} | {("7", "last")}
     assert {(r.id, r.text or "") for r in rows.collect()} == wanted
@@ -119,3 +121,32 @@ def test_bronze_job_archives_only_what_it_loaded(spark, folder, database, place)
 def test_exclusion_from_packing(spark, folder):
     packed = archives.zip_files(spark, str(folder), str(folder / "archive"), "r", exclude=("a.csv",))
     assert [r.path.rsplit("/", 1)[1] for r in packed.collect()] == ["b.csv"]
+
+
+def zipped(path, **members):
+    with zipfile.ZipFile(path, "w") as file:
+        for name, text in members.items():
+            file.writestr(name.replace("__", "."), text)
+
+
+def test_members_are_read_under_their_own_headers(spark, tmp_path):
+    zipped(tmp_path / "one.zip", a__csv="a,b\n1,2\n", b__CSV="b,a\n20,10\n")
+    zipped(tmp_path / "TWO.ZIP", a__csv="a,b\n3,4\n")
+    rows = archives.read_zip_csv(spark, str(tmp_path)).collect()
+    assert sorted((r.a, r.b) for r in rows) == [("1", "2"), ("10", "20"), ("3", "4")]
+    zipped(tmp_path / "three.zip", c__csv="a,c\n5,6\n")
+    with pytest.raises(ColumnError, match="columns"):
+        archives.read_zip_csv(spark, str(tmp_path))
+
+
+def test_all_members_are_unpacked(spark, tmp_path):
+    zipped(tmp_path / "x.zip", **{"t__txt": "test", "in/u__CSV": "id\n1", "../../out__txt": "no"})
+    got = archives.expand_archives(spark, str(tmp_path), str(tmp_path / "landing"))
+    assert sorted(r.member for r in got.collect()) == ["../../out.txt", "in/u.CSV", "t.txt"]
+    unpacked = {str(p.relative_to(tmp_path / "landing")): p.read_text() for p in (tmp_path / "landing").rglob("*") if p.is_file() and p.suffix != ".crc"}
+    assert unpacked == {"t.txt": "test", "in/u.CSV": "id\n1", "out.txt": "no"}
+
+
+def test_no_archives(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x")
+    assert archives.read_zip_csv(spark, str(tmp_path), ["a"]).count() == 0

@@ -19,6 +19,7 @@ from tiersmith.operators.keys import surrogate_key
 from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
 from tiersmith.plans.jobs import BronzeJob, GoldJob, SilverJob, Transforms
 from tiersmith.session import get_session
+from tiersmith.sources.archives import expand_archives
 from tiersmith.sources.tables import AUDIT_COLUMN, layer_name, read_table
 
 _NON_NEGATIVE = (Check("ge", {"bound": 0}),)
@@ -109,8 +110,14 @@ def run_demo(
     run_hash: str | None = None,
     validate: str = "report",
     run_ts: datetime | None = None,
+    archives: str | None = None,
 ) -> DataFrame:
-    """Landing to gold in one session; returns the located persons of the gold table."""
+    """Landing to gold in one session; returns the located persons of the gold table.
+
+    With ``archives``, the zip files of that folder are unpacked into landing first.
+    """
+    if archives is not None:
+        expand_archives(spark, archives, landing)
     bronze, silver, gold = (layer_name(name, run_hash) for name in ("bronze", "silver", "gold"))
     options = {"overwrite": True, "run_ts": run_ts}
     BronzeJob(spark, landing, location, bronze, BRONZE_CONFIG, **options).run()
@@ -134,8 +141,12 @@ def main() -> None:
     parser.add_argument("location", help="folder for the databases")
     parser.add_argument("--run-hash", help="suffix of the database names")
     parser.add_argument("--validate", choices=("off", "report", "strict"), default="report")
+    parser.add_argument("--archives", help="folder of zip files to unpack into landing first")
     args = parser.parse_args()
-    run_demo(get_session("demo"), args.landing, args.location, args.run_hash, args.validate).show()
+    located = run_demo(
+        get_session("demo"), args.landing, args.location, args.run_hash, args.validate, archives=args.archives
+    )
+    preview(located, ["person_id"]).show()
 
 
 if __name__ == "__main__":

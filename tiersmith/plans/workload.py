@@ -21,7 +21,7 @@ from tiersmith.plans.demo import preview, run_demo
 from tiersmith.plans.jobs import BronzeJob, IncrementalBronzeJob, SilverJob, Transforms
 from tiersmith.plans.prices import PriceJob, capture_prices, export_products, unit_price
 from tiersmith.session import scratch_path, stage
-from tiersmith.sources.archives import read_zip_csv, zip_files
+from tiersmith.sources.archives import expand_archives, read_zip_csv, zip_files
 from tiersmith.sources.brands import brand_bridge, brand_url
 from tiersmith.sources.landing import read_csv, write_csv
 from tiersmith.sources.pages import link_items, product_cards
@@ -394,12 +394,15 @@ def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def zip_ingest(spark, sf_dir):
+    """Packed files with their columns in two orders, read under their own headers."""
     folder = scratch_path(spark, "zip_ingest")
-    write_csv(order_texts(spark, sf_dir), f"{folder}/landing")
-    zip_files(spark, f"{folder}/landing", f"{folder}/archive", "first", include="*.csv")
-    return read_zip_csv(
-        spark, f"{folder}/archive/first", ["order_key", "order_date", "note", "total"]
-    )
+    orders = order_texts(spark, sf_dir)
+    even = F.col("Order Key") % 2 == 0
+    write_csv(orders.where(even), f"{folder}/landing_a")
+    write_csv(orders.where(~even).select(*reversed(orders.columns)), f"{folder}/landing_b")
+    for part in "ab":
+        zip_files(spark, f"{folder}/landing_{part}", f"{folder}/archive/{part}", "first", include="*.csv")
+    return columns.clean_column_names(read_zip_csv(spark, f"{folder}/archive/*/first"))
 
 
 @query
@@ -718,8 +721,13 @@ def medallion_end_to_end(spark, sf_dir):
         ),
     }
     for name, df in files.items():
-        write_csv(df, f"{location}/landing/{name}_data.csv")
-    located = run_demo(spark, f"{location}/landing", location, run_hash, "report", RUN_TS)
+        write_csv(df, f"{location}/arrived/{name}_data.csv")
+        # The names inside an archive are the file names that landing expects.
+        zip_files(spark, f"{location}/arrived/{name}_data.csv", f"{location}/archives", name, include="*.csv")
+    landing = f"{location}/landing"
+    for name in files:
+        expand_archives(spark, f"{location}/archives/{name}", f"{landing}/{name}_data.csv")
+    located = run_demo(spark, landing, location, run_hash, "report", RUN_TS)
     return located.drop(AUDIT_COLUMN).withColumns(
         {name: F.col(name).cast("bigint") for name in ("airport_latitude", "airport_longitude")}
     )

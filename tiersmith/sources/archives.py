@@ -2,12 +2,15 @@
 
 Tasks open files by URI and stream them, so neither the driver nor a task ever
 holds a whole archive. The unit of work is one archive member: a compressed
-stream cannot be entered in the middle.
+stream cannot be entered in the middle. CSV members are unpacked once and then
+read by Spark in parts.
 """
 
 from __future__ import annotations
 
-import csv
+import fnmatch
+import functools
+import hashlib
 import io
 import sys
 import uuid
@@ -21,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiersmith import files as uri_files
+from tiersmith.errors import ColumnError
 from tiersmith.files import beside, open_uri
-from tiersmith.session import stage
+from tiersmith.session import scratch_path, stage
 from tiersmith.sources.landing import list_files
 
 # Tasks get the code of their functions, not a reference to this package, which
@@ -37,11 +41,9 @@ _CHARS_PER_BATCH = 16 << 20
 
 def _spread(files: DataFrame, *keys: str) -> DataFrame:
     """Each row stands for a file to work through: a few rows for each task."""
-    spark = files.sparkSession
     # An explicit number: by their size alone Spark would put the rows together.
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(most, 4 * spark.sparkContext.defaultParallelism))
-    return files.repartition(tasks, *[F.col(key) for key in keys])
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(max(1, tasks), *[F.col(key) for key in keys])
 
 
 def pack_files(files: DataFrame, target: str) -> DataFrame:
@@ -110,10 +112,10 @@ def archive_files(files: DataFrame, target: str) -> DataFrame:
     return stage(_spread(packed, "path").mapInPandas(delete, packed.schema), "archived")
 
 
-def read_zip_lines(spark: SparkSession, folder: str, member_suffix: str = ".csv") -> DataFrame:
-    """``(archive, member, line_no, line)`` of all members of a folder's zip files."""
+def _members(spark: SparkSession, folder: str, members: str) -> DataFrame:
+    """``(archive, member)`` of a folder's zip files, for members whose last name fits the glob."""
 
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for uri in batch["path"]:
                 filesystem, path = open_uri(uri)
@@ -121,11 +123,66 @@ def read_zip_lines(spark: SparkSession, folder: str, member_suffix: str = ".csv"
                     names = [
                         info.filename
                         for info in packed.infolist()
-                        if not info.is_dir() and info.filename.endswith(member_suffix)
+                        if not info.is_dir() and fnmatch.fnmatchcase(info.filename.rsplit("/", 1)[-1], members)
                     ]
                 if names:
                     yield pd.DataFrame({"archive": [uri] * len(names), "member": names})
 
+    archives = _spread(list_files(spark, folder, "*.[zZ][iI][pP]").select("path"), "path")
+    return _spread(archives.mapInPandas(found, "archive string, member string"), "archive", "member")
+
+
+def expand_archives(
+    spark: SparkSession, folder: str, target: str, members: str = "*", by_header: bool = False
+) -> DataFrame:
+    """Unpack the members of a folder's zip files into the folder ``target``, at once.
+
+    Members keep their paths, so archives must not hold the same one twice;
+    with ``by_header`` each goes to a folder of its first line and its archive
+    instead. A member is written beside its place and moved there, so a
+    repeated task replaces it by the same content. Returns ``(archive, member,
+    path, header, layout)``; files can then be read in parts, packed members
+    cannot.
+    """
+    target = target.rstrip("/")
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            done = []
+            for row in batch.itertuples(index=False):
+                filesystem, path = open_uri(row.archive)
+                with (
+                    filesystem.open_input_file(path) as file,
+                    zipfile.ZipFile(file) as packed,
+                    packed.open(row.member) as raw,
+                ):
+                    first = raw.readline()
+                    header = first.decode("utf-8-sig", "replace").rstrip("\r\n")
+                    layout = hashlib.md5(header.encode()).hexdigest()[:16]
+                    # Names from outside do not lead out of the target.
+                    inner = [part for part in row.member.split("/") if part not in ("", ".", "..")]
+                    if by_header:
+                        inner = [layout, hashlib.md5(row.archive.encode()).hexdigest()[:16], *inner]
+                    place = beside(row.archive, "/".join([target, *inner]))
+                    sink, sink_path = open_uri(place)
+                    sink.create_dir(sink_path.rsplit("/", 1)[0], recursive=True)
+                    above, _, name = sink_path.rpartition("/")
+                    partial = f"{above}/.{name}.{uuid.uuid4().hex}.tmp"
+                    with sink.open_output_stream(partial) as out:
+                        out.write(first)
+                        while block := raw.read(_CHUNK_BYTES):
+                            out.write(block)
+                    sink.move(partial, sink_path)
+                done.append((row.archive, row.member, place, header, layout))
+            yield pd.DataFrame(done, columns=["archive", "member", "path", "header", "layout"])
+
+    schema = "archive string, member string, path string, header string, layout string"
+    return stage(_members(spark, folder, members).mapInPandas(expand, schema), "expanded")
+
+
+def read_zip_lines(spark: SparkSession, folder: str, members: str = "*") -> DataFrame:
+    """``(archive, member, line_no, line)`` of the members of a folder's zip files."""
+
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -138,9 +195,7 @@ def read_zip_lines(spark: SparkSession, folder: str, member_suffix: str = ".csv"
                     text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace")
                     yield from _line_batches(row.archive, row.member, text)
 
-    archives = _spread(list_files(spark, folder, "*.zip").select("path"), "path")
-    found = archives.mapInPandas(members, "archive string, member string")
-    return _spread(found, "archive", "member").mapInPandas(
+    return _members(spark, folder, members).mapInPandas(
         lines, "archive string, member string, line_no bigint, line string"
     )
 
@@ -168,19 +223,29 @@ def read_zip_csv(
     spark: SparkSession,
     folder: str,
     columns: list[str] | None = None,
-    member_suffix: str = ".csv",
+    members: str = "*",
     sep: str = ",",
     escape: str = "\\",
 ) -> DataFrame:
-    """The CSV members of a folder's zip files, all columns strings.
+    """The members of a folder's zip files as CSV with a header each, all columns strings.
 
-    Each member starts with the same header line; ``columns`` replaces its
-    names. Blank lines are skipped, as in any CSV read.
+    Members are unpacked into the shared folder and read from there, each under
+    its own header: the same columns may come in any order. ``columns``
+    replaces the names by position. Members with other columns are an error.
     """
-    lines = read_zip_lines(spark, folder, member_suffix)
-    if columns is None:
-        header = lines.where(F.col("line_no") == 0).select("line").first()
-        columns = next(csv.reader([header["line"]], delimiter=sep)) if header else []
-    schema = ", ".join("`" + name.replace("`", "``") + "` string" for name in columns)
-    records = lines.where((F.col("line_no") > 0) & (F.length(F.trim("line")) > 0))
-    return records.select(F.from_csv("line", schema, {"sep": sep, "escape": escape}).alias("row")).select("row.*")
+    target = scratch_path(spark, "unpacked")
+    expanded = expand_archives(spark, folder, target, members, by_header=True)
+    parts = []
+    # As many layouts as there are different header lines.
+    for row in expanded.select("layout").distinct().orderBy("layout").collect():
+        reader = spark.read.option("header", True).option("sep", sep).option("escape", escape)
+        part = reader.option("recursiveFileLookup", True).csv(f"{target}/{row['layout']}")
+        if columns is not None and len(columns) != len(part.columns):
+            raise ColumnError(f"{len(columns)} names for the columns {part.columns}")
+        parts.append(part if columns is None else part.toDF(*columns))
+    for part in parts[1:]:
+        if set(part.columns) != set(parts[0].columns):
+            raise ColumnError(f"members have columns {parts[0].columns} and {part.columns}")
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{name}` string" for name in columns or ()) or "struct<>")
+    return functools.reduce(DataFrame.unionByName, parts)
