@@ -2,6 +2,7 @@ import itertools
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tiersmith import ColumnError
 from tiersmith.operators import joins
@@ -94,7 +95,8 @@ RIGHT = (
 @pytest.mark.parametrize("kind", ["inner", "left", "right", "full", "semi", "anti"])
 @pytest.mark.parametrize("types", [("int", "int"), ("int", "bigint"), ("string", "string"), ("string", "int")])
 def test_every_join_type_against_nested_loops(spark, monkeypatch, kind, salt, types):
-    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+    # Small tables are looked over too.
+    monkeypatch.setattr(joins, "_small", lambda df: False)
 
     def build(rows, dtype, key, value):
         text = dtype == "string"
@@ -127,9 +129,10 @@ def test_salting_with_keys_of_other_types(spark, key):
 
 def test_skew_of_keys(spark):
     df = spark.range(9000).selectExpr("CASE id % 3 WHEN 0 THEN 7 WHEN 1 THEN id + 100 END AS k")
-    assert joins.key_skew(df, "k") == joins.KeySkew((7,), True)
-    assert joins.key_skew(df, "k", least=3000) == joins.KeySkew()
-    assert joins.key_skew(df, "k", sketch=False) == joins.KeySkew((), True)
+    # A third of the rows calls for a third of the eight tasks, with four salts each.
+    assert joins.key_skew(df, "k") == joins.KeySkew({7: 11}, True)
+    assert joins.key_skew(df, "k", sketch=False) == joins.KeySkew({}, True)
+    assert joins.key_skews([(df, "k", True), (spark.range(9000), "id", True)]) == [joins.KeySkew({7: 11}, True), joins.KeySkew()]
     assert joins.key_skew(spark.range(9000), "id") == joins.KeySkew()
     assert joins.key_skew(spark.range(0), "id") == joins.KeySkew()
 
@@ -140,8 +143,7 @@ def exchanges(df, capsys):
 
 
 @pytest.fixture
-def no_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     yield
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -190,3 +192,28 @@ def test_stream_joined_to_a_table(spark, tmp_path):
     query.awaitTermination()
     rows = sorted((r.x, r.y) for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert rows == [(0, "n"), (10, "n"), (20, "n"), (30, None), (40, None)]
+
+
+def test_the_largest_task_of_a_join_with_hot_keys(spark, no_broadcast):
+    """A third of the rows on both sides has one key, a third none: all tasks share them."""
+    key = "CASE id % 3 WHEN 0 THEN 7 WHEN 1 THEN id + 100 END"
+    left = spark.range(24_000).selectExpr(f"{key} AS a", "id AS x")
+    right = spark.range(600).selectExpr("if(id < 20, 7, id + 90) AS b", "id AS y")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for salt, most in ((False, 0.6), (None, 0.3)):
+            joined = joins.join_table(left, right, ("a", "b"), "full", drop_joined_column=False, salt=salt)
+            tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            share = max(tasks) / sum(tasks)
+            assert share > most if salt is False else share < most
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_no_job_for_a_side_that_is_broadcast(spark, monkeypatch):
+    def fail(sides):
+        raise AssertionError("looked over the keys")
+
+    monkeypatch.setattr(joins, "key_skews", fail)
+    left, right = spark.range(100).selectExpr("id AS a"), spark.range(10).selectExpr("id AS b")
+    assert joins.join_table(left, right, ("a", "b"), "left", drop_joined_column=False).count() == 100

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +31,11 @@ JOIN_TYPES = {
 }
 
 _LEFT, _RIGHT = "__left_key", "__right_key"
-# A key is hot when it alone holds more than this share of a side's rows, so a
-# side has at most 100 of them.
-HOT_SHARE = 0.01
-# Fewer rows than this are no burden for one task.
-HOT_ROWS = 100_000
-_HOT_CANDIDATES = 100
-_SKETCH_ITEMS = 10_000
+# A key is hot when it alone has more rows than this many tasks should take.
+HOT_TASKS = 2
+# Its salts are this many for each task it calls for, so tasks get even shares
+# though salts are dealt to them by hash.
+SALTS_PER_TASK = 4
 
 
 def join_table(
@@ -56,10 +55,11 @@ def join_table(
 
     Spark picks the algorithm and, at run time, splits skewed partitions. In
     outer joins it can only split the side whose rows are all kept, and neither
-    side of a full one. So by default the keys of the other side are looked
-    over when the join is built, and hot and NULL keys, if there are any, are
-    spread by salts; the rows of the result are the same. ``salt=False`` skips
-    that, ``salt=True`` salts in any case and both sides.
+    side of a full one. So by default the keys of the other side, unless Spark
+    takes it to be small enough to broadcast, are looked over when the join is
+    built, in one job, and hot and NULL keys, if there are any, are spread by
+    salts; the rows of the result are the same. ``salt=False`` skips that,
+    ``salt=True`` salts in any case and both sides.
     """
     kind = JOIN_TYPES.get(how.lower().replace("_", ""))
     if kind is None:
@@ -116,71 +116,92 @@ def _comparable(left: T.DataType, right: T.DataType) -> bool:
 
 @dataclass(frozen=True)
 class KeySkew:
-    """The keys that may each be hot on a side, and whether NULL is."""
+    """The keys that are hot on a side, each with its number of salts, and whether NULL is."""
 
-    hot: tuple = ()
+    hot: dict = field(default_factory=dict)
     nulls: bool = False
 
 
-def key_skew(df: DataFrame, key: str, least: int = 0, sketch: bool = True) -> KeySkew:
-    """Look over the keys of ``df``: one pass over one column, no shuffle of rows.
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    A frequent-items sketch finds the hot keys. They only steer how rows are
-    spread, never which rows are joined.
+
+def key_skews(sides: Sequence[tuple[DataFrame, str, bool]]) -> list[KeySkew]:
+    """Look over the keys of ``(table, key, whether to tell them apart)``: one job, no shuffle of rows.
+
+    A key is hot if it has more rows than ``HOT_TASKS`` tasks should take when
+    the rows are dealt evenly. A frequent-items sketch, whose size follows the
+    number of tasks, finds these. They only steer how rows are spread, never
+    which rows are joined.
     """
-    counted = df.select(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col(key).isNull()).alias("n_nulls"),
-        F.expr(f"approx_top_k(`{key}`, {_HOT_CANDIDATES}, {_SKETCH_ITEMS})" if sketch else "NULL").alias("top"),
-    ).first()
-    enough = max(counted["n_rows"] * HOT_SHARE, least)
-    hot = [e["item"] for e in counted["top"] or [] if e["item"] is not None and e["count"] > enough]
-    return KeySkew(tuple(hot), counted["n_nulls"] > enough)
+    looks = []
+    for number, (df, key, apart) in enumerate(sides):
+        # No more keys than this can be hot; the sketch has room to spare.
+        most = min(100_000, max(1, _partitions(df) // HOT_TASKS))
+        top = f"approx_top_k(`{key}`, {most}, {min(1_000_000, max(10_000, 20 * most))})" if apart else "NULL"
+        looks.append(
+            df.select(
+                F.lit(number).alias("side"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count_if(F.col(key).isNull()).alias("n_nulls"),
+                # Keys of two types do not fit one column of items.
+                F.expr(top).alias(f"top{number}"),
+            )
+        )
+    union = functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), looks)
+    found = {row["side"]: row for row in union.collect()}
+    skews = []
+    for number, (df, _, _) in enumerate(sides):
+        row = found[number]
+        task = HOT_TASKS * row["n_rows"] / _partitions(df)
+        hot = {
+            e["item"]: math.ceil(SALTS_PER_TASK * e["count"] / max(1.0, task / HOT_TASKS))
+            for e in row[f"top{number}"] or []
+            if e["item"] is not None and e["count"] > max(task, 1)
+        }
+        skews.append(KeySkew(hot, row["n_nulls"] > max(task, 1)))
+    return skews
+
+
+def key_skew(df: DataFrame, key: str, sketch: bool = True) -> KeySkew:
+    """``key_skews`` of one table."""
+    return key_skews([(df, key, sketch)])[0]
 
 
-def _present(df: DataFrame, key: str, values: list) -> set:
-    """Which of the (few) values occur."""
-    found = df.where(F.col(key).isin(values)).select(key).distinct()
-    return {row[key] for row in found.collect()}
+def _small(df: DataFrame) -> bool:
+    """Whether Spark estimates a side to be within its limit for broadcasts."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimate <= limit
 
 
 def _salted_join(left: DataFrame, right: DataFrame, kind: str, salt: bool | None) -> DataFrame | None:
     """Join on (key, left salt, right salt); None if nothing calls for it.
 
     A row with a hot key takes one salt of its own side and is repeated for
-    every salt of the other side, so each pair still meets exactly once. Keys
-    that cannot match (NULL, or absent from the other side) take a salt and
-    are not repeated.
+    every salt of the other side, so each pair still meets exactly once. A key
+    has salts in proportion to its rows. Rows with NULL keys cannot match; they
+    take a salt and are not repeated.
     """
     sides = {"left": (left, _LEFT), "right": (right, _RIGHT)}
     # The sides whose partitions Spark cannot split.
     rigid = {"left": ["right"], "right": ["left"], "full": ["left", "right"]}.get(kind, [])
-    if not rigid and not salt:
+    if salt:
+        looked = ["left"] if kind in ("semi", "anti") else ["left", "right"]
+    else:
+        looked = [side for side in rigid if not _small(sides[side][0])]
+    if not looked:
         return None
     typed = _comparable(left.schema[_LEFT].dataType, right.schema[_RIGHT].dataType)
-    look = functools.partial(key_skew, least=0 if salt else HOT_ROWS, sketch=typed)
-    skews: dict[str, KeySkew] = {}
-    for side in ["left", "right"] if salt else rigid:
-        if side == "right" and kind in ("semi", "anti"):
-            continue
-        skews[side] = look(*sides[side])
-    if not salt:
-        # NULL keys take part in the shuffle only if their rows are kept.
-        if not any(skew.hot or (skew.nulls and kind == "full") for skew in skews.values()):
-            return None
-        for side in sides.keys() - skews.keys():
-            skews[side] = look(*sides[side])
-    hot_left, hot_right = (list(skews.get(side, KeySkew()).hot) for side in ("left", "right"))
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = max(2, min(64, partitions // 2))
-    outer = kind in ("left", "right", "full")
-    shared = set(hot_left) & set(hot_right)
-    for values, table, key in ((hot_left, right, _RIGHT), (hot_right, left, _LEFT)):
-        unsure = [value for value in values if value not in shared]
-        # A key that the other side lacks makes no difference to inner joins.
-        shared |= _present(table, key, unsure) if outer and unsure else set(unsure)
-
-    def spread(df: DataFrame, key: str, own: list, other: list, own_salt: str, other_salt: str):
+    skews = dict(zip(looked, key_skews([(*sides[side], typed) for side in looked]), strict=True))
+    # NULL keys take part in the shuffle only if their rows are kept.
+    if not salt and not any(skew.hot or (skew.nulls and kind == "full") for skew in skews.values()):
+        return None
+    hot_left, hot_right = (skews.get(side, KeySkew()).hot for side in ("left", "right"))
+    salts = [(key, hot_left.get(key, 1), hot_right.get(key, 1)) for key in hot_left.keys() | hot_right.keys()]
+    spread_nulls = max(2, _partitions(left))
+
+    def spread(df: DataFrame, key: str, own: str, own_salt: str, other_salt: str, copies: str):
         hashable = [
             column(field.name)
             for field in df.schema
@@ -188,22 +209,30 @@ def _salted_join(left: DataFrame, right: DataFrame, kind: str, salt: bool | None
         ]
         # Copies of one row differ in the partition they come from, and a
         # repeated task sees the same partition: the salt is stable.
-        salt = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(salts)).cast("int")
-        spread_here = F.col(key).isNull()
-        if own:
-            spread_here = spread_here | F.col(key).isin(own)
-        salted = df.withColumn(own_salt, F.when(spread_here, salt).otherwise(0))
-        repeated = [value for value in other if value in shared]
-        # Always 0, but computed: as a literal it would be folded into a filter
-        # on the other side, and the salts would not take part in the shuffle.
-        zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
-        if not repeated:
-            return salted.withColumn(other_salt, zero)
-        copies = F.when(F.col(key).isin(repeated), F.sequence(F.lit(0), F.lit(salts - 1)))
-        return salted.withColumn(other_salt, F.explode(copies.otherwise(F.array(zero))))
-
-    spread_left = spread(left, _LEFT, hot_left, hot_right, "__l_own", "__l_other")
-    spread_right = spread(right, _RIGHT, hot_right, hot_left, "__r_own", "__r_other")
+        hashed = F.xxhash64(*hashable, F.spark_partition_id())
+        other = "__on_right" if own == "__on_left" else "__on_left"
+        if salts:
+            schema = T.StructType(
+                [T.StructField("__hot", df.schema[key].dataType), T.StructField("__on_left", T.IntegerType()), T.StructField("__on_right", T.IntegerType())]
+            )
+            # At most a key for every HOT_TASKS partitions.
+            hot = F.broadcast(df.sparkSession.createDataFrame(salts, schema))
+            known = df.withColumn(own_salt, hashed).join(hot, F.col(key) == F.col("__hot"), "left").drop("__hot")
+        else:
+            # Always 1, but computed: as a literal it would be folded into a filter
+            # on the other side, and the salts would not take part in the shuffle.
+            one = (F.pmod(F.xxhash64(key), F.lit(1)) + 1).cast("int")
+            known = df.withColumns({own_salt: hashed, own: one, other: one})
+        number = F.when(F.col(key).isNull(), F.lit(spread_nulls)).otherwise(F.coalesce(F.col(own), F.lit(1)))
+        return (
+            known.withColumn(own_salt, F.pmod(F.col(own_salt), number).cast("int"))
+            .withColumn(copies, F.coalesce(F.col(other), F.lit(1)))
+            .withColumn(other_salt, F.explode(F.sequence(F.lit(0), F.col(copies) - 1)))
+            .drop("__on_left", "__on_right")
+        )
+
+    spread_left = spread(left, _LEFT, "__on_left", "__l_own", "__l_other", "__l_copies")
+    spread_right = spread(right, _RIGHT, "__on_right", "__r_own", "__r_other", "__r_copies")
     joined = spread_left.join(
         spread_right,
         (F.col(_LEFT) == F.col(_RIGHT))
@@ -211,15 +240,12 @@ def _salted_join(left: DataFrame, right: DataFrame, kind: str, salt: bool | None
         & (F.col("__l_other") == F.col("__r_own")),
         kind,
     )
-    if outer and shared:
-        # Both sides hold these keys, so a row of theirs without a partner is a
-        # repeated copy whose salt met nobody; its other copies did.
-        keys = list(shared)
-        lonely_left = F.col(_LEFT).isin(keys) & F.col("__r_own").isNull()
-        lonely_right = F.col(_RIGHT).isin(keys) & F.col("__l_own").isNull()
-        joined = joined.where(
-            ~(F.coalesce(lonely_left, F.lit(False)) | F.coalesce(lonely_right, F.lit(False)))
-        )
+    if kind in ("left", "right", "full") and salts:
+        # A key for which rows are repeated is on the other side, so a copy
+        # without a partner is one whose salt met nobody; other copies did.
+        lonely_left = (F.col("__l_copies") > 1) & F.col("__r_own").isNull()
+        lonely_right = (F.col("__r_copies") > 1) & F.col("__l_own").isNull()
+        joined = joined.where(~(F.coalesce(lonely_left | lonely_right, F.lit(False))))
     return joined
 
 

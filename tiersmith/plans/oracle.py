@@ -69,6 +69,7 @@ for _how in ("LEFT", "FULL", "ANTI"):
         FROM ({_SKEWED}) {_how} JOIN customer ON o_buyer = c_custkey
     """
 
+ORACLE["join_hot_full"] = ORACLE["join_skewed_full"]
 ORACLE["rename_columns"] = """
     SELECT p_partkey, p_name AS p_type, p_brand, p_type AS p_name, p_size AS pieces, p_retailprice
     FROM part

@@ -171,6 +171,24 @@ for _how in ("left", "full", "anti"):
     QUERIES[f"join_skewed_{_how}"] = _skewed(_how)
 
 
+@query
+def join_hot_full(spark, sf_dir):
+    """A full join that finds its hot and NULL keys by itself, as sides too large to broadcast do."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, -1)
+    try:
+        return joins.join_table(
+            skewed_orders(spark, sf_dir),
+            table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
+            ("o_buyer", "c_custkey"),
+            "full",
+            drop_joined_column=False,
+        )
+    finally:
+        spark.conf.set(limit, before)
+
+
 # --- columns -------------------------------------------------------------
 
 
