@@ -39,17 +39,34 @@ def test_sparse_id_is_unique(spark):
     assert ids.select("id").distinct().count() == 100
 
 
-@pytest.mark.parametrize("block_rows", [1, 2, 3, 7, 1000])
-def test_with_next_equals_lead(spark, block_rows):
+@pytest.mark.parametrize("batch_rows", [1, 2, 3, 7, 1000])
+def test_with_next_equals_lead(spark, batch_rows):
     rows = [(s, o, (o * 7 + s) % 5) for s in (0, 1, 2) for o in range(9 - s)]
     rows += [(None, 1, 4), (None, 2, 5), (0, 3, 9), (0, 3, 9)]
     df = spark.createDataFrame(rows, "s int, o int, v int").repartition(3)
-    got = keys.with_next(df, "v", ["o"], ["s"], block_rows=block_rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        got = keys.with_next(df, "v", ["o"], ["s"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     ahead = Window.partitionBy("s").orderBy("o", "v")
     expected = df.distinct().withColumn("next_value", F.lead("v").over(ahead))
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
 
 
+def test_with_next_of_few_rows(spark):
+    df = spark.createDataFrame([(1, 5)], "o int, v int")
+    assert [tuple(r) for r in keys.with_next(df, "v", ["o"]).collect()] == [(1, 5, None)]
+    assert keys.with_next(df.where("o > 1"), "v", ["o"]).count() == 0
+    assert [tuple(r) for r in keys.with_next(df.withColumn("a.b", F.lit("x")), "a.b", ["o"]).collect()] == [(1, "x", None)]
+
+
+def test_with_next_does_not_gather_rows_again(spark, capsys):
+    keys.with_next(spark.range(100).selectExpr("id AS o", "id AS v"), "v", ["o"]).explain()
+    plan = capsys.readouterr().out
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+
+
 def test_column_pairs(spark):
     df = spark.createDataFrame([("1", "2", "3"), (None, "4", "5")], "A string, B string, C string")
     assert [tuple(r) for r in keys.column_pairs(df, "B", "C").collect()] == [("2", "3"), ("4", "5")]

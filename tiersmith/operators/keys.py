@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiersmith.errors import ColumnError
 from tiersmith.operators.columns import column, require_columns
 from tiersmith.session import stage
 
+# Tasks get the code of their functions, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # monotonically_increasing_id keeps the row's place in its partition in the
 # lower 33 bits and the partition above them.
 _PLACE_BITS = 33
-# Rows a neighbour window sorts in one task.
-BLOCK_ROWS = 1_000_000
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], name: str = "row_no") -> DataFrame:
@@ -62,40 +67,87 @@ def sparse_id(df: DataFrame, name: str = "id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def _beside_next(width: int):
+    """Each row of a sorted partition with the row behind it, and where the partition begins and ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+
+        def joined(batch: pa.RecordBatch, behind: pa.RecordBatch | None, first: bool) -> pa.RecordBatch:
+            n = batch.num_rows
+            tail = batch.slice(0, 0) if behind is None else behind.slice(0, 1)
+            following = []
+            for own, next_ in zip(batch.columns, tail.columns, strict=True):
+                column = pa.concat_arrays([own.slice(1), next_])
+                missing = n - len(column)
+                following.append(pa.concat_arrays([column, pa.nulls(missing, own.type)]) if missing else column)
+            begins = [first] + [False] * (n - 1)
+            ends = [False] * (n - 1) + [behind is None]
+            names = [f"c{i}" for i in range(width)] + [f"n{i}" for i in range(width)]
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns, *following, pa.array([part] * n, pa.int32()), pa.array(begins), pa.array(ends)],
+                names=[*names, "part", "begins", "ends"],
+            )
+
+        held, first = None, True
+        for batch in batches:
+            if batch.num_rows:
+                if held is not None:
+                    yield joined(held, batch, first)
+                    first = False
+                held = batch
+        if held is not None:
+            yield joined(held, None, first)
+
+    return run
+
+
 def with_next(
     df: DataFrame,
     value: str,
     order_by: Sequence[str],
     series: Sequence[str] = (),
     name: str = "next_value",
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``lead(value)`` over the distinct (series, order, value) rows.
 
     A window per series would sort a series in one task, however long it is.
-    Here the rows are numbered, cut into blocks of ``block_rows``, and each
-    block also sees the first row of the block behind it.
+    Here the rows are range partitioned and sorted; a row finds its follower
+    in its own partition, and the last one in the first row of the next
+    partition. Only these first rows are brought together.
     """
     columns = list(dict.fromkeys([*series, *order_by, value]))
-    numbered = number_rows(df.select(*[column(c) for c in columns]).distinct(), columns, "__row")
-    row, block = F.col("__row") - 1, F.floor((F.col("__row") - 1) / block_rows)
-    seen_by = F.when(
-        (row % block_rows == 0) & (row > 0), F.array(block, block - 1)
-    ).otherwise(F.array(block))
-    blocks = numbered.withColumn("__home", block).withColumn("__block", F.explode(seen_by))
-    ahead = Window.partitionBy("__block").orderBy("__row")
-    same_series = F.lit(True)
-    for key in series:
-        same_series = same_series & F.lead(column(key)).over(ahead).eqNullSafe(column(key))
-    return (
-        blocks.select(
-            *[column(c) for c in columns],
-            "__home",
-            "__block",
-            F.when(same_series, F.lead(column(value)).over(ahead)).alias(name),
+    rows = df.select(*[column(c).alias(f"c{i}") for i, c in enumerate(columns)]).distinct()
+    order = [F.col(c) for c in rows.columns]
+    width = len(columns)
+    fields = list(rows.schema.fields)
+    fields += [T.StructField(f"n{i}", f.dataType) for i, f in enumerate(rows.schema.fields)]
+    fields += [T.StructField("part", T.IntegerType())]
+    fields += [T.StructField(flag, T.BooleanType()) for flag in ("begins", "ends")]
+    paired = stage(
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(_beside_next(width), T.StructType(fields)),
+        "paired",
+    )
+    firsts = paired.where("begins").select("part", *[f"c{i}" for i in range(width)])
+    ahead = Window.orderBy("part")
+    # One row per shuffle partition: small by construction.
+    followers = F.broadcast(
+        firsts.select(
+            "part",
+            F.lead("part").over(ahead).isNotNull().alias("more"),
+            *[F.lead(f"c{i}").over(ahead).alias(f"f{i}") for i in range(width)],
         )
-        .where(F.col("__home") == F.col("__block"))
-        .drop("__home", "__block")
+    )
+    behind = [F.when(F.col("ends"), F.col(f"f{i}")).otherwise(F.col(f"n{i}")) for i in range(width)]
+    same = F.col("more") | ~F.col("ends")
+    for key in series:
+        i = columns.index(key)
+        same = same & behind[i].eqNullSafe(F.col(f"c{i}"))
+    return paired.join(followers, "part").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)],
+        F.when(same, behind[columns.index(value)]).alias(name),
     )
 
 

@@ -17,6 +17,7 @@ from tiersmith.operators.columns import (
 )
 from tiersmith.operators.keys import surrogate_key
 from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
+from tiersmith.plans.config import read_config
 from tiersmith.plans.jobs import BronzeJob, GoldJob, SilverJob, Transforms
 from tiersmith.session import get_session
 from tiersmith.sources.archives import expand_archives
@@ -111,20 +112,25 @@ def run_demo(
     validate: str = "report",
     run_ts: datetime | None = None,
     archives: str | None = None,
+    config: str | None = None,
 ) -> DataFrame:
     """Landing to gold in one session; returns the located persons of the gold table.
 
-    With ``archives``, the zip files of that folder are unpacked into landing first.
+    With ``archives``, the zip files of that folder are unpacked into landing
+    first. ``config`` is a JSON or YAML file whose entries ``bronze``,
+    ``silver`` and ``gold`` take the place of the built-in ones.
     """
+    layers = {"bronze": BRONZE_CONFIG, "silver": SILVER_CONFIG, "gold": GOLD_CONFIG}
+    layers |= read_config(spark, config) if config is not None else {}
     if archives is not None:
         expand_archives(spark, archives, landing)
     bronze, silver, gold = (layer_name(name, run_hash) for name in ("bronze", "silver", "gold"))
     options = {"overwrite": True, "run_ts": run_ts}
-    BronzeJob(spark, landing, location, bronze, BRONZE_CONFIG, **options).run()
+    BronzeJob(spark, landing, location, bronze, layers["bronze"], **options).run()
     SilverJob(
-        spark, location, bronze, silver, SILVER_CONFIG, SPECS, transforms, validate, **options
+        spark, location, bronze, silver, layers["silver"], SPECS, transforms, validate, **options
     ).run()
-    GoldJob(spark, location, silver, gold, GOLD_CONFIG, **options).run()
+    GoldJob(spark, location, silver, gold, layers["gold"], **options).run()
     return where_all_present(
         read_table(spark, gold, "person_airport_location"), "person_id", "airport_id", "country_id"
     )
@@ -142,9 +148,11 @@ def main() -> None:
     parser.add_argument("--run-hash", help="suffix of the database names")
     parser.add_argument("--validate", choices=("off", "report", "strict"), default="report")
     parser.add_argument("--archives", help="folder of zip files to unpack into landing first")
+    parser.add_argument("--config", help="JSON or YAML file with the configuration of the layers")
     args = parser.parse_args()
     located = run_demo(
-        get_session("demo"), args.landing, args.location, args.run_hash, args.validate, archives=args.archives
+        get_session("demo"), args.landing, args.location, args.run_hash, args.validate,
+        archives=args.archives, config=args.config,
     )
     preview(located, ["person_id"]).show()
 

@@ -7,6 +7,7 @@ have something to do.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from tiersmith.functions.products import clean_name, clean_price
 from tiersmith.operators import columns, joins, keys, quality
 from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
-from tiersmith.plans.demo import preview, run_demo
+from tiersmith.plans.demo import BRONZE_CONFIG, GOLD_CONFIG, SILVER_CONFIG, preview, run_demo
 from tiersmith.plans.jobs import BronzeJob, IncrementalBronzeJob, SilverJob, Transforms
 from tiersmith.plans.prices import PriceJob, capture_prices, export_products, unit_price
 from tiersmith.session import scratch_path, stage
@@ -745,7 +746,10 @@ def medallion_end_to_end(spark, sf_dir):
     landing = f"{location}/landing"
     for name in files:
         expand_archives(spark, f"{location}/archives/{name}", f"{landing}/{name}_data.csv")
-    located = run_demo(spark, landing, location, run_hash, "report", RUN_TS)
+    layers = {"bronze": BRONZE_CONFIG, "silver": SILVER_CONFIG, "gold": GOLD_CONFIG}
+    config = f"{location}/layers.json"
+    spark.range(1).select(F.lit(json.dumps(layers))).coalesce(1).write.text(config)
+    located = run_demo(spark, landing, location, run_hash, "report", RUN_TS, config=config)
     return located.drop(AUDIT_COLUMN).withColumns(
         {name: F.col(name).cast("bigint") for name in ("airport_latitude", "airport_longitude")}
     )
