@@ -70,7 +70,7 @@ def test_training_separates_two_kinds():
     for i, text in enumerate(texts):
         groups = quality.features(next(slices(pa.array([text]))))
         ids, counts = np.unique(np.concatenate([f for f, _ in groups]), return_counts=True)
-        bags.append((i % 2, ids, counts))
+        bags.append((i % 2, len(ids), quality.pack_bag(ids, counts)))
     model = quality.train(bags)
     scores = np.concatenate([model.scores(p) for p in slices(pa.array(["apple plum pear", "### APPLE $$$"]))])
     assert scores[0] > 0.9 and scores[1] < 0.1

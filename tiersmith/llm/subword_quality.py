@@ -95,33 +95,41 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(text_of_batch(batch)):
             groups = features(part)
-            ids, counts = [], []
+            sizes, bags = [], []
             for d in range(len(part)):
                 bag = np.sort(np.concatenate([found[first[d] : first[d + 1]] for found, first in groups]))
                 distinct = sorted_distinct(bag)
-                ids.append(distinct.astype(np.int32))
-                counts.append(np.diff(np.append(np.searchsorted(bag, distinct), len(bag))).astype(np.int32))
+                counts = np.diff(np.append(np.searchsorted(bag, distinct), len(bag)))
+                sizes.append(len(distinct))
+                bags.append(pack_bag(distinct, counts))
             rows = batch.slice(part.first, len(part))
             yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"),
-                    rows.column("label"),
-                    pa.array([x.tobytes() for x in ids], pa.binary()),
-                    pa.array([x.tobytes() for x in counts], pa.binary()),
-                ],
-                names=["doc_id", "label", "ids", "counts"],
+                [rows.column("doc_id"), rows.column("label"), pa.array(sizes, pa.int32()), pa.array(bags, pa.binary())],
+                names=["doc_id", "label", "n", "bag"],
             )
 
 
-def train(bags: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 1) -> Model:
-    """Learn from ``(label, feature ids, counts)`` of each document, in the order given."""
+def pack_bag(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted feature ids and their counts in a few kilobytes: the driver holds the whole sample."""
+    both = np.concatenate([np.diff(ids, prepend=0), counts]).astype("<i4")
+    return pa.compress(both.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack_bag(bag: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(pa.decompress(bag, decompressed_size=8 * n, codec="zstd", asbytes=True), "<i4")
+    return np.cumsum(both[:n]), both[n:]
+
+
+def train(bags: list[tuple[int, int, bytes]], seed: int = 1) -> Model:
+    """Learn from ``(label, number of features, packed bag)`` of each document, in the order given."""
     draw = np.random.default_rng(seed)
     vectors = (draw.random((1 << BITS, DIMENSIONS), np.float32) - np.float32(0.5)) / DIMENSIONS
     output, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    bags = [(label, ids, counts) for label, ids, counts in bags if len(ids)]
+    bags = [bag for bag in bags if bag[1]]
     steps = EPOCHS * len(bags)
     for step, which in enumerate(np.concatenate([draw.permutation(len(bags)) for _ in range(EPOCHS)]) if bags else []):
-        label, ids, counts = bags[which]
+        label, n, packed = bags[which]
+        ids, counts = _unpack_bag(packed, n)
         rate = np.float32(RATE * (1 - step / steps))
         share = (counts / counts.sum()).astype(np.float32)
         average = share @ vectors[ids]
@@ -151,9 +159,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
     )
     # Bounded by the sample's size, so the texts need not move.
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.mapInArrow(_bags, "doc_id long, label int, ids binary, counts binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["ids"]))
-    return train([(r["label"], np.frombuffer(r["ids"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in rows])
+    rows = texts.mapInArrow(_bags, "doc_id long, label int, n int, bag binary").collect()
+    bags = sorted((r["doc_id"], r["label"], r["n"], bytes(r["bag"])) for r in rows)
+    return train([bag[1:] for bag in bags])
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
