@@ -43,6 +43,8 @@ _END = np.array([0x454E443A3A3A3A32], np.uint64)
 _WORDS, _PAIRS = 0, 1
 #: Bits of the codes of words and of pairs.
 _BITS = {_WORDS: 64, _PAIRS: 54}
+#: Texts are staged and moved once, so they are compressed well; counts gain nothing by it.
+_TEXT_LEVEL = 6
 _PIECE = 500_000  # tokens handled at a time where a step needs several arrays
 
 
@@ -71,7 +73,7 @@ def _pack_blocks(limit: int):
 
         def flush():
             sink = pa.BufferOutputStream()
-            options = pa.ipc.IpcWriteOptions(compression="zstd")
+            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", _TEXT_LEVEL))
             with pa.ipc.new_stream(sink, held[0].schema, options=options) as writer:
                 for piece in held:
                     writer.write_batch(piece)
