@@ -83,6 +83,20 @@ def test_passages_are_found_where_they_are(make, spark):
     assert found[1] == "vile trashy scumbag" and 2 not in found
 
 
+def test_a_repeated_insult_is_found_in_a_long_text(make, spark):
+    rows, labels = planted()
+    scorer = toxic.learn(make(rows), spark.createDataFrame(labels, "doc_id long, label int"))
+    draw = random.Random(8)
+    words = [f"{a}{b}" for a in ("ba", "de", "ki", "lo", "mu") for b in ("na", "re", "si", "to", "vu")]
+    before, after = (" ".join(draw.choice(words) for _ in range(10_000)) for _ in range(2))
+    repeated = {1: " ".join(["scumbag"] * 8), 2: " ".join(["vile"] * 8), 3: "trashy" + " bana trashy" * 11}
+    clean = {4: "lona lona lona", 5: " ".join(["muvu"] * 200)}
+    new = make([(i, f"{before} {text} {after}") for i, text in {**repeated, **clean}.items()])
+    scored = {r.doc_id: r.predicted for r in toxic.score_documents(new, scorer).collect()}
+    assert scored == {1: 1, 2: 1, 3: 1, 4: 0, 5: 0}
+    assert {r.doc_id: r.passage for r in toxic.toxic_passages(new, scorer).collect()} == repeated
+
+
 def test_odd_rows(make, odd_rows, spark):
     rows, labels = planted(100)
     docs = make(rows)

@@ -36,8 +36,6 @@ BITS = 18
 #: Weight of a prior, in toxic documents.
 PRIOR = 2.0
 DRIFT = 1.2
-#: A word met again within so many tokens is no new evidence: it scores the drift alone.
-ECHO = 4
 #: A passage is significant when fewer of its kind are expected by chance.
 EXPECTED = 0.05
 #: The statistic of a text without any segment.
@@ -71,11 +69,7 @@ class Scorer:
         ratio = np.ones(found.shape[1])
         for level in range(len(LEVELS)):
             ratio = (self.toxic[level][found[level]] + PRIOR * ratio) / (self.expected[level][found[level]] + PRIOR)
-        scores = np.log(ratio) - DRIFT
-        words = found[-1]
-        for back in range(1, ECHO + 1):
-            scores[back:][words[back:] == words[:-back]] = -DRIFT
-        return scores
+        return np.log(ratio) - DRIFT
 
     def statistic(self, sums: list[float], n: int) -> float:
         """What the segments of a text of ``n`` tokens amount to; 0 where one is expected by chance."""
