@@ -42,6 +42,51 @@ def test_other_sentences_are_unknown(make, model):
     assert all(0 <= r.probability <= 1 for r in found.values())
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+GPL_TEXT = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version."""
+
+
+@pytest.mark.parametrize("around", ["Some prose before.\n{}\n\nand after", "{}", "A title\n\n{}\n \nMore prose."])
+def test_wrapped_notices_are_one_paragraph(make, model, around):
+    texts = {"MIT": MIT_TEXT, "BSD-3-Clause": BSD_TEXT, "GPL-3.0": GPL_TEXT}
+    rows = [(i, around.format(text)) for i, text in enumerate(texts.values())]
+    found = scan.licence_paragraphs(make(rows), model).collect()
+    got = sorted((r.doc_id, r.licence, r.confirmed, r.notice) for r in found)
+    assert got == [(i, family, True, text) for i, (family, text) in enumerate(texts.items())]
+    assert all(dict(rows)[r.doc_id][r.begin :].startswith(r.notice) for r in found)
+    assert all(r.paragraph == dict(rows)[r.doc_id][: r.begin].count("\n") for r in found)
+
+
+def test_a_wrapped_version_belongs_to_its_notice(make, model):
+    rows = [(v, f"This work is licensed under the GNU General Public License,\nversion {v}.") for v in (2, 3)]
+    found = {r.doc_id: (r.licence, r.confirmed) for r in scan.licence_paragraphs(make(rows), model).collect()}
+    assert found == {2: ("GPL-2.0", True), 3: ("GPL-3.0", True)}
+
+
+def test_names_of_all_families(make, model):
+    named = [(family, name) for family, names in scan.NAMES for name in names]
+    assert {family for family, _ in named} == {family for family, _ in scan.TEMPLATES} - {"Proprietary"}
+    forms = ("Available under {}", "Distributed under the {}", "relicensed under {}", "SPDX-License-Identifier: {}")
+    wanted = [(family, form.format(name)) for family, name in named for form in forms]
+    wanted += [("MIT", "This code is under the MIT terms"), ("BSD-3-Clause", "BSD-3-Clause"), ("MPL-2.0", "MPL-2.0")]
+    wanted += [("CC0-1.0", "CC0-1.0"), ("CC-BY-4.0", "Released under CC-BY-4.0")]
+    found = {r.doc_id: r for r in scan.licence_paragraphs(make([(i, t) for i, (_, t) in enumerate(wanted)]), model).collect()}
+    assert [(found[i].licence, found[i].confirmed) for i in range(len(wanted))] == [(f, True) for f, _ in wanted]
+    unsure = scan.licence_paragraphs(make([(1, "You may sublicense it"), (2, "MIT is in Boston"), (3, "Er kam mit")]), model)
+    assert sorted((r.doc_id, r.licence) for r in unsure.collect()) == [(1, scan.UNKNOWN), (2, scan.UNKNOWN)]
+
+
 def test_odd_rows(make, odd_rows, model):
     assert scan.licence_paragraphs(make(odd_rows), model).count() == 0
     notice = "Licensed under CC BY-NC 4.0."

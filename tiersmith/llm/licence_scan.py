@@ -1,13 +1,18 @@
 """Licence notices found by a trained paragraph classifier and confirmed by templates.
 
-A paragraph is a line. Its features are its word n-grams that hold a licence
-word, so a paragraph without any has no feature of any family and needs no
-score. A multinomial logistic regression over these sparse features gives each
+A paragraph is a run of lines that go on: it ends at a line without words, at
+the end of a sentence that is the end of a line, and on both sides of a line
+that holds a whole template by itself. So hard-wrapped notices are one
+paragraph, and notices on lines of their own are one each. Its features are its
+word n-grams that hold a licence word, so a paragraph without any has no feature
+of any family and needs no score. A multinomial logistic regression over these sparse features gives each
 licence family, and the class of unknown paragraphs, a probability; it is
 trained on notices of the families with words left out, and on sentences that
 use licence words for other things. What it takes for a family with enough
 certainty is held against that family's templates, and confirmed if it has most
-of the word pairs of one of them.
+of the word pairs of one of them. A paragraph with all word pairs of a template,
+or of a usual phrase with a family's short name, is of that family whatever the
+classifier says; of several such the longest decides.
 """
 
 from __future__ import annotations
@@ -78,11 +83,43 @@ OTHERS = (
     "Who may use the public domain name?",
     "She studied at MIT.",
 )
-#: A paragraph needs one of these words to have any feature.
-LICENCE_WORDS = (
-    "license", "licence", "licensed", "licenses", "spdx-license-identifier", "gnu", "gpl", "apache", "apache-2.0",
-    "mozilla", "bsd", "cc", "cc0", "creative", "commons", "copyright", "permission", "redistribution", "redistribute",
-    "warranty", "unencumbered", "domain", "rights",
+# Short names of the families, as notices and package data give them.
+NAMES = (
+    ("Apache-2.0", ("Apache-2.0",)),
+    ("MIT", ("MIT",)),
+    ("GPL-3.0", ("GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-3", "GPLv3")),
+    ("GPL-2.0", ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-2", "GPLv2")),
+    ("LGPL", ("LGPL", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPLv2.1", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "LGPLv3")),
+    ("AGPL-3.0", ("AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "AGPLv3")),
+    ("BSD-3-Clause", ("BSD-3-Clause",)),
+    ("BSD-2-Clause", ("BSD-2-Clause",)),
+    ("MPL-2.0", ("MPL-2.0", "MPLv2")),
+    ("ISC", ("ISC",)),
+    ("CC-BY-4.0", ("CC-BY-4.0",)),
+    ("CC-BY-SA-4.0", ("CC-BY-SA-4.0",)),
+    ("CC-BY-NC-4.0", ("CC-BY-NC-4.0",)),
+    ("CC0-1.0", ("CC0-1.0", "CC0")),
+    ("Unlicense", ("Unlicense",)),
+)
+_FORMS = ("under {}", "under the {}", "SPDX-License-Identifier: {}", "License: {}")
+#: All that confirms a family, and settles it if whole; a name with a version is a notice by itself.
+NOTICES = TEMPLATES + tuple(
+    (family, form.format(name))
+    for family, names in NAMES
+    for name in names
+    for form in (*_FORMS, *(["{}"] if "-" in name or name[-1].isdigit() else []))
+)
+# A word that begins so, or holds "licens" or "licenc" anywhere, is a licence word. Versions may follow.
+_BEGINS = (
+    "spdx", "gnu", "[al]?gpl", "apache", "mozilla", "mpl", "bsd", "cc0?", "creative", "commons", "copyright(?:s|ed)?",
+    "permissions?", "redistribut(?:e|es|ed|ion|ions)", "warrant(?:y|ies)", "unencumbered", "domain", "rights",
+)
+# In small letters these are words of other languages.
+_CAPITALS = ("MIT", "ISC")
+# What any of them holds in small letters; for a first look at whole texts.
+_STEMS = (
+    "licens", "licenc", "spdx", "gnu", "gpl", "apache", "mozilla", "mpl", "bsd", "cc", "creative", "commons", "copyright",
+    "permission", "redistribut", "warrant", "unencumbered", "domain", "rights",
 )
 LONGEST_NGRAM = 3
 #: A family needs this probability, or what keeps unknown training paragraphs out if more, to be taken.
@@ -90,7 +127,11 @@ CERTAIN = 0.5
 #: Share of a template's word pairs that confirm it.
 CONFIRMED = 0.7
 
-_ANY_WORD = r"(?i)(?<![\w-])(?:" + "|".join(w.replace(".", r"\.") for w in sorted(LICENCE_WORDS, key=len, reverse=True)) + r")(?![\w-])"
+_ENDS = r"(?=v?\p{N}|(?!\p{L}))"
+_ANY_WORD = rf"(?i)licen[sc]|(?<!\p{{L}})(?:{'|'.join(_BEGINS)}|(?-i:{'|'.join(_CAPITALS)})){_ENDS}"
+_FEATURE = rf"licen[sc]|^(?:{'|'.join(_BEGINS)}|{'|'.join(_CAPITALS).lower()}){_ENDS}"
+#: The end of a line that ends a sentence.
+_STOP = r"[.!?][\x22')\]]*\s*$"
 
 
 def _words(text: Column) -> Column:
@@ -99,12 +140,11 @@ def _words(text: Column) -> Column:
 
 
 def _ngrams(words: str, sizes: Sequence[int]) -> Column:
-    listed = f"array({', '.join(repr(w) for w in LICENCE_WORDS)})"
     grams = [
-        f"transform(sequence(1, greatest(size({words}) - {n - 1}, 1)), i -> slice({words}, i, {n}))" for n in sizes
+        f"filter(transform(sequence(1, greatest(size({words}) - {n - 1}, 1)), i -> slice({words}, i, {n})), g -> size(g) = {n})"
+        for n in sizes
     ]
-    kept = [f"filter({g}, g -> size(g) = {n} AND arrays_overlap(g, {listed}))" for g, n in zip(grams, sizes, strict=True)]
-    return F.expr(f"array_distinct(transform(concat({', '.join(kept)}), g -> array_join(g, ' ')))")
+    return F.expr(f"array_distinct(transform(concat({', '.join(grams)}), g -> array_join(g, ' ')))")
 
 
 def _pairs(words: str) -> Column:
@@ -144,7 +184,9 @@ def train(
     )
     families = [UNKNOWN, *sorted({family for family, _ in templates})]
     label = (F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1).cast("double")
-    ngrams = _ngrams("words", range(1, LONGEST_NGRAM + 1))
+    ngrams = F.filter(
+        _ngrams("words", range(1, LONGEST_NGRAM + 1)), lambda g: F.exists(F.split(g, " "), lambda w: w.rlike(_FEATURE))
+    )
     examples = variants.select("number", "drop", label.alias("label"), ngrams.alias("ngrams"))
     # Some hundred short paragraphs: one task.
     examples = examples.where("size(ngrams) > 0").coalesce(1)
@@ -172,12 +214,38 @@ def _constant(value: object, schema: str) -> str:
     return f"from_json('{text}', '{schema}')"
 
 
+def _paragraphs(docs: DataFrame, keep: Sequence[str], templates: str) -> DataFrame:
+    """``keep``, ``paragraph``, ``begin`` and ``notice`` of the paragraphs that hold a licence word."""
+    # Lambdas see one lowered text each, and what they are given as an element is evaluated once.
+    any_stem = " OR ".join(f"contains(t, '{stem}')" for stem in _STEMS)
+    capitals = " OR ".join(f"contains(text, '{word}')" for word in _CAPITALS)
+    words = r"regexp_extract_all(lower(l), r'[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*', 0)"
+    pairs = "transform(sequence(1, greatest(size(w) - 1, 1)), i -> array_join(slice(w, i, 2), ' '))"
+    whole = f"exists(transform(transform(array({words}), w -> {pairs}), p -> exists({templates}, t -> size(array_except(t.p, p)) = 0)), x -> x)"
+    # 0: no words, 1: may go on, 2: stands alone, 3: may be begun, but ends a sentence.
+    mark = rf"""CASE WHEN NOT l RLIKE r'[\p{{L}}\p{{N}}]' THEN 0 WHEN l RLIKE r"{_ANY_WORD}" AND {whole} THEN 2
+                WHEN l RLIKE r"{_STOP}" THEN 3 ELSE 1 END"""
+    firsts = "filter(sequence(0, size(lines) - 1), i -> i = 0 OR marks[i] IN (0, 2) OR marks[i - 1] <> 1)"
+    runs = """transform(firsts, (i, k) -> struct(i AS first, array_join(slice(lines, i + 1, coalesce(get(firsts, k + 1), size(lines)) - i), '\n') AS notice))"""
+    begins = "transform(found, r -> struct(r.first, length(array_join(slice(lines, 1, r.first), ' ')) + int(r.first > 0) AS begin, r.notice))"
+    return (
+        docs.where(F.expr(f"exists(array(lower(text)), t -> {any_stem}) OR {capitals}"))
+        .where(F.col("text").rlike(_ANY_WORD))
+        .select(*keep, F.split("text", "\n").alias("lines"))
+        .select(*keep, "lines", F.expr(f"transform(lines, l -> {mark})").alias("marks"))
+        .select(*keep, "lines", F.expr(firsts).alias("firsts"))
+        .select(*keep, "lines", F.filter(F.expr(runs), lambda r: r["notice"].rlike(_ANY_WORD)).alias("found"))
+        .select(*keep, F.explode(F.expr(begins)).alias("one"))
+        .select(*keep, F.col("one.first").alias("paragraph"), "one.begin", "one.notice")
+    )
+
+
 def licence_paragraphs(docs: DataFrame, model: Model | None = None, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Every paragraph of the whole texts that holds a licence word, and what it is.
 
-    Returns ``keep``, ``paragraph`` (number of the line, from 0), ``begin`` (its
-    first character, from 0), ``licence`` (a family, or ``unknown``),
-    ``probability`` (of that class), ``template_share`` (word pairs of the
+    Returns ``keep``, ``paragraph`` (number of its first line, from 0), ``begin``
+    (its first character, from 0; it ends ``length(notice)`` later), ``licence`` (a family, or ``unknown``),
+    ``probability`` (of that class, by the classifier), ``template_share`` (word pairs of the
     family's nearest template found), ``confirmed`` and ``notice`` (the text).
     NULL and empty texts have no paragraph. Repeated rows give repeated rows.
     The columns of ``docs`` outside ``keep`` and ``text`` are ignored.
@@ -188,18 +256,9 @@ def licence_paragraphs(docs: DataFrame, model: Model | None = None, keep: Sequen
     weights = _constant([{"g": g, "w": w} for g, w in model.weights], "array<struct<g:string,w:array<double>>>")
     vocabulary = _constant([g for g, _ in model.weights], "array<string>")
     intercepts = f"array({', '.join(f'{x!r}D' for x in model.intercepts)})"
-    lines = (
-        docs.where(F.col("text").rlike(_ANY_WORD))
-        .select(*keep, F.split("text", "\n").alias("lines"))
-        .select(
-            *keep,
-            F.posexplode(
-                F.expr("transform(lines, (l, i) -> struct(l AS notice, length(array_join(slice(lines, 1, i), ' ')) + int(i > 0) AS begin))")
-            ).alias("paragraph", "line"),
-        )
-        .where(F.col("line.notice").rlike(_ANY_WORD))
-        .select(*keep, "paragraph", "line.begin", "line.notice", _words(F.col("line.notice")).alias("words"))
-    )
+    known = _rows(spark, NOTICES).withColumn("words", _words(F.col("text"))).select("family", _pairs("words").alias("pairs")).collect()
+    templates = _constant([{"f": r["family"], "p": r["pairs"]} for r in known], "array<struct<f:string,p:array<string>>>")
+    lines = _paragraphs(docs, keep, templates).withColumn("words", _words(F.col("notice")))
     hits = F.expr(f"array_intersect(ngrams, {vocabulary})")
     sums = F.expr(
         f"aggregate(filter({weights}, e -> array_contains(hits, e.g)), {intercepts}, (a, e) -> zip_with(a, e.w, (x, y) -> x + y))"
@@ -215,20 +274,25 @@ def licence_paragraphs(docs: DataFrame, model: Model | None = None, keep: Sequen
     )
     names = F.array(*map(F.lit, model.families))
     certain = (F.col("best.x") / F.col("total") >= model.certain) & (F.col("best.x") >= F.get("odds", F.lit(0)))
-    known = _rows(spark, TEMPLATES).withColumn("words", _words(F.col("text"))).select("family", _pairs("words").alias("pairs")).collect()
-    templates = _constant([{"f": r["family"], "p": r["pairs"]} for r in known], "array<struct<f:string,p:array<string>>>")
+    whole = F.expr(
+        f"array_max(transform(filter({templates}, t -> size(array_except(t.p, pairs)) = 0), t -> struct(size(t.p) AS n, t.f AS f)))"
+    )
     share = F.expr(
         f"coalesce(array_max(transform(filter({templates}, t -> t.f = licence), t -> size(array_intersect(pairs, t.p)) / size(t.p))), 0D)"
     )
     return (
-        scored.withColumn("licence", F.when(certain, F.get(names, F.col("best.i") + 1)).otherwise(UNKNOWN))
+        scored.withColumn("whole", whole)
+        .withColumn(
+            "licence",
+            F.coalesce(F.col("whole.f"), F.when(certain, F.get(names, F.col("best.i") + 1)), F.lit(UNKNOWN)),
+        )
         .withColumn("template_share", share)
         .select(
             *keep,
             "paragraph",
             "begin",
             "licence",
-            F.when(certain, F.col("best.x")).otherwise(F.get("odds", F.lit(0))).alias("odds"),
+            F.coalesce(F.get("odds", F.array_position(names, F.col("licence")).cast("int") - 1), F.lit(0.0)).alias("odds"),
             "total",
             "template_share",
             (F.col("template_share") >= CONFIRMED).alias("confirmed"),
