@@ -11,7 +11,8 @@ bucket holds more than its capacity: such a bucket is split by one more bit,
 while slots that need not be told apart go on sharing a bucket. Buckets are
 ranges of keys; owner tasks each take a range of buckets, sort it, chain the
 entries with equal keys and write their part of the index to the shared folder.
-Every row is then looked up in the index by bucket, key and digest.
+Grouping by key and text decides which rows are copies, and every row is joined
+to its entry by key and digest; the buckets only say where an entry lies.
 """
 
 from __future__ import annotations
