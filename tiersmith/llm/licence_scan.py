@@ -221,7 +221,7 @@ def _paragraphs(docs: DataFrame, keep: Sequence[str], templates: str) -> DataFra
     capitals = " OR ".join(f"contains(text, '{word}')" for word in _CAPITALS)
     words = r"regexp_extract_all(lower(l), r'[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)*', 0)"
     pairs = "transform(sequence(1, greatest(size(w) - 1, 1)), i -> array_join(slice(w, i, 2), ' '))"
-    whole = f"exists(transform(transform(array({words}), w -> {pairs}), p -> exists({templates}, t -> size(array_except(t.p, p)) = 0)), x -> x)"
+    whole = f"exists(transform(transform(array({words}), w -> {pairs}), p -> exists({templates}, t -> array_contains(p, t.p[0]) AND size(array_except(t.p, p)) = 0)), x -> x)"
     # 0: no words, 1: may go on, 2: stands alone, 3: may be begun, but ends a sentence.
     mark = rf"""CASE WHEN NOT l RLIKE r'[\p{{L}}\p{{N}}]' THEN 0 WHEN l RLIKE r"{_ANY_WORD}" AND {whole} THEN 2
                 WHEN l RLIKE r"{_STOP}" THEN 3 ELSE 1 END"""
@@ -275,7 +275,7 @@ def licence_paragraphs(docs: DataFrame, model: Model | None = None, keep: Sequen
     names = F.array(*map(F.lit, model.families))
     certain = (F.col("best.x") / F.col("total") >= model.certain) & (F.col("best.x") >= F.get("odds", F.lit(0)))
     whole = F.expr(
-        f"array_max(transform(filter({templates}, t -> size(array_except(t.p, pairs)) = 0), t -> struct(size(t.p) AS n, t.f AS f)))"
+        f"array_max(transform(filter({templates}, t -> array_contains(pairs, t.p[0]) AND size(array_except(t.p, pairs)) = 0), t -> struct(size(t.p) AS n, t.f AS f)))"
     )
     share = F.expr(
         f"coalesce(array_max(transform(filter({templates}, t -> t.f = licence), t -> size(array_intersect(pairs, t.p)) / size(t.p))), 0D)"
