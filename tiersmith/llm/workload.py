@@ -17,6 +17,7 @@ from tiersmith.llm.odd_sketch import near_duplicates
 from tiersmith.llm.shard_table import SLOTS, filled_slots, with_shard
 from tiersmith.llm.source_mix import mix
 from tiersmith.llm.subword_quality import held_out
+from tiersmith.llm.suffix_match import item_automata, match_documents
 from tiersmith.llm.weak_rules import judge_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,6 +170,55 @@ def op9_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_paragraphs(_documents(spark, sf_dir, "doc_id", "text"))
 
 
+def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+
+
+@_query
+def op13_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents inside ten-word windows of benchmark items."""
+    found = match_documents(_documents(spark, sf_dir, "doc_id", "text"), item_automata(_benchmark(spark, sf_dir)))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op13_suffix_automaton_decontamination"] = r"""
+WITH item AS (
+    SELECT item_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS words
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)
+), doc AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+), found AS (
+    SELECT r, i, size, item_id FROM (
+        SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, (SELECT DISTINCT size FROM windows)
+        WHERE len(w) >= size
+    ) JOIN windows USING (size) WHERE array_to_string(w[i : i + size - 1], ' ') = words
+), hit AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + size)) AS p FROM found) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over all documents."""
     import corpus_pipeline
