@@ -16,6 +16,7 @@ from tiersmith.llm.lm_scores import score_documents
 from tiersmith.llm.odd_sketch import near_duplicates
 from tiersmith.llm.shard_table import SLOTS, filled_slots, with_shard
 from tiersmith.llm.source_mix import mix
+from tiersmith.llm.stratified_index import build_index, search
 from tiersmith.llm.subword_quality import held_out
 from tiersmith.llm.suffix_match import item_automata, match_documents
 from tiersmith.llm.weak_rules import judge_documents
@@ -174,6 +175,46 @@ def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
 
 
+@_query
+def op11_length_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of all for every benchmark item."""
+    index = build_index(_documents(spark, sf_dir, "doc_id", "text"))
+    return search(index, _benchmark(spark, sf_dir), k=20)
+
+
+ORACLE["op11_length_stratified_search"] = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item AS (
+    SELECT row_number() OVER () AS q, item_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), total AS (
+    SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM doc WHERE len(w) > 0
+), posting AS (
+    SELECT r, doc_id, term, CAST(count(*) AS BIGINT) AS tf, 75 + (25 * n * n_docs) // n_terms AS m
+    FROM (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM doc), total
+    GROUP BY r, doc_id, term, n, n_docs, n_terms
+), weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM posting, total GROUP BY term
+), scored AS (
+    SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM (SELECT q, item_id, unnest(w) AS term FROM item) JOIN posting USING (term) JOIN weight USING (term)
+    GROUP BY q, item_id, r, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS INT) AS rank,
+           doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 @_query
 def op13_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of all documents inside ten-word windows of benchmark items."""
