@@ -32,12 +32,11 @@ from tiersmith.llm.textcodes import Slice, code, slices, sorted_distinct
 from tiersmith.session import stage
 
 #: A term is a run of digits, ASCII letters and other characters beyond ASCII.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SEPARATORS = np.ones(256, bool)
 SEPARATORS[48:58] = SEPARATORS[65:91] = SEPARATORS[97:123] = SEPARATORS[128:] = False
 
 #: Bytes of text in a segment; a longer text is a segment of its own.
-SEGMENT_BYTES = 4_000_000
+SEGMENT_BYTES = 2_000_000
 #: Bytes of query text that a task holds at a time.
 QUERY_BYTES = 1 << 20
 #: Strata visited at first; each further step visits twice as many.
@@ -57,17 +56,38 @@ class Index:
     n_terms: int  # in all documents, with repeats
 
 
-_LISTS = {
-    "doc_ids": "array<long>",  # by stratum
-    "strata": "array<int>",  # the value m of each stratum
-    "impacts": "array<int>",  # of each (stratum, tf) that occurs
-    "terms": "array<long>",  # codes, in order as unsigned numbers
-    "term_runs": "array<int>",  # number of the first run of each term, and the end
-    "run_stratum": "array<int>",
-    "run_impact": "array<int>",  # place in impacts
-    "run_size": "array<int>",  # documents of equal term, stratum and tf
-    "postings": "array<int>",  # places in doc_ids, run by run
-}
+#: The lists of a segment.
+_LISTS = (
+    "doc_ids",  # by stratum
+    "strata",  # the value m of each stratum
+    "impacts",  # of each stratum and tf that occur together
+    "terms",  # codes, in order as unsigned numbers
+    "term_runs",  # number of the first run of each term, and the end
+    "run_stratum",
+    "run_impact",  # place in impacts
+    "run_size",  # documents of equal term, stratum and tf
+    "postings",  # places in doc_ids, run by run
+)
+
+
+def _pack(lists: dict[str, np.ndarray | pa.Array]) -> bytes:
+    """Lists as one compressed row, whole numbers as narrow as they may be."""
+    columns = []
+    for values in lists.values():
+        if isinstance(values, np.ndarray) and (not len(values) or values.min() >= 0):
+            values = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+        values = pa.array(values) if isinstance(values, np.ndarray) else values
+        columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
+    row = pa.RecordBatch.from_arrays(columns, names=list(lists))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(row)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: pa.Scalar) -> dict[str, pa.Array]:
+    row = pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
+    return {name: row.column(name)[0].values for name in row.schema.names}
 
 
 def _repeats(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +133,7 @@ def segment(part: Slice, n_docs: int, n_terms: int) -> tuple[np.ndarray, dict[st
     return docs, {
         "strata": strata,
         "impacts": impacts,
-        "terms": terms.view(np.int64),
+        "terms": terms,
         "term_runs": np.searchsorted(run_term, np.arange(len(terms) + 1)),
         "run_stratum": run_stratum,
         "run_impact": np.searchsorted(known, kinds),
@@ -122,15 +142,24 @@ def segment(part: Slice, n_docs: int, n_terms: int) -> tuple[np.ndarray, dict[st
     }
 
 
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with terms, and all their terms: one row a batch."""
+    for batch in batches:
+        n_docs = n_terms = 0
+        for part in slices(batch.column("text")):
+            lengths = np.diff(part.words(SEPARATORS)[2])
+            n_docs, n_terms = n_docs + np.count_nonzero(lengths), n_terms + int(lengths.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([n_docs], pa.int64()), pa.array([n_terms], pa.int64())], names=["n_docs", "n_terms"])
+
+
 def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> Index:
     """The index of all rows of ``docs`` (``doc_id``, ``text``), staged in the shared folder.
 
     Texts without a term, NULL among them, are not in it and not counted.
     Repeated rows are documents of their own. Terms are compared by 64-bit codes.
     """
-    count = F.coalesce(F.regexp_count("text", F.lit(TERM)), F.lit(0)).cast("long")
-    totals = docs.select(count.alias("n")).agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
-    n_docs, n_terms = totals
+    counted = docs.select("text").mapInArrow(_totals, "n_docs long, n_terms long")
+    n_docs, n_terms = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_docs", "n_terms")]).first()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,21 +167,14 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> Index:
                 there, lists = segment(part, n_docs, n_terms) if n_terms else ([], {})
                 if len(there):
                     ids = batch.column("doc_id").slice(part.first, len(part)).take(pa.array(there))
-                    columns = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
-                    for name, kind in list(_LISTS.items())[1:]:
-                        inner = pa.int64() if "long" in kind else pa.int32()
-                        values = pa.array(lists[name], pa.int64()).cast(inner)
-                        columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-                    yield pa.RecordBatch.from_arrays(columns, names=list(_LISTS))
-
-    schema = ", ".join(f"{name} {kind}" for name, kind in _LISTS.items())
-    read = docs.select(F.col("doc_id").cast("long"), "text")
-    return Index(stage(read.mapInArrow(run, schema), "segments"), n_docs, n_terms)
-
+                    ends = np.append(0, np.cumsum(lists["run_size"]))[lists["term_runs"]]
+                    lexicon = _pack({"terms": lists["terms"], "df": np.diff(ends)})
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lexicon]), pa.array([_pack({"doc_ids": ids, **lists})])], names=["lexicon", "lists"]
+                    )
 
-def _row(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
-    """A list of row ``i`` as an array; without NULLs in it."""
-    return batch.column(name)[i].values.to_numpy(zero_copy_only=False)
+    read = docs.select(F.col("doc_id").cast("long"), "text")
+    return Index(stage(read.mapInArrow(run, "lexicon binary, lists binary"), "segments"), n_docs, n_terms)
 
 
 def _places(known: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,11 +206,10 @@ def _document_frequencies(queries: Blocks):
             for block in queries:
                 sought = sorted_distinct(block.column("term").to_numpy().view(np.uint64))
                 found = np.zeros(len(sought), np.int64)
-                for i in range(batch.num_rows):
-                    there, at = _places(_row(batch, "terms", i).view(np.uint64), sought)
-                    runs = _row(batch, "term_runs", i)
-                    ends = np.append(0, np.cumsum(_row(batch, "run_size", i), dtype=np.int64))
-                    found[there] += ends[runs[at + 1]] - ends[runs[at]]
+                for packed in batch.column("lexicon"):
+                    lexicon = _unpack(packed)
+                    there, at = _places(lexicon["terms"].to_numpy().view(np.uint64), sought)
+                    found[there] += lexicon["df"].to_numpy()[at]
                 some = np.flatnonzero(found)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sought[some].view(np.int64)), pa.array(found[some])], names=["term", "df"]
@@ -220,18 +241,17 @@ class _Best:
 class Segment:
     """One row of the index, ready to be searched."""
 
-    def __init__(self, batch: pa.RecordBatch, i: int) -> None:
-        ids = batch.column("doc_ids")[i].values
+    def __init__(self, lists: dict[str, pa.Array]) -> None:
+        ids = lists["doc_ids"]
         self.no_id = ids.is_null().to_numpy(zero_copy_only=False)
-        self.ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
-        self.n_strata = len(batch.column("strata")[i])
-        self.terms = _row(batch, "terms", i).view(np.uint64)
-        self.term_runs = _row(batch, "term_runs", i).astype(np.int64)
-        self.stratum = _row(batch, "run_stratum", i).astype(np.int64)
-        self.impact = _row(batch, "impacts", i).astype(np.int64)[_row(batch, "run_impact", i)]
-        self.size = _row(batch, "run_size", i).astype(np.int64)
+        self.ids = ids.fill_null(0).to_numpy()
+        whole = lambda name: lists[name].to_numpy().astype(np.int64)
+        self.n_strata = len(lists["strata"])
+        self.terms = lists["terms"].to_numpy().view(np.uint64)
+        self.term_runs, self.stratum, self.size = whole("term_runs"), whole("run_stratum"), whole("run_size")
+        self.impact = whole("impacts")[lists["run_impact"].to_numpy()]
         self.first = np.cumsum(self.size) - self.size
-        self.postings = _row(batch, "postings", i)
+        self.postings = lists["postings"].to_numpy()
         # The first run of a term in a stratum has its highest tf there.
         self.leads = np.ones(len(self.stratum), bool)
         np.not_equal(self.stratum[1:], self.stratum[:-1], out=self.leads[1:])
@@ -285,8 +305,8 @@ def _search(queries: Blocks, k: int):
                 terms = block.column("term").to_numpy().view(np.uint64)
                 weights = block.column("weight").to_numpy()
                 best = [_Best(k) for _ in cuts[1:]]
-                for i in range(batch.num_rows):
-                    held = Segment(batch, i)
+                for packed in batch.column("lists"):
+                    held = Segment(_unpack(packed))
                     for n, found in enumerate(best):
                         held.search(terms[cuts[n] : cuts[n + 1]], weights[cuts[n] : cuts[n + 1]], found)
                 query = np.repeat(cuts[:-1], [len(x.scores) for x in best])
@@ -316,7 +336,7 @@ def search(index: Index, items: DataFrame, k: int = 20, query_bytes: int = QUERY
     # Each distinct term is asked for in one block only, so every document counts once.
     n_blocks = (terms.agg(F.max(BLOCK)).first()[0] or 0) + 1
     distinct = terms.select("term").distinct().withColumn(BLOCK, F.pmod(F.xxhash64("term"), F.lit(n_blocks)).cast("int"))
-    counted = index.segments.select("terms", "term_runs", "run_size").mapInArrow(
+    counted = index.segments.select("lexicon").mapInArrow(
         _document_frequencies(Blocks.write(distinct, "query-blocks")), "term long, df long"
     )
     rarity = F.floor(1000 * F.log(F.lit(2.0 * index.n_docs + 2) / (2 * F.sum("df") + 1)))
@@ -325,7 +345,7 @@ def search(index: Index, items: DataFrame, k: int = 20, query_bytes: int = QUERY
         "file", "place", "item_id", BLOCK, "term", (F.col("repeats") * F.col("rarity")).alias("weight")
     )
     queries = Blocks.write(weighted, "queries")
-    found = index.segments.mapInArrow(_search(queries, k), f"{head}, doc_id long, score long")
+    found = index.segments.select("lists").mapInArrow(_search(queries, k), f"{head}, doc_id long, score long")
     order = Window.partitionBy("file", "place").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("item_id", "rank", "doc_id", "score")
