@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from tiersmith.llm import stratified_index
+from tiersmith.llm.packing import pack, unpack
 from tiersmith.llm.stratified_index import build_index, search, segment
 from tiersmith.llm.textcodes import slices
 
@@ -105,7 +106,7 @@ def test_strata_out_of_reach_are_not_visited(monkeypatch):
     part = next(iter(slices(pa.array(texts))))
     n_terms = sum(n + 1 for n in range(1, 200))
     docs, lists = segment(part, len(texts), n_terms)
-    lists = stratified_index._unpack(pa.scalar(stratified_index._pack({"doc_ids": pa.array(docs), **lists})))
+    lists = unpack(pa.scalar(pack({"doc_ids": pa.array(docs), **lists})))
     visited = []
     visit = stratified_index.Segment._visit
     monkeypatch.setattr(stratified_index.Segment, "_visit", lambda self, some, *a: (visited.append(len(some)), visit(self, some, *a))[1])

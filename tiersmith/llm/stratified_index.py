@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tiersmith.llm.packing import pack, repeats, unpack
 from tiersmith.llm.query_blocks import BLOCK, Blocks, dealt_into_blocks
 from tiersmith.llm.rows import ROW
 from tiersmith.llm.textcodes import Slice, code, slices, sorted_distinct
@@ -70,34 +71,6 @@ _LISTS = (
 )
 
 
-def _pack(lists: dict[str, np.ndarray | pa.Array]) -> bytes:
-    """Lists as one compressed row, whole numbers as narrow as they may be."""
-    columns = []
-    for values in lists.values():
-        if isinstance(values, np.ndarray) and (not len(values) or values.min() >= 0):
-            values = values.astype(np.min_scalar_type(int(values.max(initial=0))))
-        values = pa.array(values) if isinstance(values, np.ndarray) else values
-        columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-    row = pa.RecordBatch.from_arrays(columns, names=list(lists))
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(row)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpack(packed: pa.Scalar) -> dict[str, pa.Array]:
-    row = pa.ipc.open_stream(packed.as_buffer()).read_next_batch()
-    return {name: row.column(name)[0].values for name in row.schema.names}
-
-
-def _repeats(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First places of the runs of equal values, and the runs' sizes."""
-    new = np.ones(len(sorted_values), bool)
-    np.not_equal(sorted_values[1:], sorted_values[:-1], out=new[1:])
-    first = np.flatnonzero(new)
-    return first, np.diff(np.append(first, len(sorted_values)))
-
-
 def segment(part: Slice, n_docs: int, n_terms: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """The documents of a slice that have terms, by stratum, and their lists."""
     starts, ends, first = part.words(SEPARATORS)
@@ -115,7 +88,7 @@ def segment(part: Slice, n_docs: int, n_terms: int) -> tuple[np.ndarray, dict[st
     terms = sorted_distinct(codes)
     both = np.searchsorted(terms, codes) * len(docs) + np.repeat(place, lengths)
     both.sort()
-    at, tf = _repeats(both)
+    at, tf = repeats(both)
     term, doc = np.divmod(both[at], max(1, len(docs)))
     # By term and stratum already; within them by falling tf, then by document.
     lists = term * len(strata) + stratum_of[doc]
@@ -123,7 +96,7 @@ def segment(part: Slice, n_docs: int, n_terms: int) -> tuple[np.ndarray, dict[st
     key = lists * most + (most - 1 - tf)
     order = np.argsort(key, kind="stable")
     key, tf, doc = key[order], tf[order], doc[order]
-    run, run_size = _repeats(key)
+    run, run_size = repeats(key)
     run_list, run_tf = key[run] // most, tf[run]
     run_term, run_stratum = np.divmod(run_list, max(1, len(strata)))
     kinds = run_stratum * most + run_tf
@@ -168,9 +141,9 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> Index:
                 if len(there):
                     ids = batch.column("doc_id").slice(part.first, len(part)).take(pa.array(there))
                     ends = np.append(0, np.cumsum(lists["run_size"]))[lists["term_runs"]]
-                    lexicon = _pack({"terms": lists["terms"], "df": np.diff(ends)})
+                    lexicon = pack({"terms": lists["terms"], "df": np.diff(ends)})
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lexicon]), pa.array([_pack({"doc_ids": ids, **lists})])], names=["lexicon", "lists"]
+                        [pa.array([lexicon]), pa.array([pack({"doc_ids": ids, **lists})])], names=["lexicon", "lists"]
                     )
 
     read = docs.select(F.col("doc_id").cast("long"), "text")
@@ -192,11 +165,11 @@ def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes = code(part.prefix_sums(), starts, ends)
             for i in range(len(part)):
                 own = np.sort(codes[first[i] : first[i + 1]])
-                at, repeats = _repeats(own)
+                at, times = repeats(own)
                 if len(at):
                     row = batch.slice(part.first + i, 1).take(pa.array(np.zeros(len(at), np.int64)))
                     columns = [row.column(name) for name in ("file", "place", "item_id", BLOCK)]
-                    columns += [pa.array(own[at].view(np.int64)), pa.array(repeats, pa.int64())]
+                    columns += [pa.array(own[at].view(np.int64)), pa.array(times, pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, names=["file", "place", "item_id", BLOCK, "term", "repeats"])
 
 
@@ -207,7 +180,7 @@ def _document_frequencies(queries: Blocks):
                 sought = sorted_distinct(block.column("term").to_numpy().view(np.uint64))
                 found = np.zeros(len(sought), np.int64)
                 for packed in batch.column("lexicon"):
-                    lexicon = _unpack(packed)
+                    lexicon = unpack(packed)
                     there, at = _places(lexicon["terms"].to_numpy().view(np.uint64), sought)
                     found[there] += lexicon["df"].to_numpy()[at]
                 some = np.flatnonzero(found)
@@ -306,7 +279,7 @@ def _search(queries: Blocks, k: int):
                 weights = block.column("weight").to_numpy()
                 best = [_Best(k) for _ in cuts[1:]]
                 for packed in batch.column("lists"):
-                    held = Segment(_unpack(packed))
+                    held = Segment(unpack(packed))
                     for n, found in enumerate(best):
                         held.search(terms[cuts[n] : cuts[n + 1]], weights[cuts[n] : cuts[n + 1]], found)
                 query = np.repeat(cuts[:-1], [len(x.scores) for x in best])

@@ -19,6 +19,7 @@ from tiersmith.llm.source_mix import mix
 from tiersmith.llm.stratified_index import build_index, search
 from tiersmith.llm.subword_quality import held_out
 from tiersmith.llm.suffix_match import item_automata, match_documents
+from tiersmith.llm.token_alignment import link_counts, read_file
 from tiersmith.llm.weak_rules import judge_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,6 +216,13 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """
 
 
+@_query
+def op12_merge_path_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How a byte-level and a piece vocabulary align on all whole texts."""
+    files = [read_file(spark, public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return link_counts(_documents(spark, sf_dir, "doc_id", "text"), *files)
+
+
 @_query
 def op13_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of all documents inside ten-word windows of benchmark items."""
