@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from tiersmith.llm.textcodes import kept_by_worker, text_of_batch
+from tiersmith.llm.textcodes import text_of_batch
 
-#: Pieces a task remembers, and the longest one it does.
-REMEMBERED = 500_000
+#: Pieces a task remembers, and the longest one it does: some 20 MB at most.
+REMEMBERED = 80_000
 REMEMBERED_CHARS = 64
 #: Pieces encoded in one call.
 JOINED = 1000
@@ -52,39 +52,12 @@ def read_ranks(spark: SparkSession, path: str) -> bytes:
         return file.read()
 
 
-class Codec:
-    """A byte-level BPE vocabulary: ids of texts, and bytes of ids."""
+class Pieces:
+    """Encodes texts piece by piece with a byte-level tokenizer, and remembers pieces."""
 
-    def __init__(self, rank_file: bytes, pattern: str) -> None:
-        self.bytes_of: list[bytes] = []
-        ranks: dict[bytes, int] = {}
-        for line in rank_file.splitlines():
-            if line:
-                token, rank = line.split()
-                ranks[base64.b64decode(token)] = int(rank)
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
-        self.lengths = np.array([len(token) for token in self.bytes_of])
-        characters = byte_characters()
-        spell = lambda token: "".join([characters[b] for b in token])
-        vocabulary = {spell(token): rank for token, rank in ranks.items()}
-        merges = []
-        for token in sorted(ranks, key=ranks.__getitem__):
-            # Any two tokens that make up a token may merge, at its rank.
-            splits = [(token[:i], token[i:]) for i in range(1, len(token))]
-            splits = [s for s in splits if s[0] in ranks and s[1] in ranks]
-            splits.sort(key=lambda s: (ranks[s[0]], ranks[s[1]]))
-            merges += [(spell(left), spell(right)) for left, right in splits]
-        # No cache in the library: pieces are remembered here.
-        model = models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True, cache_capacity=0)
-        self.tokenizer = Tokenizer(model)
-        self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
-            [
-                pre_tokenizers.Split(Regex(pattern), behavior="isolated"),
-                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-            ]
-        )
+    def __init__(self, tokenizer: Tokenizer, lengths: np.ndarray) -> None:
+        self.tokenizer = tokenizer
+        self.lengths = lengths  # bytes of each id
         self.known: dict[str, bytes] = {}
 
     @staticmethod
@@ -136,6 +109,41 @@ class Codec:
                 out.update((piece, raw[a:b]) for piece, a, b in zip(group, cuts, cuts[1:], strict=False))
         return out
 
+
+class Codec(Pieces):
+    """A byte-level BPE vocabulary: ids of texts, and bytes of ids."""
+
+    def __init__(self, rank_file: bytes, pattern: str) -> None:
+        self.bytes_of: list[bytes] = []
+        ranks: dict[bytes, int] = {}
+        for line in rank_file.splitlines():
+            if line:
+                token, rank = line.split()
+                ranks[base64.b64decode(token)] = int(rank)
+        self.bytes_of = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.bytes_of[rank] = token
+        characters = byte_characters()
+        spell = lambda token: "".join([characters[b] for b in token])
+        vocabulary = {spell(token): rank for token, rank in ranks.items()}
+        merges = []
+        for token in sorted(ranks, key=ranks.__getitem__):
+            # Any two tokens that make up a token may merge, at its rank.
+            splits = [(token[:i], token[i:]) for i in range(1, len(token))]
+            splits = [s for s in splits if s[0] in ranks and s[1] in ranks]
+            splits.sort(key=lambda s: (ranks[s[0]], ranks[s[1]]))
+            merges += [(spell(left), spell(right)) for left, right in splits]
+        # No cache in the library: pieces are remembered here.
+        model = models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True, cache_capacity=0)
+        tokenizer = Tokenizer(model)
+        tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.Split(Regex(pattern), behavior="isolated"),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        super().__init__(tokenizer, np.array([len(token) for token in self.bytes_of]))
+
     def offsets(self, text: str) -> list[tuple[int, int]]:
         """Each id's span of characters; a character split between ids belongs to all of them."""
         out, at = [], 0
@@ -155,12 +163,6 @@ class Codec:
         return [decoder.decode(self.bytes_of[i], final=n == last) for n, i in enumerate(ids)]
 
 
-def _codec(rank_file: bytes, pattern: str) -> Codec:
-    """The codec and what it remembers, kept between the tasks of a worker."""
-    name = hashlib.sha256(rank_file + pattern.encode()).hexdigest()
-    return kept_by_worker("codec", name, lambda: Codec(rank_file, pattern))
-
-
 def _groups(texts: pa.Array, limit: int = 1_000_000) -> Iterator[list[str]]:
     """The texts in lists of about ``limit`` characters."""
     held, size = [], 0
@@ -185,7 +187,7 @@ def encode_documents(docs: DataFrame, rank_file: bytes, pattern: str) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(rank_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value, pattern)
+        codec = Codec(shared.value, pattern)
         for batch in batches:
             at = 0
             for texts in _groups(text_of_batch(batch)):
@@ -203,7 +205,7 @@ def token_offsets(docs: DataFrame, rank_file: bytes, pattern: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(rank_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value, pattern)
+        codec = Codec(shared.value, pattern)
         for batch in batches:
             for i, text in enumerate(text_of_batch(batch)):
                 spans = codec.offsets(text.as_py() or "")
@@ -227,7 +229,7 @@ def decode_documents(encoded: DataFrame, rank_file: bytes, pattern: str) -> Data
     shared = encoded.sparkSession.sparkContext.broadcast(rank_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value, pattern)
+        codec = Codec(shared.value, pattern)
         for batch in batches:
             texts = [
                 None if x is None else codec.decode_bytes(np.array(x, "<u4").tobytes()).decode("utf-8", "replace")
@@ -255,7 +257,7 @@ def round_trip(
         out = out.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared.value, pattern)
+        codec = Codec(shared.value, pattern)
         for batch in batches:
             at = 0
             for texts in _groups(text_of_batch(batch)):
