@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tiersmith.llm.byte_bpe import byte_characters
+from tiersmith.llm.byte_bpe import Pieces, byte_characters
 from tiersmith.llm.packing import pack, repeats, unpack
 from tiersmith.llm.textcodes import mix, sorted_distinct
 from tiersmith.session import stage
@@ -69,6 +69,7 @@ class Vocabularies:
         self.b_bytes = [self._piece(n) for n in range(self.b.get_piece_size())]
         self.a_lengths = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int64)
+        self._pieces = Pieces(self.a, self.a_lengths)
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
@@ -79,15 +80,16 @@ class Vocabularies:
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of both for each text behind a space; none where either does not spell it."""
         asked = [text or "" for text in texts]
-        in_a = [found.ids for found in self.a.encode_batch_fast([" " + x for x in asked], add_special_tokens=False)]
+        in_a = [np.frombuffer(ids, "<u4") for ids in self._pieces.encode([" " + x for x in asked])]
         in_b = self.b.encode(asked, num_threads=1)
         out = []
         for text, a, b in zip(asked, in_a, in_b, strict=True):
             whole = b" " + text.encode()
             same = text and all(
-                b"".join(map(table.__getitem__, ids)) == whole for table, ids in ((self.a_bytes, a), (self.b_bytes, b))
+                b"".join(map(table.__getitem__, ids)) == whole
+                for table, ids in ((self.a_bytes, a.tolist()), (self.b_bytes, b))
             )
-            out.append((np.array(a, np.int64), np.array(b, np.int64)) if same else (_NO_INTS, _NO_INTS))
+            out.append((a.astype(np.int64), np.array(b, np.int64)) if same else (_NO_INTS, _NO_INTS))
         return out
 
 
@@ -143,6 +145,17 @@ def groups_of(a: np.ndarray, b: np.ndarray, piece: int = PIECE) -> tuple[np.ndar
     return in_a, in_b
 
 
+def _written(most: int) -> np.ndarray:
+    """Each number up to ``most`` in decimal characters with a comma, zero bytes for leading zeros."""
+    numbers, digits = np.arange(most + 1), len(str(most))
+    rows = np.zeros((most + 1, digits + 1), np.uint8)
+    rows[:, digits] = ord(",")
+    for k in range(digits):
+        rest = numbers // 10 ** (digits - 1 - k)
+        rows[:, k] = np.where((rest > 0) | (k == digits - 1), 48 + rest % 10, 0)
+    return rows
+
+
 @dataclass
 class Aligned:
     """Texts in a row with their tokens and groups."""
@@ -204,20 +217,13 @@ class Aligned:
 
     def spellings(self) -> list[bytes]:
         """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
-        n = len(self.a) + len(self.b)
-        digits = max(len(str(int(x.max(initial=0)))) for x in (self.a, self.b))
-        rows = np.zeros((n, digits + 1), np.uint8)
         at_a = np.arange(len(self.a)) + self.first_b[self.group_a]
         at_b = np.arange(len(self.b)) + (self.first_a + self.size_a)[self.group_b]
-        ids = np.empty(n, np.int64)
-        ids[at_a], ids[at_b] = self.a, self.b
-        rows[:, digits] = ord(",")
-        rows[at_a[self.first_a + self.size_a - 1], digits] = ord("|")
-        rows[at_b[self.first_b + self.size_b - 1], digits] = ord(";")
-        for k in range(digits - 1, -1, -1):
-            # Leading zeros stay empty, the last digit never.
-            rows[:, k] = np.where((ids > 0) | (k == digits - 1), 48 + ids % 10, 0)
-            ids //= 10
+        written = _written(max(int(x.max(initial=0)) for x in (self.a, self.b)))
+        rows = np.empty((len(self.a) + len(self.b), written.shape[1]), np.uint8)
+        rows[at_a], rows[at_b] = written[self.a], written[self.b]
+        rows[at_a[self.first_a + self.size_a - 1], -1] = ord("|")
+        rows[at_b[self.first_b + self.size_b - 1], -1] = ord(";")
         size = (rows != 0).sum(axis=1)
         tokens = np.cumsum(self.n_a + self.n_b)
         ends = np.append(0, np.cumsum(size))[tokens]
