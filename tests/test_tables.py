@@ -1,8 +1,12 @@
-from datetime import datetime, timezone
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
+from urllib.parse import unquote
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
 
 from tiersmith.sources import tables
 
@@ -10,7 +14,9 @@ NOON = datetime(2024, 5, 1, 12, tzinfo=timezone.utc)
 
 
 def files(location, name, table):
-    return [p for p in Path(location, name, "_db", table).rglob("*.parquet")]
+    """The files that a reader of the table gets now."""
+    found = tables.read_table(SparkSession.getActiveSession(), name, table).inputFiles()
+    return [Path(unquote(p.split(":", 1)[1])) for p in found]
 
 
 @pytest.mark.parametrize(
@@ -125,48 +131,119 @@ def test_compaction_of_columns_named_like_table_facts(spark, database, name_of_c
 
 
 @pytest.mark.parametrize("partition_by", [None, "part"])
-@pytest.mark.parametrize("cut", ["after the copy", "while a partition is replaced", "before the copy is dropped"])
-@pytest.mark.parametrize("then", ["compact", "append"])
+@pytest.mark.parametrize("cut", ["after the copy", "while partitions are published", "before the end is noted"])
+@pytest.mark.parametrize("then", ["compact", "append", "overwrite"])
 def test_no_rows_are_lost_to_a_crash(spark, database, monkeypatch, partition_by, cut, then):
     name, location = database
     df = spark.createDataFrame([(i, f"p{i % 3}") for i in range(60)], "id int, part string").repartition(6)
     for _ in range(2):
         tables.save_table(spark, df, location, name, "t", partition_by=partition_by, run_ts=NOON)
-    replace, finish = tables._replace_partitions, tables.finish_compaction
+    publish = tables._publish
 
     class Cut(RuntimeError):
         pass
 
-    def broken_replace(spark, rows, table, facts):
-        if cut == "before the copy is dropped":
-            return replace(spark, rows, table, facts)
-        if cut == "while a partition is replaced":
-            # What an overwrite that died leaves: some files gone, none new.
-            for path in files(location, name, "t")[::2]:
-                path.unlink()
-                (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+    def broken_publish(spark, live, facts, moves):
+        if cut != "after the copy":
+            publish(spark, live, facts, moves if cut == "before the end is noted" else moves[:2])
         raise Cut
 
-    calls = []
-
-    def broken_finish(*args):
-        calls.append(args)
-        if len(calls) > 1:
-            raise Cut
-        return finish(*args)
-
     with monkeypatch.context() as patched, pytest.raises(Cut):
-        patched.setattr(tables, "_replace_partitions", broken_replace)
-        patched.setattr(tables, "finish_compaction", broken_finish)
+        patched.setattr(tables, "_publish", broken_publish)
         tables.compact_table(spark, name, "t")
+    ids = lambda: sorted(r[0] for r in tables.read_table(spark, name, "t").select("id").collect())
+    assert ids() == sorted(list(range(60)) * 2)
     if then == "compact":
         tables.compact_table(spark, name, "t")
     else:
-        tables.save_table(spark, df, location, name, "t", partition_by=partition_by, run_ts=NOON)
-    saved = tables.read_table(spark, name, "t")
-    copies = 2 if then == "compact" else 3
-    assert sorted(r[0] for r in saved.select("id").collect()) == sorted(list(range(60)) * copies)
+        tables.save_table(spark, df, location, name, "t", overwrite=then == "overwrite", partition_by=partition_by, run_ts=NOON)
+    assert ids() == sorted(list(range(60)) * {"compact": 2, "append": 3, "overwrite": 1}[then])
     assert [t.name for t in spark.catalog.listTables(name)] == ["t"]
+    # What the dead compaction left goes once it is old enough.
+    monkeypatch.setattr(tables, "ABANDONED", timedelta(0))
+    tables.compact_table(spark, name, "t")
+    tables.remove_replaced(spark, name, "t")
+    in_use = {p.split(":", 1)[1].lstrip("/") for p in tables.read_table(spark, name, "t").inputFiles()}
+    left = {str(p).lstrip("/") for p in Path(location).rglob("*.parquet") if "t__versions" in str(p)}
+    assert left <= in_use and ids() == sorted(list(range(60)) * {"compact": 2, "append": 3, "overwrite": 1}[then])
+
+
+@pytest.mark.parametrize("partition_by", [None, "part"])
+def test_replaced_files_stay_for_readers_until_the_next_compaction(spark, database, partition_by):
+    name, location = database
+    df = spark.createDataFrame([(i, f"o'n/e%{i % 2}") for i in range(40)], "id int, part string").repartition(8)
+    for _ in range(2):
+        tables.save_table(spark, df, location, name, "t", partition_by=partition_by, run_ts=NOON)
+    early = tables.read_table(spark, name, "t")
+    old = early.inputFiles()
+    tables.compact_table(spark, name, "t")
+    assert early.count() == 80
+    late = tables.read_table(spark, name, "t")
+    new = late.inputFiles()
+    assert not set(old) & set(new) and len(new) < len(old)
+    # Rows that come later go where the catalog points to, and are compacted with the rest.
+    tables.save_table(spark, df, location, name, "t", partition_by=partition_by, run_ts=NOON)
+    tables.compact_table(spark, name, "t")
+    again = tables.read_table(spark, name, "t")
+    assert again.count() == 120 and len(again.inputFiles()) == len(new)
+    assert not [p for p in old if Path(unquote(p.split(":", 1)[1])).exists()]
+    tables.save_table(spark, df, location, name, "t", overwrite=True, partition_by=partition_by, run_ts=NOON)
+    assert tables.read_table(spark, name, "t").count() == 40
+
+
+def test_side_by_side_compactions_keep_all_rows(spark, database):
+    name, location = database
+    df = spark.createDataFrame([(i, i % 3) for i in range(30)], "id int, p int").repartition(3)
+    names = [f"t{n}" for n in range(6)]
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    settings = {k: spark.conf.get(k) for k in (mode, "spark.sql.classic.shuffleDependency.fileCleanup.enabled")}
+    stop, seen = threading.Event(), []
+
+    def read():
+        while not stop.is_set():
+            # Appends are over before compactions begin, so the rows of a table never change here.
+            for table in names:
+                counts = {r["p"]: r["count"] for r in tables.read_table(spark, name, table).groupBy("p").count().collect()}
+                seen.append(sorted(counts.items()) == [(p, 10 * expected) for p in range(3)])
+
+    for round_ in range(4):
+        expected = round_ + 2
+        for table in names:
+            for _ in range(2 if not round_ else 1):
+                tables.save_table(spark, df, location, name, table, partition_by="p", run_ts=NOON)
+        stop.clear()
+        reader = threading.Thread(target=read)
+        reader.start()
+        with ThreadPoolExecutor(6) as pool:
+            list(pool.map(lambda table: tables.compact_table(spark, name, table), names))
+        stop.set()
+        reader.join()
+        for table in names:
+            assert tables.read_table(spark, name, table).count() == 30 * expected
+    assert seen and all(seen)
+    assert {k: spark.conf.get(k) for k in settings} == settings
+
+
+def test_a_table_written_to_meanwhile_is_left_alone(spark, database, monkeypatch):
+    name, location = database
+    df = spark.range(20).selectExpr("id", "id % 2 AS p").repartition(4)
+    for _ in range(2):
+        tables.save_table(spark, df, location, name, "t", partition_by="p")
+    calls, folders = [], tables._folders
+
+    def late_rows(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            tables.save_table(spark, df, location, name, "t", partition_by="p")
+        return folders(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_folders", late_rows)
+        tables.compact_table(spark, name, "t")
+    assert tables.read_table(spark, name, "t").count() == 60
+    assert not list(Path(location).rglob("*__versions*/**/*.parquet"))
+    tables.compact_table(spark, name, "t")
+    assert tables.read_table(spark, name, "t").count() == 60
 
 
 def test_partitions_in_few_files_are_left_alone(spark, database):

@@ -25,3 +25,9 @@ def beside(uri: str, path: str) -> str:
 def path_of(uri: str) -> str:
     """A URI or path without scheme and host."""
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "", uri)
+
+
+def exists(uri: str) -> bool:
+    """Whether there is a file or folder."""
+    filesystem, path = open_uri(uri)
+    return filesystem.get_file_info(path).type != fs.FileType.NotFound

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -460,20 +462,26 @@ def save_append_overwrite(spark, sf_dir):
 
 @query
 def compact_table_(spark, sf_dir):
+    """Two tables compacted side by side, appended to where they are then, and compacted again."""
     location, database = fresh_database(spark, "compacted")
-    for overwrite in (True, False):
+    orders = table(spark, sf_dir, "orders")
+    halves = {"early": orders.where("o_orderkey % 2 = 0"), "late": orders.where("o_orderkey % 2 = 1")}
+
+    def save(name: str, overwrite: bool) -> None:
         save_table(
-            spark,
-            table(spark, sf_dir, "orders"),
-            location,
-            database,
-            "orders",
-            overwrite=overwrite,
-            partition_by=["o_orderstatus"],
-            run_ts=RUN_TS,
+            spark, halves[name], location, database, name, overwrite=overwrite, partition_by=["o_orderstatus"], run_ts=RUN_TS
         )
-    compact_table(spark, database, "orders")
-    return columns.drop_columns(read_table(spark, database, "orders"), AUDIT_COLUMN)
+
+    def fill(name: str) -> None:
+        save(name, overwrite=True)
+        compact_table(spark, database, name)
+        save(name, overwrite=False)
+        compact_table(spark, database, name)
+
+    with ThreadPoolExecutor(len(halves)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(fill), halves))
+    saved = [columns.drop_columns(read_table(spark, database, name), AUDIT_COLUMN) for name in halves]
+    return saved[0].unionByName(saved[1])
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import threading
 import uuid
 
 from pyarrow import fs
@@ -25,6 +26,8 @@ SETTINGS = {
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _to_clear: set[str] = set()
+_cleaning = threading.Lock()
+_cleaners: dict[int, tuple[int, str]] = {}  # by session: writes at work, the setting before the first
 
 
 def get_session(app_name: str = "tiersmith") -> SparkSession:
@@ -79,6 +82,28 @@ def clear_scratch(spark: SparkSession) -> None:
     _delete(_application_folder(spark))
 
 
+@contextlib.contextmanager
+def _without_shuffle_files(spark: SparkSession):
+    """Shuffle files go with the query that wrote them; threads of one session share the setting."""
+    key = id(spark)
+    with _cleaning:
+        working, before = _cleaners.get(key, (0, ""))
+        if not working:
+            before = spark.conf.get(_CLEANUP)
+            spark.conf.set(_CLEANUP, "true")
+        _cleaners[key] = (working + 1, before)
+    try:
+        yield
+    finally:
+        with _cleaning:
+            working, before = _cleaners[key]
+            if working == 1:
+                spark.conf.set(_CLEANUP, before)
+                del _cleaners[key]
+            else:
+                _cleaners[key] = (working - 1, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -89,10 +114,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _without_shuffle_files(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

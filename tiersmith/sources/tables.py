@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import logging
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from urllib.parse import quote
 
+from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiersmith.files import exists, open_uri, path_of
 from tiersmith.operators.columns import column
 
 log = logging.getLogger(__name__)
@@ -22,6 +25,11 @@ log = logging.getLogger(__name__)
 AUDIT_COLUMN = "processing_ts"
 #: Bytes a compacted file should have.
 FILE_BYTES = 128 << 20
+#: After this time a compaction that has not ended is taken for dead.
+ABANDONED = timedelta(days=1)
+
+# Rewritten partitions are beside the table's own folder; what a version moves, and that all of it is moved.
+_VERSIONS, _PLAN, _DONE = "__versions", "_plan.json", "_done.json"
 
 
 def database_exists(spark: SparkSession, name: str) -> bool:
@@ -80,7 +88,8 @@ def save_table(
     few files, and to several when it holds much of the data.
     """
     create_database(spark, database, location)
-    finish_compaction(spark, database, table)
+    if overwrite:
+        _make_way(spark, database, table)
     partitions = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
     stamped = df.withColumn(AUDIT_COLUMN, audit_stamp(run_ts))
     if partitions:
@@ -94,6 +103,16 @@ def save_table(
         compact_table(spark, database, table)
 
 
+def _make_way(spark: SparkSession, database: str, table: str) -> None:
+    """Delete what compactions have replaced before a table is created anew in its own folder."""
+    remove_replaced(spark, database, table)
+    live = f"`{database}`.`{table}`"
+    if spark.catalog.tableExists(live):
+        facts = _Facts.of(spark, live)
+        if facts.location != facts.base:
+            _delete(facts.base)
+
+
 @dataclass(frozen=True)
 class _Facts:
     """What the catalog says of a table, whatever its columns are called."""
@@ -109,107 +128,184 @@ class _Facts:
         partitions = [fields[column] for column in described.get("partition_columns") or []]
         return cls(described["provider"], described["location"].rstrip("/"), partitions)
 
+    @property
+    def base(self) -> str:
+        """Where the table was created, whichever version is published now."""
+        return re.sub(f"{_VERSIONS}/[^/]+$", "", self.location)
+
+    @property
+    def versions(self) -> str:
+        return self.base + _VERSIONS
 
-def _scattered(spark: SparkSession, facts: _Facts, file_bytes: int) -> DataFrame:
-    """The partition values of folders with more files than their bytes call for."""
+
+def _spec(facts: _Facts, values: Sequence[str | None]) -> str:
+    """A partition in SQL; nothing for a table without partitions."""
+    if not facts.partitions:
+        return ""
+    quoted = ["null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values]
+    names = [field.name.replace("`", "``") for field in facts.partitions]
+    return "PARTITION (" + ", ".join(f"`{n}`={v}" for n, v in zip(names, quoted, strict=True)) + ")"
+
+
+def _published(spark: SparkSession, name: str, facts: _Facts, values: Sequence[str | None]) -> str | None:
+    """The folder that the catalog names for a partition, or for the table; None without it."""
+    try:
+        row = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {_spec(facts, values)} AS JSON").first()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PARTITIONS_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            raise
+        return None
+    return path_of(json.loads(row[0])["location"]).rstrip("/")
+
+
+def _folders(spark: SparkSession, facts: _Facts, *places: str) -> DataFrame:
+    """``(folder, values, n_files, n_bytes)`` of the folders with files, listed on the cluster.
+
+    ``values`` are those of the partition columns, as the folder's name has them.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "[!_.]*")
-        .load(facts.location)
+        .load([place for place in places if exists(place)])
     )
-    folders = files.groupBy(F.regexp_extract("path", "^(.*/)[^/]*$", 1).alias("folder")).agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes")
-    )
-    crowded = folders.where(F.col("n_files") > F.greatest(F.ceil(F.col("n_bytes") / file_bytes), F.lit(1)))
 
     def value(field: T.StructField) -> Column:
         # Folder names escape like addresses do, but keep a plus sign.
         name = re.escape(quote(field.name, safe=""))
-        raw = F.regexp_extract("folder", f"/(?:{re.escape(field.name)}|{name})=([^/]*)/", 1)
+        raw = F.regexp_extract("folder", f"/(?:{re.escape(field.name)}|{name})=([^/]*)(?:/|$)", 1)
         text = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", text).cast(field.dataType).alias(field.name)
+        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", text)
+
+    folders = files.groupBy(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes")
+    )
+    values = F.array(*map(value, facts.partitions)) if facts.partitions else F.lit([]).cast("array<string>")
+    return folders.withColumn("values", values)
 
-    return crowded.select(*[value(field) for field in facts.partitions]) if facts.partitions else crowded
 
+def _rows_by_partition(rows: DataFrame, facts: _Facts) -> DataFrame:
+    keys = [column(field.name) for field in facts.partitions]
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+
+
+def _delete(uri: str) -> None:
+    filesystem, path = open_uri(uri)
+    if filesystem.get_file_info(path).type == fs.FileType.Directory:
+        filesystem.delete_dir(path)
+
+
+def _write_json(uri: str, value: object) -> None:
+    filesystem, path = open_uri(uri)
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(path) as out:
+        out.write(json.dumps(value).encode())
 
-def _replace_partitions(spark: SparkSession, rows: DataFrame, name: str, facts: _Facts) -> None:
-    """Overwrite those partitions of a table that ``rows`` has, or all of an unpartitioned one."""
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        keys = [column(field.name) for field in facts.partitions]
-        rows.hint("rebalance", *keys).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(mode, before)
 
+def _plans(versions: str) -> list[tuple[str, dict, fs.FileInfo, bool]]:
+    """The plans of all versions there are: version, plan, its file, and whether all of it is published."""
+    if not exists(versions):
+        return []
+    filesystem, path = open_uri(versions)
+    found = []
+    for folder in filesystem.get_file_info(fs.FileSelector(path)):
+        plan, done = filesystem.get_file_info([f"{folder.path}/{_PLAN}", f"{folder.path}/{_DONE}"])
+        if plan.type == fs.FileType.File:
+            with filesystem.open_input_stream(plan.path) as file:
+                held = json.loads(file.read())
+            found.append((f"{versions}/{folder.base_name}", held, plan, done.type == fs.FileType.File))
+    return found
 
-def finish_compaction(spark: SparkSession, database: str, table: str) -> None:
-    """Put right what a compaction that was cut short has left, if there was one.
 
-    Its copy, complete or not there at all, stays until every partition of the
-    table has as many rows again. ``save_table`` and ``compact_table`` call
-    this first, so nothing is added to a table in between.
+def remove_replaced(spark: SparkSession, database: str, table: str) -> None:
+    """Delete files that no partition of the table uses since a compaction.
+
+    They stay until then, for readers that began before. Those of a compaction
+    that died are of no use either; they go a day after it began.
     """
-    live, copy, before = (f"`{database}`.`{table}{suffix}`" for suffix in ("", "__compacting", "__before"))
+    live = f"`{database}`.`{table}`"
+    before = f"`{database}`.`{table}__before`"
     if spark.catalog.tableExists(before) and not spark.catalog.tableExists(live):
         # Left between two renames by an earlier way of compaction.
         spark.sql(f"ALTER TABLE {before} RENAME TO {live}")
         if _Facts.of(spark, live).partitions:
             spark.sql(f"MSCK REPAIR TABLE {live} SYNC PARTITIONS")
-    if not spark.catalog.tableExists(copy):
+    if not spark.catalog.tableExists(live):
         return
-    spark.catalog.refreshTable(live)
     facts = _Facts.of(spark, live)
-    keys = [column(field.name) for field in facts.partitions]
-    kept = spark.table(copy).groupBy(*keys).agg(F.count(F.lit(1)).alias("__kept"))
-    left = spark.table(live).groupBy(*keys).agg(F.count(F.lit(1)).alias("__left"))
-    same = [F.col(f"k.`{f.name}`").eqNullSafe(F.col(f"l.`{f.name}`")) for f in facts.partitions] or [F.lit(True)]
-    short = (
-        kept.alias("k")
-        .join(left.alias("l"), functools.reduce(Column.__and__, same), "left")
-        .where("__kept > coalesce(__left, 0)")
-        .select("k.*")
-        .drop("__kept")
-    )
-    if not short.isEmpty():
-        rows = spark.table(copy)
-        if facts.partitions:
-            match = [F.col(f"c.`{f.name}`").eqNullSafe(F.col(f"s.`{f.name}`")) for f in facts.partitions]
-            rows = rows.alias("c").join(short.alias("s"), functools.reduce(Column.__and__, match), "left_semi")
-        _replace_partitions(spark, rows, live, facts)
-        spark.catalog.refreshTable(live)
-        log.warning("restored %s.%s from its copy", database, table)
-    spark.sql(f"DROP TABLE {copy}")
+    for version, plan, file, done in _plans(facts.versions):
+        if not done and datetime.now(timezone.utc) - file.mtime < ABANDONED:
+            continue
+        in_use = False
+        for values, *folders in plan["folders"]:
+            published = _published(spark, live, facts, values)
+            for folder in folders:
+                if path_of(folder) != published:
+                    _delete(folder)
+            in_use |= path_of(folders[-1]) == published
+        if in_use:
+            filesystem, path = open_uri(f"{version}/{_PLAN}")
+            filesystem.delete_file(path)
+        else:
+            _delete(version)
 
 
 def compact_table(spark: SparkSession, database: str, table: str, file_bytes: int = FILE_BYTES) -> None:
     """Rewrite partitions of many small files into fewer, evenly sized ones; the rows stay the same.
 
     Partitions whose files are as few as their bytes call for are neither read
-    nor written. The rows of the others are first copied to a table of their
-    own, which exists only when complete, and overwrite the partitions from
-    there. If the job dies in between, the copy has the rows, and the next call
-    for the table, or the next save to it, puts them back.
+    nor written. The others are written once, to a folder of their own beside
+    the table, and published by pointing the catalog to it, one call for each:
+    readers find the old files or the new ones, never neither and never both.
+    A job that dies leaves each partition with one or the other. Old files stay
+    for readers that began before; the next compaction deletes them.
+
+    A table that is written to while it is copied is left as it is. Compactions of one table must not run at the same time; those of several
+    tables may, and nothing of the session is changed.
     """
-    live, copy = f"`{database}`.`{table}`", f"`{database}`.`{table}__compacting`"
-    finish_compaction(spark, database, table)
+    live = f"`{database}`.`{table}`"
+    remove_replaced(spark, database, table)
     facts = _Facts.of(spark, live)
     names = [field.name for field in facts.partitions]
-    scattered = _scattered(spark, facts, file_bytes)
-    if scattered.isEmpty():
+    places = (facts.base, facts.versions) if names else (facts.location,)
+    listed = _folders(spark, facts, *places)
+    crowded = listed.where(F.col("n_files") > F.greatest(F.ceil(F.col("n_bytes") / file_bytes), F.lit(1)))
+    # One row for each partition to rewrite, which the catalog is told of one by one.
+    scattered = [row for row in crowded.collect() if path_of(row["folder"]) == _published(spark, live, facts, row["values"])]
+    if not scattered:
         return
     rows = spark.table(live)
     if names:
+        texts = spark.createDataFrame([(row["values"],) for row in scattered], "values array<string>")
+        chosen = texts.select(*[F.get("values", i).cast(f.dataType).alias(f.name) for i, f in enumerate(facts.partitions)])
         # A subquery over partition columns alone: other partitions are pruned.
-        chosen = scattered.agg(F.collect_set(F.struct(*map(column, names)))).scalar()
-        rows = rows.where(F.array_contains(chosen, F.struct(*map(column, names))))
+        held = chosen.agg(F.collect_set(F.struct(*map(column, names)))).scalar()
+        rows = rows.where(F.array_contains(held, F.struct(*map(column, names))))
+    version = f"{facts.versions}/{uuid.uuid4().hex}"
     writer = rows.hint("rebalance", *map(column, names)).write.format(facts.provider)
     if names:
         writer = writer.partitionBy(*names)
-    writer.saveAsTable(copy)
-    _replace_partitions(spark, spark.table(copy), live, facts)
+    data = f"{version}/data" if names else version
+    writer.save(data)
+    now = {row["folder"]: (row["n_files"], row["n_bytes"]) for row in _folders(spark, facts, *places).collect()}
+    if any(now.get(row["folder"]) != (row["n_files"], row["n_bytes"]) for row in scattered):
+        _delete(version)
+        log.warning("%s.%s was written to while it was copied, so it is left as it is", database, table)
+        return
+    copy = spark.read.format(facts.provider).schema(rows.schema).load(data)
+    missed = _rows_by_partition(rows, facts).exceptAll(_rows_by_partition(copy, facts))
+    if not missed.isEmpty():
+        raise RuntimeError(f"the copy of {live} in {data} does not have all rows; nothing was published")
+    written = {tuple(row["values"]): row["folder"] for row in _folders(spark, facts, data).collect()}
+    moves = [(list(row["values"]), row["folder"], written[tuple(row["values"])]) for row in scattered]
+    _write_json(f"{version}/{_PLAN}", {"folders": moves})
+    _publish(spark, live, facts, moves)
+    _write_json(f"{version}/{_DONE}", len(moves))
     spark.catalog.refreshTable(live)
-    finish_compaction(spark, database, table)
     log.info("compacted %s.%s", database, table)
+
+
+def _publish(spark: SparkSession, live: str, facts: _Facts, moves: list[tuple]) -> None:
+    for values, _, folder in moves:
+        place = folder.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {live} {_spec(facts, values)} SET LOCATION '{place}'")
