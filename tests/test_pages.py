@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tiersmith.plans.prices import capture_prices, export_products
 from tiersmith.sources.brands import brand_bridge
 from tiersmith.sources.landing import read_csv
-from tiersmith.sources.pages import Selector, absolute_url, attribute, inner_html, link_items, product_cards
+from tiersmith.sources.pages import Selector, absolute_url, attribute, inner_html, link_items, product_cards, reached_pages
 
 SHELF = """
 <html><body>
@@ -155,3 +155,88 @@ def test_export_is_plain_csv(spark, tmp_path):
     assert rows == [["id", "product_name"], *[[str(i), n or ""] for i, n in enumerate(names)]]
     again = read_csv(spark, f"{tmp_path}/out", escape='"', multiline=True)
     assert [r.product_name or "" for r in again.collect()] == [n or "" for n in names]
+
+
+CARD = '<li class="item__gutter"><a class="item__productName" href="/{0}">{0}</a></li>'
+
+
+def test_comments_scripts_and_quoted_brackets_are_no_tags(spark):
+    inside, behind = CARD.format("a"), CARD.format("z")
+    htmls = [
+        f'<div class="plp"><!-- <div> -->{inside}</div>{behind}',
+        f'<div class="plp"><!-- </div> -->{inside}</div>{behind}',
+        f'<div class="plp"><script>x = "<div>" > 1</script><STYLE a="b">div > p {{}}</STYLE >{inside}</div>{behind}',
+        f'<div title="a > b > c" class="plp">{inside}</div>{behind}',
+        f'<!-- <div class="plp">{behind}</div> --><div data-x=\'>\' class=\'grid plp\'>{inside}</div>{behind}',
+        f'<div class="plp">{inside}<!-- {behind}</div>',
+        f'<div class="plp">{inside}<!-- {behind} --></div>',
+        f'<div title=\'class="plp"\'>{behind}</div><div class="plp">{inside}</div>',
+        f'<div class="plp"><scripted>{inside}</scripted></div>{behind}',
+    ]
+    df = spark.createDataFrame(list(enumerate(htmls)), "page_id int, html string")
+    found = {}
+    for row in product_cards(df, "page_id").collect():
+        found.setdefault(row.page_id, []).append(row.name)
+    assert found == {n: ["a"] for n in range(len(htmls))}
+
+
+def shelf(name, next_link=None):
+    arrow = f'<a class="icon-angle-right" href="{next_link}">next</a>' if next_link else ""
+    return f'<div class="plp"><ul>{CARD.format(name)}</ul>{arrow}</div><a class="icon-angle-right" href="/b/Trap">x</a>'
+
+
+def site(spark):
+    """Walks that end, are long, circle, meet, break off and leave the shop; and pages that nothing leads to."""
+    s, rows = "https://shop.example", []
+    rows += [(f"{s}/b/Calm%2B", shelf("c0", "/list?brand=1&amp;page=1"))]
+    rows += [(f"{s}/list?brand=1&page={n}", shelf(f"c{n}", f"?brand=1&amp;page={n + 1}" if n < 37 else None)) for n in range(1, 38)]
+    rows += [(f"{s}/b/Calm%2B?page=9", shelf("never linked"))]
+    rows += [(f"{s}/b/Z9", shelf("z0", "/z/1#top")), (f"{s}/z/1", shelf("z1", "/z/2")), (f"{s}/z/2", shelf("z2", "/z/1"))]
+    rows += [(f"{s}/b/Big%20Comb", shelf("g0", "https://other.example/g")), ("https://other.example/g", shelf("g1", "/gone"))]
+    rows += [(f"{s}/b/Balm", shelf("b0", "/z/2")), (f"{s}/b/Trap", shelf("trap")), (f"{s}/b/Alone", "<p>no shelf</p>")]
+    return spark.createDataFrame(rows, "url string, html string")
+
+
+def test_walks_along_links(spark):
+    starts = [f"https://shop.example/b/{b}" for b in ("Calm%2B", "Z9", "Big%20Comb", "Balm", "Alone", "Missing")]
+    found = reached_pages(site(spark), spark.createDataFrame([(x,) for x in [*starts, starts[1]]], "url string"))
+    walks = {}
+    for row in found.collect():
+        walks.setdefault(row.start.rsplit("/", 1)[1], []).append(row.url.removeprefix("https://shop.example"))
+    assert sorted(walks.pop("Calm%2B")) == sorted(["/b/Calm%2B", *(f"/list?brand=1&page={n}" for n in range(1, 38))])
+    assert {k: sorted(v) for k, v in walks.items()} == {
+        "Z9": ["/b/Z9", "/z/1", "/z/2"],
+        "Big%20Comb": ["/b/Big%20Comb", "https://other.example/g"],
+        "Balm": ["/b/Balm", "/z/1", "/z/2"],
+        "Alone": ["/b/Alone"],
+    }
+
+
+def test_a_long_walk_takes_few_rounds(spark, monkeypatch):
+    from tiersmith.sources import pages as module
+
+    rows = [(f"https://s/{n}", shelf(str(n), f"/{n + 1}")) for n in range(200)]
+    staged, real = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, label: (staged.append(label), real(df, label))[1])
+    starts = spark.createDataFrame([("https://s/0",)], "url string")
+    assert reached_pages(spark.createDataFrame(rows, "url string, html string"), starts).count() == 200
+    assert staged.count("reached") <= 10
+
+
+def test_prices_of_walked_pages(spark):
+    maps = spark.createDataFrame([(BRANDS,)], "brands string")
+    found = capture_prices(site(spark), maps, "brands", "https://shop.example", follow_links=True)
+    names = {}
+    for row in found.select("brand_name", "product_name").collect():
+        names.setdefault(row.brand_name, []).append(row.product_name)
+    assert sorted(names["Calm+"]) == sorted(f"c{n}" for n in range(38))
+    # Z9 competes with two own brands, so its products are there twice.
+    assert sorted(names["Z9"]) == sorted(["z0", "z1", "z2"] * 2)
+    assert sorted(names["Balm"]) == ["b0", "z1", "z2"] and sorted(names["Big Comb"]) == ["g0", "g1"]
+    assert set(names) == {"Calm+", "Z9", "Balm", "Big Comb"}
+
+
+def test_no_pages_and_no_starts(spark):
+    none = spark.createDataFrame([], "url string, html string")
+    assert reached_pages(none, site(spark).select("url")).count() == 0
+    assert reached_pages(site(spark), none.select("url")).count() == 0

@@ -342,6 +342,16 @@ _CARDS = f"""
 ORACLE["price_capture"] = _comparable(_CARDS)
 ORACLE["price_job"] = _exported(_CARDS)
 
+ORACLE["price_walk"] = _comparable(f"""
+    SELECT p_name || ' ' || p_size || 'ml' AS product_name, brand AS brand_name,
+           'https://shop.example/p/' || p_partkey AS url, CAST({_PRICE} AS DECIMAL(18,2)) AS price
+    FROM part
+    JOIN (SELECT p_brand AS brand FROM ({_NUMBERED})
+          UNION ALL SELECT 'Brand#' || (26 - n) FROM ({_NUMBERED})
+          UNION ALL SELECT 'Brand#' || (2 * n) FROM ({_NUMBERED}) WHERE 2 * n <= 25)
+      ON brand = p_brand
+""")
+
 ORACLE["silver_cached"] = """
     SELECT c_custkey AS customer_id, c_name AS customer_c_name,
            CAST(round(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(15,2))) AS BIGINT) AS customer_c_acctbal

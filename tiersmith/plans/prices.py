@@ -20,7 +20,7 @@ from tiersmith.operators.joins import join_table
 from tiersmith.session import stage
 from tiersmith.sources.brands import brand_bridge
 from tiersmith.sources.landing import write_csv
-from tiersmith.sources.pages import absolute_url, product_cards
+from tiersmith.sources.pages import absolute_url, product_cards, reached_pages
 
 
 def unit_price(
@@ -73,23 +73,28 @@ def capture_prices(
     json_column: str,
     base_url: str,
     run_ts: datetime | None = None,
+    follow_links: bool = False,
 ) -> DataFrame:
     """Products of all own and competitor brands found on the pages.
 
-    A page belongs to the brand whose address is its url up to the query. Own
-    and competitor brands are one list of addresses, so the pages are read
-    once; a competitor of two own brands gives its products twice.
+    A page belongs to the brand whose address is its url up to the query; with
+    ``follow_links`` the pages of a brand are the one at its address and those
+    reached from it along the links to the next page, whatever their paths. Own
+    and competitor brands are one list of addresses, so the pages are read once
+    for all of them; a competitor of two own brands gives its products twice.
     """
     bridge = brand_bridge(brand_maps, json_column, base_url)
     addresses = stage(bridge.groupBy("brand", "url").agg(F.count("*").alias("listed")), "brands")
+    place = F.regexp_replace("url", "#.*$", "") if follow_links else F.regexp_extract("url", r"^[^?#]*", 0)
     # Each page becomes its few small cards before anything is joined or moved,
     # however many brands list its address.
-    shop_pages = pages.select(
-        F.col("url").alias("page_url"),
-        F.regexp_extract("url", r"^[^?#]*", 0).alias("shop_url"),
-        "html",
-    )
+    shop_pages = pages.select(F.col("url").alias("page_url"), place.alias("shop_url"), "html")
     cards = product_cards(shop_pages, "page_url", "shop_url").drop("next_link")
+    if follow_links:
+        walks = reached_pages(pages.select("url", "html"), addresses)
+        addresses = addresses.join(walks.withColumnRenamed("url", "page"), F.col("url") == F.col("start")).select(
+            "brand", F.col("page").alias("url"), "listed"
+        )
     branded = join_table(cards, addresses, ("shop_url", "url"), "inner")
     products = branded.select(
         "name",
@@ -125,7 +130,9 @@ class PriceJob:
         landing: str,
         file_name: str = "products",
         run_ts: datetime | None = None,
+        follow_links: bool = False,
     ) -> None:
+        self.follow_links = follow_links
         self.pages = pages
         self.brand_maps = brand_maps
         self.json_column = json_column
@@ -136,7 +143,9 @@ class PriceJob:
 
     def run(self) -> str:
         run_ts = self.run_ts or datetime.now(timezone.utc)
-        products = capture_prices(self.pages, self.brand_maps, self.json_column, self.base_url, run_ts)
+        products = capture_prices(
+            self.pages, self.brand_maps, self.json_column, self.base_url, run_ts, self.follow_links
+        )
         path = f"{self.landing}/{self.file_name}_{run_ts:%Y%m%dT%H%M%S}.csv"
         export_products(products, path)
         return path

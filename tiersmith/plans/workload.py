@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -674,6 +674,54 @@ def price_job(spark, sf_dir):
     return read_csv(spark, job.run(), escape='"').drop("timestamp")
 
 
+def walked_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of a brand on pages of its own that only links lead to, the last one back to the first.
+
+    The page at the brand's address is an empty shelf. Pages behind it have other
+    paths, comments within their shelf, and a neighbour that nothing links to.
+    """
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size", "p_retailprice")
+    by_key = Window.partitionBy("p_brand").orderBy("p_partkey")
+    ahead = F.coalesce(F.lead("p_partkey").over(by_key), F.min("p_partkey").over(Window.partitionBy("p_brand")))
+    amount = F.split(money("p_retailprice").cast("string"), "\\.")
+
+    def page(body: Column, link: Column) -> Column:
+        return F.concat(
+            F.lit('<div class="plp"><!-- <div> --><ul>'), body,
+            F.lit('</ul><a title="more > next" class="icon-angle-right" href="'), link,
+            F.lit('">next</a></div><a class="icon-angle-right" href="/b/none">no</a>'),
+        )
+
+    card = F.concat(
+        F.lit('<li class="item__gutter"><a class="item__productName" href="/p/'), F.col("p_partkey").cast("string"),
+        F.lit('">'), F.col("p_name"), F.lit(" "), F.col("p_size").cast("string"),
+        F.lit('ml</a><span class="item__price"><span class="item__price--theme-large">£'), amount[0],
+        F.lit("</span>."), amount[1], F.lit("</span></li>"),
+    )
+    place = F.concat(F.lit(f"{SHOP}/list?part="), F.col("p_partkey").cast("string"), F.lit("&v="))
+    linked = parts.select(
+        F.concat(place, F.lit("1")).alias("url"),
+        page(card, F.concat(F.lit("?part="), ahead.cast("string"), F.lit("&amp;v=1#top"))).alias("html"),
+    )
+    unlinked = parts.select(
+        F.concat(place, F.lit("2")).alias("url"), page(card, F.lit("?part=1&amp;v=1")).alias("html")
+    )
+    first = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("first")).select(
+        brand_url(SHOP, F.col("p_brand")).alias("url"),
+        page(F.lit(""), F.concat(F.lit("/list?part="), F.col("first").cast("string"), F.lit("&amp;v=1"))).alias("html"),
+    )
+    return first.unionByName(linked).unionByName(unlinked)
+
+
+@query
+def price_walk(spark, sf_dir):
+    """Prices of the pages that the links from each brand's address lead to."""
+    found = capture_prices(
+        walked_shop(spark, sf_dir), brand_maps(spark, sf_dir), "brands", SHOP, run_ts=RUN_TS, follow_links=True
+    )
+    return comparable(found)
+
+
 # --- end to end ----------------------------------------------------------
 
 

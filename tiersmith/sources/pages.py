@@ -8,6 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiersmith.session import stage
+
+
+# The rest of a tag, and what of it may stand before an attribute: quoted values count as a whole.
+_REST = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+_BEFORE = r"(?:[^>\"']*(?:\"[^\"]*\"|'[^']*'))*[^>\"']*"
+
 
 @dataclass(frozen=True)
 class Selector:
@@ -23,14 +30,14 @@ class Selector:
         if not self.css_class:
             return tag
         name = re.escape(self.css_class)
-        double = rf"\"(?:[^\">]*\s)?{name}(?:\s[^\">]*)?\""
-        single = rf"'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?'"
-        return rf"{tag}(?=[^>]*\sclass\s*=\s*(?:{double}|{single}))"
+        double = rf"\"(?:[^\"]*\s)?{name}(?:\s[^\"]*)?\""
+        single = rf"'(?:[^']*\s)?{name}(?:\s[^']*)?'"
+        return rf"{tag}(?={_BEFORE}\sclass\s*=\s*(?:{double}|{single}))"
 
     @property
     def opening(self) -> str:
-        """A pattern for the opening tag."""
-        return rf"<{self.head}[^>]*>"
+        """A pattern for the opening tag, which ends at the first bracket outside quotes."""
+        return rf"<{self.head}{_REST}>"
 
     @property
     def inner(self) -> str:
@@ -58,6 +65,17 @@ NEXT_LINK = Selector("a", "icon-angle-right")
 _FLAGS = "(?is)"
 
 
+def visible(html: Column) -> Column:
+    """The page without comments, scripts and styles, whose tags are no elements.
+
+    One that is not closed takes the rest of the page with it, as in a browser.
+    """
+    hidden = r"<!--.*?(?:-->|\z)|<(script|style)(?=[\s>]).*?(?:</\1\s*>|\z)"
+    # Looked for first, as most pages have none and need no second text.
+    has_any = html.contains("<!--") | F.regexp_like(html, F.lit(r"(?i)<s(?:cript|tyle)[\s>]"))
+    return F.when(has_any, F.regexp_replace(html, _FLAGS + hidden, "")).otherwise(html)
+
+
 def inner_html(html: Column, selector: Selector) -> Column:
     """The inner text of the first such element, NULL without one."""
     # Taking the rest of the page into the match ends the search.
@@ -74,6 +92,11 @@ def attribute(html: Column, selector: Selector, name: str) -> Column:
     return _attribute_of(F.regexp_extract(html, _FLAGS + selector.opening, 0), name)
 
 
+def link(html: Column, selector: Selector) -> Column:
+    """The address that the first such element links to, as its text is meant."""
+    return F.replace(attribute(html, selector, "href"), F.lit("&amp;"), F.lit("&"))
+
+
 def attributes(html: Column, selector: Selector, name: str) -> Column:
     """An attribute of every such element, as an array in page order."""
     tags = F.regexp_extract_all(html, F.lit(_FLAGS + selector.opening), F.lit(0))
@@ -104,7 +127,8 @@ def first_element(html: Column, selector: Selector) -> Column:
 
     It ends where as many of its tags are closed as were opened; a page that
     never closes it gives its rest. Only the tags of that name are counted,
-    between the closing ones by which the text is cut.
+    between the closing ones by which the text is cut; tags written inside
+    an attribute's value count as tags.
     """
     tag = re.escape(selector.tag)
     pieces = F.split(rest_from(html, selector), f"{_FLAGS}</{tag}\\s*>")
@@ -139,13 +163,14 @@ def absolute_url(page_url: Column, link: Column) -> Column:
 def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
     """One row per product card of a page's first shelf, which ends with its element.
 
-    Gives the columns ``keep``, the card's ``name`` and ``link``, the page's
+    What is commented out, and scripts, are no part of the page. Gives the columns ``keep``, the card's ``name`` and ``link``, the page's
     ``next_link``, and the price text in two parts: the element that holds the
     pounds, and what the price element holds besides.
     """
     # Each step is a column of its own, so no text is searched twice for it.
     cards = (
-        pages.select(*keep, first_element(F.col("html"), SHELF).alias("shelf"))
+        pages.select(*keep, visible(F.col("html")).alias("html"))
+        .select(*keep, first_element(F.col("html"), SHELF).alias("shelf"))
         .select(
             *keep,
             attribute(F.col("shelf"), NEXT_LINK, "href").alias("next_link"),
@@ -162,3 +187,49 @@ def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
         inner_html(F.col("price"), CARD_POUNDS).alias("pounds"),
         inner_html(without_pounds, CARD_PRICE).alias("rest"),
     )
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """``(url, next_url)`` of the pages whose shelf links to a next page, a row for each address.
+
+    Addresses have no fragment. Of several pages with one address the least link counts.
+    """
+    shelf = first_element(visible(F.col("html")), SHELF)
+    found = pages.select("url", shelf.alias("shelf")).select("url", link(F.col("shelf"), NEXT_LINK).alias("link"))
+    linked = found.where(F.col("link").isNotNull()).select(
+        _without_fragment(F.col("url")).alias("url"),
+        _without_fragment(absolute_url(F.col("url"), F.col("link"))).alias("next_url"),
+    )
+    return linked.groupBy("url").agg(F.min("next_url").alias("next_url"))
+
+
+def _without_fragment(url: Column) -> Column:
+    return F.regexp_replace(url, "#.*$", "")
+
+
+def reached_pages(pages: DataFrame, starts: DataFrame) -> DataFrame:
+    """``(start, url)`` of the pages that are reached from each start along the links to the next page.
+
+    ``starts`` has the column ``url``. A walk ends where the shelf has no such
+    link, where the next page is not there, and where it comes back to a page it
+    has seen. A start that is not among the pages reaches nothing.
+
+    Each round doubles how far the walks go: with the pages within n steps known
+    and, for every page, the one n steps on, both are joined to give 2n. The
+    rounds are as many as the doublings of the longest walk, not as its pages.
+    Only addresses move, and what a round found is staged.
+    """
+    there = stage(pages.select(_without_fragment(F.col("url")).alias("url")).distinct(), "pages")
+    ahead = stage(page_links(pages).join(there.withColumnRenamed("url", "next_url"), "next_url", "left_semi"), "links")
+    first = starts.select(_without_fragment(F.col("url")).alias("url")).distinct().join(there, "url", "left_semi")
+    reached = stage(first.select(F.col("url").alias("start"), "url"), "reached")
+    known = reached.count()
+    while True:
+        further = reached.join(ahead, "url").select("start", F.col("next_url").alias("url"))
+        reached = stage(reached.unionByName(further).distinct(), "reached")
+        count = reached.count()
+        if count == known:
+            return reached
+        known = count
+        beyond = ahead.select(F.col("url").alias("next_url"), F.col("next_url").alias("beyond"))
+        ahead = stage(ahead.join(beyond, "next_url").select("url", F.col("beyond").alias("next_url")), "links")
