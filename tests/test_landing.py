@@ -8,8 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.errors import AnalysisException
 
-from tiersmith.errors import ColumnError
-from tiersmith.plans.jobs import BronzeJob
+from tiersmith.errors import ColumnError, LandingError
+from tiersmith.plans.jobs import BronzeJob, IncrementalBronzeJob
 from tiersmith.sources import archives, landing
 from tiersmith.sources.tables import read_table
 
@@ -150,3 +150,103 @@ def test_all_members_are_unpacked(spark, tmp_path):
 def test_no_archives(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x")
     assert archives.read_zip_csv(spark, str(tmp_path), ["a"]).count() == 0
+
+
+def texts(folder):
+    return {str(p.relative_to(folder)): p.read_text() for p in folder.rglob("*") if p.is_file() and not p.name.startswith(".")}
+
+
+@pytest.fixture
+def zips(tmp_path):
+    (tmp_path / "zips").mkdir()
+    zipped(tmp_path / "zips" / "a.zip", **{"p__csv": "id\n1\n", "x/q__csv": "id\n5\n"})
+    zipped(tmp_path / "zips" / "b.zip", **{"p__csv": "id\n2\n"})
+    return tmp_path / "zips", tmp_path / "landing"
+
+
+def test_members_of_one_path_are_an_error_or_numbered(spark, zips):
+    source, target = zips
+    with pytest.raises(LandingError, match="p.csv"):
+        archives.expand_archives(spark, str(source), str(target))
+    assert not target.exists()
+    got = archives.expand_archives(spark, str(source), str(target), clash="rename")
+    assert sorted((r.member, r.path.rsplit("/", 1)[1]) for r in got.collect()) == [("p.csv", "p-2.csv"), ("p.csv", "p.csv"), ("x/q.csv", "q.csv")]
+    assert texts(target) == {"p.csv": "id\n1\n", "p-2.csv": "id\n2\n", "x/q.csv": "id\n5\n"}
+
+
+def test_nothing_is_unpacked_twice(spark, zips):
+    source, target = zips
+    archives.expand_archives(spark, str(source), str(target), clash="rename")
+    shutil.rmtree(target)  # taken away by a load
+    assert archives.expand_archives(spark, str(source), str(target), clash="rename").count() == 0
+    assert not target.exists()
+    # More arrives: numbers go on, and a changed member takes the place of its earlier state.
+    zipped(source / "c.zip", **{"p__csv": "id\n3\n"})
+    zipped(source / "b.zip", **{"p__csv": "id\n22\n"})
+    got = archives.expand_archives(spark, str(source), str(target), clash="rename")
+    assert got.count() == 2 and texts(target) == {"p-3.csv": "id\n3\n", "p-2.csv": "id\n22\n"}
+
+
+def test_paths_within_an_archive_are_resolved(spark, tmp_path):
+    (tmp_path / "zips").mkdir()
+    with zipfile.ZipFile(tmp_path / "zips" / "a.zip", "w") as file:
+        file.writestr("x/p.csv", "one")
+        file.writestr("x/../p.csv", "two")
+        with pytest.warns(UserWarning):
+            file.writestr("x/p.csv", "three")
+    with pytest.raises(LandingError):
+        archives.expand_archives(spark, str(tmp_path / "zips"), str(tmp_path / "landing"))
+    archives.expand_archives(spark, str(tmp_path / "zips"), str(tmp_path / "landing"), clash="rename")
+    assert texts(tmp_path / "landing") == {"x/p.csv": "one", "p.csv": "two", "x/p-2.csv": "three"}
+
+
+def test_a_file_of_other_origin_is_not_replaced(spark, zips):
+    source, target = zips
+    (source / "b.zip").unlink()
+    target.mkdir()
+    (target / "p.csv").write_text("mine")
+    with pytest.raises(LandingError):
+        archives.expand_archives(spark, str(source), str(target))
+    archives.expand_archives(spark, str(source), str(target), clash="rename")
+    assert texts(target) == {"p.csv": "mine", "p-2.csv": "id\n1\n", "x/q.csv": "id\n5\n"}
+
+
+@pytest.mark.parametrize("cut", ["before the commit", "before the move", "after some moves"])
+def test_a_call_that_died_is_finished_by_the_next(spark, zips, monkeypatch, cut):
+    source, target = zips
+    finish, calls = archives._Manifest.finish, []
+
+    def dying(self):
+        calls.append(1)
+        if len(calls) == 2:
+            if cut == "after some moves":
+                row = self.rows().first()
+                target.mkdir()
+                Path(row.held.removeprefix("file:")).rename(target / row.path.rsplit("/", 1)[1]) if row.inner == "p.csv" else None
+            raise KeyboardInterrupt
+        return finish(self)
+
+    def no_commit(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+        patched.setattr(archives._Manifest, "finish", dying)
+        if cut == "before the commit":
+            patched.setattr(archives.DataFrame, "withColumnRenamed", no_commit)
+        archives.expand_archives(spark, str(source), str(target), clash="rename")
+    archives.expand_archives(spark, str(source), str(target), clash="rename")
+    assert texts(target) == {"p.csv": "id\n1\n", "p-2.csv": "id\n2\n", "x/q.csv": "id\n5\n"}
+    assert not list((target.parent / "_landing.unpacked" / "files").iterdir())
+
+
+def test_archives_move_away_and_their_members_are_loaded_once(spark, zips, database):
+    source, target = zips
+    name, location = database
+    job = IncrementalBronzeJob(
+        spark, str(target), location, name, {"t": {"file_name": "p"}}, checkpoint=f"{location}/checkpoint"
+    )
+    for _ in range(2):
+        archives.expand_archives(spark, str(source), str(target), clash="rename", consumed=str(source.parent / "done"))
+        job.run()
+    assert sorted(r.id for r in read_table(spark, name, "t").collect()) == ["1", "2"]
+    assert sorted(p.name for p in (source.parent / "done").iterdir()) == ["a.zip", "b.zip"] and not list(source.iterdir())

@@ -5,6 +5,10 @@ class ColumnError(ValueError):
     """A column is missing, ambiguous, or holds values an operator rejects."""
 
 
+class LandingError(ValueError):
+    """Files that arrived cannot be told apart or placed without loss."""
+
+
 class TransformError(LookupError):
     """A job configuration names a transform that nobody registered."""
 
