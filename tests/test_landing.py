@@ -1,3 +1,4 @@
+import random
 import shutil
 import subprocess
 import sys
@@ -7,6 +8,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tiersmith.errors import ColumnError, LandingError
 from tiersmith.plans.jobs import BronzeJob, IncrementalBronzeJob
@@ -250,3 +252,56 @@ def test_archives_move_away_and_their_members_are_loaded_once(spark, zips, datab
         job.run()
     assert sorted(r.id for r in read_table(spark, name, "t").collect()) == ["1", "2"]
     assert sorted(p.name for p in (source.parent / "done").iterdir()) == ["a.zip", "b.zip"] and not list(source.iterdir())
+
+
+def awkward_rows(n, escape):
+    """Values with quotes, escapes, separators and line breaks, next to each other in many ways."""
+    draw = random.Random(n)
+    pieces = ['"', "\n", ",", "x", "ü", "\n\n", '""', " ", "y" * 30] + (["\\", '\\"', "\\\\"] if escape == "\\" else [])
+    return [(str(i), "v" + "".join(draw.choice(pieces) for _ in range(draw.randint(0, 6))) + "v", draw.choice(["", "z"])) for i in range(n)]
+
+
+@pytest.mark.parametrize("escape", ['"', "\\"])
+@pytest.mark.parametrize("part_bytes", [1, 2, 7, 64, 1 << 20])
+@pytest.mark.parametrize("ending", ["\n", ""])
+def test_records_are_found_in_parts_of_any_size(spark, tmp_path, escape, part_bytes, ending):
+    rows = awkward_rows(30 if part_bytes < 7 else 300, escape)
+    quote = lambda v: '"' + (v.replace("\\", "\\\\") if escape == "\\" else v).replace('"', escape + '"') + '"'
+    text = "id,text,more\n" + "\n".join(f"{i},{quote(t)},{m}" for i, t, m in rows) + ending
+    (tmp_path / "a.csv").write_text(text, encoding="utf-8", newline="")
+    got = landing.read_csv_records(spark, [str(tmp_path / "a.csv")], escape=escape, part_bytes=part_bytes)
+    assert got.columns == ["id", "text", "more"]
+    assert sorted((r.id, r.text, r.more or "") for r in got.collect()) == sorted(rows)
+
+
+def test_a_large_file_with_line_breaks_goes_to_several_tasks(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("cast(id AS string) AS id", "concat('line ', id, '\n\"second\", line\n') AS text")
+    landing.write_csv(df.coalesce(1), str(tmp_path / "big.csv"))
+    (output,) = landing.read_csv_tables(
+        spark, str(tmp_path), {"t": {"file_name": "big"}}, "db", line_breaks=True, part_bytes=50_000
+    )
+    assert output.df.count() == 20_000 and output.df.exceptAll(df).isEmpty()
+    per_task = output.df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 4 and max(r["count"] for r in per_task) < 8_000
+
+
+def test_records_of_odd_files(spark, tmp_path):
+    files = {"a": "id,t\r\n1,\"x\r\ny\"\r\n\r\n2,z\r\n", "b": "id,t", "c": "\ufeffid,t\n3,w", "d": ""}
+    for name, text in files.items():
+        (tmp_path / f"{name} %20[1].csv").write_text(text, encoding="utf-8", newline="")
+    paths = [str(tmp_path / f"{name} %20[1].csv") for name in "abcd"]
+    got = landing.read_csv_records(spark, paths, part_bytes=5)
+    assert sorted(r.id for r in got.collect()) == ["1", "2", "3"]
+
+
+def test_a_bronze_job_with_line_breaks_archives_header_only_files(spark, database, tmp_path):
+    name, location = database
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "t.csv").write_text('Id,Text\n1,"a\nb"\n')
+    (tmp_path / "landing" / "u.csv").write_text("Id,Text\n")
+    config = {"t": {"file_name": "t"}, "u": {"file_name": "u"}}
+    BronzeJob(spark, str(tmp_path / "landing"), location, name, config, archive=f"{location}/archive", line_breaks=True).run()
+    assert [tuple(r)[:2] for r in read_table(spark, name, "t").collect()] == [("1", "a\nb")]
+    assert read_table(spark, name, "u").count() == 0
+    assert not list((tmp_path / "landing").glob("*.csv"))
+    assert sorted(p.name for p in (tmp_path / "archive").rglob("*.zip")) == ["t.csv.zip", "u.csv.zip"]

@@ -63,11 +63,51 @@ def test_a_file_with_other_columns_is_an_error(run, tmp_path):
     landing = tmp_path / "landing"
     (landing / "a.csv").write_text("id,name\n1,x\n")
     run()
-    (landing / "b.csv").write_text("name,id\ny,2\n")
-    with pytest.raises(Exception, match="header"):
+    (landing / "b.csv").write_text("name,number\ny,2\n")
+    with pytest.raises(ColumnError, match="columns"):
         run()
 
 
+def test_files_of_one_load_are_read_under_their_own_headers(run, tmp_path):
+    landing = tmp_path / "landing"
+    (landing / "a.csv").write_text("id,name\n1,x\n")
+    (landing / "b.csv").write_text("name,id\ny,2\nid,3\n")
+    (landing / "c [1]{2}.csv").write_text("\ufeffid,name\r\n4,w\r\n")
+    (landing / "empty.csv").write_text("")
+    (landing / "header.csv").write_text("name,id")
+    assert run() == [("1", "x"), ("2", "y"), ("3", "id"), ("4", "w")]
+    (landing / "d.csv").write_text("Name,ID\nz,5\n")
+    assert run()[-1] == ("5", "z")
+
+
+def test_line_breaks_in_an_incremental_load(run, tmp_path):
+    landing = tmp_path / "landing"
+    (landing / "a.csv").write_text('id,name\n1,"x\ny"\n')
+    assert run(line_breaks=True, escape='"') == [("1", "x\ny")]
+    (landing / "b.csv").write_text('name,id\n"a ""q""\n\n,b",2\n')
+    assert run(line_breaks=True, escape='"') == [("1", "x\ny"), ("2", 'a "q"\n\n,b')]
+
+
+@pytest.mark.parametrize("file", ["sales_2024_returns", "sales-1x", "sales_returns_1", "sales2024", "sales_", "xsales_1", "sales_2024_returns_2"])
+def test_files_of_other_tables_are_not_touched(spark, database, tmp_path, file):
+    name, location = database
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    mine = ["sales", "sales_2024", "sales-2024-01-02", "sales.7", "sales_20240102T030405Z"]
+    for n, own in enumerate(mine):
+        (landing / f"{own}.csv").write_text(f"id\n{n}\n")
+    (landing / f"{file}.csv").write_text("other,columns\n8,9\n")
+    job = IncrementalBronzeJob(
+        spark, str(landing), location, name, {"sales": {"file_name": "sales"}},
+        checkpoint=f"{location}/checkpoint", archive=f"{location}/archive",
+    )
+    job.run()
+    (landing / "sales_99.csv").write_text("id\n99\n")
+    (output,) = job.run()
+    assert sorted(r.id for r in output.df.collect()) == ["0", "1", "2", "3", "4", "99"]
+    assert (landing / f"{file}.csv").exists() and not (landing / "sales.csv").exists()
+
+
 def test_nothing_left_in_landing(run, tmp_path):
     (tmp_path / "landing" / "a.csv").write_text("Id,First Name\n1,x\n")
     run()

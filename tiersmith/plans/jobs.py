@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import logging
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Sequence
@@ -21,7 +20,7 @@ from tiersmith.operators.joins import star_join
 from tiersmith.operators.quality import TableSpec, quality_gate
 from tiersmith.session import stage
 from tiersmith.sources.archives import archive_files
-from tiersmith.sources.landing import Output, read_csv_tables
+from tiersmith.sources.landing import PART_BYTES, Output, read_csv_tables
 from tiersmith.sources.tables import compact_table, read_table, save_table
 from tiersmith.streaming.incremental import ingest_new_files, without_load_columns
 
@@ -122,6 +121,8 @@ class BronzeJob(LayerJob):
 
     With ``archive`` the files that were loaded, and no others that may have
     arrived since, are packed into that folder and removed from landing.
+    ``line_breaks`` allows them within quoted fields; files are then read in
+    parts of ``part_bytes``.
     """
 
     def __init__(
@@ -134,9 +135,15 @@ class BronzeJob(LayerJob):
         sep: str = ",",
         missing: str = "error",
         archive: str | None = None,
+        line_breaks: bool = False,
+        part_bytes: int = PART_BYTES,
+        escape: str = "\\",
         **options,
     ) -> None:
         super().__init__(spark, location, **options)
+        self.line_breaks = line_breaks
+        self.part_bytes = part_bytes
+        self.escape = escape
         self.archive = archive
         self.landing = landing.rstrip("/")
         self.database = database
@@ -146,31 +153,39 @@ class BronzeJob(LayerJob):
 
     def transform(self) -> list[Output]:
         loaded = read_csv_tables(
-            self.spark, self.landing, self.config, self.database, self.sep, self.missing
+            self.spark, self.landing, self.config, self.database, self.sep, self.missing,
+            self.line_breaks, self.part_bytes, self.escape,
         )
-        return [Output(output.table, clean_column_names(output.df)) for output in loaded]
+        return [Output(output.table, clean_column_names(output.df), output.files) for output in loaded]
 
     def run(self, *args, **options) -> list[Output]:
         outputs = super().run(*args, **options)
-        if self.archive is not None and outputs:
+        loaded = [(path, path_of(path)[len(path_of(self.landing)) + 1 :]) for output in outputs for path in output.files]
+        if self.archive is not None and loaded:
             stamp = (self.run_ts or datetime.now()).strftime("%Y%m%dT%H%M%S")
-            # The files the saved DataFrames were planned with, listed on the cluster.
-            found = [
-                output.df.select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path"))
-                for output in outputs
-            ]
-            paths = functools.reduce(DataFrame.unionByName, found).distinct()
-            place = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
-            files = paths.select("path", F.substr(place, F.lit(len(path_of(self.landing)) + 2)).alias("name"))
+            files = self.spark.createDataFrame(loaded, "path string, name string").distinct()
             archive_files(stage(files, "loaded"), f"{self.archive.rstrip('/')}/{stamp}")
         return outputs
 
 
+#: What may stand behind a file's name: a number, date or time with these characters.
+_STAMP = "[-_.0-9TZ]"
+_STAMP_LENGTH = 40
+
+
+def _numbered(file_name: str) -> str:
+    """A glob for ``<file_name>.csv`` and those with a number behind the name, and for no other table's files."""
+    more = ",".join(_STAMP * n for n in range(_STAMP_LENGTH + 1))
+    return f"{file_name}{{,[-_.][0-9]{{{more}}}}}.csv"
+
+
 class IncrementalBronzeJob(BronzeJob):
     """The same tables, from the files that no earlier run has loaded.
 
     A table's files are ``<file_name>.csv`` and, as more arrive, the same name
-    with a point, hyphen or underscore and a number or date behind it. With
+    with a point, hyphen or underscore and a number, date or time behind it, of
+    40 more digits, points, hyphens, underscores, T and Z at most. Their columns
+    may come in any order. With
     ``archive`` they are moved to that folder once a later run has loaded more.
     Earlier loads stay, so ``overwrite`` is an error.
     """
@@ -191,7 +206,7 @@ class IncrementalBronzeJob(BronzeJob):
             try:
                 ingest_new_files(
                     self.spark,
-                    f"{self.landing}/{entry['file_name']}{{,[-_.][0-9]*}}.csv",
+                    f"{self.landing}/{_numbered(entry['file_name'])}",
                     self.location,
                     self.database,
                     table,
@@ -201,6 +216,8 @@ class IncrementalBronzeJob(BronzeJob):
                     run_ts=self.run_ts,
                     file_format=self.file_format,
                     partition_by=keys,
+                    escape=self.escape,
+                    line_breaks=self.line_breaks,
                 )
             except AnalysisException as error:
                 if self.missing == "error" or error.getCondition() != "PATH_NOT_FOUND":

@@ -217,7 +217,12 @@ ORACLE["zip_ingest"] = """
            CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS total
     FROM orders
 """
-ORACLE["archive_ingest"] = ORACLE["zip_ingest"]
+ORACLE["archive_ingest"] = ORACLE["archive_once"] = ORACLE["zip_ingest"]
+ORACLE["csv_line_breaks"] = r"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS order_key,
+           o_orderpriority || E':\n "' || o_orderstatus || E'",\n\n' || o_orderkey AS note
+    FROM orders
+"""
 ORACLE["save_append_overwrite"] = """
     SELECT *, '2024-01-01 00:00:00' AS processing_ts FROM customer
     UNION ALL SELECT *, '2024-02-01 00:00:00' AS processing_ts FROM customer

@@ -24,9 +24,9 @@ from tiersmith.plans.demo import BRONZE_CONFIG, GOLD_CONFIG, SILVER_CONFIG, prev
 from tiersmith.plans.jobs import BronzeJob, IncrementalBronzeJob, SilverJob, Transforms
 from tiersmith.plans.prices import PriceJob, capture_prices, export_products, unit_price
 from tiersmith.session import scratch_path, stage
-from tiersmith.sources.archives import expand_archives, read_zip_csv, zip_files
+from tiersmith.sources.archives import expand_archives, pack_files, read_zip_csv, zip_files
 from tiersmith.sources.brands import brand_bridge, brand_url
-from tiersmith.sources.landing import read_csv, write_csv
+from tiersmith.sources.landing import list_files, read_csv, write_csv
 from tiersmith.sources.pages import link_items, product_cards
 from tiersmith.sources.tables import AUDIT_COLUMN, compact_table, read_table, save_table
 from tiersmith.streaming.incremental import without_load_columns
@@ -413,6 +413,21 @@ def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def csv_line_breaks(spark, sf_dir):
+    """One large file whose quoted fields hold line breaks and quotes, read by several tasks."""
+    location, database = fresh_database(spark, "line_breaks")
+    note = F.concat("o_orderpriority", F.lit(':\n "'), "o_orderstatus", F.lit('",\n\n'), F.col("o_orderkey").cast("string"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("Order Key"), note.alias("Note"))
+    write_csv(orders.coalesce(1), f"{location}/landing/orders_data.csv", escape='"')
+    config = {"orders": {"file_name": "orders_data"}}
+    BronzeJob(
+        spark, f"{location}/landing", location, database, config, run_ts=RUN_TS,
+        line_breaks=True, escape='"', part_bytes=1 << 17,
+    ).run()
+    return columns.drop_columns(read_table(spark, database, "orders"), AUDIT_COLUMN)
+
+
 @query
 def zip_ingest(spark, sf_dir):
     """Packed files with their columns in two orders, read under their own headers."""
@@ -426,6 +441,26 @@ def zip_ingest(spark, sf_dir):
     return columns.clean_column_names(read_zip_csv(spark, f"{folder}/archive/*/first"))
 
 
+@query
+def archive_once(spark, sf_dir):
+    """Archives with members of one name, unpacked and loaded once however often both are run."""
+    location, database = fresh_database(spark, "archive_once")
+    orders = order_texts(spark, sf_dir)
+    urgent = orders["Note"].startswith("1-URGENT")
+    for number, rows in enumerate((orders.where(~urgent), orders.where(urgent).select(*reversed(orders.columns)))):
+        write_csv(rows.coalesce(1), f"{location}/written/{number}")
+        named = list_files(spark, f"{location}/written/{number}", "*.csv").select("path", F.lit("orders_data.csv").alias("name"))
+        pack_files(named, f"{location}/arrived/{number}")
+    job = IncrementalBronzeJob(
+        spark, f"{location}/landing", location, database, {"orders": {"file_name": "orders_data"}},
+        run_ts=RUN_TS, checkpoint=f"{location}/checkpoint",
+    )
+    for _ in range(2):
+        expand_archives(spark, f"{location}/arrived/*", f"{location}/landing", clash="rename")
+        job.run()
+    return without_load_columns(read_table(spark, database, "orders"))
+
+
 @query
 def archive_ingest(spark, sf_dir):
     """What a bronze job loaded, read back from where it archived the files."""
@@ -505,6 +540,7 @@ def incremental_ingest(spark, sf_dir):
         )
         # The name of another table begins alike; the third run finds nothing new.
         rows.limit(5).write.option("header", True).csv(f"{landing}/orders_data_old.csv")
+        rows.limit(5).select("o_orderkey").write.option("header", True).csv(f"{landing}/orders_data_2024_returns.csv")
         for arrived in (rows.where(~pending), rows.where(pending), None):
             if arrived is not None:
                 arrived.write.mode("append").option("header", True).csv(f"{landing}/orders_data.csv")
