@@ -125,3 +125,52 @@ def test_silver_job_names_what_it_does_not_know(spark, demo_run, tmp_path):
     )
     with pytest.raises(TransformError, match="known: airport, country, person"):
         job.run()
+
+
+@pytest.mark.parametrize("dies", ["silver", "gold", "second bronze table"])
+def test_a_killed_run_goes_on_behind_its_finished_tables(spark, tmp_path, monkeypatch, dies):
+    (tmp_path / "landing").mkdir()
+    for file, text in LANDING.items():
+        (tmp_path / "landing" / file).write_text(text)
+    run = f"r{abs(hash((str(tmp_path), dies)))}"
+    names = [f"{layer}_{run}" for layer in ("bronze", "silver", "gold")]
+    saved, save = [], jobs.save_table
+
+    def counted(spark, df, location, database, table, *args):
+        if dies == "second bronze table" and len(saved) == 1:
+            raise KeyboardInterrupt
+        if database.startswith(dies):
+            raise KeyboardInterrupt
+        save(spark, df, location, database, table, *args)
+        saved.append(f"{database.split('_')[0]}.{table}")
+
+    call = lambda **more: demo.run_demo(spark, str(tmp_path / "landing"), str(tmp_path), run, resume=True, **more)
+    try:
+        with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+            patched.setattr(jobs, "save_table", counted)
+            patched.setattr(jobs, "SAVES_AT_A_TIME", 1)
+            call()
+        finished = list(saved)
+        if dies != "second bronze table":
+            assert {t for t in finished if t.startswith("bronze")} == {"bronze.airport", "bronze.country", "bronze.person"}
+            # No landing file is read again: they are gone.
+            for file in LANDING:
+                (tmp_path / "landing" / file).unlink()
+        dies = "nothing"
+        with monkeypatch.context() as patched:
+            patched.setattr(jobs, "save_table", counted)
+            located = call()
+        assert len(saved) == len(set(saved)) == 7
+        assert sorted(r.person_id for r in located.collect()) == [1, 4]
+        # Finished altogether: nothing is made again, unless its configuration changes.
+        with monkeypatch.context() as patched:
+            patched.setattr(jobs, "save_table", counted)
+            assert call().count() == 2
+        assert len(saved) == 7
+        ledger = jobs.RunLedger(spark, str(tmp_path), run)
+        assert ledger.finished(f"bronze_{run}.person", demo.BRONZE_CONFIG["person"])
+        assert not ledger.finished(f"bronze_{run}.person", {"file_name": "other"})
+        with pytest.raises(ValueError, match="hash"):
+            demo.run_demo(spark, "x", "y", resume=True)
+    finally:
+        drop_databases(spark, *names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from urllib.parse import quote
 
@@ -31,3 +32,20 @@ def exists(uri: str) -> bool:
     """Whether there is a file or folder."""
     filesystem, path = open_uri(uri)
     return filesystem.get_file_info(path).type != fs.FileType.NotFound
+
+
+def read_json(uri: str) -> object:
+    filesystem, path = open_uri(uri)
+    with filesystem.open_input_stream(path) as file:
+        return json.loads(file.read())
+
+
+def write_json(uri: str, value: object) -> None:
+    """Write a small file at once: it has all its content or is not there."""
+    filesystem, path = open_uri(uri)
+    folder, _, name = path.rpartition("/")
+    filesystem.create_dir(folder, recursive=True)
+    partial = f"{folder}/.{name}.tmp"
+    with filesystem.open_output_stream(partial) as out:
+        out.write(json.dumps(value).encode())
+    filesystem.move(partial, path)

@@ -18,9 +18,10 @@ from tiersmith.operators.columns import (
 from tiersmith.operators.keys import surrogate_key
 from tiersmith.operators.quality import Check, ColumnSpec, TableSpec
 from tiersmith.plans.config import read_config
-from tiersmith.plans.jobs import BronzeJob, GoldJob, SilverJob, Transforms
+from tiersmith.plans.jobs import BronzeJob, GoldJob, RunLedger, SilverJob, Transforms
 from tiersmith.session import get_session
 from tiersmith.sources.archives import expand_archives
+from tiersmith.sources.registry import KeyRegistry
 from tiersmith.sources.tables import AUDIT_COLUMN, layer_name, read_table
 
 _NON_NEGATIVE = (Check("ge", {"bound": 0}),)
@@ -91,12 +92,15 @@ def clean_airport(df: DataFrame) -> DataFrame:
     return replace_column_names(drop_columns(located, AUDIT_COLUMN), [("id", "airport_id")])
 
 
+def _country_keys(df: DataFrame) -> DataFrame:
+    short = {"name": "country", "code": "country_code"}
+    return replace_column_names(df, [(o, n) for o, n in short.items() if o in df.columns])
+
+
 @transforms.register("country")
 def clean_country(df: DataFrame) -> DataFrame:
     """Each country once, numbered in the order of name and code."""
-    short = {"name": "country", "code": "country_code"}
-    renamed = replace_column_names(df, [(o, n) for o, n in short.items() if o in df.columns])
-    return surrogate_key(renamed, ["country", "country_code"], "id")
+    return surrogate_key(_country_keys(df), ["country", "country_code"], "id")
 
 
 @transforms.register("person")
@@ -104,6 +108,15 @@ def clean_person(df: DataFrame) -> DataFrame:
     return drop_columns(df, AUDIT_COLUMN)
 
 
+def registered_transforms(countries: KeyRegistry) -> Transforms:
+    """The same transforms with countries numbered by a registry, so that later runs keep their ids."""
+    kept = Transforms()
+    kept.register("airport")(clean_airport)
+    kept.register("person")(clean_person)
+    kept.register("country")(lambda df: countries.assign(_country_keys(df), ["country", "country_code"]))
+    return kept
+
+
 def run_demo(
     spark: SparkSession,
     landing: str,
@@ -113,9 +126,14 @@ def run_demo(
     run_ts: datetime | None = None,
     archives: str | None = None,
     config: str | None = None,
+    resume: bool = False,
+    transforms: Transforms = transforms,
 ) -> DataFrame:
     """Landing to gold in one session; returns the located persons of the gold table.
 
+    With ``resume``, tables that an earlier call with the same ``run_hash`` and
+    configuration has finished are not made again.
+
     With ``archives``, the zip files of that folder are unpacked into landing
     first. ``config`` is a JSON or YAML file whose entries ``bronze``,
     ``silver`` and ``gold`` take the place of the built-in ones.
@@ -125,7 +143,10 @@ def run_demo(
     if archives is not None:
         expand_archives(spark, archives, landing)
     bronze, silver, gold = (layer_name(name, run_hash) for name in ("bronze", "silver", "gold"))
-    options = {"overwrite": True, "run_ts": run_ts}
+    if resume and not run_hash:
+        raise ValueError("only a run with a hash can be resumed")
+    ledger = RunLedger(spark, location, run_hash) if resume else None
+    options = {"overwrite": True, "run_ts": run_ts, "ledger": ledger}
     BronzeJob(spark, landing, location, bronze, layers["bronze"], **options).run()
     SilverJob(
         spark, location, bronze, silver, layers["silver"], SPECS, transforms, validate, **options
@@ -148,11 +169,12 @@ def main() -> None:
     parser.add_argument("--run-hash", help="suffix of the database names")
     parser.add_argument("--validate", choices=("off", "report", "strict"), default="report")
     parser.add_argument("--archives", help="folder of zip files to unpack into landing first")
+    parser.add_argument("--resume", action="store_true", help="go on where an earlier run with this hash ended")
     parser.add_argument("--config", help="JSON or YAML file with the configuration of the layers")
     args = parser.parse_args()
     located = run_demo(
         get_session("demo"), args.landing, args.location, args.run_hash, args.validate,
-        archives=args.archives, config=args.config,
+        archives=args.archives, config=args.config, resume=args.resume,
     )
     preview(located, ["person_id"]).show()
 

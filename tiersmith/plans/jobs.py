@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiersmith.errors import TransformError
-from tiersmith.files import path_of
+from tiersmith.files import exists, path_of, read_json, write_json
 from tiersmith.operators.columns import apply_prefix, cast_table, clean_column_names
 from tiersmith.operators.joins import star_join
 from tiersmith.operators.quality import TableSpec, quality_gate
@@ -50,6 +52,32 @@ class Transforms:
         return self._known[name]
 
 
+class RunLedger:
+    """Which tables of a run are finished, so that a rerun goes on behind them.
+
+    Each finished table has one small file in the shared location, written when
+    all its rows are saved. It counts as long as the table is there and its
+    configuration is the same.
+    """
+
+    def __init__(self, spark: SparkSession, location: str, run: str) -> None:
+        self.spark = spark
+        self.folder = f"{location.rstrip('/')}/_runs/{run}"
+
+    def _place(self, table: str) -> str:
+        return f"{self.folder}/{quote(table, safe='')}.json"
+
+    def finish(self, table: str, entry: object = None) -> None:
+        write_json(self._place(table), {"table": table, "entry": entry})
+
+    def finished(self, table: str, entry: object = None) -> bool:
+        place = self._place(table)
+        if not exists(place) or read_json(place)["entry"] != json.loads(json.dumps(entry)):
+            return False
+        database, name = table.split(".", 1)
+        return self.spark.catalog.tableExists(f"`{database}`.`{name}`")
+
+
 class LayerJob(ABC):
     """One layer's work. Subclasses say in ``transform`` what to save."""
 
@@ -60,18 +88,31 @@ class LayerJob(ABC):
         overwrite: bool = False,
         file_format: str = "parquet",
         run_ts: datetime | None = None,
+        ledger: RunLedger | None = None,
     ) -> None:
         self.spark = spark
+        self.ledger = ledger
         self.location = location
         self.overwrite = overwrite
         self.file_format = file_format
         self.run_ts = run_ts
         self._cached: list[DataFrame] = []
+        self._entries: dict[str, dict] = {}
 
     @abstractmethod
     def transform(self) -> list[Output]:
         """The outputs of this layer."""
 
+    def unfinished(self, config: dict[str, dict], database: str) -> dict[str, dict]:
+        """What of a configuration an earlier run with the same ledger has not finished."""
+        if self.ledger is None:
+            return config
+        self._entries = {f"{database}.{table}": entry for table, entry in config.items()}
+        left = {t: e for t, e in config.items() if not self.ledger.finished(f"{database}.{t}", e)}
+        for table in config.keys() - left.keys():
+            log.info("%s.%s is finished already", database, table)
+        return left
+
     def cache(self, df: DataFrame) -> DataFrame:
         """Keep a DataFrame that several actions of this run read."""
         cached = df.persist()
@@ -100,6 +141,8 @@ class LayerJob(ABC):
                 partition_by,
                 self.run_ts,
             )
+            if self.ledger is not None:
+                self.ledger.finish(output.table, self._entries.get(output.table))
 
         try:
             outputs = self.transform()
@@ -153,7 +196,7 @@ class BronzeJob(LayerJob):
 
     def transform(self) -> list[Output]:
         loaded = read_csv_tables(
-            self.spark, self.landing, self.config, self.database, self.sep, self.missing,
+            self.spark, self.landing, self.unfinished(self.config, self.database), self.database, self.sep, self.missing,
             self.line_breaks, self.part_bytes, self.escape,
         )
         return [Output(output.table, clean_column_names(output.df), output.files) for output in loaded]
@@ -268,7 +311,8 @@ class SilverJob(LayerJob):
 
     def transform(self) -> list[Output]:
         tables: list[tuple[DataFrame, TableSpec]] = []
-        for table, entry in self.config.items():
+        config = self.unfinished(self.config, self.dst_database)
+        for table, entry in config.items():
             df = read_table(self.spark, self.src_database, entry["src_name"])
             df = self.transforms[entry["transformation"]](df)
             if "prefix" in entry:
@@ -277,10 +321,10 @@ class SilverJob(LayerJob):
             if self.cache_checked:
                 df = self.cache(df)
             tables.append((df, self.specs[table]))
-        if self.validate != "off":
+        if self.validate != "off" and tables:
             quality_gate(tables, strict=self.validate == "strict")
         return [
-            Output(f"{self.dst_database}.{table}", df) for table, (df, _) in zip(self.config, tables)
+            Output(f"{self.dst_database}.{table}", df) for table, (df, _) in zip(config, tables)
         ]
 
 
@@ -323,5 +367,5 @@ class GoldJob(LayerJob):
 
         return [
             Output(f"{self.dst_database}.{table}", self.transforms[entry["transformation"]](read, entry))
-            for table, entry in self.config.items()
+            for table, entry in self.unfinished(self.config, self.dst_database).items()
         ]

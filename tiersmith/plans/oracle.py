@@ -344,9 +344,18 @@ _CARDS = f"""
           UNION ALL SELECT 'Brand#' || (2 * n) FROM ({_NUMBERED}) WHERE 2 * n <= 25)
       ON brand = p_brand
 """
+ORACLE["key_registry"] = """
+    SELECT row_number() OVER (ORDER BY later, c_mktsegment, c_name) AS id, c_mktsegment, c_name
+    FROM (SELECT c_mktsegment, c_name, min(CASE WHEN c_acctbal < 3000 THEN 0 ELSE 1 END) AS later
+          FROM customer GROUP BY ALL)
+"""
 ORACLE["price_capture"] = _comparable(_CARDS)
 ORACLE["price_job"] = _exported(_CARDS)
 
+ORACLE["price_job_bronze"] = _exported(
+    f"""SELECT CASE WHEN product_name LIKE '%ml' THEN product_name || E'\\n "new", big' ELSE product_name END AS product_name,
+               brand_name, url, price FROM ({_CARDS})"""
+)
 ORACLE["price_walk"] = _comparable(f"""
     SELECT p_name || ' ' || p_size || 'ml' AS product_name, brand AS brand_name,
            'https://shop.example/p/' || p_partkey AS url, CAST({_PRICE} AS DECIMAL(18,2)) AS price

@@ -28,6 +28,7 @@ from tiersmith.sources.archives import expand_archives, pack_files, read_zip_csv
 from tiersmith.sources.brands import brand_bridge, brand_url
 from tiersmith.sources.landing import list_files, read_csv, write_csv
 from tiersmith.sources.pages import link_items, product_cards
+from tiersmith.sources.registry import KeyRegistry
 from tiersmith.sources.tables import AUDIT_COLUMN, compact_table, read_table, save_table
 from tiersmith.streaming.incremental import without_load_columns
 
@@ -276,6 +277,16 @@ def surrogate_key_scaled(spark, sf_dir):
     return keys.surrogate_key(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"])
 
 
+@query
+def key_registry(spark, sf_dir):
+    """Customers of two runs: those of the first keep their numbers in the second."""
+    location, database = fresh_database(spark, "registry")
+    registry = KeyRegistry(spark, location, database, "customer_keys")
+    customers = table(spark, sf_dir, "customer").select("c_mktsegment", "c_name")
+    registry.assign(customers.where("c_acctbal < 3000"), ["c_mktsegment", "c_name"])
+    return registry.assign(customers, ["c_mktsegment", "c_name"])
+
+
 @query
 def sparse_id(spark, sf_dir):
     """The ids are arbitrary; whether each is the only one of its kind is not."""
@@ -761,6 +772,19 @@ def price_walk(spark, sf_dir):
 # --- end to end ----------------------------------------------------------
 
 
+@query
+def price_job_bronze(spark, sf_dir):
+    """The price job's file as a bronze table, with line breaks and quotes in product names."""
+    location, database = fresh_database(spark, "price_job_bronze")
+    pages = shop_pages(spark, sf_dir).withColumn("html", F.replace("html", F.lit("ml</a>"), F.lit('ml\n "new", big</a>')))
+    PriceJob(pages, brand_maps(spark, sf_dir), "brands", SHOP, f"{location}/landing", run_ts=RUN_TS).run()
+    IncrementalBronzeJob(
+        spark, f"{location}/landing", location, database, {"prices": {"file_name": "products"}},
+        run_ts=RUN_TS, checkpoint=f"{location}/checkpoint", escape='"', line_breaks=True,
+    ).run()
+    return without_load_columns(read_table(spark, database, "prices")).drop("timestamp")
+
+
 @query
 def silver_cached(spark, sf_dir):
     """A silver table whose checked rows are kept for the save."""

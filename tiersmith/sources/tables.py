@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiersmith.files import exists, open_uri, path_of
+from tiersmith.files import exists, open_uri, path_of, read_json, write_json
 from tiersmith.operators.columns import column
 
 log = logging.getLogger(__name__)
@@ -195,13 +195,6 @@ def _delete(uri: str) -> None:
         filesystem.delete_dir(path)
 
 
-def _write_json(uri: str, value: object) -> None:
-    filesystem, path = open_uri(uri)
-    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(path) as out:
-        out.write(json.dumps(value).encode())
-
-
 def _plans(versions: str) -> list[tuple[str, dict, fs.FileInfo, bool]]:
     """The plans of all versions there are: version, plan, its file, and whether all of it is published."""
     if not exists(versions):
@@ -211,9 +204,8 @@ def _plans(versions: str) -> list[tuple[str, dict, fs.FileInfo, bool]]:
     for folder in filesystem.get_file_info(fs.FileSelector(path)):
         plan, done = filesystem.get_file_info([f"{folder.path}/{_PLAN}", f"{folder.path}/{_DONE}"])
         if plan.type == fs.FileType.File:
-            with filesystem.open_input_stream(plan.path) as file:
-                held = json.loads(file.read())
-            found.append((f"{versions}/{folder.base_name}", held, plan, done.type == fs.FileType.File))
+            version = f"{versions}/{folder.base_name}"
+            found.append((version, read_json(f"{version}/{_PLAN}"), plan, done.type == fs.FileType.File))
     return found
 
 
@@ -298,9 +290,9 @@ def compact_table(spark: SparkSession, database: str, table: str, file_bytes: in
         raise RuntimeError(f"the copy of {live} in {data} does not have all rows; nothing was published")
     written = {tuple(row["values"]): row["folder"] for row in _folders(spark, facts, data).collect()}
     moves = [(list(row["values"]), row["folder"], written[tuple(row["values"])]) for row in scattered]
-    _write_json(f"{version}/{_PLAN}", {"folders": moves})
+    write_json(f"{version}/{_PLAN}", {"folders": moves})
     _publish(spark, live, facts, moves)
-    _write_json(f"{version}/{_DONE}", len(moves))
+    write_json(f"{version}/{_DONE}", len(moves))
     spark.catalog.refreshTable(live)
     log.info("compacted %s.%s", database, table)
 
