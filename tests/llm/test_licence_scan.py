@@ -1,3 +1,6 @@
+import math
+import re
+
 import pytest
 
 from tiersmith.llm import licence_scan as scan
@@ -100,3 +103,61 @@ def test_odd_rows(make, odd_rows, model):
 def test_no_python_runs_in_tasks(make, model):
     plan = scan.licence_paragraphs(make([(1, "license")]), model)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "MapInArrow"))
+
+
+def plain_score(model, text):
+    """The probability of each class, with lists and loops."""
+    words = re.findall(r"[^\W_]+(?:[.-][^\W_]+)*|[.!?](?=\s|$)", text.lower())
+    tokens = [".", *("." if w in "!?" else w for w in words), "."]
+    names = {name.lower() for _, names in scan.NAMES for name in names}
+    grams = set()
+    for some in (tokens, ["@" if t in names else t for t in tokens]):
+        grams |= {" ".join(some[i : i + n]) for n in (1, 2, 3) for i in range(len(some) - n + 1)}
+    logits = list(model.intercepts)
+    for gram, weights in model.weights:
+        if gram in grams:
+            logits = [x + w for x, w in zip(logits, weights, strict=True)]
+    odds = [math.exp(x - max(logits)) for x in logits]
+    return dict(zip(model.families, [x / sum(odds) for x in odds], strict=True))
+
+
+def plain_share(family, text):
+    pairs = lambda t: {tuple(w[i : i + 2]) for w in [re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", t.lower())] for i in range(max(1, len(w) - 1))}
+    return max([len(pairs(t) & pairs(text)) / len(pairs(t)) for f, t in scan.NOTICES if f == family], default=0)
+
+
+MENTIONS = [
+    "He studied under the ISC board.", "This package is not licensed under the GPL-3.0.",
+    "The authors, under MIT guidance, wrote it.", "This is not released under the Apache License, Version 2.0.",
+    "BSD users met.", "They met under the MIT dome.", "The Mozilla Public License is discussed here.",
+    "UND!! DER!! MIT!! EIN!! VON!!",
+]
+
+
+def test_scores_equal_a_plain_version(make, model):
+    texts = [t for _, t in scan.NOTICES[::5]] + list(scan.OTHERS) + MENTIONS + ["Dual-licensed under MIT or Apache-2.0.", MIT_TEXT]
+    for r in scan.licence_paragraphs(make(list(enumerate(texts))), model).collect():
+        odds = plain_score(model, r.notice)
+        best = max((f for f in odds if f != scan.UNKNOWN), key=odds.get)
+        assert r.licence == (best if 1 - odds[scan.UNKNOWN] >= model.certain else scan.UNKNOWN), r.notice
+        assert r.probability == pytest.approx(odds[r.licence], abs=1e-9)
+        assert r.template_share == pytest.approx(plain_share(r.licence, r.notice))
+
+
+def test_a_name_alone_grants_nothing(make, model):
+    found = scan.licence_paragraphs(make(list(enumerate(MENTIONS))), model).collect()
+    assert [r.notice for r in found if r.licence != scan.UNKNOWN] == []
+    assert len(found) == len(MENTIONS) and not any(r.confirmed for r in found)
+
+
+def test_two_licences_that_are_offered(make, model):
+    rows = [(1, "Dual-licensed under MIT or Apache-2.0."), (2, "Released under the MIT License.")]
+    found = {r.doc_id: r for r in scan.licence_paragraphs(make(rows), model).collect()}
+    assert {found[1].licence, *found[1].also} == {"MIT", "Apache-2.0"} and found[1].confirmed
+    assert (found[2].licence, found[2].also) == ("MIT", [])
+
+
+def test_names_of_kept_columns(spark, model):
+    df = spark.createDataFrame([(1, "Released under the MIT License.", 5, 6, 7)], "doc_id long, text string, words int, tokens int, odds int")
+    (row,) = scan.licence_paragraphs(df, model).collect()
+    assert row.licence == "MIT"
