@@ -76,3 +76,31 @@ def test_rows_that_are_no_files(spark):
 def test_empty_table(make):
     assert hash_index.exact_duplicates(make([])).count() == 0
     assert hash_index.without_duplicates(make([])).count() == 0
+
+
+def test_the_owners_of_slots_decide(make, monkeypatch):
+    """Without the directory's slots texts do not meet, and rows do not find them."""
+    rows = [(i, f"text {i % 30}") for i in range(90)]
+    docs = make(rows)
+    check(docs, rows, 4)
+    with monkeypatch.context() as patched:
+        patched.setattr(hash_index, "directory", lambda entries, capacity: (entries.limit(0).selectExpr("key AS slot", "0 AS bucket", "0 AS bucket_depth"), 0))
+        assert hash_index.exact_duplicates(docs, 4).count() == 0
+
+
+def test_a_text_of_most_rows_reaches_its_owner_merged(make, spark):
+    rows = [(i, "hot" if i % 3 else f"t{i}") for i in range(3000)]
+    found = check(make(rows), rows)
+    assert max(r.group_size for r in found) == 2000
+
+
+def test_long_texts_of_one_key_are_chained_by_bytes(make, monkeypatch):
+    real = F.xxhash64
+    monkeypatch.setattr(hash_index.F, "xxhash64", lambda *c: F.lit(5).cast("long") if c == ("text",) else real(*c))
+    long = "x" * 200_000
+    rows = [(1, long + "a"), (2, long + "b"), (3, long + "a"), (4, None), (5, ""), (6, long + "c")]
+    found = hash_index.exact_duplicates(make(rows), 2).collect()
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.chain) for r in found}
+    assert got == {
+        1: (3, 2, False, 2), 3: (3, 2, True, 2), 2: (2, 1, True, 3), 6: (6, 1, True, 4), 4: (5, 2, False, 1), 5: (5, 2, True, 1),
+    }

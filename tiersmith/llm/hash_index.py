@@ -1,18 +1,21 @@
 """Exact duplicates by an extendible-hash index on shared files.
 
-Every text has a 64-bit key. The texts of a key are told apart by their bytes,
-in an aggregation by key and text that merges copies before anything moves, so
-a text that a third of all rows share is one row per task afterwards. What
-remains is one entry for each distinct text.
-
-The index has a directory with ``2 ** depth`` slots, one for each prefix of
-that many bits of the key. It starts with one bucket and doubles as long as a
-bucket holds more than its capacity: such a bucket is split by one more bit,
-while slots that need not be told apart go on sharing a bucket. Buckets are
-ranges of keys; owner tasks each take a range of buckets, sort it, chain the
-entries with equal keys and write their part of the index to the shared folder.
-Grouping by key and text decides which rows are copies, and every row is joined
-to its entry by key and digest; the buckets only say where an entry lies.
+Every text has a 64-bit key. The index has a directory with ``2 ** depth``
+slots, one for each prefix of that many bits of the key. It starts with one
+bucket and doubles as long as a bucket holds more keys than its capacity: such a
+bucket is split by one more bit, while slots that need not be told apart go on
+sharing a bucket. Keys are hashes, so buckets fill evenly: six levels beyond the
+average depth hold a 64th of the capacity each, and no more are counted.
+
+Texts go to the owners of the directory's slots: an owner task takes a range of
+slots, and with it a range of keys. Texts that meet there under one key are
+compared by their bytes: equal ones are merged, different ones are chained.
+The owners write their part of the index to the shared folder, one entry for
+each text with how many rows have it and which of them stays. Rows look their
+entry up by slot and key, and by digest within the chain.
+
+Before texts move, copies within each of two halves of the rows are merged, so a
+text that a third of all rows share reaches its owner as two rows at most.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from tiersmith.session import stage
 BUCKET_ENTRIES = 4096
 #: Levels counted beyond the depth at which buckets are full on average.
 SPARE_LEVELS = 6
+#: Parts of the rows within which copies are merged before they go to an owner.
+HALVES = 2
 
 
 def _prefix(bits: Column, length: int, depth: Column | int) -> Column:
@@ -37,7 +42,7 @@ def _prefix(bits: Column, length: int, depth: Column | int) -> Column:
 
 
 def directory(entries: DataFrame, capacity: int = BUCKET_ENTRIES) -> tuple[DataFrame, int]:
-    """The directory over ``entries`` (one row per distinct text, with ``key``), and its depth.
+    """The directory over ``entries`` (one row per distinct ``key``), and its depth.
 
     One row per slot: ``slot``, and the bucket it points to: ``bucket_depth``,
     ``bucket`` (the prefix that all its keys share) and its ``first_slot``. A bucket of more than
@@ -93,33 +98,23 @@ def exact_duplicates(docs: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFra
     keyed = rows.select("doc_id", ROW, text.alias("text")).withColumn("key", F.xxhash64("text"))
     digest = F.sha2(F.col("text").cast("binary"), 256)
     postings = stage(keyed.select("doc_id", ROW, "key", digest.alias("text_sha256")), "postings")
-
-    # Equal keys are not taken for equal texts: the bytes are compared here.
-    entries = stage(
-        keyed.groupBy("key", "text")
-        .agg(F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id"))
-        .select("key", digest.alias("text_sha256"), "group_size", "keep_id"),
-        "entries",
-    )
-    slots, depth = directory(entries, capacity)
-    last = postings.groupBy("key", "text_sha256").agg(
-        F.max(F.struct("doc_id", ROW)).getField(ROW).alias("keep_row")
-    )
-    chain = Window.partitionBy("first_slot", "key").orderBy("text_sha256")
-    index = stage(
-        entries.join(last, ["key", "text_sha256"])
-        .withColumn("slot", _slot(depth))
-        .join(slots, "slot")
-        .repartitionByRange("first_slot")
-        .withColumn("chain", F.row_number().over(chain)),
-        "index",
-    )
-    return postings.join(index, ["key", "text_sha256"]).select(
+    slots, depth = directory(stage(postings.select("key").distinct(), "keys"), capacity)
+
+    last = F.max(F.struct("doc_id", ROW)).alias("last")
+    half = F.pmod(F.xxhash64(ROW), F.lit(HALVES)).alias("half")
+    merged = keyed.groupBy(half, "key", "text").agg(F.count(F.lit(1)).alias("rows"), last)
+    # The owner of a slot has all texts of its keys: both steps here compare what lies there.
+    owned = merged.withColumn("slot", _slot(depth)).repartitionByRange("slot")
+    texts = owned.groupBy("slot", "key", "text").agg(F.sum("rows").alias("group_size"), F.max("last").alias("last"))
+    chain = F.row_number().over(Window.partitionBy("slot", "key").orderBy("text")).alias("chain")
+    index = stage(texts.select("slot", "key", chain, digest.alias("text_sha256"), "group_size", "last"), "index")
+    found = postings.withColumn("slot", _slot(depth)).join(index, ["slot", "key", "text_sha256"])
+    return found.join(slots, "slot").select(
         "doc_id",
         ROW,
-        "keep_id",
+        F.col("last.doc_id").alias("keep_id"),
         "group_size",
-        (F.col(ROW) == F.col("keep_row")).alias("kept"),
+        (F.col(ROW) == F.col(f"last.{ROW}")).alias("kept"),
         "text_sha256",
         "bucket",
         "bucket_depth",
