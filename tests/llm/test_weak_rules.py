@@ -111,3 +111,27 @@ def test_no_python_runs_in_tasks(make):
 
 def test_empty_table(make):
     assert weak_rules.judge_documents(make([])).count() == 0
+
+
+def test_a_lone_weak_fault_is_outvoted(make):
+    """Posterior weighing keeps a text that all-must-pass filtering would drop, and drops agreed faults."""
+    draw = random.Random(7)
+    words = "alder birch cedar dogwood elm fir ginkgo hazel iris juniper".split()
+    prose = lambda n=90: [draw.choice(words) + str(draw.randrange(500)) for _ in range(n)]
+    rows = [(i, " ".join(prose())) for i in range(300)]
+    rows += [(1000 + i, " ".join(w + "***$$$" for w in prose())) for i in range(20)]
+    rows += [(2000 + i, " ".join(prose()).upper().replace(" ", "!! ")) for i in range(20)]
+    # Every eighth word is said twice, and all else is as in good text.
+    rows += [(4000 + i, " ".join(x for n, w in enumerate(prose()) for x in [w] * (1 + (n % 8 == 0)))) for i in range(3)]
+    got = {r.doc_id: r for r in weak_rules.judge_documents(make(rows)).collect()}
+    echoes = [name for name, _, _ in weak_rules.RULES].index("echoes")
+    assert all(got[4000 + i].votes[echoes] == -1 and got[4000 + i].votes.count(-1) == 1 and got[4000 + i].kept for i in range(3))
+    assert all(got[i].kept for i in range(300))
+    assert not any(got[i].kept for i in got if 1000 <= i < 4000)
+
+
+def test_labels_agree_at_sf001(spark):
+    sf = "/root/testdata/sf0.01"
+    judged = weak_rules.judge_documents(spark.read.parquet(f"{sf}/documents.parquet")).where("NOT base_failed")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    assert judged.join(labels, "doc_id").where("kept <> (quality = 1)").count() == 0

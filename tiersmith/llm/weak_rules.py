@@ -30,8 +30,11 @@ MOST_REPEATED_PERCENT = 50
 
 #: Each rule: a name, when it votes for junk, and when for good text ("false": never).
 #: What makes text junk differs, and a text with one fault is like good text in all
-#: else. So these rules abstain where they find no fault, and every fault is looked
-#: for by two rules or more, whose agreement tells how far they can be trusted.
+#: else. So the rules that look for a fault abstain where they find none, and every
+#: fault is looked for by two rules or more, whose agreement tells how far they can
+#: be trusted. Good text is voted for by two rules that each take a whole side of a
+#: text together, its marks and its flow: a lone weak fault on one side can then be
+#: outvoted by the other, and a text with no vote at all is not taken for good.
 RULES = (
     ("symbols_by_word", "100 * n_symbols > 10 * n_words", "false"),
     ("symbols_by_character", "100 * n_symbols > 3 * word_chars", "false"),
@@ -42,6 +45,12 @@ RULES = (
     ("windows", "100 * n_windows < 75 * (n_words - 2)", "false"),
     ("echoes", "100 * n_echoes > 10 * n_words", "false"),
     ("lines", "100 * n_dup_lines > 40 * n_lines", "false"),
+    ("form", "false", "100 * n_symbols <= 8 * n_words AND 100 * n_capitals <= 20 * word_chars AND n_marks = 0"),
+    (
+        "flow",
+        "false",
+        "100 * n_repeat_words <= 10 * n_words AND 100 * n_windows >= 90 * (n_words - 2) AND 100 * n_dup_lines <= 20 * n_lines",
+    ),
 )
 ROUNDS = 30
 #: At the start: the share of good documents, and how often a rule votes for the
