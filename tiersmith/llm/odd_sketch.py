@@ -15,12 +15,14 @@
    its confirmed links, never all of them.
 
 At the threshold a pair shares no band with probability
-``(1 - similarity ** rows) ** bands`` (8e-7 with the defaults), and a sketch is
+``(1 - similarity ** rows) ** bands``. Unless given, the bands are as many as
+bring this to one in a million: 24 at 85 % of the union, 35 at 80 %. A sketch is
 five standard deviations from being ruled out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +37,21 @@ from tiersmith.session import stage
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
-BANDS = 24
 ROWS = 5
+#: How likely a pair at the threshold may share no band.
+MISSED = 1e-6
 SKETCH_BITS = 256
-#: Classes on each side of a block of the exhaustive step.
+#: Classes, and shingles of all of them, on each side of a block of the exhaustive step.
 BLOCK = 512
+BLOCK_SHINGLES = 4_000_000
+#: Parts in which the classes of a group are told its least row.
+PARTS = 64
 
-_CELLS = 4_000_000  # entries of a block's incidence matrix at a time
+
+def bands_for(percent: int, rows: int = ROWS) -> int:
+    """As many bands as a pair at the threshold needs to share one almost surely."""
+    alike = (percent / 100) ** rows
+    return 1 if alike == 1 else math.ceil(math.log(MISSED) / math.log(1 - alike))
 
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -249,7 +259,7 @@ def near_duplicates(
     docs: DataFrame,
     words: int = SHINGLE_WORDS,
     percent: int = SIMILARITY_PERCENT,
-    bands: int = BANDS,
+    bands: int | None = None,
     rows: int = ROWS,
     bits: int = SKETCH_BITS,
     block: int = BLOCK,
@@ -266,6 +276,7 @@ def near_duplicates(
     the least (``doc_id``, ``text_key``), NULL ids last, so rows equal in both
     are kept together. Every row of the input gives one row.
     """
+    bands = bands or bands_for(percent, rows)
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     signed = stage(
         keyed.mapInArrow(
@@ -274,6 +285,7 @@ def near_duplicates(
         ),
         "signatures",
     )
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     classes = stage(
         signed.where("n_shingles > 0")
         .groupBy("class")
@@ -282,15 +294,16 @@ def near_duplicates(
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
             F.min(F.struct("doc_id", "text_key")).alias("one"),
+            F.min(order).alias("least"),
         ),
         "classes",
     )
-    buckets = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = stage(buckets.join(sizes, "bucket"), "shared-buckets")
+    buckets = classes.select("class", "n", F.posexplode("bands").alias("band", "bucket"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    shared = stage(buckets.drop("n").join(sizes.where("members > 1"), "bucket"), "shared-buckets")
 
     weight = shared.groupBy("class").agg(F.sum("members").alias("weight"))
-    meeting = stage(classes.join(weight, "class"), "meeting")
+    meeting = stage(classes.drop("least").join(weight, "class"), "meeting")
     members = shared.join(meeting.select("class", "weight", F.struct("class", "n", "sketch").alias("it")), "class")
     centre = members.groupBy("bucket").agg(F.max(F.struct("weight", "it")).getField("it").alias("centre"))
     floor = max(0.0, percent / 100 - 0.25)
@@ -331,7 +344,7 @@ def near_duplicates(
         .where("least <> greatest")
         .select("bucket")
     )
-    blocks = F.ceil(F.col("members") / block).cast("int")
+    blocks = F.ceil(F.greatest(F.col("members") / block, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     home = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     pairs_of_blocks = F.explode(
         F.transform(
@@ -357,26 +370,22 @@ def near_duplicates(
     )
     groups = components(star_links.unionByName(stage(rest, "links")))
 
-    placed = signed.select("doc_id", "text_key", "n_shingles", "class").join(
-        groups.select(F.col("node").alias("class"), "root"), "class", "left"
-    )
-    group = F.coalesce("root", "class")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    least = (
-        placed.where("n_shingles > 0")
-        .groupBy(group.alias("group"))
-        .agg(F.min(order).alias("least"))
-    )
-    return (
-        placed.withColumn("group", group)
-        .join(least, "group", "left")
-        .select(
-            "doc_id",
-            "text_key",
-            "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-            (F.col("group").isNull() | order.eqNullSafe(F.col("least"))).alias("kept"),
-        )
+    # The least row of each group, found among classes, of which a group may have very many:
+    # what is told back to them goes in parts.
+    part = F.pmod(F.xxhash64("class"), F.lit(PARTS)).cast("int").alias("part")
+    linked = groups.select(F.col("node").alias("class"), "root").join(classes.select("class", "least"), "class")
+    found = linked.groupBy("root").agg(F.min("least").alias("first"))
+    told = found.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    first = linked.select("class", "root", part).join(told, ["root", "part"])
+    leasts = classes.select("class", "least").join(first.select("class", "first"), "class", "left")
+    leasts = leasts.select("class", F.coalesce("first", "least").alias("least"))
+    placed = signed.select("doc_id", "text_key", "n_shingles", "class").join(leasts, "class", "left")
+    return placed.select(
+        "doc_id",
+        "text_key",
+        "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        ((F.col("n_shingles") == 0) | order.eqNullSafe(F.col("least"))).alias("kept"),
     )
 
 
