@@ -24,10 +24,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts, learned from ``labels`` of the given tables."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
     model = subword_quality.learn(docs, labels.where(~subword_quality.held_out()))
-    # The row travels as one column, so none of its names can clash with the score's.
-    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
-    scored = subword_quality.score_documents(rows, model, QUALITY, keep=("row",))
-    return scored.where("predicted = 1").select("row.*")
+    # Under numbers, so none of the names can clash with the score's; the text travels once.
+    numbers = {name: "text" if name == "text" else f"column_{i}" for i, name in enumerate(docs.columns)}
+    rows = docs.select(*[docs[name].alias(number) for name, number in numbers.items()])
+    scored = subword_quality.score_documents(rows, model, QUALITY, keep=tuple(numbers.values()))
+    return scored.where("predicted = 1").select(*[F.col(number).alias(name) for name, number in numbers.items()])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
