@@ -32,6 +32,8 @@ from tiersmith.session import stage
 
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 14_000_000
+#: Blocks whose requests the owner of a range should have to add up, were they all of its size.
+BLOCKS_A_RANGE = 16
 #: Added to each count by the unigram estimate.
 ADDED = 0.1
 #: Bins per doubling of the ratio of the two estimates, for the mixture weights.
@@ -428,7 +430,8 @@ def score_documents(docs: DataFrame, train: Column, tune: Column, block_bytes: i
         ),
         "blocks",
     )
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # More blocks, more ranges: what the owner of one holds does not grow with the corpus.
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), packed.count() // BLOCKS_A_RANGE)
     answers = (
         packed.mapInArrow(
             _requests(ranges),
