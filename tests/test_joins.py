@@ -217,3 +217,13 @@ def test_no_job_for_a_side_that_is_broadcast(spark, monkeypatch):
     monkeypatch.setattr(joins, "key_skews", fail)
     left, right = spark.range(100).selectExpr("id AS a"), spark.range(10).selectExpr("id AS b")
     assert joins.join_table(left, right, ("a", "b"), "left", drop_joined_column=False).count() == 100
+
+
+def test_a_session_that_tells_no_sizes(spark, monkeypatch):
+    class Remote:
+        @property
+        def _jdf(self):
+            raise AttributeError("no such thing here")
+
+    assert joins._small(Remote()) is False
+    assert joins._small(spark.range(3)) is True

@@ -170,9 +170,12 @@ def key_skew(df: DataFrame, key: str, sketch: bool = True) -> KeySkew:
 
 def _small(df: DataFrame) -> bool:
     """Whether Spark estimates a side to be within its limit for broadcasts."""
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimate <= limit
+    try:
+        plan, session = df._jdf.queryExecution(), df.sparkSession._jsparkSession
+    except AttributeError:
+        # A session over the wire tells no sizes: the side's keys are looked over then.
+        return False
+    return int(str(plan.optimizedPlan().stats().sizeInBytes())) <= session.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def _salted_join(left: DataFrame, right: DataFrame, kind: str, salt: bool | None) -> DataFrame | None:
