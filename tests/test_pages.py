@@ -240,3 +240,22 @@ def test_no_pages_and_no_starts(spark):
     none = spark.createDataFrame([], "url string, html string")
     assert reached_pages(none, site(spark).select("url")).count() == 0
     assert reached_pages(site(spark), none.select("url")).count() == 0
+
+
+def test_the_shelf_is_searched_once_for_a_page(spark):
+    """Not once for each use of its pieces, and the next link not once for each card."""
+    plan = product_cards(pages(spark), "page_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("plp") == 2  # in either quotes
+    below = plan[plan.index("Generate"):]
+    assert plan.count("icon\\-angle\\-right") == below.count("icon\\-angle\\-right") == 2
+
+
+def test_pages_are_made_in_as_many_tasks_as_a_shuffle(spark, tmp_path):
+    from tiersmith.plans.workload import shop_pages
+
+    part = spark.range(50).selectExpr(
+        "id AS p_partkey", "'Brand#11' AS p_brand", "'n' AS p_name", "1 AS p_size", "1.5D AS p_retailprice"
+    )
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    tasks = shop_pages(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == 8 and max(row["count"] for row in tasks) < 12

@@ -131,8 +131,6 @@ def first_element(html: Column, selector: Selector) -> Column:
     an attribute's value count as tags.
     """
     tag = re.escape(selector.tag)
-    pieces = F.split(rest_from(html, selector), f"{_FLAGS}</{tag}\\s*>")
-    opened = F.transform(pieces, lambda piece: F.regexp_count(piece, F.lit(rf"{_FLAGS}<{tag}(?=[\s/>])")))
     # Piece k is followed by closing tag k + 1.
     start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("closed"), F.lit(0).alias("end"))
 
@@ -141,8 +139,16 @@ def first_element(html: Column, selector: Selector) -> Column:
         end = F.when((state["end"] == 0) & (opened <= closed), closed).otherwise(state["end"])
         return F.struct(opened.alias("opened"), closed.alias("closed"), end.alias("end"))
 
-    end = F.aggregate(opened, start, count, lambda state: state["end"])
-    return F.array_join(F.when(end > 0, F.slice(pieces, 1, end)).otherwise(pieces), f"</{selector.tag}>")
+    def element(pieces: Column) -> Column:
+        opened = F.transform(pieces, lambda piece: F.regexp_count(piece, F.lit(rf"{_FLAGS}<{tag}(?=[\s/>])")))
+        return F.aggregate(
+            opened, start, count,
+            lambda state: F.when(state["end"] > 0, F.slice(pieces, 1, state["end"])).otherwise(pieces),
+        )
+
+    # The function's argument is a value, so the text is searched and cut once and not once per use.
+    pieces = F.split(rest_from(html, selector), f"{_FLAGS}</{tag}\\s*>")
+    return F.array_join(F.get(F.transform(F.array(pieces), element), 0), f"</{selector.tag}>")
 
 
 def absolute_url(page_url: Column, link: Column) -> Column:
@@ -171,11 +177,9 @@ def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
     cards = (
         pages.select(*keep, visible(F.col("html")).alias("html"))
         .select(*keep, first_element(F.col("html"), SHELF).alias("shelf"))
-        .select(
-            *keep,
-            attribute(F.col("shelf"), NEXT_LINK, "href").alias("next_link"),
-            F.explode(blocks(F.col("shelf"), CARD)).alias("card"),
-        )
+        # Of the page and not of each card, so it is looked for before there are several.
+        .select(*keep, attribute(F.col("shelf"), NEXT_LINK, "href").alias("next_link"), "shelf")
+        .select(*keep, "next_link", F.explode(blocks(F.col("shelf"), CARD)).alias("card"))
         .withColumn("price", rest_from(F.col("card"), CARD_PRICE))
     )
     without_pounds = F.regexp_replace("price", _FLAGS + CARD_POUNDS.inner, "")
