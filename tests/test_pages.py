@@ -259,3 +259,23 @@ def test_pages_are_made_in_as_many_tasks_as_a_shuffle(spark, tmp_path):
     part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     tasks = shop_pages(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert len(tasks) == 8 and max(row["count"] for row in tasks) < 12
+
+
+def test_walks_search_each_page_once_and_move_numbers(spark, monkeypatch):
+    from tiersmith.plans import prices
+    from tiersmith.sources import pages as module
+
+    staged, real = {}, module.stage
+
+    def note(df, label):
+        staged.setdefault(label, []).append((df.dtypes, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, label)
+
+    monkeypatch.setattr(module, "stage", note)
+    monkeypatch.setattr(prices, "stage", note)
+    maps = spark.createDataFrame([(BRANDS,)], "brands string")
+    found = capture_prices(site(spark), maps, "brands", "https://shop.example", follow_links=True)
+    plans = [plan for seen in staged.values() for _, plan in seen] + [found._jdf.queryExecution().optimizedPlan().toString()]
+    assert sum("item__gutter" in plan or "icon" in plan for plan in plans) == 1
+    for label in ("links", "reached"):
+        assert {kind for types, _ in staged[label] for _, kind in types} == {"bigint"}

@@ -20,7 +20,7 @@ from tiersmith.operators.joins import join_table
 from tiersmith.session import stage
 from tiersmith.sources.brands import brand_bridge
 from tiersmith.sources.landing import write_csv
-from tiersmith.sources.pages import absolute_url, product_cards, reached_pages
+from tiersmith.sources.pages import absolute_url, linked_cards, product_cards, reached_pages
 
 
 def unit_price(
@@ -89,12 +89,16 @@ def capture_prices(
     # Each page becomes its few small cards before anything is joined or moved,
     # however many brands list its address.
     shop_pages = pages.select(F.col("url").alias("page_url"), place.alias("shop_url"), "html")
-    cards = product_cards(shop_pages, "page_url", "shop_url").drop("next_link")
     if follow_links:
-        walks = reached_pages(pages.select("url", "html"), addresses)
+        # Staged, as both the prices and the walks need them and a page is to be searched once.
+        found = stage(linked_cards(shop_pages, "page_url", "shop_url"), "cards")
+        cards = found.where("is_card").drop("is_card", "next_link")
+        walks = reached_pages(found.select(F.col("page_url").alias("url"), "next_link"), addresses)
         addresses = addresses.join(walks.withColumnRenamed("url", "page"), F.col("url") == F.col("start")).select(
             "brand", F.col("page").alias("url"), "listed"
         )
+    else:
+        cards = product_cards(shop_pages, "page_url", "shop_url").drop("next_link")
     branded = join_table(cards, addresses, ("shop_url", "url"), "inner")
     products = branded.select(
         "name",

@@ -739,6 +739,8 @@ def walked_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size", "p_retailprice")
     by_key = Window.partitionBy("p_brand").orderBy("p_partkey")
     ahead = F.coalesce(F.lead("p_partkey").over(by_key), F.min("p_partkey").over(Window.partitionBy("p_brand")))
+    # The brands are few, and each one's parts come from one task.
+    numbered = spread(parts.withColumn("ahead", ahead))
     amount = F.split(money("p_retailprice").cast("string"), "\\.")
 
     def page(body: Column, link: Column) -> Column:
@@ -755,11 +757,11 @@ def walked_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</span>."), amount[1], F.lit("</span></li>"),
     )
     place = F.concat(F.lit(f"{SHOP}/list?part="), F.col("p_partkey").cast("string"), F.lit("&v="))
-    linked = parts.select(
+    linked = numbered.select(
         F.concat(place, F.lit("1")).alias("url"),
-        page(card, F.concat(F.lit("?part="), ahead.cast("string"), F.lit("&amp;v=1#top"))).alias("html"),
+        page(card, F.concat(F.lit("?part="), F.col("ahead").cast("string"), F.lit("&amp;v=1#top"))).alias("html"),
     )
-    unlinked = parts.select(
+    unlinked = spread(parts).select(
         F.concat(place, F.lit("2")).alias("url"), page(card, F.lit("?part=1&amp;v=1")).alias("html")
     )
     first = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("first")).select(

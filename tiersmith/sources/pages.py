@@ -173,15 +173,27 @@ def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
     ``next_link``, and the price text in two parts: the element that holds the
     pounds, and what the price element holds besides.
     """
+    return _card_fields(_shelves(pages, *keep).select(*keep, "next_link", F.explode(blocks(F.col("shelf"), CARD)).alias("card")), *keep)
+
+
+def linked_cards(pages: DataFrame, *keep: str) -> DataFrame:
+    """The ``product_cards``, and a row without a ``card`` for each page that has none: its link counts too."""
+    cards = _shelves(pages, *keep).select(*keep, "next_link", F.explode_outer(blocks(F.col("shelf"), CARD)).alias("card"))
+    return _card_fields(cards, *keep, F.col("card").isNotNull().alias("is_card"))
+
+
+def _shelves(pages: DataFrame, *keep: str) -> DataFrame:
     # Each step is a column of its own, so no text is searched twice for it.
-    cards = (
+    return (
         pages.select(*keep, visible(F.col("html")).alias("html"))
         .select(*keep, first_element(F.col("html"), SHELF).alias("shelf"))
         # Of the page and not of each card, so it is looked for before there are several.
         .select(*keep, attribute(F.col("shelf"), NEXT_LINK, "href").alias("next_link"), "shelf")
-        .select(*keep, "next_link", F.explode(blocks(F.col("shelf"), CARD)).alias("card"))
-        .withColumn("price", rest_from(F.col("card"), CARD_PRICE))
     )
+
+
+def _card_fields(cards: DataFrame, *keep: str | Column) -> DataFrame:
+    cards = cards.withColumn("price", rest_from(F.col("card"), CARD_PRICE))
     without_pounds = F.regexp_replace("price", _FLAGS + CARD_POUNDS.inner, "")
     return cards.select(
         *keep,
@@ -196,10 +208,12 @@ def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
 def page_links(pages: DataFrame) -> DataFrame:
     """``(url, next_url)`` of the pages whose shelf links to a next page, a row for each address.
 
-    Addresses have no fragment. Of several pages with one address the least link counts.
+    ``pages`` has ``html``, or the ``next_link`` found in it already. Addresses
+    have no fragment. Of several pages with one address the least link counts.
     """
-    shelf = first_element(visible(F.col("html")), SHELF)
-    found = pages.select("url", shelf.alias("shelf")).select("url", link(F.col("shelf"), NEXT_LINK).alias("link"))
+    found = pages if "next_link" in pages.columns else _shelves(pages, "url")
+    # As the link's text is meant, see ``link``.
+    found = found.select("url", F.replace("next_link", F.lit("&amp;"), F.lit("&")).alias("link"))
     linked = found.where(F.col("link").isNotNull()).select(
         _without_fragment(F.col("url")).alias("url"),
         _without_fragment(absolute_url(F.col("url"), F.col("link"))).alias("next_url"),
@@ -214,26 +228,34 @@ def _without_fragment(url: Column) -> Column:
 def reached_pages(pages: DataFrame, starts: DataFrame) -> DataFrame:
     """``(start, url)`` of the pages that are reached from each start along the links to the next page.
 
-    ``starts`` has the column ``url``. A walk ends where the shelf has no such
+    ``starts`` has the column ``url``; ``pages`` is as for ``page_links``. A walk ends where the shelf has no such
     link, where the next page is not there, and where it comes back to a page it
     has seen. A start that is not among the pages reaches nothing.
 
     Each round doubles how far the walks go: with the pages within n steps known
     and, for every page, the one n steps on, both are joined to give 2n. The
     rounds are as many as the doublings of the longest walk, not as its pages.
-    Only addresses move, and what a round found is staged.
+    Only numbers that stand for the addresses move, and what a round found is
+    staged. A page that is no start and that no page links to takes no part.
     """
-    there = stage(pages.select(_without_fragment(F.col("url")).alias("url")).distinct(), "pages")
-    ahead = stage(page_links(pages).join(there.withColumnRenamed("url", "next_url"), "next_url", "left_semi"), "links")
-    first = starts.select(_without_fragment(F.col("url")).alias("url")).distinct().join(there, "url", "left_semi")
-    reached = stage(first.select(F.col("url").alias("start"), "url"), "reached")
+    addresses = pages.select(_without_fragment(F.col("url")).alias("url")).where("url IS NOT NULL").distinct()
+    # Staged, so an address keeps its number.
+    there = stage(addresses.withColumn("id", F.monotonically_increasing_id()), "pages")
+    next_there = there.select(F.col("url").alias("next_url"), F.col("id").alias("next_id"))
+    ahead = stage(page_links(pages).join(there, "url").join(next_there, "next_url").select("id", "next_id"), "links")
+    first = starts.select(_without_fragment(F.col("url")).alias("url")).distinct().join(there, "url")
+    reached = stage(first.select(F.col("id").alias("start_id"), "id"), "reached")
+    entered = ahead.select(F.col("next_id").alias("id")).union(reached.select("id")).distinct()
+    ahead = stage(ahead.join(entered, "id", "left_semi"), "links")
     known = reached.count()
     while True:
-        further = reached.join(ahead, "url").select("start", F.col("next_url").alias("url"))
+        further = reached.join(ahead, "id").select("start_id", F.col("next_id").alias("id"))
         reached = stage(reached.unionByName(further).distinct(), "reached")
         count = reached.count()
         if count == known:
-            return reached
+            break
         known = count
-        beyond = ahead.select(F.col("url").alias("next_url"), F.col("next_url").alias("beyond"))
-        ahead = stage(ahead.join(beyond, "next_url").select("url", F.col("beyond").alias("next_url")), "links")
+        beyond = ahead.select(F.col("id").alias("next_id"), F.col("next_id").alias("beyond"))
+        ahead = stage(ahead.join(beyond, "next_id").select("id", F.col("beyond").alias("next_id")), "links")
+    start_of = there.select(F.col("url").alias("start"), F.col("id").alias("start_id"))
+    return reached.join(there, "id").join(start_of, "start_id").select("start", "url")
