@@ -165,3 +165,17 @@ def test_odd_rows_and_empty_tables(make, files, odd_rows):
     assert all(r.n_a == r.n_links == r.count_sum == 0 and r.groups_sha256 == "" for r in rows if r.doc_id in (3, 4))
     assert link_counts(make([]), *files).collect() == []
     assert [tuple(r)[1:] for r in link_counts(make([(1, None)]), *files).collect()] == [(0, 0, 0, 0, 0, 0, "")]
+
+
+def test_spelling_of_many_texts_at_a_time(monkeypatch):
+    from tiersmith.llm import token_alignment as module
+
+    tokens = [b"a", b"", b"bc", b"\xc3", b"\xa9", b"abc"]
+    spelling = module._Spelling(tokens, np.array([len(x) for x in tokens]))
+    cases = [([0, 2], b"abc"), ([5], b"abc"), ([], b""), ([0, 2], b"abd"), ([1, 3, 4], "é".encode()), ([1], b""), ([0], b""), ([0, 0], b"a"), ([2, 0], b"abc"), ([0], b"a")]
+    for spelled in (1, 2, 1 << 18):
+        monkeypatch.setattr(module, "SPELLED", spelled)
+        ids, wholes = [np.array(x, np.int64) for x, _ in cases], [whole for _, whole in cases]
+        expected = [b"".join(tokens[n] for n in x) == whole for x, whole in cases]
+        assert spelling.equals(ids, wholes).tolist() == expected
+    assert spelling.equals([], []).tolist() == []

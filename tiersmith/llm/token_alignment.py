@@ -44,6 +44,8 @@ BLOCK_BYTES = 6_000_000
 SLICE_BYTES = 1_000_000
 #: Steps of the merge in a piece.
 PIECE = 1 << 16
+#: Tokens that are spelled at a time.
+SPELLED = 1 << 18
 #: Links of a group that are listed one by one; those of a larger group are counted by id.
 LISTED = 4096
 #: Pairs that the owner of a range should have to add up.
@@ -70,6 +72,8 @@ class Vocabularies:
         self.a_lengths = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int64)
         self._pieces = Pieces(self.a, self.a_lengths)
+        self._a_spelling = _Spelling(self.a_bytes, self.a_lengths)
+        self._b_spelling = _Spelling(self.b_bytes, self.b_lengths)
 
     def _piece(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
@@ -80,17 +84,40 @@ class Vocabularies:
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of both for each text behind a space; none where either does not spell it."""
         asked = [text or "" for text in texts]
-        in_a = [np.frombuffer(ids, "<u4") for ids in self._pieces.encode([" " + x for x in asked])]
-        in_b = self.b.encode(asked, num_threads=1)
-        out = []
-        for text, a, b in zip(asked, in_a, in_b, strict=True):
-            whole = b" " + text.encode()
-            same = text and all(
-                b"".join(map(table.__getitem__, ids)) == whole
-                for table, ids in ((self.a_bytes, a.tolist()), (self.b_bytes, b))
-            )
-            out.append((a.astype(np.int64), np.array(b, np.int64)) if same else (_NO_INTS, _NO_INTS))
-        return out
+        in_a = [np.frombuffer(ids, "<u4").astype(np.int64) for ids in self._pieces.encode([" " + x for x in asked])]
+        in_b = [np.array(ids, np.int64) for ids in self.b.encode(asked, num_threads=1)]
+        wholes = [b" " + text.encode() if text else b"" for text in asked]
+        same = self._a_spelling.equals(in_a, wholes) & self._b_spelling.equals(in_b, wholes)
+        return [(a, b) if whole and equal else (_NO_INTS, _NO_INTS) for a, b, whole, equal in zip(in_a, in_b, wholes, same.tolist(), strict=True)]
+
+
+class _Spelling:
+    """The bytes of a vocabulary's tokens, to spell many tokens at a time."""
+
+    def __init__(self, tokens: list[bytes], lengths: np.ndarray) -> None:
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.lengths = lengths
+        self.begins = np.cumsum(lengths) - lengths
+
+    def equals(self, ids: list[np.ndarray], wholes: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each text spell it."""
+        every = np.concatenate([_NO_INTS, *ids])
+        ends = np.append(0, np.cumsum(self.lengths[every]))[np.cumsum([0, *map(len, ids)])]
+        equal = np.diff(ends) == np.array([len(whole) for whole in wholes], np.int64)
+        # Texts of other lengths are left out, so the bytes of the rest stand side by side.
+        every = np.concatenate([_NO_INTS, *(x for x, same in zip(ids, equal.tolist(), strict=True) if same)])
+        meant = np.frombuffer(b"".join(w for w, same in zip(wholes, equal.tolist(), strict=True) if same), np.uint8)
+        left = np.flatnonzero(equal)
+        text_ends, done = np.cumsum([len(wholes[n]) for n in left.tolist()], dtype=np.int64), 0
+        for at in range(0, len(every), SPELLED):
+            some = every[at : at + SPELLED]
+            size = self.lengths[some]
+            total = int(size.sum())
+            place = np.repeat(self.begins[some] - np.cumsum(size) + size, size) + np.arange(total)
+            other = np.flatnonzero(self.flat[place] != meant[done : done + total])
+            equal[left[np.searchsorted(text_ends, done + other, "right")]] = False
+            done += total
+        return equal
 
 
 def diagonal_splits(a: np.ndarray, b: np.ndarray, diagonals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +251,10 @@ class Aligned:
         rows[at_a], rows[at_b] = written[self.a], written[self.b]
         rows[at_a[self.first_a + self.size_a - 1], -1] = ord("|")
         rows[at_b[self.first_b + self.size_b - 1], -1] = ord(";")
-        size = (rows != 0).sum(axis=1)
+        # Counted for each number once and not for each token.
+        width = (written != 0).sum(axis=1)
+        size = np.empty(len(rows), np.int64)
+        size[at_a], size[at_b] = width[self.a], width[self.b]
         tokens = np.cumsum(self.n_a + self.n_b)
         ends = np.append(0, np.cumsum(size))[tokens]
         flat = rows.ravel()
