@@ -285,6 +285,21 @@ def test_a_large_file_with_line_breaks_goes_to_several_tasks(spark, tmp_path):
     assert len(per_task) > 4 and max(r["count"] for r in per_task) < 8_000
 
 
+def test_parts_are_dealt_evenly(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,t\n" + "".join(f'{i:05d},"x\ny"\n' for i in range(4_000)))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = (tmp_path / "a.csv").stat().st_size
+    got = landing.csv_records(spark, [str(tmp_path / "a.csv")], part_bytes=-(-size // (2 * tasks)))
+    per_task = [row["count"] for row in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 4_000 and len(per_task) == tasks and max(per_task) < 1.1 * 4_000 / tasks
+
+
+def test_bytes_that_are_no_text_stay_in_their_record(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"t\na\xc3\r\r\n\r\n\xa9b\n\n")
+    got = landing.csv_records(spark, [str(tmp_path / "a.csv")])
+    assert sorted(row.record for row in got.collect()) == ["a\ufffd", "\ufffdb"]
+
+
 def test_records_of_odd_files(spark, tmp_path):
     files = {"a": "id,t\r\n1,\"x\r\ny\"\r\n\r\n2,z\r\n", "b": "id,t", "c": "\ufeffid,t\n3,w", "d": ""}
     for name, text in files.items():

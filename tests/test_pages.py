@@ -1,4 +1,5 @@
 import csv
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -261,6 +262,34 @@ def test_pages_are_made_in_as_many_tasks_as_a_shuffle(spark, tmp_path):
     assert len(tasks) == 8 and max(row["count"] for row in tasks) < 12
 
 
+def test_the_code_made_for_a_capture_is_short_enough_to_be_compiled(spark, capsys):
+    """The JVM leaves methods of more than 8000 bytes to its interpreter."""
+    maps = spark.createDataFrame([(BRANDS,)], "brands string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        capture_prices(pages(spark), maps, "brands", "https://shop.example").explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_pages_are_not_searched_for_missing_addresses_where_they_are_scanned(spark):
+    maps = spark.createDataFrame([(BRANDS,)], "brands string")
+    dealt = pages(spark).unionByName(pages(spark, None)).repartition(4)
+    found = capture_prices(dealt, maps, "brands", "https://shop.example")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(regexp_extract" not in plan
+    assert found.where("brand_name = 'Calm+'").count() == 3
+
+
+def test_links_as_odd_pages_mean_them(spark):
+    rows = [("shop", "x", "/x"), ("https://s.example", "x", "https://s.example/x"), (None, "x", None), (None, "a:b", "a:b"),
+            ("https://s.example/a/b?c/d", "", "https://s.example/a/"), ("a:b/c/d", "x", "/x")]
+    df = spark.createDataFrame([row[:2] for row in rows], "page string, link string")
+    assert [r[0] for r in df.select(absolute_url(F.col("page"), F.col("link"))).collect()] == [row[2] for row in rows]
+
+
 def test_walks_search_each_page_once_and_move_numbers(spark, monkeypatch):
     from tiersmith.plans import prices
     from tiersmith.sources import pages as module

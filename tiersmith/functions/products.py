@@ -32,7 +32,7 @@ def clean_name(name: Column) -> Column:
 
 def clean_price(*parts: Column) -> Column:
     """The amount after the first pound sign of the joined parts, else of all of it."""
-    text = F.concat(*parts)
+    text = F.concat(*parts) if len(parts) > 1 else parts[0]
     amount = F.substring(text, F.instr(text, "£") + 1, F.length(text))
     return F.btrim(amount, F.lit(_TRIMMED)).try_cast(PRICE_TYPE)
 
@@ -59,12 +59,14 @@ def base_quantity(number: Column, unit: Column) -> Column:
     millilitres, pack words become pieces, other units stay as they are. The
     multiplier is always 1: ``3x40ml`` reads as 40 ml.
     """
-    amount = number.try_cast(SIZE_TYPE)
-    quantity = F.when(number == "", F.lit(1).cast(SIZE_TYPE))
+    factor = F.lit(1)
     base_unit = F.when((number == "") | unit.isin(*PIECE_UNITS), "ea")
-    for long_unit, (factor, base) in CONVERTED_UNITS.items():
-        quantity = quantity.when(unit == long_unit, (amount * factor).try_cast(SIZE_TYPE))
+    for long_unit, (times, base) in CONVERTED_UNITS.items():
+        factor = F.when(unit == long_unit, times).otherwise(factor)
         base_unit = base_unit.when(unit == long_unit, base)
+    # The number is read in one place: short generated code is compiled by the JVM.
+    amount = (number.try_cast(SIZE_TYPE) * factor.cast("decimal(4,0)")).try_cast(SIZE_TYPE)
+    quantity = F.when(number == "", F.lit(1).cast(SIZE_TYPE))
     return F.when(
         number.isNotNull(),
         F.struct(

@@ -85,7 +85,10 @@ def capture_prices(
     """
     bridge = brand_bridge(brand_maps, json_column, base_url)
     addresses = stage(bridge.groupBy("brand", "url").agg(F.count("*").alias("listed")), "brands")
-    place = F.regexp_replace("url", "#.*$", "") if follow_links else F.regexp_extract("url", r"^[^?#]*", 0)
+    # The latter is never NULL, and an empty one is no brand's: else the join has Spark look for NULL
+    # where the pages are scanned, which may be in one task.
+    shop_url = F.coalesce(F.regexp_extract("url", r"^[^?#]*", 0), F.lit(""))
+    place = F.regexp_replace("url", "#.*$", "") if follow_links else shop_url
     # Each page becomes its few small cards before anything is joined or moved,
     # however many brands list its address.
     shop_pages = pages.select(F.col("url").alias("page_url"), place.alias("shop_url"), "html")
@@ -108,7 +111,7 @@ def capture_prices(
         "listed",
     )
     priced = unit_price(products, keep=("listed",), run_ts=run_ts)
-    copies = F.explode(F.sequence(F.lit(1), F.col("listed")))
+    copies = F.explode(F.array_repeat(F.lit(1), F.col("listed").cast("int")))
     return priced.withColumn("listed", copies).drop("listed")
 
 

@@ -85,6 +85,31 @@ def _toggles(data: np.ndarray, escape: int, before: int) -> np.ndarray:
     return quotes
 
 
+def _texts(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.StringArray:
+    """Pieces of the data, with nothing but line ends between them, without those behind them; empty ones are left out."""
+    ends, left = ends.copy(), np.arange(len(ends))
+    while len(left):
+        left = left[ends[left] > begins[left]]
+        last = data[ends[left] - 1]
+        left = left[(last == 10) | (last == 13)]
+        ends[left] -= 1
+    some = ends > begins
+    begins, ends = begins[some], ends[some]
+    if not len(begins):
+        return pa.array([], pa.string())
+    try:
+        data[begins[0] : ends[-1]].tobytes().decode()
+    except UnicodeDecodeError:
+        pieces = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(begins, ends, strict=True)]
+        return pa.array(pieces, pa.string())
+    # The bytes of all pieces, one behind the other.
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[begins], edges[ends] = 1, -1
+    kept = data[np.cumsum(edges[:-1], dtype=np.int8).view(bool)]
+    at = np.append(0, np.cumsum(ends - begins))
+    return pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(at), pa.py_buffer(kept)).cast(pa.string())
+
+
 class _Part:
     """A byte range of a file."""
 
@@ -109,22 +134,23 @@ class _Part:
     def toggles(self) -> np.ndarray:
         return _toggles(self.data, self.escape, self.before)
 
-    def records(self, state: int) -> list[bytes]:
+    def records(self, state: int) -> pa.StringArray:
         """The records that begin in the part, the last one to its end; blank ones are left out."""
-        breaks = np.flatnonzero((self.data == 10) & (self.inside(state) == 0)) + 1
-        first = self.start == 0 or (state == 0 and self._read(self.start - 1, 1)[0] == 10)
-        begins = [0, *breaks.tolist()] if first else breaks.tolist()
-        raw = self.data.tobytes()
-        if begins and begins[-1] == len(raw):  # the next part begins with a record
-            begins.pop()
-        elif begins:
-            raw += self._rest(int(self.inside(state)[-1]))
-        if not begins:
-            return []
-        found = [raw[a:b].rstrip(b"\r\n") for a, b in zip(begins, [*begins[1:], len(raw)], strict=True)]
-        if self.start == 0 and found:
-            del found[0]  # the header
-        return [record for record in found if record]
+        inside = self.inside(state)
+        begins = np.flatnonzero((self.data == 10) & (inside == 0)) + 1
+        if self.start == 0 or (state == 0 and self._read(self.start - 1, 1)[0] == 10):
+            begins = np.append(0, begins)
+        data = self.data
+        if len(begins) and begins[-1] == len(data):  # the next part begins with a record
+            begins = begins[:-1]
+        elif len(begins):
+            data = np.append(data, np.frombuffer(self._rest(int(inside[-1])), np.uint8))
+        if not len(begins):
+            return pa.array([], pa.string())
+        ends = np.append(begins[1:], len(data))
+        if self.start == 0:
+            begins, ends = begins[1:], ends[1:]  # the header
+        return _texts(data, begins, ends)
 
     def _rest(self, state: int) -> bytes:
         """From the end of the part to the end of the record that is open there."""
@@ -158,9 +184,11 @@ def csv_records(spark: SparkSession, paths: Sequence[str], escape: str = "\\", p
     files = spark.read.format("binaryFile").load([_literal(path) for path in paths]).select("path", "length")
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(part_bytes).cast("long")))
     parts = files.where("length > 0").select("path", starts.alias("start"), "length")
-    parts = parts.select("path", "start", F.least(F.col("start") + part_bytes, "length").alias("end"))
-    # A few parts for each task, whatever the size of these rows.
+    # A few parts for each task, whatever the size of these rows, and as many for one as for another:
+    # by hash some would get twice their share. One row is a part of a file, so numbering them is little work.
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    turn = (F.row_number().over(Window.orderBy("path", "start")) % tasks).alias("turn")
+    parts = parts.select("path", "start", F.least(F.col("start") + part_bytes, "length").alias("end"), turn)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -170,16 +198,13 @@ def csv_records(spark: SparkSession, paths: Sequence[str], escape: str = "\\", p
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start, end, state in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                records = _Part(path, start, end, escape).records(state)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r.decode("utf-8", "replace") for r in records], pa.string())], names=["record"]
-                )
+                yield pa.RecordBatch.from_arrays([_Part(path, start, end, escape).records(state)], names=["record"])
 
-    counted = parts.repartition(tasks, "path", "start").mapInPandas(count, "path string, start long, end long, odd int")
+    counted = parts.repartitionById(tasks, "turn").mapInPandas(count, "path string, start long, end long, turn int, odd int")
     ahead = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     state = (F.coalesce(F.sum("odd").over(ahead), F.lit(0)) % 2).cast("int")
-    known = counted.withColumn("state", state).select("path", "start", "end", "state")
-    return known.repartition(tasks, "path", "start").mapInArrow(cut, "record string")
+    known = counted.withColumn("state", state).select("path", "start", "end", "state", "turn")
+    return known.repartitionById(tasks, "turn").mapInArrow(cut, "record string")
 
 
 def _literal(path: str) -> str:

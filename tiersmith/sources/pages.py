@@ -13,7 +13,8 @@ from tiersmith.session import stage
 
 # The rest of a tag, and what of it may stand before an attribute: quoted values count as a whole.
 _REST = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
-_BEFORE = r"(?:[^>\"']*(?:\"[^\"]*\"|'[^']*'))*[^>\"']*"
+# Lazy, as the attribute looked for mostly is the first: the matcher need not come back from the tag's end.
+_BEFORE = r"(?:[^>\"']*(?:\"[^\"]*\"|'[^']*'))*?[^>\"']*?"
 
 
 @dataclass(frozen=True)
@@ -30,8 +31,8 @@ class Selector:
         if not self.css_class:
             return tag
         name = re.escape(self.css_class)
-        double = rf"\"(?:[^\"]*\s)?{name}(?:\s[^\"]*)?\""
-        single = rf"'(?:[^']*\s)?{name}(?:\s[^']*)?'"
+        double = rf"\"(?:[^\"]*?\s)??{name}(?:\s[^\"]*+)?+\""
+        single = rf"'(?:[^']*?\s)??{name}(?:\s[^']*+)?+'"
         return rf"{tag}(?={_BEFORE}\sclass\s*=\s*(?:{double}|{single}))"
 
     @property
@@ -152,18 +153,21 @@ def first_element(html: Column, selector: Selector) -> Column:
 
 
 def absolute_url(page_url: Column, link: Column) -> Column:
-    """A link as the page at ``page_url`` means it."""
+    """A link as the page at ``page_url`` means it.
+
+    Written for short generated code: each piece of an address is looked for in as few places as may be.
+    """
     origin = F.regexp_extract(page_url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
     scheme = F.regexp_extract(page_url, r"^[A-Za-z][A-Za-z0-9+.-]*:", 0)
     path = F.regexp_extract(page_url, r"^[^?#]*", 0)
-    folder = F.regexp_extract(path, r"^(.*://.*/)[^/]*$", 1)
-    return (
-        F.when(F.regexp_like(link, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), link)
-        .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(origin, link))
-        .when(link.startswith("?"), F.concat(path, link))
-        .otherwise(F.concat(F.when(folder == "", F.concat(origin, F.lit("/"))).otherwise(folder), link))
+    folder = F.get(F.regexp_extract_all(path, F.lit(r"^(.*://.*/)[^/]*$"), F.lit(1)), 0)
+    before = (
+        F.when(link.startswith("//"), scheme)
+        .when(link.startswith("/"), origin)
+        .when(link.startswith("?"), path)
+        .otherwise(F.coalesce(folder, F.concat(origin, F.lit("/"))))
     )
+    return F.when(F.regexp_like(link, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), link).otherwise(F.concat(before, link))
 
 
 def product_cards(pages: DataFrame, *keep: str) -> DataFrame:
